@@ -179,3 +179,15 @@ def apply_load(existing: DataFrame | None, src: DataFrame, as_of: str) -> tuple[
 
 def source_columns() -> tuple[str, ...]:
     return SOURCE_COLUMNS
+
+
+# --- S15 ------------------------------------------------------------------------------------
+def drop_months(bronze: DataFrame, months: Sequence[int]) -> DataFrame:
+    """Retention by whole months: rows of the given ``created_month`` values removed (a partition
+    filter, so on a month-partitioned table the dropped months are never even listed)."""
+    return bronze.filter(~F.col(BRONZE_PARTITION).isin(*[int(m) for m in months]) | F.col(BRONZE_PARTITION).isNull())
+
+
+def retain_from_month(bronze: DataFrame, first_month: int) -> DataFrame:
+    """Keep months ``>= first_month`` (and the NULL-month partition)."""
+    return bronze.filter((F.col(BRONZE_PARTITION) >= F.lit(int(first_month))) | F.col(BRONZE_PARTITION).isNull())

@@ -159,6 +159,162 @@ GROUP BY 1, 2
 HAVING count(id) > 0"""
 
 
+
+# --- change feed, snapshots and replayed loads ----------------------------------------------
+_CHG = """
+chg_n AS (
+  SELECT *,
+         CASE "lastStatus" WHEN 'BOOKED' THEN 1 WHEN 'PROCESSING' THEN 1 WHEN 'IN_TRANSIT' THEN 2
+              WHEN 'OUT_FOR_DELIVERY' THEN 3
+              WHEN 'DELIVERED' THEN CASE WHEN "deletedAt" IS NOT NULL THEN 5 ELSE 4 END
+              ELSE 1 + (k // 6) % 4 END AS n,
+         date_diff('microsecond', "createdAt", "updatedAt") // 1000000 AS s
+  FROM rtk
+),
+chg_j AS (
+  SELECT *, unnest(range(0, n + 1)) AS j FROM chg_n
+),
+chg AS (
+  SELECT id, "customerId",
+         CASE WHEN "lastStatus" = 'CANCELLED' AND j = n THEN 'CANCELLED'
+              WHEN "lastStatus" = 'BOOKED' THEN 'BOOKED'
+              ELSE (['BOOKED', 'PROCESSING', 'IN_TRANSIT', 'OUT_FOR_DELIVERY', 'DELIVERED'])[least(j, 4) + 1]
+         END AS "lastStatus",
+         "posOrigin", "posDestination", "createdAt",
+         CASE WHEN j = n THEN "updatedAt"
+              ELSE "createdAt" + to_seconds(CAST(floor(s * j / n) AS BIGINT)) END AS "updatedAt",
+         CASE WHEN j = 5 THEN "deletedAt" END AS "deletedAt",
+         j AS version
+  FROM chg_j
+)"""
+
+
+def _snap(i: int, cut: str) -> str:
+    return f"""
+snap{i} AS (
+  SELECT {_SRC_COLS}, "updatedAt", "deletedAt"
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY "updatedAt" DESC, version DESC) AS rn
+        FROM chg WHERE "updatedAt" <= TIMESTAMP '{cut}')
+  WHERE rn = 1
+)"""
+
+
+def _batch(i: int, cut: str) -> str:
+    where = "" if i == 1 else f'WHERE "updatedAt" >= (SELECT max("updatedAt") FROM snap{i - 1})'
+    return f"""
+batch{i} AS (
+  SELECT {_SRC_COLS}, coalesce("updatedAt", TIMESTAMP '1970-01-01 00:00:00') AS "updatedAt", "deletedAt",
+         TIMESTAMP '{cut}' AS load_at, {i} AS load_no
+  FROM snap{i} {where}
+)"""
+
+
+_REPLAY_PARTS = [_CHG]
+for _i, _cut in enumerate(REPLAY_CUTS, start=1):
+    _REPLAY_PARTS.append(_snap(_i, _cut))
+    _REPLAY_PARTS.append(_batch(_i, _cut))
+_REPLAY_PARTS.append(
+    """
+allb AS (
+  """ + "\n  UNION ALL ".join(f"SELECT * FROM batch{i}" for i in range(1, len(REPLAY_CUTS) + 1)) + """
+),
+log AS (
+  SELECT * EXCLUDE (load_no),
+         CAST(year("createdAt") * 100 + month("createdAt") AS INTEGER) AS created_month
+  FROM allb
+),
+final_bronze AS (
+  SELECT * EXCLUDE (rn, load_no)
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY load_no DESC) AS rn FROM allb)
+  WHERE rn = 1
+)"""
+)
+REPLAY = with_ctes(_RT_K, *_REPLAY_PARTS)
+N_LOADS = len(REPLAY_CUTS)
+
+CLEAN_BUILD = with_ctes(
+    _RT_K,
+    _bronze_of("rt", "bronze"),
+    _silver_of("bronze", "silver"),
+    "\nm1 AS (" + m1() + ")",
+    "\nm2 AS (" + m2() + ")",
+    "\nm3 AS (" + m3() + ")",
+    "\nm4 AS (" + m4() + ")",
+    "\nm5 AS (" + m5() + ")",
+)
+DIRTY_BUILD = with_ctes(
+    _RT_K,
+    _DIRTY,
+    _bronze_of("dirty", "dbronze"),
+    _silver_of("dbronze", "dsilver"),
+    "\ndm1 AS (" + m1("dsilver") + ")",
+    "\ndm2 AS (" + m2("dsilver") + ")",
+    "\ndm3 AS (" + m3("dsilver") + ")",
+    "\ndm4 AS (" + m4("dsilver") + ")",
+    "\ndm5 AS (" + m5("dsilver") + ")",
+)
+_STATUS_LIST = "('BOOKED', 'PROCESSING', 'IN_TRANSIT', 'OUT_FOR_DELIVERY', 'DELIVERED', 'CANCELLED')"
+
+
+def _suite_rows() -> str:
+    def row(model, test, col, sql):
+        c = "NULL" if col is None else f"'{col}'"
+        return f"SELECT '{model}' AS model, '{test}' AS test_name, CAST({c} AS VARCHAR) AS column_name, ({sql}) AS failures"
+
+    b, s = "bronze_retail_transactions", "silver_retail_transactions_cleansed"
+    rows = [
+        row(b, "unique", "id", "SELECT count(*) FROM (SELECT id FROM dbronze WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
+        row(b, "not_null", "id", "SELECT count(*) FROM dbronze WHERE id IS NULL"),
+        row(b, "not_null", "lastStatus", 'SELECT count(*) FROM dbronze WHERE "lastStatus" IS NULL'),
+        row(b, "accepted_values", "lastStatus",
+            f'SELECT count(DISTINCT "lastStatus") FROM dbronze WHERE "lastStatus" NOT IN {_STATUS_LIST}'),
+        row(s, "unique", "id", "SELECT count(*) FROM (SELECT id FROM dsilver WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
+        row(s, "not_null", "id", "SELECT count(*) FROM dsilver WHERE id IS NULL"),
+        row(s, "not_null", "last_status", "SELECT count(*) FROM dsilver WHERE last_status IS NULL"),
+        row(s, "accepted_values", "last_status",
+            f"SELECT count(DISTINCT last_status) FROM dsilver WHERE last_status NOT IN {_STATUS_LIST}"),
+        row(s, "not_null", "is_deleted", "SELECT count(*) FROM dsilver WHERE is_deleted IS NULL"),
+        row(s, "accepted_values", "is_deleted", "SELECT count(DISTINCT is_deleted) FROM dsilver WHERE is_deleted NOT IN (0, 1)"),
+    ]
+    gold_nn = [
+        ("gold_daily_transaction_comprehensive", "dm2", ("transaction_date", "total_transactions", "total_soft_deleted")),
+        ("gold_daily_transaction_valid", "dm1", ("transaction_date", "total_valid_transactions")),
+        ("gold_route_performance_metrics", "dm3", ("pos_origin", "avg_delivery_time_hours")),
+        ("gold_aging_bottleneck_alerts", "dm4", ("total_stuck_packages",)),
+        ("gold_delivery_success_rate", "dm5", ("success_rate_pct",)),
+    ]
+    for model, rel, cols in gold_nn:
+        for c in cols:
+            rows.append(row(model, "not_null", c, f"SELECT count(*) FROM {rel} WHERE {c} IS NULL"))
+    rows.append(row(s, "assert_silver_is_deleted_consistent", None,
+                    "SELECT count(*) FROM dsilver WHERE (deleted_at IS NOT NULL AND is_deleted != 1) "
+                    "OR (deleted_at IS NULL AND is_deleted != 0)"))
+    rows.append(row("gold_daily_transaction_valid+gold_daily_transaction_comprehensive",
+                    "assert_gold_daily_grain_unique", None,
+                    "SELECT count(*) FROM ("
+                    "SELECT 1 FROM dm1 GROUP BY transaction_date, last_status, pos_origin, pos_destination HAVING count(*) > 1 "
+                    "UNION ALL "
+                    "SELECT 1 FROM dm2 GROUP BY transaction_date, last_status, pos_origin, pos_destination HAVING count(*) > 1)"))
+    rows.append(row("gold_route_performance_metrics", "assert_route_lead_time_valid", None,
+                    "SELECT count(*) FROM dm3 WHERE fastest_delivery_hours < 0 OR avg_delivery_time_hours < 0 "
+                    "OR slowest_delivery_hours < fastest_delivery_hours"))
+    rows.append(row("gold_delivery_success_rate", "assert_success_rate_within_bounds", None,
+                    "SELECT count(*) FROM dm5 WHERE success_rate_pct < 0 OR success_rate_pct > 100 "
+                    "OR cancelled_rate_pct < 0 OR cancelled_rate_pct > 100 "
+                    "OR (success_rate_pct + cancelled_rate_pct) > 100.01"))
+    return "\nUNION ALL\n".join(rows)
+
+
+_PLANTED_RATES = """
+SELECT pos_origin, pos_destination,
+       CASE WHEN pos_origin = 'NATION_1' AND pos_destination = 'NATION_1' THEN 120.0
+            WHEN pos_origin = 'NATION_2' AND pos_destination = 'NATION_2' THEN -1.0
+            WHEN pos_origin = 'NATION_3' AND pos_destination = 'NATION_3' THEN 60.0
+            ELSE success_rate_pct END AS success_rate_pct,
+       CASE WHEN pos_origin = 'NATION_3' AND pos_destination = 'NATION_3' THEN 60.0
+            ELSE cancelled_rate_pct END AS cancelled_rate_pct
+FROM m5"""
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["source_scan"] = with_ctes(_RT_K) + "\nSELECT * FROM rt"
@@ -169,6 +325,137 @@ def oracle_sql() -> dict[str, str]:
     q["gold_route_performance_metrics"] = BASE + m3()
     q["gold_aging_bottleneck_alerts"] = BASE + m4()
     q["gold_delivery_success_rate"] = BASE + m5()
+
+    # loads
+    q["bronze_watermark"] = REPLAY + "\n" + "\nUNION ALL\n".join(
+        f"SELECT CAST({i} AS INTEGER) AS load_number, TIMESTAMP '{cut}' AS load_at, "
+        f'(SELECT max("updatedAt") FROM final_state_{i}) AS watermark'
+        for i, cut in enumerate(REPLAY_CUTS, start=1)
+    ).replace("final_state_", "snap")
+    q["bronze_incremental_batch"] = REPLAY + f"\nSELECT * EXCLUDE (load_no) FROM batch{N_LOADS}"
+    q["bronze_full_load"] = (
+        BASE + '\nSELECT *, CAST(year("createdAt") * 100 + month("createdAt") AS INTEGER) AS created_month FROM bronze'
+    )
+    gate = ["SELECT CAST(1 AS INTEGER) AS load_number, CAST(1 AS INTEGER) AS has_new_rows"]
+    for i in range(2, N_LOADS + 2):
+        cur = min(i, N_LOADS)
+        gate.append(
+            f"SELECT CAST({i} AS INTEGER), CAST(CASE WHEN EXISTS (SELECT 1 FROM snap{cur} "
+            f'WHERE "updatedAt" > (SELECT max("updatedAt") FROM snap{i - 1})) THEN 1 ELSE 0 END AS INTEGER)'
+        )
+    q["new_data_gate"] = REPLAY + "\n" + "\nUNION ALL\n".join(gate)
+    c3 = REPLAY_CUTS[2]
+    q["bronze_upsert"] = with_ctes(
+        _RT_K,
+        _CHG,
+        _snap(3, c3),
+        f"""
+existing AS (SELECT {_SRC_COLS}, "updatedAt", "deletedAt", TIMESTAMP '{c3}' AS load_at FROM snap3),
+batch AS (
+  SELECT {_SRC_COLS}, "updatedAt", "deletedAt", {TS_AS_OF} AS load_at FROM rt
+  WHERE "updatedAt" >= (SELECT max("updatedAt") FROM existing)
+)""",
+    ) + "\nSELECT * FROM existing WHERE id NOT IN (SELECT id FROM batch)\nUNION ALL\nSELECT * FROM batch"
+    q["versioned_dedup"] = REPLAY + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY created_month, CAST("updatedAt" AS DATE), "lastStatus", id
+      ORDER BY "updatedAt" DESC, load_at DESC) AS rn
+  FROM log)
+WHERE rn = 1"""
+    q["drop_month"] = (
+        BASE
+        + '\nSELECT * FROM (SELECT *, CAST(year("createdAt") * 100 + month("createdAt") AS INTEGER) AS created_month '
+        + "FROM bronze) WHERE created_month >= 199601 OR created_month IS NULL"
+    )
+    q["soft_delete_sync"] = with_ctes(REPLAY[len("WITH "):], _silver_of("final_bronze", "fsilver")) + (
+        "\nSELECT * FROM fsilver"
+    )
+    q["layer_inventory"] = CLEAN_BUILD + """
+SELECT 'bronze' AS layer, 'bronze_retail_transactions' AS table_name, count(*) AS total_rows FROM bronze
+UNION ALL SELECT 'silver', 'silver_retail_transactions_cleansed', count(*) FROM silver
+UNION ALL SELECT 'gold', 'gold_daily_transaction_valid', count(*) FROM m1
+UNION ALL SELECT 'gold', 'gold_daily_transaction_comprehensive', count(*) FROM m2
+UNION ALL SELECT 'gold', 'gold_route_performance_metrics', count(*) FROM m3
+UNION ALL SELECT 'gold', 'gold_aging_bottleneck_alerts', count(*) FROM m4
+UNION ALL SELECT 'gold', 'gold_delivery_success_rate', count(*) FROM m5"""
+
+    # reports and reconciliation
+    q["top_routes"] = CLEAN_BUILD + """
+SELECT pos_origin, pos_destination, total_packages, success_rate_pct FROM m5
+ORDER BY total_packages DESC, pos_origin NULLS FIRST, pos_destination NULLS FIRST LIMIT 4"""
+    q["recent_soft_deletes"] = BASE + """
+SELECT id, last_status, deleted_at, is_deleted, updated_at, load_at FROM silver WHERE is_deleted = 1
+ORDER BY updated_at DESC, id LIMIT 10"""
+    q["bronze_duplicate_ids"] = REPLAY + """,
+fb AS (SELECT *, CAST(year("createdAt") * 100 + month("createdAt") AS INTEGER) AS created_month FROM final_bronze),
+fb_final AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY created_month, CAST("updatedAt" AS DATE), "lastStatus", id
+                                              ORDER BY "updatedAt" DESC, load_at DESC) AS rn FROM fb) WHERE rn = 1),
+log_final AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY created_month, CAST("updatedAt" AS DATE), "lastStatus", id
+                                              ORDER BY "updatedAt" DESC, load_at DESC) AS rn FROM log) WHERE rn = 1)
+SELECT 'bronze_retail_transactions' AS table_name,
+       (SELECT count(*) FROM (SELECT id FROM fb_final GROUP BY id HAVING count(*) > 1)) AS duplicate_ids
+UNION ALL
+SELECT 'append_only_log', (SELECT count(*) FROM (SELECT id FROM log_final GROUP BY id HAVING count(*) > 1))"""
+    q["cross_mart_consistency"] = CLEAN_BUILD + """
+SELECT transaction_date,
+       CAST(coalesce(sum(n) FILTER (WHERE src = 'valid'), 0) AS BIGINT) AS valid,
+       CAST(coalesce(sum(n) FILTER (WHERE src = 'total'), 0) AS BIGINT) AS total
+FROM (SELECT transaction_date, 'valid' AS src, total_valid_transactions AS n FROM m1
+      UNION ALL
+      SELECT transaction_date, 'total' AS src, total_transactions AS n FROM m2)
+GROUP BY transaction_date"""
+    q["cancelled_reconciliation"] = CLEAN_BUILD + """
+SELECT a.cancelled_in_mart, b.cancelled_in_silver,
+       CAST(a.cancelled_in_mart = b.cancelled_in_silver AS INTEGER) AS matches
+FROM (SELECT CAST(coalesce(sum(total_transactions) FILTER (WHERE last_status = 'CANCELLED'), 0) AS BIGINT)
+             AS cancelled_in_mart FROM m2) a,
+     (SELECT CAST(count(*) FILTER (WHERE last_status = 'CANCELLED') AS BIGINT) AS cancelled_in_silver FROM silver) b"""
+    q["soft_delete_reconciliation"] = CLEAN_BUILD + """
+SELECT a.deleted_in_mart, b.deleted_in_silver, CAST(a.deleted_in_mart = b.deleted_in_silver AS INTEGER) AS matches
+FROM (SELECT CAST(coalesce(sum(total_soft_deleted), 0) AS BIGINT) AS deleted_in_mart FROM m2) a,
+     (SELECT CAST(count(*) FILTER (WHERE is_deleted = 1) AS BIGINT) AS deleted_in_silver FROM silver) b"""
+
+    # data quality
+    q["dq_unique"] = DIRTY_BASE + """
+SELECT id AS value, count(*) AS n_records FROM dbronze WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1"""
+    q["dq_not_null"] = DIRTY_BASE + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM dsilver"
+        for c in ("id", "customer_id", "last_status", "pos_origin", "pos_destination", "created_at",
+                  "updated_at", "deleted_at", "load_at", "is_deleted")
+    )
+    q["dq_accepted_values"] = DIRTY_BASE + f"""
+SELECT "lastStatus" AS value, count(*) AS n_records FROM dbronze
+WHERE "lastStatus" IS NOT NULL AND "lastStatus" NOT IN {_STATUS_LIST}
+GROUP BY "lastStatus"
+"""
+    q["dq_is_deleted_consistent"] = BASE + """,
+planted AS (
+  SELECT * REPLACE (CAST(CASE WHEN CAST(substr(id, 5) AS BIGINT) % 127 = 0 THEN 1 - is_deleted
+                              ELSE is_deleted END AS INTEGER) AS is_deleted)
+  FROM silver)
+SELECT id, deleted_at, is_deleted FROM planted
+WHERE (deleted_at IS NOT NULL AND is_deleted != 1) OR (deleted_at IS NULL AND is_deleted != 0)"""
+    q["dq_daily_grain_unique"] = CLEAN_BUILD + """,
+v AS (SELECT * FROM m1 UNION ALL SELECT * FROM m1 WHERE pos_origin = pos_destination AND last_status = 'BOOKED'),
+c AS (SELECT * FROM m2 UNION ALL SELECT * FROM m2 WHERE pos_origin = pos_destination AND last_status = 'CANCELLED')
+SELECT 'gold_daily_transaction_valid' AS model_name, transaction_date, last_status, pos_origin, pos_destination,
+       count(*) AS n_rows
+FROM v GROUP BY transaction_date, last_status, pos_origin, pos_destination HAVING count(*) > 1
+UNION ALL
+SELECT 'gold_daily_transaction_comprehensive', transaction_date, last_status, pos_origin, pos_destination, count(*)
+FROM c GROUP BY transaction_date, last_status, pos_origin, pos_destination HAVING count(*) > 1"""
+    q["dq_route_lead_time_valid"] = DIRTY_BUILD + """
+SELECT pos_origin, pos_destination, fastest_delivery_hours, avg_delivery_time_hours, slowest_delivery_hours
+FROM dm3
+WHERE fastest_delivery_hours < 0 OR avg_delivery_time_hours < 0 OR slowest_delivery_hours < fastest_delivery_hours"""
+    q["dq_success_rate_bounds"] = CLEAN_BUILD + ",\nplanted AS (" + _PLANTED_RATES + """)
+SELECT pos_origin, pos_destination, success_rate_pct, cancelled_rate_pct FROM planted
+WHERE success_rate_pct < 0 OR success_rate_pct > 100 OR cancelled_rate_pct < 0 OR cancelled_rate_pct > 100
+   OR (success_rate_pct + cancelled_rate_pct) > 100.01"""
+    q["dq_suite_summary"] = DIRTY_BUILD + "\n" + _suite_rows()
     return q
 
 

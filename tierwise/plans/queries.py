@@ -43,4 +43,231 @@ def queries() -> dict[str, Query]:
     }
     for name in gold.MARTS:
         q[name] = _mart(name)
+    q.update(_MORE)
     return q
+
+
+# --- loads (S2-S7, S15, S17) over four replayed incremental loads ---------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from tierwise.functions import ts_literal  # noqa: E402
+from tierwise.operators import load, quality, reconcile  # noqa: E402
+from tierwise.operators.silver import silver_cleansed  # noqa: E402
+from tierwise.schemas import BRONZE_PARTITION, STATUSES  # noqa: E402
+from tierwise.sources import fixtures as fx  # noqa: E402
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_bronze_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermark after each load: ``(load_number, load_at, watermark)``."""
+    rep = sc.replay(spark, sf_dir)
+    return _union(
+        [
+            load.watermark_df(state).select(
+                F.lit(i + 1).cast("int").alias("load_number"),
+                ts_literal(cut).alias("load_at"),
+                "watermark",
+            )
+            for i, (state, cut) in enumerate(zip(rep.states, fx.REPLAY_CUTS))
+        ]
+    )
+
+
+def q_bronze_incremental_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the last load lands: source at the final cut with ``updatedAt >= watermark``."""
+    return sc.replay(spark, sf_dir).batches[-1]
+
+
+def q_bronze_full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First load (no watermark): the whole source, with its month partition column."""
+    return load.with_partition_column(load.load_batch(sc.clean_source(spark, sf_dir), None, AS_OF))
+
+
+def q_new_data_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate before each load, plus a 5th check after the last load (nothing newer -> 0)."""
+    rep = sc.replay(spark, sf_dir)
+    parts = [
+        load.new_data_gate_df(src, wm).select(F.lit(i + 1).cast("int").alias("load_number"), "has_new_rows")
+        for i, (src, wm) in enumerate(zip(rep.sources, rep.watermarks))
+    ]
+    final_wm = load.watermark(rep.states[-1])
+    parts.append(
+        load.new_data_gate_df(rep.sources[-1], final_wm).select(
+            F.lit(len(rep.sources) + 1).cast("int").alias("load_number"), "has_new_rows"
+        )
+    )
+    return _union(parts)
+
+
+def q_bronze_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One upsert: Bronze = full load of the source as at the third cut; batch = the current
+    source past that Bronze's watermark."""
+    cut = fx.REPLAY_CUTS[2]
+    changes = fx.retail_transaction_changes(spark, sf_dir, AS_OF)
+    existing = load.bronze_projection(fx.snapshot_at(changes, cut), cut)
+    new, _, _ = load.apply_load(existing, sc.clean_source(spark, sf_dir), AS_OF)
+    return new
+
+
+def q_versioned_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replacing-merge read of the appended batches: one row per (month, day, status, id)."""
+    log = sc.appended_log(sc.replay(spark, sf_dir))
+    return load.dedup_versions(
+        log, load.bronze_sort_key(), "updatedAt", partition=[BRONZE_PARTITION], tiebreak=("load_at",)
+    )
+
+
+RETAIN_FROM_MONTH = 199601
+
+
+def q_drop_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention: months before ``RETAIN_FROM_MONTH`` dropped from a full Bronze load."""
+    return load.retain_from_month(q_bronze_full_load(spark, sf_dir), RETAIN_FROM_MONTH)
+
+
+def q_soft_delete_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver over Bronze after four incremental loads: soft-deleted rows present and flagged, one
+    row per id."""
+    return silver_cleansed(sc.replay(spark, sf_dir).states[-1])
+
+
+def _clean_build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    silver = sc.clean_silver(spark, sf_dir)
+    out = {"bronze_retail_transactions": sc.clean_bronze(spark, sf_dir), "silver_retail_transactions_cleansed": silver}
+    for name, fn in gold.MARTS.items():
+        out[name] = fn(silver, AS_OF)
+    return out
+
+
+def _dirty_build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    silver = sc.dirty_silver(spark, sf_dir)
+    out = {"bronze_retail_transactions": sc.dirty_bronze(spark, sf_dir), "silver_retail_transactions_cleansed": silver}
+    for name, fn in gold.MARTS.items():
+        out[name] = fn(silver, AS_OF)
+    return out
+
+
+def q_layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _clean_build(spark, sf_dir)
+    layer = {"bronze_retail_transactions": "bronze", "silver_retail_transactions_cleansed": "silver"}
+    return reconcile.layer_inventory({n: (layer.get(n, "gold"), df) for n, df in b.items()})
+
+
+# --- reports and reconciliation (O2, O3, V1-V4) ------------------------------------------------
+def q_top_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.top_routes(gold.gold_delivery_success_rate(sc.clean_silver(spark, sf_dir), AS_OF), 4)
+
+
+def q_recent_soft_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.recent_soft_deletes(sc.clean_silver(spark, sf_dir), 10)
+
+
+def q_bronze_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids present more than once after a ``FINAL`` (sort-key dedup) read: the upserted Bronze
+    (expected 0) next to a plain append of the same batches (sort-key dedup does not make ids
+    unique, because the key includes day and status)."""
+    rep = sc.replay(spark, sf_dir)
+    sk = load.bronze_sort_key()
+
+    def final_read(df: DataFrame) -> DataFrame:
+        return load.dedup_versions(load.with_partition_column(df), sk, partition=[BRONZE_PARTITION])
+
+    upserted = reconcile.duplicate_id_count(final_read(rep.states[-1]))
+    appended = reconcile.duplicate_id_count(
+        load.dedup_versions(sc.appended_log(rep), sk, partition=[BRONZE_PARTITION])
+    )
+    return upserted.select(F.lit("bronze_retail_transactions").alias("table_name"), "duplicate_ids").unionByName(
+        appended.select(F.lit("append_only_log").alias("table_name"), "duplicate_ids")
+    )
+
+
+def q_cross_mart_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _clean_build(spark, sf_dir)
+    return reconcile.cross_mart_consistency(b["gold_daily_transaction_valid"], b["gold_daily_transaction_comprehensive"])
+
+
+def q_cancelled_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _clean_build(spark, sf_dir)
+    return reconcile.cancelled_reconciliation(
+        b["gold_daily_transaction_comprehensive"], b["silver_retail_transactions_cleansed"]
+    )
+
+
+def q_soft_delete_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _clean_build(spark, sf_dir)
+    return reconcile.soft_delete_reconciliation(
+        b["gold_daily_transaction_comprehensive"], b["silver_retail_transactions_cleansed"]
+    )
+
+
+# --- data quality (Q1-Q8) on planted violations ------------------------------------------------
+def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_unique(sc.dirty_bronze(spark, sf_dir), "id")
+
+
+def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = sc.dirty_silver(spark, sf_dir)
+    return quality.null_counts(silver, silver.columns)
+
+
+def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_accepted_values(sc.dirty_bronze(spark, sf_dir), "lastStatus", STATUSES)
+
+
+def q_dq_is_deleted_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_is_deleted_consistent(fx.plant_flag_flips(sc.clean_silver(spark, sf_dir)))
+
+
+def q_dq_daily_grain_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _clean_build(spark, sf_dir)
+    v, c = fx.plant_grain_duplicates(b["gold_daily_transaction_valid"], b["gold_daily_transaction_comprehensive"])
+    return quality.dq_daily_grain_unique(v, c)
+
+
+def q_dq_route_lead_time_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_route_lead_time_valid(
+        gold.gold_route_performance_metrics(sc.dirty_silver(spark, sf_dir), AS_OF)
+    )
+
+
+def q_dq_success_rate_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_success_rate_bounds(
+        fx.plant_rates(gold.gold_delivery_success_rate(sc.clean_silver(spark, sf_dir), AS_OF))
+    )
+
+
+def q_dq_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_suite_summary(_dirty_build(spark, sf_dir), STATUSES)
+
+
+_MORE: dict[str, Query] = {
+    "bronze_watermark": q_bronze_watermark,
+    "bronze_incremental_batch": q_bronze_incremental_batch,
+    "bronze_full_load": q_bronze_full_load,
+    "new_data_gate": q_new_data_gate,
+    "bronze_upsert": q_bronze_upsert,
+    "versioned_dedup": q_versioned_dedup,
+    "drop_month": q_drop_month,
+    "layer_inventory": q_layer_inventory,
+    "soft_delete_sync": q_soft_delete_sync,
+    "top_routes": q_top_routes,
+    "recent_soft_deletes": q_recent_soft_deletes,
+    "bronze_duplicate_ids": q_bronze_duplicate_ids,
+    "cross_mart_consistency": q_cross_mart_consistency,
+    "cancelled_reconciliation": q_cancelled_reconciliation,
+    "soft_delete_reconciliation": q_soft_delete_reconciliation,
+    "dq_unique": q_dq_unique,
+    "dq_not_null": q_dq_not_null,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_is_deleted_consistent": q_dq_is_deleted_consistent,
+    "dq_daily_grain_unique": q_dq_daily_grain_unique,
+    "dq_route_lead_time_valid": q_dq_route_lead_time_valid,
+    "dq_success_rate_bounds": q_dq_success_rate_bounds,
+    "dq_suite_summary": q_dq_suite_summary,
+}

@@ -34,3 +34,59 @@ def dirty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_cleansed(dirty_bronze(spark, sf_dir))
+
+
+# --- replayed incremental loads over the change feed ------------------------------------------
+from dataclasses import dataclass, field  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tierwise.operators.load import apply_load, with_partition_column  # noqa: E402
+from tierwise.session import cut_lineage  # noqa: E402
+from tierwise.sources.fixtures import REPLAY_CUTS, retail_transaction_changes, snapshot_at  # noqa: E402
+
+
+@dataclass
+class Replay:
+    """Bronze after each load (checkpointed), the batch each load landed and the watermark it
+    started from (``None`` = full load)."""
+
+    states: list[DataFrame] = field(default_factory=list)
+    batches: list[DataFrame] = field(default_factory=list)
+    watermarks: list[str | None] = field(default_factory=list)
+    sources: list[DataFrame] = field(default_factory=list)
+
+
+_REPLAYS: dict[tuple[int, str, tuple[str, ...]], Replay] = {}
+
+
+def replay(spark: SparkSession, sf_dir: str, cuts: tuple[str, ...] = REPLAY_CUTS) -> Replay:
+    """Run one load per cut: source = snapshot of the change feed at the cut, ``as_of`` = the cut.
+    Each Bronze state is checkpointed to the shared checkpoint folder (cuts lineage, survives
+    executor loss, and the next watermark is read from it without recomputing the chain)."""
+    memo_key = (id(spark), sf_dir, tuple(cuts))
+    if memo_key in _REPLAYS:
+        return _REPLAYS[memo_key]
+    changes = retail_transaction_changes(spark, sf_dir, AS_OF)
+    out = Replay()
+    bronze = None
+    for cut in cuts:
+        src = snapshot_at(changes, cut)
+        bronze, batch, wm = apply_load(bronze, src, cut)
+        bronze = cut_lineage(bronze)
+        out.states.append(bronze)
+        out.batches.append(batch)
+        out.watermarks.append(wm)
+        out.sources.append(src)
+    _REPLAYS[memo_key] = out
+    return out
+
+
+def appended_log(rep: Replay) -> DataFrame:
+    """Every batch appended without the keyed upsert (what a plain append would hold), with the
+    month partition column."""
+    log = rep.batches[0]
+    for b in rep.batches[1:]:
+        log = log.unionByName(b)
+    return with_partition_column(log)
+

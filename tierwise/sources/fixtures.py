@@ -220,3 +220,40 @@ def retail_transactions_dirty(spark: SparkSession, sf_dir: str, as_of: str = AS_
     # duplicate rows: explode a 1- or 2-element array instead of a self-union (one scan)
     copies = F.when(k % F.lit(97) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return dirty.withColumn("_copy", F.explode(copies)).select(*SOURCE_COLUMNS)
+
+
+# --- planted violations on derived layers (checks that Silver itself cannot violate) ----------
+PLANTED_RATE_ROUTES = (
+    # (origin, destination, success_rate_pct, cancelled_rate_pct)
+    ("NATION_1", "NATION_1", 120.0, None),
+    ("NATION_2", "NATION_2", -1.0, None),
+    ("NATION_3", "NATION_3", 60.0, 60.0),
+)
+
+
+def plant_flag_flips(silver: DataFrame) -> DataFrame:
+    """Flip ``is_deleted`` where ``k % 127 = 0``."""
+    k = order_key_of(F.col("id"))
+    return silver.withColumn(
+        "is_deleted",
+        F.when(k % F.lit(127) == 0, F.lit(1) - F.col("is_deleted")).otherwise(F.col("is_deleted")).cast("int"),
+    )
+
+
+def plant_grain_duplicates(valid: DataFrame, comprehensive: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A broken GROUP BY: repeat the same-city rows of BOOKED (valid) / CANCELLED (comprehensive)."""
+    same_city = F.col("pos_origin") == F.col("pos_destination")
+    v = valid.unionByName(valid.filter(same_city & (F.col("last_status") == "BOOKED")))
+    c = comprehensive.unionByName(comprehensive.filter(same_city & (F.col("last_status") == "CANCELLED")))
+    return v, c
+
+
+def plant_rates(success: DataFrame) -> DataFrame:
+    """Set out-of-range percentages on three routes."""
+    s, c = F.col("success_rate_pct"), F.col("cancelled_rate_pct")
+    for origin, dest, ns, nc in PLANTED_RATE_ROUTES:
+        hit = (F.col("pos_origin") == origin) & (F.col("pos_destination") == dest)
+        s = F.when(hit, F.lit(ns)).otherwise(s)
+        if nc is not None:
+            c = F.when(hit, F.lit(nc)).otherwise(c)
+    return success.withColumn("success_rate_pct", s.cast("double")).withColumn("cancelled_rate_pct", c.cast("double"))
