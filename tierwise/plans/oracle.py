@@ -456,6 +456,68 @@ SELECT pos_origin, pos_destination, success_rate_pct, cancelled_rate_pct FROM pl
 WHERE success_rate_pct < 0 OR success_rate_pct > 100 OR cancelled_rate_pct < 0 OR cancelled_rate_pct > 100
    OR (success_rate_pct + cancelled_rate_pct) > 100.01"""
     q["dq_suite_summary"] = DIRTY_BUILD + "\n" + _suite_rows()
+
+    # extensions
+    q["status_transition_audit"] = with_ctes(_RT_K, _CHG) + """,
+planted AS (
+  SELECT id, "customerId",
+         CASE WHEN k % 89 = 0 AND "lastStatus" = 'DELIVERED' AND "deletedAt" IS NULL THEN 'PROCESSING'
+              WHEN k % 79 = 0 AND "lastStatus" = 'CANCELLED' THEN 'BOOKED'
+              WHEN k % 73 = 0 AND "lastStatus" = 'IN_TRANSIT' THEN 'DELIVERED' END AS "lastStatus",
+         "posOrigin", "posDestination", "createdAt", "updatedAt" + to_seconds(3600) AS "updatedAt",
+         CAST(NULL AS TIMESTAMP) AS "deletedAt", 6 AS version
+  FROM rtk),
+feed AS (SELECT * FROM chg UNION ALL SELECT * FROM planted WHERE "lastStatus" IS NOT NULL),
+moves AS (
+  SELECT id, lag("lastStatus") OVER (PARTITION BY id ORDER BY "updatedAt", version) AS from_status,
+         "lastStatus" AS to_status, "updatedAt" AS updated_at
+  FROM feed)
+SELECT * FROM moves
+WHERE NOT (CASE WHEN from_status IS NULL THEN to_status = 'BOOKED'
+                ELSE from_status = to_status
+                  OR (from_status = 'BOOKED' AND to_status = 'PROCESSING')
+                  OR (from_status = 'PROCESSING' AND to_status = 'IN_TRANSIT')
+                  OR (from_status = 'IN_TRANSIT' AND to_status = 'OUT_FOR_DELIVERY')
+                  OR (from_status = 'OUT_FOR_DELIVERY' AND to_status = 'DELIVERED')
+                  OR (from_status IN ('BOOKED', 'PROCESSING', 'IN_TRANSIT', 'OUT_FOR_DELIVERY')
+                      AND to_status = 'CANCELLED') END)"""
+    q["hard_delete_reconciliation"] = BASE + """
+SELECT id, "lastStatus", "createdAt", "updatedAt", "deletedAt", load_at FROM bronze
+WHERE id NOT IN (SELECT id FROM rtk WHERE k % 131 != 0)"""
+    n = N_LOADS
+    q["incremental_daily_mart"] = REPLAY + f""",
+bronze_prev AS (
+  SELECT * EXCLUDE (rn, load_no)
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY load_no DESC) AS rn FROM allb WHERE load_no < {n})
+  WHERE rn = 1),
+aff AS (
+  SELECT CAST("createdAt" AS DATE) AS d FROM bronze_prev WHERE id IN (SELECT id FROM batch{n})
+  UNION
+  SELECT CAST("createdAt" AS DATE) FROM batch{n}),
+""" + _silver_of("final_bronze", "fsilver")[1:] + """,
+full_mart AS (""" + m2("fsilver") + """)
+SELECT * REPLACE (
+  CASE WHEN EXISTS (SELECT 1 FROM aff WHERE aff.d IS NOT DISTINCT FROM full_mart.transaction_date)
+       THEN """ + TS_AS_OF + f""" ELSE TIMESTAMP '{REPLAY_CUTS[-2]}' END AS processed_at)
+FROM full_mart"""
+    q["aging_with_route_sla"] = BASE + """,
+perf AS (""" + m3() + """),
+sla AS (
+  SELECT pos_origin, pos_destination,
+         CAST(least(48, greatest(6, floor(avg_delivery_time_hours / 12))) AS INTEGER) AS sla_hours
+  FROM perf),
+enriched AS (
+  SELECT s.*, coalesce(sla.sla_hours, 12) AS thr
+  FROM silver s LEFT JOIN sla ON s.pos_origin = sla.pos_origin AND s.pos_destination = sla.pos_destination)
+SELECT last_status, pos_origin, pos_destination, count(id) AS total_stuck_packages,
+       round_even(avg(date_diff('hour', updated_at, """ + TS_AS_OF + """)), 2) AS avg_hours_stuck,
+       max(date_diff('hour', updated_at, """ + TS_AS_OF + """)) AS max_hours_stuck,
+       """ + TS_AS_OF + """ AS processed_at
+FROM enriched
+WHERE last_status NOT IN ('DELIVERED', 'CANCELLED') AND is_deleted = 0
+  AND date_diff('hour', updated_at, """ + TS_AS_OF + """) >= thr
+GROUP BY 1, 2, 3"""
+    q["bronze_stream_upsert"] = BASE + "\nSELECT * FROM bronze"
     return q
 
 

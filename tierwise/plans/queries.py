@@ -271,3 +271,72 @@ _MORE: dict[str, Query] = {
     "dq_success_rate_bounds": q_dq_success_rate_bounds,
     "dq_suite_summary": q_dq_suite_summary,
 }
+
+
+# --- extensions (E1-E6) -------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from tierwise.operators import extensions as ext  # noqa: E402
+from tierwise.session import checkpoint_dir  # noqa: E402
+
+
+def q_status_transition_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ext.status_transition_audit(fx.changes_with_illegal_moves(spark, sf_dir, AS_OF))
+
+
+def q_hard_delete_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ext.hard_delete_reconciliation(sc.clean_bronze(spark, sf_dir), fx.source_with_hard_deletes(spark, sf_dir))
+
+
+def q_incremental_daily_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comprehensive daily mart after the last load, rebuilding only touched dates."""
+    rep = sc.replay(spark, sf_dir)
+    old_bronze, new_bronze, batch = rep.states[-2], rep.states[-1], rep.batches[-1]
+    old_mart = gold.gold_daily_transaction_comprehensive(silver_cleansed(old_bronze), fx.REPLAY_CUTS[-2])
+    return ext.incremental_daily_mart(old_mart, old_bronze, new_bronze, batch, fx.REPLAY_CUTS[-1])
+
+
+def q_aging_with_route_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = sc.clean_silver(spark, sf_dir)
+    sla = ext.route_sla_from_performance(gold.gold_route_performance_metrics(silver, AS_OF))
+    return ext.aging_with_route_sla(silver, sla, AS_OF)
+
+
+def q_bronze_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream every version of the change feed (six appends, several micro-batches) into Bronze;
+    the end state is the source as of ``AS_OF``."""
+    from tierwise.streaming.stream_upsert import bronze_stream_upsert
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    changes = fx.retail_transaction_changes(spark, sf_dir, AS_OF)
+    for j in range(6):
+        changes.filter(F.col("version") == j).write.mode("append").parquet(f"{base}/input")
+    schema = spark.read.parquet(f"{base}/input").schema
+    q = bronze_stream_upsert(
+        spark, f"{base}/input", schema, f"{base}/bronze", f"{base}/_checkpoint", AS_OF, ("updatedAt", "version")
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/bronze").select(*load.BRONZE_COLUMNS)
+
+
+def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6: report of one fail-fast build of the clean source into a fresh warehouse folder."""
+    from tierwise.plans import pipeline, storage
+
+    wh = storage.Warehouse(f"{checkpoint_dir(spark).rstrip('/')}/warehouse-{uuid.uuid4().hex}")
+    rep = pipeline.build(spark, sc.clean_source(spark, sf_dir), wh, AS_OF)
+    return rep.select(
+        "model", "status", "rows", F.concat_ws(",", "failed_checks").alias("failed_checks"), "started", "ended"
+    )
+
+
+_MORE.update(
+    {
+        "status_transition_audit": q_status_transition_audit,
+        "hard_delete_reconciliation": q_hard_delete_reconciliation,
+        "incremental_daily_mart": q_incremental_daily_mart,
+        "aging_with_route_sla": q_aging_with_route_sla,
+        "bronze_stream_upsert": q_bronze_stream_upsert,
+        "run_report": q_run_report,
+    }
+)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.operators.load import upsert_by_key, with_partition_column
+from tierwise.operators.load import latest_per_key, upsert_by_key, with_partition_column
 from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION, WRITE_ORDER
 
 
@@ -114,6 +114,7 @@ def write_bronze(
     batch: DataFrame,
     existing: DataFrame | None,
     key_partition_stable: bool = True,
+    newer_wins: bool = False,
 ) -> None:
     """Upsert ``batch`` into the month-partitioned Bronze at ``bronze_path``.
 
@@ -123,6 +124,8 @@ def write_bronze(
     * ``key_partition_stable=False`` (an id may change month): upsert against the whole table and
       write a complete new copy next to it, then swap folders (the old copy is removed only after the
       new one is complete).
+    * ``newer_wins``: instead of "the batch always wins", keep per id the row with the greatest
+      ``(updatedAt, load_at)`` (streams: replays and out-of-order files cannot regress a row).
     """
     spark = batch.sparkSession
     batch_p = with_partition_column(batch.select(*BRONZE_COLUMNS))
@@ -139,8 +142,11 @@ def write_bronze(
         cond = F.col(BRONZE_PARTITION).isin(*non_null) if non_null else F.lit(False)
         if any(m is None for m in months):
             cond = cond | F.col(BRONZE_PARTITION).isNull()
-        touched = existing.filter(cond)
-        merged = upsert_by_key(touched.select(*BRONZE_COLUMNS, BRONZE_PARTITION), batch_p, "id")
+        touched = existing.filter(cond).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
+        if newer_wins:
+            merged = latest_per_key(touched.unionByName(batch_p), ["id"], ["updatedAt", "load_at"])
+        else:
+            merged = upsert_by_key(touched, batch_p, "id")
         (
             sorted_for_write(merged, order, [BRONZE_PARTITION])
             .write.mode("overwrite")
@@ -149,7 +155,11 @@ def write_bronze(
             .parquet(bronze_path)
         )
         return
-    merged = upsert_by_key(existing.select(*BRONZE_COLUMNS, BRONZE_PARTITION), batch_p, "id")
+    whole = existing.select(*BRONZE_COLUMNS, BRONZE_PARTITION)
+    if newer_wins:
+        merged = latest_per_key(whole.unionByName(batch_p), ["id"], ["updatedAt", "load_at"])
+    else:
+        merged = upsert_by_key(whole, batch_p, "id")
     tmp = f"{bronze_path.rstrip('/')}__next"
     sorted_for_write(merged, order, [BRONZE_PARTITION]).write.mode("overwrite").partitionBy(
         BRONZE_PARTITION

@@ -257,3 +257,37 @@ def plant_rates(success: DataFrame) -> DataFrame:
         if nc is not None:
             c = F.when(hit, F.lit(nc)).otherwise(c)
     return success.withColumn("success_rate_pct", s.cast("double")).withColumn("cancelled_rate_pct", c.cast("double"))
+
+
+def changes_with_illegal_moves(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
+    """The change feed plus one extra, illegal version (one hour after the final one) for:
+    ``k % 89 = 0`` delivered, not deleted -> PROCESSING (regression);
+    ``k % 79 = 0`` cancelled -> BOOKED (resurrection);
+    ``k % 73 = 0`` in transit -> DELIVERED (skips OUT_FOR_DELIVERY)."""
+    changes = retail_transaction_changes(spark, sf_dir, as_of)
+    final = _keyed_rows(spark, sf_dir, as_of)
+    k, st = F.col("k"), F.col("lastStatus")
+    to = (
+        F.when((k % F.lit(89) == 0) & (st == "DELIVERED") & F.col("deletedAt").isNull(), F.lit("PROCESSING"))
+        .when((k % F.lit(79) == 0) & (st == "CANCELLED"), F.lit("BOOKED"))
+        .when((k % F.lit(73) == 0) & (st == "IN_TRANSIT"), F.lit("DELIVERED"))
+    )
+    planted = final.withColumn("_to", to).filter(F.col("_to").isNotNull()).select(
+        "id",
+        "customerId",
+        F.col("_to").alias("lastStatus"),
+        "posOrigin",
+        "posDestination",
+        "createdAt",
+        _add_seconds(F.col("updatedAt"), F.lit(3600)).alias("updatedAt"),
+        F.lit(None).cast("timestamp_ntz").alias("deletedAt"),
+        F.lit(6).cast("int").alias("version"),
+    )
+    return changes.unionByName(planted)
+
+
+def source_with_hard_deletes(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
+    """The clean source after rows with ``k % 131 = 0`` were hard deleted upstream."""
+    return (
+        _keyed_rows(spark, sf_dir, as_of).filter(F.col("k") % F.lit(131) != 0).select(*SOURCE_COLUMNS)
+    )

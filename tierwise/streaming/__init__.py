@@ -1 +1 @@
-"""tierwise.streaming."""
+"""Structured Streaming entry points (E5)."""
