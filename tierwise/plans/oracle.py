@@ -4,7 +4,8 @@ Written independently of the Spark code: plain SQL over the driver's views (``or
 ``customer``, ``nation``). The fixture CTEs restate FIXTURES.md §5 in DuckDB's dialect:
 ``ts + to_seconds(n)`` adds seconds, ``date_diff('hour', a, b)`` counts hour boundaries and
 ``round_even`` rounds half to even. Counts are cast to BIGINT (DuckDB's ``count_if``/``sum`` give
-HUGEINT).
+HUGEINT). Conditional counts use ``count(*) FILTER (WHERE ...)``: DuckDB's ``count_if`` returns
+NULL for a group whose conditions are all NULL, while a conditional count is never NULL.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ GROUP BY 1, 2, 3, 4"""
 def m2(silver: str = "silver") -> str:
     return f"""
 SELECT CAST(created_at AS DATE) AS transaction_date, last_status, pos_origin, pos_destination,
-       count(id) AS total_transactions, CAST(count_if(is_deleted = 1) AS BIGINT) AS total_soft_deleted,
+       count(id) AS total_transactions, CAST(count(*) FILTER (WHERE is_deleted = 1) AS BIGINT) AS total_soft_deleted,
        {TS_AS_OF} AS processed_at
 FROM {silver}
 GROUP BY 1, 2, 3, 4"""
@@ -148,10 +149,10 @@ GROUP BY 1, 2, 3"""
 def m5(silver: str = "silver") -> str:
     return f"""
 SELECT pos_origin, pos_destination, count(id) AS total_packages,
-       CAST(count_if(last_status = 'DELIVERED') AS BIGINT) AS total_delivered,
-       CAST(count_if(last_status = 'CANCELLED') AS BIGINT) AS total_cancelled,
-       round_even((count_if(last_status = 'DELIVERED') / count(id)) * 100, 2) AS success_rate_pct,
-       round_even((count_if(last_status = 'CANCELLED') / count(id)) * 100, 2) AS cancelled_rate_pct,
+       CAST(count(*) FILTER (WHERE last_status = 'DELIVERED') AS BIGINT) AS total_delivered,
+       CAST(count(*) FILTER (WHERE last_status = 'CANCELLED') AS BIGINT) AS total_cancelled,
+       round_even((count(*) FILTER (WHERE last_status = 'DELIVERED') / count(id)) * 100, 2) AS success_rate_pct,
+       round_even((count(*) FILTER (WHERE last_status = 'CANCELLED') / count(id)) * 100, 2) AS cancelled_rate_pct,
        {TS_AS_OF} AS processed_at
 FROM {silver}
 WHERE is_deleted = 0
