@@ -128,7 +128,9 @@ def upsert_by_key(existing: DataFrame, batch: DataFrame, key: str | Sequence[str
     batch proves small, otherwise it is a shuffled anti join (skew-split by AQE)."""
     keys = [key] if isinstance(key, str) else list(key)
     batch = batch.select(*existing.columns)
-    kept = existing.join(batch.select(*keys).distinct(), keys, "left_anti")
+    # no distinct() on the keys: an anti join is unaffected by duplicate keys, and skipping it
+    # saves a shuffle of the batch
+    kept = existing.join(batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch)
 
 

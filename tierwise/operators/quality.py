@@ -243,6 +243,46 @@ def singular_checks(layers: dict[str, DataFrame]) -> list[Check]:
     return out
 
 
-def dq_suite_summary(layers: dict[str, DataFrame], statuses: Sequence[str]) -> DataFrame:
-    """All 23 checks (19 generic + 4 singular) as ``(model, test_name, column_name, failures)``."""
-    return summarise(generic_checks(layers, statuses) + singular_checks(layers))
+def unique_ids_fused(bronze: DataFrame, bronze_model: str, silver_model: str, column: str = "id") -> DataFrame:
+    """``unique`` on Bronze ``id`` and on Silver ``trim(id)`` with ONE shuffle of the id column.
+
+    Rows are hash-partitioned by the trimmed id; that partitioning already satisfies grouping by
+    ``(trimmed, raw)`` and then by ``trimmed`` alone, so both counts come out of a single exchange
+    (the largest shuffle of the suite at scale). Only valid when Silver is ``silver_cleansed(Bronze)``."""
+    from tierwise.functions import clean_text
+
+    ids = bronze.select(clean_text(column).alias("_t"), F.col(column).alias("_raw")).filter(F.col("_raw").isNotNull())
+    per_raw = ids.repartition("_t").groupBy("_t", "_raw").agg(F.count(F.lit(1)).alias("n"))
+    per_t = per_raw.groupBy("_t").agg(F.sum("n").alias("n_t"), F.count_if(F.col("n") > 1).alias("raw_dups"))
+    totals = per_t.agg(
+        F.coalesce(F.sum("raw_dups"), F.lit(0)).cast("bigint").alias("b"),
+        F.count_if(F.col("n_t") > 1).cast("bigint").alias("s"),
+    )
+    return totals.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit(bronze_model).alias("model"), F.col("b").alias("failures")),
+                F.struct(F.lit(silver_model).alias("model"), F.col("s").alias("failures")),
+            )
+        ).alias("r")
+    ).select(
+        F.col("r.model").alias("model"),
+        F.lit("unique").alias("test_name"),
+        F.lit(column).cast("string").alias("column_name"),
+        F.col("r.failures").alias("failures"),
+    )
+
+
+def dq_suite_summary(
+    layers: dict[str, DataFrame], statuses: Sequence[str], silver_from_bronze: bool = False
+) -> DataFrame:
+    """All 23 checks (19 generic + 4 singular) as ``(model, test_name, column_name, failures)``.
+
+    With ``silver_from_bronze`` (Silver is the cleansing view of the given Bronze) the two
+    ``unique(id)`` checks share one shuffle."""
+    checks = generic_checks(layers, statuses) + singular_checks(layers)
+    b, s = "bronze_retail_transactions", "silver_retail_transactions_cleansed"
+    if not silver_from_bronze:
+        return summarise(checks)
+    rest = [c for c in checks if not (c.test_name == "unique" and c.model in (b, s))]
+    return summarise(rest).unionByName(unique_ids_fused(layers[b], b, s))
