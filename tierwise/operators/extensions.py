@@ -20,9 +20,16 @@ from tierwise.operators.silver import silver_cleansed
 from tierwise.schemas import LIFECYCLE_CHAIN, STATUSES, STUCK_HOURS_DEFAULT, TERMINAL_STATUSES
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000, materialize: bool = True) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows (``limit(max+1)``
-    stops counting early); a larger side is joined with a shuffle instead."""
+    stops counting early); a larger side is joined with a shuffle instead.
+
+    With ``materialize`` the candidate is first written once as a reliable checkpoint (shared
+    checkpoint folder), so the size check and the join do not both recompute it."""
+    if materialize:
+        from tierwise.session import cut_lineage
+
+        df = cut_lineage(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
