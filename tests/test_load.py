@@ -137,3 +137,23 @@ def test_month_retention(spark):
     b = load.with_partition_column(load.bronze_projection(src_df(spark, rows), T0))
     assert sorted(r["id"] for r in load.retain_from_month(b, 202501).collect()) == ["B", "C"]
     assert sorted(r["id"] for r in load.drop_months(b, [202412]).collect()) == ["B", "C"]
+
+
+def test_zoned_watermark_is_exact_in_a_dst_overlap(spark):
+    """Zoned source in a DST zone: the watermark is an instant, so the fall-back hour cannot move it."""
+    from pyspark.sql import types as T
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        # 2024-11-03 01:30 EDT (05:30Z) and 01:10 EST (06:10Z): the later instant has the earlier wall clock
+        df = spark.createDataFrame([("A", 1730611800), ("B", 1730614200)], "id string, s long").select(
+            "id", F.timestamp_seconds("s").alias("updatedAt")
+        )
+        assert df.schema["updatedAt"].dataType == T.TimestampType()
+        wm = load.watermark(df)
+        assert wm == str(1730614200 * 1_000_000)
+        assert [r["id"] for r in load.incremental_filter(df, wm).collect()] == ["B"]
+        assert load.has_new_rows(df, wm) is False
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

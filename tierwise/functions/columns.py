@@ -79,14 +79,17 @@ def sum_where(x: ColumnOrName, cond: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, _col(x))), F.lit(0)).cast("bigint")
 
 
-def ts_literal(value: str | _dt.datetime | None, data_type: T.DataType | None = None) -> Column:
+def ts_literal(value: str | int | _dt.datetime | None, data_type: T.DataType | None = None) -> Column:
     """Timestamp literal of the given Spark type (default ``timestamp_ntz``).
 
-    Built from its text form so it is zone-free for NTZ and read in the session zone for zoned
-    timestamps; the optimizer folds the cast so the literal is pushed into Parquet/JDBC scans."""
+    Text is read as wall-clock time (zone-free for NTZ, session zone for zoned timestamps); an
+    ``int`` is an instant in epoch microseconds (exact for zoned timestamps even in a DST overlap).
+    The optimizer folds the cast so the literal is pushed into Parquet/JDBC scans."""
     dt = data_type or T.TimestampNTZType()
     if value is None:
         return F.lit(None).cast(dt)
+    if isinstance(value, int) or (isinstance(value, str) and value.lstrip("-").isdigit()):
+        return F.timestamp_micros(F.lit(int(value))).cast(dt)
     if isinstance(value, _dt.datetime):
         value = value.isoformat(sep=" ")
     return F.lit(str(value)).cast(dt)

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierwise.functions import hour_index
+from tierwise.functions import hour_index, month_key
 from tierwise.operators import gold
 from tierwise.operators.silver import silver_cleansed
 from tierwise.schemas import LIFECYCLE_CHAIN, STATUSES, STUCK_HOURS_DEFAULT, TERMINAL_STATUSES
@@ -127,6 +127,12 @@ def incremental_daily_mart(
     dates = broadcast_if_small(affected_dates(old_bronze, batch), max_broadcast_dates)
     keep = old_mart.join(dates, old_mart["transaction_date"].eqNullSafe(dates["transaction_date"]), "left_anti")
     nb = new_bronze
+    if "created_month" in nb.columns:
+        # a month-partitioned Bronze: read only the months of the affected dates (partition pruning)
+        months = [r[0] for r in dates.select(month_key("transaction_date").alias("m")).distinct().collect()]
+        known = [m for m in months if m is not None]
+        cond = F.col("created_month").isin(*known) if known else F.lit(False)
+        nb = nb.filter(cond | F.col("created_month").isNull() if None in months else cond)
     fresh_src = nb.join(dates, F.to_date(nb["createdAt"]).eqNullSafe(dates["transaction_date"]), "left_semi")
     fresh = mart_fn(silver_cleansed(fresh_src), as_of)
     return keep.unionByName(fresh.select(*old_mart.columns))

@@ -62,11 +62,20 @@ def watermark_df(bronze: DataFrame, col: str = WATERMARK_COLUMN) -> DataFrame:
 
 
 def watermark(bronze: DataFrame | None, col: str = WATERMARK_COLUMN) -> str | None:
-    """High-water mark as text (exact round trip through ``ts_literal``), or ``None`` when Bronze is
-    missing or empty. ``None`` means *full load* — comparing ``>= NULL`` would drop every row."""
+    """High-water mark as text that ``ts_literal`` turns back into the exact same value, or
+    ``None`` when Bronze is missing or empty. ``None`` means *full load*: comparing ``>= NULL``
+    would drop every row.
+
+    ``timestamp_ntz`` gives wall-clock text. A zoned timestamp gives epoch microseconds as digits,
+    because wall-clock text is ambiguous in a DST overlap hour and could move the mark forward."""
     if bronze is None:
         return None
-    row = bronze.agg(F.max(col).cast("string").alias("wm")).first()
+    dt = _ts_type(bronze, col)
+    if isinstance(dt, T.TimestampNTZType):
+        val = F.max(col).cast("string")
+    else:
+        val = F.unix_micros(F.max(col)).cast("string")
+    row = bronze.agg(val.alias("wm")).first()
     return None if row is None else row["wm"]
 
 

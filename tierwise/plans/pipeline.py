@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.operators import gold, quality
-from tierwise.operators.load import bronze_projection, has_new_rows, incremental_filter
+from tierwise.operators.load import bronze_projection, has_new_rows, incremental_filter, watermark
 from tierwise.operators.silver import silver_cleansed
 from tierwise.plans import storage
 from tierwise.schemas import BRONZE_COLUMNS, STATUSES
@@ -68,6 +68,15 @@ def run_checks(checks: Sequence[quality.Check]) -> list[tuple[str, str, str | No
     return [(r.model, r.test_name, r.column_name, int(r.failures)) for r in rows if r.failures]
 
 
+def _later(a: str | None, b: str | None) -> str | None:
+    """The later of two watermarks in ``watermark()``'s text form (epoch digits or wall-clock text)."""
+    if a is None or b is None:
+        return a if b is None else b
+    if a.lstrip("-").isdigit() and b.lstrip("-").isdigit():
+        return a if int(a) >= int(b) else b
+    return max(a, b, key=lambda v: _dt.datetime.fromisoformat(v))
+
+
 def _gate(spark, source, wh, force) -> tuple[bool, str | None, bool]:
     bronze_path = wh.path("bronze", BRONZE)
     exists = storage.path_exists(spark, bronze_path)
@@ -100,10 +109,10 @@ def build(
     window_wm = None if full_refresh else wm
     staging = wh.staging_path(BRONZE)
     staged = storage.write_staging(bronze_projection(incremental_filter(source, window_wm), as_of), staging)
-    stats = staged.agg(F.count(F.lit(1)).alias("n"), F.max("updatedAt").cast("string").alias("wm")).first()
+    stats = {"n": staged.count(), "wm": watermark(staged)}
     existing = None if (full_refresh or not exists) else spark.read.parquet(bronze_path)
     storage.write_bronze(bronze_path, staged.select(*BRONZE_COLUMNS), existing, key_partition_stable)
-    new_wm = max([w for w in (wm if not full_refresh else None, stats["wm"]) if w is not None], default=None)
+    new_wm = _later(None if full_refresh else wm, stats["wm"])
     storage.store_watermark(spark, wh.state_path(BRONZE), new_wm, as_of, stats["n"])  # commit point
     storage.delete_path(spark, staging)  # committed: the staged batch is no longer needed
     bronze = spark.read.parquet(bronze_path)
