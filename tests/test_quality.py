@@ -104,3 +104,13 @@ def test_crash_after_bronze_write_before_commit_is_recovered(spark, scratch):
     got = bronze.select(*final.columns)
     assert got.count() == final.count() == got.select("id").distinct().count()
     assert got.exceptAll(final).count() == 0
+
+
+def test_fused_unique_with_a_hot_duplicated_id(spark):
+    """One id holds a third of all rows; the fused check counts it exactly (per layer)."""
+    rows = [(" hot", "BOOKED")] * 3000 + [(f"k{i}", "BOOKED") for i in range(5000)] + [("k1 ", "BOOKED")] * 2 + [("k2", "BOOKED")]
+    df = spark.createDataFrame(rows, "id string, lastStatus string").repartition(8)
+    got = {r["model"]: r["failures"] for r in quality.unique_ids_fused(df, "b", "s").collect()}
+    # raw duplicates: ' hot', 'k1 ', 'k2'; trimmed duplicates: 'hot', 'k1', 'k2'
+    assert got == {"b": 3, "s": 3}
+    assert quality.dq_unique(df, "id").count() == 3

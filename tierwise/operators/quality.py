@@ -244,15 +244,16 @@ def singular_checks(layers: dict[str, DataFrame]) -> list[Check]:
 
 
 def unique_ids_fused(bronze: DataFrame, bronze_model: str, silver_model: str, column: str = "id") -> DataFrame:
-    """``unique`` on Bronze ``id`` and on Silver ``trim(id)`` with ONE shuffle of the id column.
+    """``unique`` on Bronze ``id`` and on Silver ``trim(id)`` from ONE scan of Bronze.
 
-    Rows are hash-partitioned by the trimmed id; that partitioning already satisfies grouping by
-    ``(trimmed, raw)`` and then by ``trimmed`` alone, so both counts come out of a single exchange
-    (the largest shuffle of the suite at scale). Only valid when Silver is ``silver_cleansed(Bronze)``."""
+    Stage 1 counts rows per ``(trimmed, raw)`` id with a partial aggregate before its shuffle, so an
+    id that holds a third of all rows (a duplication bug upstream) is collapsed map-side instead of
+    landing in one task. Stage 2 rolls those counts up per trimmed id. Only valid when Silver is
+    ``silver_cleansed(Bronze)``."""
     from tierwise.functions import clean_text
 
     ids = bronze.select(clean_text(column).alias("_t"), F.col(column).alias("_raw")).filter(F.col("_raw").isNotNull())
-    per_raw = ids.repartition("_t").groupBy("_t", "_raw").agg(F.count(F.lit(1)).alias("n"))
+    per_raw = ids.groupBy("_t", "_raw").agg(F.count(F.lit(1)).alias("n"))
     per_t = per_raw.groupBy("_t").agg(F.sum("n").alias("n_t"), F.count_if(F.col("n") > 1).alias("raw_dups"))
     totals = per_t.agg(
         F.coalesce(F.sum("raw_dups"), F.lit(0)).cast("bigint").alias("b"),
