@@ -60,20 +60,17 @@ def _keyed_rows(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    # customer -> origin city; nation is a 25-row dimension, Catalyst broadcasts it by its
-    # measured file size (autoBroadcastJoinThreshold), customer x orders is a shuffled equi-join.
-    cust_city = customer.join(
-        nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("posOrigin")),
-        "c_nationkey",
-        "left",
-    ).select(F.col("c_custkey").alias("o_custkey"), "posOrigin")
+    # fact -> dimension -> sub-dimension. Joining orders to the two pruned customer columns first
+    # lets Catalyst size the customer side from its files: broadcast while it is small, a shuffled
+    # join once it is large. nation (25 rows) is broadcast for both city lookups.
+    k = F.col("o_orderkey")
+    origin = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("posOrigin"))
     dest = nation.select(
         F.col("n_nationkey").cast("bigint").alias("dest_key"), F.col("n_name").alias("posDestination")
     )
-
-    k = F.col("o_orderkey")
     base = (
-        orders.join(cust_city, "o_custkey", "left")
+        orders.join(customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left")
+        .join(origin, "c_nationkey", "left")
         .withColumn("dest_key", (k * F.lit(7) + F.lit(3)) % F.lit(25))
         .join(dest, "dest_key", "left")
     )
