@@ -13,4 +13,5 @@ from tierwise.functions.columns import (  # noqa: F401
     round_half_even,
     sum_where,
     ts_literal,
+    ts_sql,
 )

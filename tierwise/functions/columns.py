@@ -79,20 +79,30 @@ def sum_where(x: ColumnOrName, cond: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, _col(x))), F.lit(0)).cast("bigint")
 
 
-def ts_literal(value: str | int | _dt.datetime | None, data_type: T.DataType | None = None) -> Column:
-    """Timestamp literal of the given Spark type (default ``timestamp_ntz``).
+def ts_sql(value: str | int | _dt.datetime | None, data_type: T.DataType | None = None) -> str:
+    """SQL text of a timestamp literal of the given Spark type (default ``timestamp_ntz``).
 
     Text is read as wall-clock time (zone-free for NTZ, session zone for zoned timestamps); an
-    ``int`` is an instant in epoch microseconds (exact for zoned timestamps even in a DST overlap).
-    The optimizer folds the cast so the literal is pushed into Parquet/JDBC scans."""
+    ``int`` (or a string of digits) is an instant in epoch microseconds, exact for zoned timestamps
+    even in a DST overlap."""
     dt = data_type or T.TimestampNTZType()
+    type_sql = "TIMESTAMP_NTZ" if isinstance(dt, T.TimestampNTZType) else "TIMESTAMP"
     if value is None:
-        return F.lit(None).cast(dt)
+        return f"CAST(NULL AS {type_sql})"
     if isinstance(value, int) or (isinstance(value, str) and value.lstrip("-").isdigit()):
-        return F.timestamp_micros(F.lit(int(value))).cast(dt)
+        return f"CAST(timestamp_micros({int(value)}) AS {type_sql})"
     if isinstance(value, _dt.datetime):
         value = value.isoformat(sep=" ")
-    return F.lit(str(value)).cast(dt)
+    text = str(value)
+    if not all(ch.isdigit() or ch in " -:.T" for ch in text):
+        raise ValueError(f"not a timestamp literal: {text!r}")
+    return f"CAST('{text}' AS {type_sql})"
+
+
+def ts_literal(value: str | int | _dt.datetime | None, data_type: T.DataType | None = None) -> Column:
+    """Timestamp literal Column (see ``ts_sql``); the optimizer folds it to a constant, so a
+    comparison with it is pushed into Parquet/JDBC scans."""
+    return F.expr(ts_sql(value, data_type))
 
 
 def as_of_seconds(as_of: str | _dt.datetime) -> str:

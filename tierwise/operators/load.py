@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.functions import as_of_seconds, month_key, ts_literal
+from tierwise.functions import as_of_seconds, month_key, ts_literal, ts_sql
 from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION, SOURCE_COLUMNS
 
 WATERMARK_COLUMN = "updatedAt"
@@ -25,10 +25,10 @@ def _ts_type(df: DataFrame, col: str) -> T.DataType:
     return df.schema[col].dataType
 
 
-def _epoch(dt: T.DataType) -> Column:
+def _epoch_sql(dt: T.DataType) -> str:
     if isinstance(dt, T.TimestampNTZType):
-        return ts_literal("1970-01-01 00:00:00", dt)
-    return F.timestamp_seconds(F.lit(0)).cast(dt)
+        return "CAST('1970-01-01 00:00:00' AS TIMESTAMP_NTZ)"
+    return "timestamp_seconds(0)"
 
 
 # --- P1 -----------------------------------------------------------------------------------
@@ -37,16 +37,16 @@ def bronze_projection(src: DataFrame, as_of: str) -> DataFrame:
     (NULL -> epoch, so such a row is never inside an incremental window), plus ``load_at`` (the
     run time, whole seconds, same timestamp flavour as the source)."""
     ts_t = _ts_type(src, WATERMARK_COLUMN)
-    return src.select(
-        F.col("id"),
-        F.col("customerId"),
-        F.col("lastStatus").cast("string").alias("lastStatus"),
-        F.col("posOrigin").cast("string").alias("posOrigin"),
-        F.col("posDestination").cast("string").alias("posDestination"),
-        F.col("createdAt"),
-        F.coalesce(F.col(WATERMARK_COLUMN), _epoch(ts_t)).alias(WATERMARK_COLUMN),
-        F.col("deletedAt"),
-        ts_literal(as_of_seconds(as_of), ts_t).alias("load_at"),
+    return src.selectExpr(
+        "id",
+        "customerId",
+        "CAST(lastStatus AS STRING) AS lastStatus",
+        "CAST(posOrigin AS STRING) AS posOrigin",
+        "CAST(posDestination AS STRING) AS posDestination",
+        "createdAt",
+        f"coalesce(updatedAt, {_epoch_sql(ts_t)}) AS updatedAt",
+        "deletedAt",
+        f"{ts_sql(as_of_seconds(as_of), ts_t)} AS load_at",
     )
 
 

@@ -154,12 +154,11 @@ def not_null_check(model: str, df: DataFrame, column: str) -> Check:
     return Check(model, "not_null", column, df)
 
 
-def generic_checks(layers: dict[str, DataFrame], statuses: Sequence[str]) -> list[Check]:
-    """The 19 column tests declared for the warehouse (2 unique, 14 not_null, 3 accepted_values)."""
+def _layer_checks(layers: dict[str, DataFrame], statuses: Sequence[str]) -> list[Check]:
+    """The 10 Bronze/Silver column tests (2 unique, 5 not_null, 3 accepted_values)."""
     b = layers["bronze_retail_transactions"]
     s = layers["silver_retail_transactions_cleansed"]
-    g = layers
-    out = [
+    return [
         Check("bronze_retail_transactions", "unique", "id", dq_unique(b, "id")),
         not_null_check("bronze_retail_transactions", b, "id"),
         not_null_check("bronze_retail_transactions", b, "lastStatus"),
@@ -186,16 +185,24 @@ def generic_checks(layers: dict[str, DataFrame], statuses: Sequence[str]) -> lis
             dq_accepted_values(s, "is_deleted", (0, 1)),
         ),
     ]
-    gold_nn = {
-        "gold_daily_transaction_comprehensive": ("transaction_date", "total_transactions", "total_soft_deleted"),
-        "gold_daily_transaction_valid": ("transaction_date", "total_valid_transactions"),
-        "gold_route_performance_metrics": ("pos_origin", "avg_delivery_time_hours"),
-        "gold_aging_bottleneck_alerts": ("total_stuck_packages",),
-        "gold_delivery_success_rate": ("success_rate_pct",),
-    }
-    for model, cols in gold_nn.items():
-        if model in g:
-            out.extend(not_null_check(model, g[model], c) for c in cols)
+
+
+GOLD_NOT_NULL = {
+    "gold_daily_transaction_comprehensive": ("transaction_date", "total_transactions", "total_soft_deleted"),
+    "gold_daily_transaction_valid": ("transaction_date", "total_valid_transactions"),
+    "gold_route_performance_metrics": ("pos_origin", "avg_delivery_time_hours"),
+    "gold_aging_bottleneck_alerts": ("total_stuck_packages",),
+    "gold_delivery_success_rate": ("success_rate_pct",),
+}
+
+
+def generic_checks(layers: dict[str, DataFrame], statuses: Sequence[str], only_gold: bool = False) -> list[Check]:
+    """The 19 column tests declared for the warehouse (2 unique, 14 not_null, 3 accepted_values);
+    ``only_gold`` builds just the 9 mart tests (checks are DataFrames: only build what runs)."""
+    out = [] if only_gold else _layer_checks(layers, statuses)
+    for model, cols in GOLD_NOT_NULL.items():
+        if model in layers:
+            out.extend(not_null_check(model, layers[model], c) for c in cols)
     return out
 
 
@@ -338,13 +345,13 @@ def dq_suite_summary(
 
     With ``silver_from_bronze`` (Silver is the cleansing view of the given Bronze) the two
     ``unique(id)`` checks share one shuffle."""
-    checks = generic_checks(layers, statuses) + singular_checks(layers)
     b, s = "bronze_retail_transactions", "silver_retail_transactions_cleansed"
     if not silver_from_bronze:
-        return summarise(checks)
-    rest = [c for c in checks if c.model not in (b, s)]
+        return summarise(generic_checks(layers, statuses) + singular_checks(layers))
+    gold_layers = {k: v for k, v in layers.items() if k not in (b, s)}
+    gold_checks = [c for c in generic_checks(layers, statuses, only_gold=True)] + singular_checks(gold_layers)
     return (
-        summarise(rest)
+        summarise(gold_checks)
         .unionByName(row_checks_fused(layers[b], b, s, statuses))
         .unionByName(unique_ids_fused(layers[b], b, s))
     )

@@ -3,23 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tierwise.functions import clean_status, clean_text, flag
 
 
 def silver_cleansed(bronze: DataFrame) -> DataFrame:
-    """camelCase -> snake_case, ``trim`` on the text columns, ``upper(trim(.))`` on the status and
-    ``is_deleted`` = 1 exactly when ``deletedAt`` is set."""
-    return bronze.select(
-        clean_text("id").alias("id"),
-        clean_text("customerId").alias("customer_id"),
-        clean_status("lastStatus").alias("last_status"),
-        clean_text("posOrigin").alias("pos_origin"),
-        clean_text("posDestination").alias("pos_destination"),
-        F.col("createdAt").alias("created_at"),
-        F.col("updatedAt").alias("updated_at"),
-        F.col("deletedAt").alias("deleted_at"),
-        F.col("load_at"),
-        flag(F.col("deletedAt").isNotNull()).alias("is_deleted"),
+    """camelCase -> snake_case, ``trim`` (spaces only) on the text columns, ``upper(trim(.))`` on the
+    status and ``is_deleted`` = 1 exactly when ``deletedAt`` is set (an int flag, never NULL)."""
+    return bronze.selectExpr(
+        "trim(id) AS id",
+        "trim(customerId) AS customer_id",
+        "upper(trim(lastStatus)) AS last_status",
+        "trim(posOrigin) AS pos_origin",
+        "trim(posDestination) AS pos_destination",
+        "createdAt AS created_at",
+        "updatedAt AS updated_at",
+        "deletedAt AS deleted_at",
+        "load_at",
+        "CAST(CASE WHEN deletedAt IS NOT NULL THEN 1 ELSE 0 END AS INT) AS is_deleted",
     )

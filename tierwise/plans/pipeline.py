@@ -150,8 +150,7 @@ def build(
     for name, df in marts.items():
         storage.write_table(df, wh.path("gold", name), name)
         written[name] = spark.read.parquet(wh.path("gold", name))
-    layer = {BRONZE: bronze, SILVER: silver, **written}
-    checks = [c for c in quality.generic_checks(layer, statuses) if c.model in written]
+    checks = quality.generic_checks(written, statuses, only_gold=True)
     checks += [c for c in quality.singular_checks(written)]
     failed = run_checks(checks)
     ended = _now()

@@ -36,17 +36,20 @@ REPLAY_CUTS = (
 # ----------------------------------------------------------------------------------------
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _idiv(a: Column, b: int) -> Column:
-    """Integer division for non-negative operands (bigint)."""
-    return F.floor(a / F.lit(b)).cast("bigint")
+# Columns of the driver tables the fixtures use (explicit schemas: no inference, and only these
+# columns are read).
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+}
 
 
-def _add_seconds(ts: Column, n: Column) -> Column:
-    return F.timestamp_add("SECOND", n, ts)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def order_key_of(id_col: Column) -> Column:
@@ -54,8 +57,15 @@ def order_key_of(id_col: Column) -> Column:
     return F.substring(id_col, 5, 64).cast("bigint")
 
 
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def _keyed_rows(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    """Clean source rows plus the internal order key column ``k``."""
+    """Clean source rows plus the internal order key column ``k``.
+
+    The per-row formulas are Spark SQL expressions (``selectExpr``): parsed once in the JVM, the
+    same whole-stage-codegen plan as the Column API, without hundreds of driver round trips."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -63,48 +73,29 @@ def _keyed_rows(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
     # fact -> dimension -> sub-dimension. Joining orders to the two pruned customer columns first
     # lets Catalyst size the customer side from its files: broadcast while it is small, a shuffled
     # join once it is large. nation (25 rows) is broadcast for both city lookups.
-    k = F.col("o_orderkey")
-    origin = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("posOrigin"))
-    dest = nation.select(
-        F.col("n_nationkey").cast("bigint").alias("dest_key"), F.col("n_name").alias("posDestination")
-    )
+    origin = nation.selectExpr("n_nationkey AS c_nationkey", "n_name AS posOrigin")
+    dest = nation.selectExpr("CAST(n_nationkey AS BIGINT) AS dest_key", "n_name AS posDestination")
     base = (
         orders.join(customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left")
         .join(origin, "c_nationkey", "left")
-        .withColumn("dest_key", (k * F.lit(7) + F.lit(3)) % F.lit(25))
+        .withColumn("dest_key", F.expr("(o_orderkey * 7 + 3) % 25"))
         .join(dest, "dest_key", "left")
     )
-
-    status = F.element_at(F.array(*[F.lit(s) for s in STATUSES]), (k % F.lit(6) + F.lit(1)).cast("int"))
-    created = F.timestamp_add(
-        "MICROSECOND",
-        k * F.lit(104729) % F.lit(1000000),
-        _add_seconds(F.col("o_orderdate").cast("timestamp_ntz"), k * F.lit(7919) % F.lit(86400)),
-    )
-    kk = F.col("k")  # the order key after the projection below
-    recent = (kk % F.lit(6) < F.lit(4)) & (_idiv(kk, 6) % F.lit(4) == F.lit(0))
-    updated = F.when(
-        recent,
-        _add_seconds(
-            ts_literal(as_of),
-            -((_idiv(kk, 24) % F.lit(48)) * F.lit(1800) + kk % F.lit(1800)),
-        ),
-    ).otherwise(_add_seconds(F.col("createdAt"), kk * F.lit(31337) % F.lit(864000)))
-    deleted = F.when((kk % F.lit(6) == F.lit(4)) & (kk % F.lit(7) == F.lit(0)), F.col("updatedAt"))
-
-    return (
-        base.select(
-            k.alias("k"),
-            F.concat(F.lit("TRX-"), F.lpad(k.cast("string"), 8, "0")).alias("id"),
-            F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customerId"),
-            status.alias("lastStatus"),
-            "posOrigin",
-            "posDestination",
-            created.alias("createdAt"),
-        )
-        .withColumn("updatedAt", updated)
-        .withColumn("deletedAt", deleted)
-    )
+    return base.selectExpr(
+        "o_orderkey AS k",
+        "concat('TRX-', lpad(CAST(o_orderkey AS STRING), 8, '0')) AS id",
+        "concat('CUST-', CAST(o_custkey AS STRING)) AS customerId",
+        f"element_at(array({_sql_list(STATUSES)}), CAST(o_orderkey % 6 + 1 AS INT)) AS lastStatus",
+        "posOrigin",
+        "posDestination",
+        "timestampadd(MICROSECOND, o_orderkey * 104729 % 1000000,"
+        " timestampadd(SECOND, o_orderkey * 7919 % 86400, CAST(o_orderdate AS TIMESTAMP_NTZ))) AS createdAt",
+    ).selectExpr(
+        "*",
+        "CASE WHEN k % 6 < 4 AND (k div 6) % 4 = 0"
+        f" THEN timestampadd(SECOND, -(((k div 24) % 48) * 1800 + k % 1800), TIMESTAMP_NTZ '{as_of}')"
+        " ELSE timestampadd(SECOND, k * 31337 % 864000, createdAt) END AS updatedAt",
+    ).selectExpr("*", "CASE WHEN k % 6 = 4 AND k % 7 = 0 THEN updatedAt END AS deletedAt")
 
 
 def retail_transactions(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
@@ -123,43 +114,29 @@ def retail_transaction_changes(spark: SparkSession, sf_dir: str, as_of: str = AS
     ``deletedAt`` only on step 5. Steps are generated with ``explode(sequence(0, n))`` (no join).
     """
     rows = _keyed_rows(spark, sf_dir, as_of)
-    k = F.col("k")
-    st = F.col("lastStatus")
-    n = (
-        F.when(st == "BOOKED", 1)
-        .when(st == "PROCESSING", 1)
-        .when(st == "IN_TRANSIT", 2)
-        .when(st == "OUT_FOR_DELIVERY", 3)
-        .when(st == "DELIVERED", F.when(F.col("deletedAt").isNotNull(), 5).otherwise(4))
-        .otherwise(F.lit(1) + _idiv(k, 6) % F.lit(4))
-    ).cast("int")
-    chain = F.array(*[F.lit(s) for s in LIFECYCLE_CHAIN])
-    j = F.col("version")
-    seconds = F.floor(
-        F.timestamp_diff("MICROSECOND", F.col("createdAt"), F.col("updatedAt")) / F.lit(1000000)
-    ).cast("bigint")
-    step_status = (
-        F.when((st == "CANCELLED") & (j == F.col("n")), F.lit("CANCELLED"))
-        .when(st == "BOOKED", F.lit("BOOKED"))
-        .otherwise(F.element_at(chain, F.least(j, F.lit(4)) + F.lit(1)))
-    )
-    step_time = F.when(j == F.col("n"), F.col("updatedAt")).otherwise(
-        _add_seconds(F.col("createdAt"), F.floor(F.col("S") * j / F.col("n")).cast("bigint"))
-    )
     return (
-        rows.withColumn("n", n)
-        .withColumn("S", seconds)
-        .withColumn("version", F.explode(F.sequence(F.lit(0), F.col("n"))))
-        .select(
+        rows.selectExpr(
+            "*",
+            "CAST(CASE lastStatus WHEN 'BOOKED' THEN 1 WHEN 'PROCESSING' THEN 1 WHEN 'IN_TRANSIT' THEN 2"
+            " WHEN 'OUT_FOR_DELIVERY' THEN 3"
+            " WHEN 'DELIVERED' THEN CASE WHEN deletedAt IS NOT NULL THEN 5 ELSE 4 END"
+            " ELSE 1 + (k div 6) % 4 END AS INT) AS n",
+            "CAST(floor(timestampdiff(MICROSECOND, createdAt, updatedAt) / 1000000) AS BIGINT) AS S",
+        )
+        .selectExpr("*", "explode(sequence(0, n)) AS version")
+        .selectExpr(
             "id",
             "customerId",
-            step_status.alias("lastStatus"),
+            "CASE WHEN lastStatus = 'CANCELLED' AND version = n THEN 'CANCELLED'"
+            " WHEN lastStatus = 'BOOKED' THEN 'BOOKED'"
+            f" ELSE element_at(array({_sql_list(LIFECYCLE_CHAIN)}), least(version, 4) + 1) END AS lastStatus",
             "posOrigin",
             "posDestination",
             "createdAt",
-            step_time.alias("updatedAt"),
-            F.when(j == F.lit(5), F.col("deletedAt")).alias("deletedAt"),
-            j.alias("version"),
+            "CASE WHEN version = n THEN updatedAt"
+            " ELSE timestampadd(SECOND, CAST(floor(S * version / n) AS BIGINT), createdAt) END AS updatedAt",
+            "CASE WHEN version = 5 THEN deletedAt END AS deletedAt",
+            "version",
         )
     )
 
@@ -188,35 +165,25 @@ def retail_transactions_dirty(spark: SparkSession, sf_dir: str, as_of: str = AS_
     * ``customerId`` with a leading space (every row);
     * ``createdAt`` NULL if ``k % 113 = 0``;
     * ``updatedAt = createdAt - 2 days`` if ``k % 109 = 0`` (original ``createdAt``);
-    * rows with ``k % 97 = 0`` appear twice.
+    * rows with ``k % 97 = 0`` appear twice (``explode`` of a 1- or 2-element array: one scan, no
+      self-union).
     """
-    rows = _keyed_rows(spark, sf_dir, as_of)
-    k = F.col("k")
-    st = F.col("lastStatus")
-    status = (
-        F.when(k % F.lit(107) == 0, F.lit(None).cast("string"))
-        .when(k % F.lit(103) == 0, F.lit("DELIVRED"))
-        .when(k % F.lit(101) == 0, F.concat(F.lit("  "), F.lower(st), F.lit(" ")))
-        .otherwise(st)
-    )
-    dirty = rows.select(
-        "k",
-        "id",
-        F.concat(F.lit(" "), F.col("customerId")).alias("customerId"),
-        status.alias("lastStatus"),
-        "posOrigin",
-        "posDestination",
-        F.when(k % F.lit(113) == 0, F.lit(None).cast("timestamp_ntz"))
-        .otherwise(F.col("createdAt"))
-        .alias("createdAt"),
-        F.when(k % F.lit(109) == 0, _add_seconds(F.col("createdAt"), F.lit(-172800)))
-        .otherwise(F.col("updatedAt"))
-        .alias("updatedAt"),
-        "deletedAt",
+    return (
+        _keyed_rows(spark, sf_dir, as_of)
+        .selectExpr(
+            "id",
+            "concat(' ', customerId) AS customerId",
+            "CASE WHEN k % 107 = 0 THEN CAST(NULL AS STRING) WHEN k % 103 = 0 THEN 'DELIVRED'"
+            " WHEN k % 101 = 0 THEN concat('  ', lower(lastStatus), ' ') ELSE lastStatus END AS lastStatus",
+            "posOrigin",
+            "posDestination",
+            "CASE WHEN k % 113 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ) ELSE createdAt END AS createdAt",
+            "CASE WHEN k % 109 = 0 THEN timestampadd(SECOND, -172800, createdAt) ELSE updatedAt END AS updatedAt",
+            "deletedAt",
+            "explode(CASE WHEN k % 97 = 0 THEN array(0, 1) ELSE array(0) END) AS _copy",
+        )
+        .select(*SOURCE_COLUMNS)
     )
-    # duplicate rows: explode a 1- or 2-element array instead of a self-union (one scan)
-    copies = F.when(k % F.lit(97) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return dirty.withColumn("_copy", F.explode(copies)).select(*SOURCE_COLUMNS)
 
 
 # --- planted violations on derived layers (checks that Silver itself cannot violate) ----------
@@ -262,23 +229,26 @@ def changes_with_illegal_moves(spark: SparkSession, sf_dir: str, as_of: str = AS
     ``k % 79 = 0`` cancelled -> BOOKED (resurrection);
     ``k % 73 = 0`` in transit -> DELIVERED (skips OUT_FOR_DELIVERY)."""
     changes = retail_transaction_changes(spark, sf_dir, as_of)
-    final = _keyed_rows(spark, sf_dir, as_of)
-    k, st = F.col("k"), F.col("lastStatus")
-    to = (
-        F.when((k % F.lit(89) == 0) & (st == "DELIVERED") & F.col("deletedAt").isNull(), F.lit("PROCESSING"))
-        .when((k % F.lit(79) == 0) & (st == "CANCELLED"), F.lit("BOOKED"))
-        .when((k % F.lit(73) == 0) & (st == "IN_TRANSIT"), F.lit("DELIVERED"))
-    )
-    planted = final.withColumn("_to", to).filter(F.col("_to").isNotNull()).select(
-        "id",
-        "customerId",
-        F.col("_to").alias("lastStatus"),
-        "posOrigin",
-        "posDestination",
-        "createdAt",
-        _add_seconds(F.col("updatedAt"), F.lit(3600)).alias("updatedAt"),
-        F.lit(None).cast("timestamp_ntz").alias("deletedAt"),
-        F.lit(6).cast("int").alias("version"),
+    planted = (
+        _keyed_rows(spark, sf_dir, as_of)
+        .selectExpr(
+            "*",
+            "CASE WHEN k % 89 = 0 AND lastStatus = 'DELIVERED' AND deletedAt IS NULL THEN 'PROCESSING'"
+            " WHEN k % 79 = 0 AND lastStatus = 'CANCELLED' THEN 'BOOKED'"
+            " WHEN k % 73 = 0 AND lastStatus = 'IN_TRANSIT' THEN 'DELIVERED' END AS _to",
+        )
+        .filter("_to IS NOT NULL")
+        .selectExpr(
+            "id",
+            "customerId",
+            "_to AS lastStatus",
+            "posOrigin",
+            "posDestination",
+            "createdAt",
+            "timestampadd(SECOND, 3600, updatedAt) AS updatedAt",
+            "CAST(NULL AS TIMESTAMP_NTZ) AS deletedAt",
+            "6 AS version",
+        )
     )
     return changes.unionByName(planted)
 
