@@ -85,3 +85,21 @@ def test_mart_write_is_range_sorted(spark, scratch):
     for f in spark.read.parquet(f"{scratch}/m").select(F.input_file_name().alias("f")).distinct().collect():
         keys = [(r["pos_origin"], r["pos_destination"]) for r in spark.read.parquet(f["f"]).collect()]
         assert keys == sorted(keys)
+
+
+def test_nullable_partition_and_sort_keys(spark, scratch):
+    """S10: NULL month (createdAt NULL) and NULL status/cities are written and read back intact."""
+    path = f"{scratch}/bronze"
+    rows = [
+        ("A", "c", None, None, None, None, "2025-01-15 00:00:00", None),
+        ("B", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None),
+    ]
+    storage.write_bronze(path, bronze(spark, rows), None)
+    back = {r["id"]: r for r in spark.read.parquet(path).collect()}
+    assert back["A"]["created_month"] is None and back["A"]["lastStatus"] is None
+    assert back["B"]["created_month"] == 202501
+    # an upsert touching the NULL month rewrites it without losing the other month
+    upd = bronze(spark, [("A", "c", "PROCESSING", None, None, None, "2025-01-16 00:00:00", None)], "2025-01-17 00:00:00")
+    storage.write_bronze(path, upd, spark.read.parquet(path))
+    back = {r["id"]: r["lastStatus"] for r in spark.read.parquet(path).collect()}
+    assert back == {"A": "PROCESSING", "B": "BOOKED"}
