@@ -338,6 +338,38 @@ def row_checks_fused(bronze: DataFrame, bronze_model: str, silver_model: str, st
     return totals.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def incremental_layer_checks(
+    bronze: DataFrame,
+    batch: DataFrame,
+    months: Sequence[int | None],
+    bronze_model: str,
+    silver_model: str,
+    statuses: Sequence[str],
+    max_broadcast_ids: int = 5_000_000,
+) -> DataFrame:
+    """Bronze/Silver checks of one load, given that the table passed them before the load.
+
+    A load only rewrites the months of its batch, so row-level checks read those months only
+    (partition pruning on ``created_month``). Uniqueness can only break for ids that share a trimmed
+    value with a batch id, so it runs over the Bronze rows semi-joined to the batch's trimmed ids
+    (broadcast after a size check, shuffled otherwise), not over the whole table."""
+    from tierwise.functions import clean_text
+    from tierwise.operators.extensions import broadcast_if_small
+
+    known = [int(m) for m in months if m is not None]
+    cond = F.col("created_month").isin(*known) if known else F.lit(False)
+    if any(m is None for m in months):
+        cond = cond | F.col("created_month").isNull()
+    touched = bronze.filter(cond)
+    keys = broadcast_if_small(
+        batch.select(clean_text("id").alias("_bt")).filter(F.col("_bt").isNotNull()).distinct(), max_broadcast_ids
+    )
+    related = bronze.join(keys, clean_text(bronze["id"]) == keys["_bt"], "left_semi")
+    return row_checks_fused(touched, bronze_model, silver_model, statuses).unionByName(
+        unique_ids_fused(related, bronze_model, silver_model)
+    )
+
+
 def dq_suite_summary(
     layers: dict[str, DataFrame], statuses: Sequence[str], silver_from_bronze: bool = False
 ) -> DataFrame:

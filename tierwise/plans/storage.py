@@ -189,20 +189,35 @@ STATE_SCHEMA = T.StructType(
         T.StructField("watermark", T.StringType(), True),
         T.StructField("load_at", T.StringType(), True),
         T.StructField("batch_rows", T.LongType(), True),
+        T.StructField("checks_passed", T.BooleanType(), True),
     ]
 )
 
 
-def read_watermark(spark: SparkSession, state_path: str) -> str | None:
-    """The committed watermark, or ``None`` before the first committed load."""
+def read_state(spark: SparkSession, state_path: str) -> dict | None:
+    """The committed load state ``{watermark, load_at, batch_rows, checks_passed}`` or ``None``."""
     if not path_exists(spark, state_path):
         return None
     row = spark.read.schema(STATE_SCHEMA).json(state_path).first()
-    return None if row is None else row["watermark"]
+    return None if row is None else row.asDict()
 
 
-def store_watermark(spark: SparkSession, state_path: str, wm: str | None, load_at: str, batch_rows: int) -> None:
-    """Commit point of a load: called only after the Bronze write returned."""
-    spark.createDataFrame([(wm, load_at, int(batch_rows))], STATE_SCHEMA).coalesce(1).write.mode(
+def read_watermark(spark: SparkSession, state_path: str) -> str | None:
+    """The committed watermark, or ``None`` before the first committed load."""
+    state = read_state(spark, state_path)
+    return None if state is None else state["watermark"]
+
+
+def store_watermark(
+    spark: SparkSession,
+    state_path: str,
+    wm: str | None,
+    load_at: str,
+    batch_rows: int,
+    checks_passed: bool | None = None,
+) -> None:
+    """Commit point of a load: called only after the Bronze write returned (``checks_passed`` is
+    unknown at that moment and recorded by a second call once the checks have run)."""
+    spark.createDataFrame([(wm, load_at, int(batch_rows), checks_passed)], STATE_SCHEMA).coalesce(1).write.mode(
         "overwrite"
     ).json(state_path)
