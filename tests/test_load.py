@@ -157,3 +157,18 @@ def test_zoned_watermark_is_exact_in_a_dst_overlap(spark):
         assert load.has_new_rows(df, wm) is False
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_read_source_conforms_schema_and_rejects_missing_columns(spark, scratch):
+    import pytest as _pytest
+
+    from tierwise.sources.source import read_source
+
+    rows = [("A", "c", "BOOKED", "X", "Y", T0, T0, None)]
+    src_df(spark, rows).select("deletedAt", "id", "lastStatus", "customerId", "posOrigin", "posDestination", "createdAt", "updatedAt", F.lit(1).alias("extra")).write.parquet(f"{scratch}/src")
+    df = read_source(spark, f"{scratch}/src")
+    assert df.columns == ["id", "customerId", "lastStatus", "posOrigin", "posDestination", "createdAt", "updatedAt", "deletedAt"]
+    assert df.count() == 1
+    src_df(spark, rows).drop("posOrigin").write.parquet(f"{scratch}/bad")
+    with _pytest.raises(ValueError):
+        read_source(spark, f"{scratch}/bad")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.functions import as_of_seconds, month_key, ts_literal, ts_sql
-from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION, SOURCE_COLUMNS
+from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION
 
 WATERMARK_COLUMN = "updatedAt"
 
@@ -188,10 +188,6 @@ def apply_load(existing: DataFrame | None, src: DataFrame, as_of: str) -> tuple[
     return upsert_by_key(existing.select(*BRONZE_COLUMNS), batch, "id"), batch, wm
 
 
-def source_columns() -> tuple[str, ...]:
-    return SOURCE_COLUMNS
-
-
 # --- S15 ------------------------------------------------------------------------------------
 def drop_months(bronze: DataFrame, months: Sequence[int]) -> DataFrame:
     """Retention by whole months: rows of the given ``created_month`` values removed (a partition

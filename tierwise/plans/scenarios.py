@@ -39,7 +39,6 @@ def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- replayed incremental loads over the change feed ------------------------------------------
 from dataclasses import dataclass, field  # noqa: E402
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tierwise.operators.load import apply_load, with_partition_column  # noqa: E402
 from tierwise.session import cut_lineage  # noqa: E402
