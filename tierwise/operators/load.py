@@ -129,17 +129,23 @@ def latest_per_key(
     return packed.select(*key, *[F.col(f"_v.{c}").alias(c) for c in order + payload]).select(*df.columns)
 
 
-def upsert_by_key(existing: DataFrame, batch: DataFrame, key: str | Sequence[str] = "id") -> DataFrame:
+def upsert_by_key(
+    existing: DataFrame,
+    batch: DataFrame,
+    key: str | Sequence[str] = "id",
+    batch_keys: DataFrame | None = None,
+) -> DataFrame:
     """Delete + insert by key: existing rows whose key is in the batch are dropped, the batch is
     appended; the batch always wins (even if older). Soft-deleted rows are ordinary rows here.
 
-    ``left_anti`` against the batch keys: AQE turns it into a broadcast join at run time when the
-    batch proves small, otherwise it is a shuffled anti join (skew-split by AQE)."""
+    ``left_anti`` against the batch keys. Pass ``batch_keys`` (e.g. a size-checked broadcast of
+    them) to control the join; otherwise AQE broadcasts them when they prove small at run time and
+    shuffles (skew-split) when not."""
     keys = [key] if isinstance(key, str) else list(key)
     batch = batch.select(*existing.columns)
     # no distinct() on the keys: an anti join is unaffected by duplicate keys, and skipping it
     # saves a shuffle of the batch
-    kept = existing.join(batch.select(*keys), keys, "left_anti")
+    kept = existing.join(batch_keys if batch_keys is not None else batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch)
 
 

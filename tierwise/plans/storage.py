@@ -115,6 +115,7 @@ def write_bronze(
     existing: DataFrame | None,
     key_partition_stable: bool = True,
     newer_wins: bool = False,
+    max_broadcast_keys: int = 10_000_000,
 ) -> None:
     """Upsert ``batch`` into the month-partitioned Bronze at ``bronze_path``.
 
@@ -126,6 +127,10 @@ def write_bronze(
       new one is complete).
     * ``newer_wins``: instead of "the batch always wins", keep per id the row with the greatest
       ``(updatedAt, load_at)`` (streams: replays and out-of-order files cannot regress a row).
+
+    The batch's ids are broadcast to the anti join when a count proves at most
+    ``max_broadcast_keys`` of them (the batch is staged on disk, so the count is a cheap scan); then
+    the touched months (terabytes at scale) are never shuffled. Above the bound the join shuffles.
     """
     spark = batch.sparkSession
     batch_p = with_partition_column(batch.select(*BRONZE_COLUMNS))
@@ -146,7 +151,10 @@ def write_bronze(
         if newer_wins:
             merged = latest_per_key(touched.unionByName(batch_p), ["id"], ["updatedAt", "load_at"])
         else:
-            merged = upsert_by_key(touched, batch_p, "id")
+            from tierwise.operators.extensions import broadcast_if_small
+
+            keys = broadcast_if_small(batch_p.select("id"), max_broadcast_keys, materialize=False)
+            merged = upsert_by_key(touched, batch_p, "id", batch_keys=keys)
         (
             sorted_for_write(merged, order, [BRONZE_PARTITION])
             .write.mode("overwrite")
