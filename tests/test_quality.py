@@ -143,3 +143,21 @@ def test_incremental_checks_catch_what_full_checks_catch(spark, scratch):
     b = spark.read.parquet(wh.path("bronze", pipeline.BRONZE))
     full = {(r["model"], r["test_name"]): r["failures"] for r in quality.row_checks_fused(b, "B", "S", ST).unionByName(quality.unique_ids_fused(b, "B", "S")).collect()}
     assert full[("B", "unique")] == 1 and full[("S", "unique")] == 1
+
+
+def test_run_hourly_then_ad_hoc_sql(spark, scratch):
+    wh = storage.Warehouse(scratch, target="dev", default_schema="dev_me")
+    rep = pipeline.run_hourly(spark, sc.clean_source(spark, SF_SMALL), wh, fx.AS_OF)
+    assert {r["status"] for r in rep.collect()} == {"success"}
+    assert "dev_me_gold_lake" in wh.path("gold", "x")
+    names = pipeline.register_views(spark, wh)
+    assert len(names) == 7
+    direct = gold.gold_delivery_success_rate(sc.clean_silver(spark, SF_SMALL), fx.AS_OF)
+    via_sql = spark.sql("SELECT * FROM gold_delivery_success_rate")
+    assert via_sql.count() == direct.count()
+    assert via_sql.select(*direct.columns).exceptAll(direct).count() == 0
+    top = spark.sql(
+        "SELECT pos_origin, pos_destination, total_packages FROM gold_delivery_success_rate "
+        "ORDER BY total_packages DESC, pos_origin, pos_destination LIMIT 4"
+    ).collect()
+    assert len(top) == 4

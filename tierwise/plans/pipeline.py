@@ -197,3 +197,26 @@ def _count_tables(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def run_hourly(spark: SparkSession, source: DataFrame, wh: storage.Warehouse, as_of: str, **kwargs) -> DataFrame:
+    """The hourly entry point: gate, load, checks and marts for one ``as_of`` (see ``build``)."""
+    return build(spark, source, wh, as_of, **kwargs)
+
+
+def register_views(spark: SparkSession, wh: storage.Warehouse) -> list[str]:
+    """Ad-hoc SQL over a built warehouse: temp views for Bronze, the Silver view and every written
+    mart (``spark.sql("SELECT ... FROM gold_delivery_success_rate")``). Returns the view names."""
+    names = []
+    bronze_path = wh.path("bronze", BRONZE)
+    if storage.path_exists(spark, bronze_path):
+        bronze = spark.read.parquet(bronze_path)
+        bronze.createOrReplaceTempView(BRONZE)
+        silver_cleansed(bronze).createOrReplaceTempView(SILVER)
+        names += [BRONZE, SILVER]
+    for name in gold.MARTS:
+        path = wh.path("gold", name)
+        if storage.path_exists(spark, path):
+            spark.read.parquet(path).createOrReplaceTempView(name)
+            names.append(name)
+    return names

@@ -66,7 +66,8 @@ def replay(spark: SparkSession, sf_dir: str, cuts: tuple[str, ...] = REPLAY_CUTS
     memo_key = (id(spark), sf_dir, tuple(cuts))
     if memo_key in _REPLAYS:
         return _REPLAYS[memo_key]
-    changes = retail_transaction_changes(spark, sf_dir, AS_OF)
+    # every cut reads the same change feed: derive it once (reliable checkpoint, shared folder)
+    changes = cut_lineage(retail_transaction_changes(spark, sf_dir, AS_OF))
     out = Replay()
     bronze = None
     for cut in cuts:
