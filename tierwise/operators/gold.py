@@ -170,11 +170,15 @@ def in_read_order(mart: DataFrame, name: str) -> DataFrame:
 CUBE_GRAIN = ("transaction_date", "last_status", "pos_origin", "pos_destination", "is_deleted")
 
 
-def mart_cube(silver: DataFrame, as_of: str, threshold_hours: int = STUCK_HOURS_DEFAULT) -> DataFrame:
+def mart_cube(
+    silver: DataFrame, as_of: str, threshold_hours: int = STUCK_HOURS_DEFAULT, with_stuck: bool = True
+) -> DataFrame:
     """One pass over Silver: a pre-aggregate at the finest grain any mart needs
     ``(transaction_date, last_status, pos_origin, pos_destination, is_deleted)`` with composable
     measures (counts, sums, mins, maxes). All five marts roll up from it, so a build scans Bronze
-    once instead of five times; the cube has at most days x statuses x routes x 2 rows."""
+    once instead of five times; the cube has at most days x statuses x routes x 2 rows.
+    ``with_stuck=False`` leaves out the clock-dependent stuck-parcel measures (a cube kept across
+    runs must not depend on ``as_of``)."""
     lead = hours_between("created_at", "updated_at")
     since = hours_between(F.col("updated_at"), _as_of(silver, as_of))
     stuck = (
@@ -201,10 +205,16 @@ def mart_cube(silver: DataFrame, as_of: str, threshold_hours: int = STUCK_HOURS_
             F.sum("_lead").alias("lead_sum"),
             F.min("_lead").alias("lead_min"),
             F.max("_lead").alias("lead_max"),
-            F.count(F.when(F.col("_stuck").isNotNull(), F.col("id"))).alias("stuck_n_id"),
-            F.count("_stuck").alias("stuck_n"),
-            F.sum("_stuck").alias("stuck_sum"),
-            F.max("_stuck").alias("stuck_max"),
+            *(
+                [
+                    F.count(F.when(F.col("_stuck").isNotNull(), F.col("id"))).alias("stuck_n_id"),
+                    F.count("_stuck").alias("stuck_n"),
+                    F.sum("_stuck").alias("stuck_sum"),
+                    F.max("_stuck").alias("stuck_max"),
+                ]
+                if with_stuck
+                else []
+            ),
         )
     )
 
@@ -246,7 +256,7 @@ def marts_from_cube(cube: DataFrame, as_of: str, ts_type=None) -> dict[str, Data
         )
         .withColumn("processed_at", pa)
     )
-    m4 = (
+    m4 = None if "stuck_n" not in cube.columns else (
         cube.filter(F.col("stuck_n") > 0)
         .groupBy("last_status", *route)
         .agg(
@@ -272,10 +282,11 @@ def marts_from_cube(cube: DataFrame, as_of: str, ts_type=None) -> dict[str, Data
         .filter(F.col("total_packages") > 0)
         .withColumn("processed_at", pa)
     )
-    return {
+    out = {
         "gold_daily_transaction_valid": m1,
         "gold_daily_transaction_comprehensive": m2,
         "gold_route_performance_metrics": m3,
         "gold_aging_bottleneck_alerts": m4,
         "gold_delivery_success_rate": m5,
     }
+    return {k: v for k, v in out.items() if v is not None}

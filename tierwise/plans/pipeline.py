@@ -101,15 +101,24 @@ def build(
     statuses: Sequence[str] = STATUSES,
     key_partition_stable: bool = True,
     check_scope: str = "auto",
+    gold_mode: str = "auto",
 ) -> DataFrame:
     """One run. Raises ``DataQualityError`` at the first failing layer when ``fail_fast``;
     otherwise returns the run report ``(model, status, rows, failed_checks, started, ended)``.
 
     ``check_scope``: ``full`` checks all of Bronze/Silver; ``incremental`` checks what this load
     rewrote (valid only if the previous run's checks passed); ``auto`` picks incremental exactly
-    when the stored state says the previous checks passed and this is not a full refresh."""
+    when the stored state says the previous checks passed and this is not a full refresh.
+
+    ``gold_mode``: ``full`` rebuilds Gold from one scan of Bronze; ``auto`` updates the stored cube
+    and in-flight table for the dates this load touched when Gold is in sync with the previous
+    watermark (see ``incremental_gold``), else rebuilds."""
+    from tierwise.operators.extensions import affected_dates
+    from tierwise.plans import incremental_gold as ig
+
     reports: list[StepReport] = []
-    previous = storage.read_state(spark, wh.state_path(BRONZE))
+    state_path = wh.state_path(BRONZE)
+    previous = storage.read_state(spark, state_path) or {}
     go, wm, exists = _gate(spark, source, wh, force or full_refresh)
     if not go:
         reports.append(StepReport("new_data_gate", "skipped", 0, [], _now(), _now()))
@@ -123,16 +132,24 @@ def build(
     staged = storage.write_staging(bronze_projection(incremental_filter(source, window_wm), as_of), staging)
     stats = {"n": staged.count(), "wm": watermark(staged)}
     existing = None if (full_refresh or not exists) else spark.read.parquet(bronze_path)
+    gold_incremental = (
+        gold_mode == "auto"
+        and existing is not None
+        and previous.get("cube_path") is not None
+        and previous.get("gold_wm") is not None
+        and previous.get("gold_wm") == wm
+    )
+    dates, dates_path = None, wh.staging_path("affected_dates")
+    if gold_incremental:
+        # the dates this load changes, from the old versions (before they are overwritten) and the new
+        dates = storage.write_staging(affected_dates(existing, staged), dates_path)
+    carry = {k: previous.get(k) for k in ("gold_wm", "cube_path", "inflight_path")}
     storage.write_bronze(bronze_path, staged.select(*BRONZE_COLUMNS), existing, key_partition_stable)
     new_wm = _later(None if full_refresh else wm, stats["wm"])
-    storage.store_watermark(spark, wh.state_path(BRONZE), new_wm, as_of, stats["n"])  # commit point
+    storage.store_watermark(spark, state_path, new_wm, as_of, stats["n"], None, **carry)  # commit point
     bronze = spark.read.parquet(bronze_path)
     incremental = check_scope == "incremental" or (
-        check_scope == "auto"
-        and not full_refresh
-        and existing is not None
-        and previous is not None
-        and bool(previous.get("checks_passed"))
+        check_scope == "auto" and not full_refresh and existing is not None and bool(previous.get("checks_passed"))
     )
     # Bronze and Silver row-level checks from two scans of Bronze (one grouped pre-aggregate, one
     # id aggregation); Bronze's results gate now, Silver's are reported in its own step below.
@@ -143,19 +160,15 @@ def build(
         layer_df = quality.row_checks_fused(bronze, BRONZE, SILVER, statuses).unionByName(
             quality.unique_ids_fused(bronze, BRONZE, SILVER)
         )
-    layer_rows = layer_df.collect()
     failed_by_model: dict[str, list[tuple[str, str, str | None, int]]] = {BRONZE: [], SILVER: []}
-    for r in layer_rows:
+    for r in layer_df.collect():
         if r.failures:
             failed_by_model[r.model].append((r.model, r.test_name, r.column_name, int(r.failures)))
-    storage.delete_path(spark, staging)  # committed and checked: the staged batch is no longer needed
+    layers_ok = not (failed_by_model[BRONZE] or failed_by_model[SILVER])
+    # a red result is recorded so the next run re-checks the whole table instead of only its rows
+    storage.store_watermark(spark, state_path, new_wm, as_of, stats["n"], layers_ok, **carry)
     failed = failed_by_model[BRONZE]
     reports.append(StepReport(BRONZE, "failed" if failed else "success", stats["n"], [f"{m}.{t}" for m, t, _, _ in failed], started, _now()))
-    if failed_by_model[BRONZE] or failed_by_model[SILVER]:
-        # recorded so the next run re-checks the whole table instead of only its own rows
-        storage.store_watermark(spark, wh.state_path(BRONZE), new_wm, as_of, stats["n"], checks_passed=False)
-    else:
-        storage.store_watermark(spark, wh.state_path(BRONZE), new_wm, as_of, stats["n"], checks_passed=True)
     if failed and fail_fast:
         raise DataQualityError(BRONZE, failed)
 
@@ -168,11 +181,19 @@ def build(
     if failed and fail_fast:
         raise DataQualityError(SILVER, failed)
 
-    # --- Gold: one scan of Bronze into a small cube, five marts rolled up from it -------------------
+    # --- Gold: a cube (dates x statuses x routes) and the in-flight parcels, marts rolled up from them
     started = _now()
-    cube_path = wh.staging_path("gold_cube")
-    cube = storage.write_staging(gold.mart_cube(silver, as_of), cube_path)
-    marts = gold.marts_from_cube(cube, as_of, bronze.schema["updatedAt"].dataType)
+    cube_path = ig.versioned_path(wh.path("gold", "_mart_cube"))
+    flight_path = ig.versioned_path(wh.path("gold", "_in_flight"))
+    if gold_incremental:
+        cube = ig.update_cube(spark.read.parquet(carry["cube_path"]), bronze, dates, as_of)
+        flight = ig.update_in_flight(spark.read.parquet(carry["inflight_path"]), silver_cleansed(staged))
+    else:
+        cube = gold.mart_cube(silver, as_of, with_stuck=False)
+        flight = ig.in_flight(silver)
+    cube = storage.write_staging(cube, cube_path)
+    flight = storage.write_staging(flight, flight_path)
+    marts = ig.marts_from_state(cube, flight, as_of, bronze.schema["updatedAt"].dataType)
     written: dict[str, DataFrame] = {}
     for name, df in marts.items():
         storage.write_table(df, wh.path("gold", name), name)
@@ -182,7 +203,14 @@ def build(
     failed = run_checks(checks)
     ended = _now()
     counts = {r["t"]: r["n"] for r in _count_tables(written).collect()}
-    storage.delete_path(spark, cube_path)
+    # Gold is now in sync with this watermark: point the state at the new cube / in-flight versions
+    storage.store_watermark(spark, state_path, new_wm, as_of, stats["n"], layers_ok, new_wm, cube_path, flight_path)
+    for old in (carry["cube_path"], carry["inflight_path"]):
+        if old:
+            storage.delete_path(spark, old)
+    storage.delete_path(spark, staging)
+    if dates is not None:
+        storage.delete_path(spark, dates_path)
     for name in written:
         mine = [f"{m}.{t}" for m, t, _, _ in failed if name in m.split("+")]
         reports.append(StepReport(name, "failed" if mine else "success", counts[name], mine, started, ended))

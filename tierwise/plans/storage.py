@@ -198,6 +198,10 @@ STATE_SCHEMA = T.StructType(
         T.StructField("load_at", T.StringType(), True),
         T.StructField("batch_rows", T.LongType(), True),
         T.StructField("checks_passed", T.BooleanType(), True),
+        # incremental Gold: the watermark Gold was last built at, and its current cube / in-flight tables
+        T.StructField("gold_wm", T.StringType(), True),
+        T.StructField("cube_path", T.StringType(), True),
+        T.StructField("inflight_path", T.StringType(), True),
     ]
 )
 
@@ -223,9 +227,12 @@ def store_watermark(
     load_at: str,
     batch_rows: int,
     checks_passed: bool | None = None,
+    gold_wm: str | None = None,
+    cube_path: str | None = None,
+    inflight_path: str | None = None,
 ) -> None:
     """Commit point of a load: called only after the Bronze write returned (``checks_passed`` is
-    unknown at that moment and recorded by a second call once the checks have run)."""
-    spark.createDataFrame([(wm, load_at, int(batch_rows), checks_passed)], STATE_SCHEMA).coalesce(1).write.mode(
-        "overwrite"
-    ).json(state_path)
+    unknown at that moment and recorded by a later call once the checks have run; the Gold fields
+    are carried over until Gold is rebuilt)."""
+    row = (wm, load_at, int(batch_rows), checks_passed, gold_wm, cube_path, inflight_path)
+    spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("overwrite").json(state_path)
