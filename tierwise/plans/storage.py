@@ -125,8 +125,9 @@ def write_bronze(
     * ``key_partition_stable=False`` (an id may change month): upsert against the whole table and
       write a complete new copy next to it, then swap folders (the old copy is removed only after the
       new one is complete).
-    * ``newer_wins``: instead of "the batch always wins", keep per id the row with the greatest
-      ``(updatedAt, load_at)`` (streams: replays and out-of-order files cannot regress a row).
+    * ``newer_wins``: instead of "the batch always wins", a batch row replaces the stored one only
+      if its ``(updatedAt, load_at)`` is not older (streams: replays and out-of-order files cannot
+      regress a row).
 
     The batch's ids are broadcast to the anti join when a count proves at most
     ``max_broadcast_keys`` of them (the batch is staged on disk, so the count is a cheap scan); then
@@ -148,13 +149,24 @@ def write_bronze(
         if any(m is None for m in months):
             cond = cond | F.col(BRONZE_PARTITION).isNull()
         touched = existing.filter(cond).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
-        if newer_wins:
-            merged = latest_per_key(touched.unionByName(batch_p), ["id"], ["updatedAt", "load_at"])
-        else:
-            from tierwise.operators.extensions import broadcast_if_small
+        from tierwise.operators.extensions import broadcast_if_small
 
-            keys = broadcast_if_small(batch_p.select("id"), max_broadcast_keys, materialize=False)
-            merged = upsert_by_key(touched, batch_p, "id", batch_keys=keys)
+        effective = batch_p
+        if newer_wins:
+            # batch rows whose stored version is newer are dropped first: a join of the touched
+            # months with the (broadcast) batch versions, so the months are scanned, not shuffled
+            versions = broadcast_if_small(
+                batch_p.select("id", F.struct("updatedAt", "load_at").alias("_bv")), max_broadcast_keys, materialize=False
+            )
+            stale = (
+                touched.join(versions, "id")
+                .filter(F.struct("updatedAt", "load_at") > F.col("_bv"))
+                .select("id")
+                .distinct()
+            )
+            effective = batch_p.join(stale, "id", "left_anti")
+        keys = broadcast_if_small(effective.select("id"), max_broadcast_keys, materialize=False)
+        merged = upsert_by_key(touched, effective, "id", batch_keys=keys)
         (
             sorted_for_write(merged, order, [BRONZE_PARTITION])
             .write.mode("overwrite")
