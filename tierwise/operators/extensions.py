@@ -102,10 +102,13 @@ def hard_delete_reconciliation(bronze: DataFrame, source: DataFrame, key: str =
 
 
 # --- E3 -------------------------------------------------------------------------------------
-def affected_dates(old_bronze: DataFrame, batch: DataFrame) -> DataFrame:
+def affected_dates(old_bronze: DataFrame, batch: DataFrame, max_broadcast_ids: int = 10_000_000) -> DataFrame:
     """Transaction dates a batch changes: the dates of the *old* version of every changed id and of
-    the new version (they differ if ``createdAt`` moved). One small column of distinct dates."""
-    changed = batch.select("id").distinct()
+    the new version (they differ if ``createdAt`` moved). One small column of distinct dates.
+
+    The batch ids are broadcast to the semi join after a size check, so the old Bronze is scanned
+    (pass it already restricted to the months that can hold the ids), not shuffled."""
+    changed = broadcast_if_small(batch.select("id"), max_broadcast_ids)
     old = old_bronze.join(changed, "id", "left_semi").select(F.to_date("createdAt").alias("transaction_date"))
     new = batch.select(F.to_date("createdAt").alias("transaction_date"))
     return old.unionByName(new).distinct()

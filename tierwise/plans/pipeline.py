@@ -141,8 +141,15 @@ def build(
     )
     dates, dates_path = None, wh.staging_path("affected_dates")
     if gold_incremental:
-        # the dates this load changes, from the old versions (before they are overwritten) and the new
-        dates = storage.write_staging(affected_dates(existing, staged), dates_path)
+        # the dates this load changes, from the old versions (before they are overwritten) and the new.
+        # With stable months an id's old version lives in its batch month: read only those months.
+        old = existing
+        if key_partition_stable:
+            months = [r[0] for r in with_partition_column(staged).select("created_month").distinct().collect()]
+            known = [int(m) for m in months if m is not None]
+            cond = F.col("created_month").isin(*known) if known else F.lit(False)
+            old = existing.filter(cond | F.col("created_month").isNull() if None in months else cond)
+        dates = storage.write_staging(affected_dates(old, staged), dates_path)
     carry = {k: previous.get(k) for k in ("gold_wm", "cube_path", "inflight_path")}
     storage.write_bronze(bronze_path, staged.select(*BRONZE_COLUMNS), existing, key_partition_stable)
     new_wm = _later(None if full_refresh else wm, stats["wm"])
