@@ -103,3 +103,16 @@ def test_nullable_partition_and_sort_keys(spark, scratch):
     storage.write_bronze(path, upd, spark.read.parquet(path))
     back = {r["id"]: r["lastStatus"] for r in spark.read.parquet(path).collect()}
     assert back == {"A": "PROCESSING", "B": "BOOKED"}
+
+
+def test_touched_month_read_is_partition_pruned(spark, scratch):
+    path = f"{scratch}/bronze"
+    rows = [
+        ("A", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None),
+        ("B", "c", "BOOKED", "X", "Y", "2025-02-15 00:00:00", "2025-02-15 00:00:00", None),
+    ]
+    storage.write_bronze(path, bronze(spark, rows), None)
+    df = spark.read.parquet(path).filter(F.col("created_month").isin(202502))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_month" in plan
+    assert [r["id"] for r in df.collect()] == ["B"]

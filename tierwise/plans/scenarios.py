@@ -56,14 +56,15 @@ class Replay:
     sources: list[DataFrame] = field(default_factory=list)
 
 
-_REPLAYS: dict[tuple[int, str, tuple[str, ...]], Replay] = {}
+_REPLAYS: dict[tuple[str, str, tuple[str, ...]], Replay] = {}
 
 
 def replay(spark: SparkSession, sf_dir: str, cuts: tuple[str, ...] = REPLAY_CUTS) -> Replay:
     """Run one load per cut: source = snapshot of the change feed at the cut, ``as_of`` = the cut.
     Each Bronze state is checkpointed to the shared checkpoint folder (cuts lineage, survives
     executor loss, and the next watermark is read from it without recomputing the chain)."""
-    memo_key = (id(spark), sf_dir, tuple(cuts))
+    # keyed by the running application: a stopped and recreated session never sees stale plans
+    memo_key = (spark.sparkContext.applicationId, sf_dir, tuple(cuts))
     if memo_key in _REPLAYS:
         return _REPLAYS[memo_key]
     # every cut reads the same change feed: derive it once (reliable checkpoint, shared folder)
