@@ -519,6 +519,15 @@ WHERE last_status NOT IN ('DELIVERED', 'CANCELLED') AND is_deleted = 0
   AND date_diff('hour', updated_at, """ + TS_AS_OF + """) >= thr
 GROUP BY 1, 2, 3"""
     q["bronze_stream_upsert"] = BASE + "\nSELECT * FROM bronze"
+    q["run_report"] = CLEAN_BUILD + """
+SELECT 'bronze_retail_transactions' AS model, 'success' AS status, (SELECT count(*) FROM bronze) AS rows,
+       '' AS failed_checks
+UNION ALL SELECT 'silver_retail_transactions_cleansed', 'success', CAST(NULL AS BIGINT), ''
+UNION ALL SELECT 'gold_daily_transaction_valid', 'success', (SELECT count(*) FROM m1), ''
+UNION ALL SELECT 'gold_daily_transaction_comprehensive', 'success', (SELECT count(*) FROM m2), ''
+UNION ALL SELECT 'gold_route_performance_metrics', 'success', (SELECT count(*) FROM m3), ''
+UNION ALL SELECT 'gold_aging_bottleneck_alerts', 'success', (SELECT count(*) FROM m4), ''
+UNION ALL SELECT 'gold_delivery_success_rate', 'success', (SELECT count(*) FROM m5), ''"""
     return q
 
 
