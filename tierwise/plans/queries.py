@@ -14,7 +14,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sc.clean_source(spark, sf_dir)
+    """S1: the operational table with its fixed schema (``read_source``'s conforming projection over
+    the source derived from the driver tables)."""
+    from tierwise.sources.source import conform_source
+
+    return conform_source(sc.clean_source(spark, sf_dir))
 
 
 def q_bronze_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
