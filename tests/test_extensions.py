@@ -76,3 +76,12 @@ def test_route_sla_threshold(spark):
     a = ext.aging_with_route_sla(silver, none, fx.AS_OF)
     b = gold.gold_aging_bottleneck_alerts(silver, fx.AS_OF)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0  # no SLA -> default 12 h
+
+
+def test_clean_change_feed_has_only_legal_moves(spark):
+    """Every move of the clean feed is legal (touches and soft deletes are same-status moves)."""
+    assert ext.status_transition_audit(fx.retail_transaction_changes(spark, SF_SMALL)).count() == 0
+    planted = ext.status_transition_audit(fx.changes_with_illegal_moves(spark, SF_SMALL))
+    kinds = {(r["from_status"], r["to_status"]) for r in planted.collect()}
+    assert kinds <= {("DELIVERED", "PROCESSING"), ("CANCELLED", "BOOKED"), ("IN_TRANSIT", "DELIVERED")}
+    assert len(kinds) == 3
