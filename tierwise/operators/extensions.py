@@ -132,10 +132,10 @@ def incremental_daily_mart(
     nb = new_bronze
     if "created_month" in nb.columns:
         # a month-partitioned Bronze: read only the months of the affected dates (partition pruning)
+        from tierwise.operators.load import months_filter
+
         months = [r[0] for r in dates.select(month_key("transaction_date").alias("m")).distinct().collect()]
-        known = [m for m in months if m is not None]
-        cond = F.col("created_month").isin(*known) if known else F.lit(False)
-        nb = nb.filter(cond | F.col("created_month").isNull() if None in months else cond)
+        nb = nb.filter(months_filter(months))
     fresh_src = nb.join(dates, F.to_date(nb["createdAt"]).eqNullSafe(dates["transaction_date"]), "left_semi")
     fresh = mart_fn(silver_cleansed(fresh_src), as_of)
     return keep.unionByName(fresh.select(*old_mart.columns))

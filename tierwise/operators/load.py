@@ -194,6 +194,19 @@ def apply_load(existing: DataFrame | None, src: DataFrame, as_of: str) -> tuple[
     return upsert_by_key(existing.select(*BRONZE_COLUMNS), batch, "id"), batch, wm
 
 
+def months_filter(months: Sequence[int | None], col: str = BRONZE_PARTITION) -> Column:
+    """Predicate selecting the given ``created_month`` values (``None`` = the NULL-month partition).
+    A plain ``IN`` on the partition column, so Parquet partition pruning applies."""
+    known = [int(m) for m in months if m is not None]
+    cond = F.col(col).isin(*known) if known else F.lit(False)
+    return cond | F.col(col).isNull() if any(m is None for m in months) else cond
+
+
+def touched_months(batch: DataFrame) -> list[int | None]:
+    """The ``created_month`` values of a batch: a handful of scalars (bounded by the calendar)."""
+    return [r[0] for r in with_partition_column(batch).select(BRONZE_PARTITION).distinct().collect()]
+
+
 # --- S15 ------------------------------------------------------------------------------------
 def drop_months(bronze: DataFrame, months: Sequence[int]) -> DataFrame:
     """Retention by whole months: rows of the given ``created_month`` values removed (a partition

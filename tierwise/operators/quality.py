@@ -356,11 +356,9 @@ def incremental_layer_checks(
     from tierwise.functions import clean_text
     from tierwise.operators.extensions import broadcast_if_small
 
-    known = [int(m) for m in months if m is not None]
-    cond = F.col("created_month").isin(*known) if known else F.lit(False)
-    if any(m is None for m in months):
-        cond = cond | F.col("created_month").isNull()
-    touched = bronze.filter(cond)
+    from tierwise.operators.load import months_filter
+
+    touched = bronze.filter(months_filter(months))
     keys = broadcast_if_small(
         batch.select(clean_text("id").alias("_bt")).filter(F.col("_bt").isNotNull()).distinct(), max_broadcast_ids
     )

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tierwise.functions import month_key
 from tierwise.operators import gold
 from tierwise.operators.extensions import broadcast_if_small
+from tierwise.operators.load import months_filter
 from tierwise.operators.silver import silver_cleansed
 from tierwise.schemas import TERMINAL_STATUSES
 
@@ -56,11 +57,7 @@ def update_cube(
     d = broadcast_if_small(dates, max_broadcast_dates, materialize=False)
     keep = old_cube.join(d, old_cube["transaction_date"].eqNullSafe(d["transaction_date"]), "left_anti")
     months = [r[0] for r in dates.select(month_key("transaction_date").alias("m")).distinct().collect()]
-    known = [int(m) for m in months if m is not None]
-    cond = F.col("created_month").isin(*known) if known else F.lit(False)
-    if any(m is None for m in months):
-        cond = cond | F.col("created_month").isNull()
-    src = new_bronze.filter(cond)
+    src = new_bronze.filter(months_filter(months))
     src = src.join(d, F.to_date(src["createdAt"]).eqNullSafe(d["transaction_date"]), "left_semi")
     fresh = gold.mart_cube(silver_cleansed(src), as_of, with_stuck=False)
     return keep.unionByName(fresh.select(*old_cube.columns))

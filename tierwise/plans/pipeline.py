@@ -19,8 +19,9 @@ from tierwise.operators.load import (
     bronze_projection,
     has_new_rows,
     incremental_filter,
+    months_filter,
+    touched_months,
     watermark,
-    with_partition_column,
 )
 from tierwise.operators.silver import silver_cleansed
 from tierwise.plans import storage
@@ -139,16 +140,12 @@ def build(
         and previous.get("gold_wm") is not None
         and previous.get("gold_wm") == wm
     )
+    months = touched_months(staged)
     dates, dates_path = None, wh.staging_path("affected_dates")
     if gold_incremental:
         # the dates this load changes, from the old versions (before they are overwritten) and the new.
         # With stable months an id's old version lives in its batch month: read only those months.
-        old = existing
-        if key_partition_stable:
-            months = [r[0] for r in with_partition_column(staged).select("created_month").distinct().collect()]
-            known = [int(m) for m in months if m is not None]
-            cond = F.col("created_month").isin(*known) if known else F.lit(False)
-            old = existing.filter(cond | F.col("created_month").isNull() if None in months else cond)
+        old = existing.filter(months_filter(months)) if key_partition_stable else existing
         dates = storage.write_staging(affected_dates(old, staged), dates_path)
     carry = {k: previous.get(k) for k in ("gold_wm", "cube_path", "inflight_path")}
     storage.write_bronze(bronze_path, staged.select(*BRONZE_COLUMNS), existing, key_partition_stable)
@@ -161,7 +158,6 @@ def build(
     # Bronze and Silver row-level checks from two scans of Bronze (one grouped pre-aggregate, one
     # id aggregation); Bronze's results gate now, Silver's are reported in its own step below.
     if incremental:
-        months = [r[0] for r in with_partition_column(staged).select("created_month").distinct().collect()]
         layer_df = quality.incremental_layer_checks(bronze, staged, months, BRONZE, SILVER, statuses)
     else:
         layer_df = quality.row_checks_fused(bronze, BRONZE, SILVER, statuses).unionByName(

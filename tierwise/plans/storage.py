@@ -22,7 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.operators.load import latest_per_key, upsert_by_key, with_partition_column
+from tierwise.operators.load import (
+    latest_per_key,
+    months_filter,
+    touched_months,
+    upsert_by_key,
+    with_partition_column,
+)
 from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION, WRITE_ORDER
 
 
@@ -143,12 +149,7 @@ def write_bronze(
         return
     if key_partition_stable:
         # months are a handful of scalars per batch (bounded by the calendar, not by the data)
-        months = [r[0] for r in batch_p.select(BRONZE_PARTITION).distinct().collect()]
-        non_null = [m for m in months if m is not None]
-        cond = F.col(BRONZE_PARTITION).isin(*non_null) if non_null else F.lit(False)
-        if any(m is None for m in months):
-            cond = cond | F.col(BRONZE_PARTITION).isNull()
-        touched = existing.filter(cond).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
+        touched = existing.filter(months_filter(touched_months(batch_p))).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
         from tierwise.operators.extensions import broadcast_if_small
 
         effective = batch_p
