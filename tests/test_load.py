@@ -187,3 +187,12 @@ def test_replay_invariant_after_every_load(spark):
         got = state.drop("load_at")
         assert got.count() == snap.count() == got.select("id").distinct().count(), cut
         assert got.exceptAll(snap).count() == 0 and snap.exceptAll(got).count() == 0, cut
+
+
+def test_empty_bronze_dataframe_forms(spark):
+    """D3 as DataFrames: an empty Bronze has a NULL watermark row, and the gate says 1."""
+    src = src_df(spark, [("A", "c", "BOOKED", "X", "Y", T0, T0, None)])
+    empty = load.bronze_projection(src, T0).limit(0)
+    assert load.watermark_df(empty).first()["watermark"] is None
+    assert load.new_data_gate_df(src, None).first()["has_new_rows"] == 1
+    assert load.new_data_gate_df(src, "2024-01-01 00:00:00").first()["has_new_rows"] == 1
