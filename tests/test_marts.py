@@ -104,3 +104,17 @@ def test_read_order_is_total(spark):
     assert m5.count() == 1
     assert [c for c in m5.columns if c.startswith("total")] == ["total_packages", "total_delivered", "total_cancelled"]
     assert m5.filter(F.col("total_packages") > 0).count() == 1
+
+
+def test_read_order_of_aging_mart(spark):
+    """O1: count desc, then average desc, then the grain as a total tiebreak."""
+    from tierwise.plans import scenarios as sc
+    from tierwise.sources.fixtures import AS_OF as FX_AS_OF
+
+    m4 = gold.gold_aging_bottleneck_alerts(sc.clean_silver(spark, "/root/testdata/sf0.001"), FX_AS_OF)
+    rows = gold.in_read_order(m4, "gold_aging_bottleneck_alerts").collect()
+    keys = [
+        (-r["total_stuck_packages"], -r["avg_hours_stuck"], r["last_status"] or "", r["pos_origin"] or "", r["pos_destination"] or "")
+        for r in rows
+    ]
+    assert len(rows) > 1 and keys == sorted(keys)
