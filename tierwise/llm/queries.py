@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tierwise.llm import host_rules
+from tierwise.llm import host_rules, packing, secret_scan, simhash
 
 
 def queries():
     return {
+        "op2_simhash": simhash.op2_simhash,
+        "op7_secret_scan": secret_scan.op7_secret_scan,
+        "op9_packing": packing.op9_packing,
         "op10_host_rules": host_rules.op10_host_rules,
     }
 
