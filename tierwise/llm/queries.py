@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tierwise.llm import host_rules, lang_id, packing, secret_scan, simhash
+from tierwise.llm import host_rules, jaccard_join, lang_id, packing, secret_scan, simhash
 
 
 def queries():
     return {
         "op2_simhash": simhash.op2_simhash,
+        "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_lang_id": lang_id.op6_lang_id,
         "op7_secret_scan": secret_scan.op7_secret_scan,
         "op9_packing": packing.op9_packing,
