@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tierwise.llm import host_rules, jaccard_join, lang_id, packing, secret_scan, simhash
+from tierwise.llm import host_rules, jaccard_join, lang_id, lm_score, packing, secret_scan, simhash
 
 
 def queries():
     return {
+        "op1_lm_score": lm_score.op1_lm_score,
         "op2_simhash": simhash.op2_simhash,
         "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_lang_id": lang_id.op6_lang_id,
