@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierwise.llm import host_rules, jaccard_join, lang_id, lm_score, packing, quality_crf, secret_scan, simhash
+from tierwise.llm import host_rules, jaccard_join, lang_id, license_scan, lm_score, packing, quality_crf, secret_scan, simhash
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_lang_id": lang_id.op6_lang_id,
         "op7_secret_scan": secret_scan.op7_secret_scan,
+        "op8_license_scan": license_scan.op8_license_scan,
         "op9_packing": packing.op9_packing,
         "op10_host_rules": host_rules.op10_host_rules,
     }
