@@ -43,6 +43,19 @@ TEMPLATES = {
         "you can redistribute it and/or modify it under the terms of the GNU General Public License "
         "as published by the Free Software Foundation"
     ),
+    "LGPL-library": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the "
+        "GNU Lesser General Public License"
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+        "If a copy of the MPL was not distributed with this file"
+    ),
+    "ISC-permission": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+        "fee is hereby granted"
+    ),
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
     "BSD-redistribution": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met"
@@ -89,8 +102,10 @@ def _xored(window: Column, seed: int) -> Column:
 
 def block_minima(s: Column, seed: int) -> Column:
     """The least XOR distance in each block of the shingles ``s``."""
-    starts = F.sequence(F.lit(1), F.size(s), F.lit(BLOCK))
-    least = F.transform(starts, lambda at: F.array_min(_xored(F.slice(s, at, F.lit(BLOCK)), seed)))
+    starts = F.sequence(F.lit(0), F.size(s) - 1, F.lit(BLOCK))
+    least = F.transform(
+        starts, lambda at: F.least(*[F.get(s, at + j).bitwiseXOR(F.lit(seed)) for j in range(BLOCK)])
+    )
     return F.when(F.size(s) > 0, least).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -113,11 +128,32 @@ def _longs(values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<bigint>")
 
 
-def level_hits(bound: Column, blocks: int, templates: list, bands: int, containment: float) -> Column:
+def hit_blocks(bound: Column, levels: dict[int, list], bands: int) -> Column:
+    """Blocks whose minimum for some band is some template's minimum for it. A window agrees with a template
+    only if it has such a block, so the other windows need not be looked at."""
+
+    def hit(k: Column) -> Column:
+        found = F.lit(False)
+        for band in range(bands):
+            keys = sorted({t[2][band] for templates in levels.values() for t in templates})
+            found = found | F.get(bound[f"b{band}"], k).isin(keys)
+        return found
+
+    n = F.size(bound["b0"])
+    none = F.array().cast("array<int>")
+    return F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), hit)).otherwise(none)
+
+
+def level_hits(bound: Column, hits: Column, blocks: int, templates: list, bands: int, containment: float) -> Column:
     """array<struct<name, at>>: verified templates of one level. ``bound``: struct of the shingles s and the
-    block minima b0, b1, ... ``at``: the window's first shingle."""
-    n_blocks = F.size(bound["b0"])
-    starts = F.when(n_blocks > 0, F.sequence(F.lit(0), n_blocks - 1, F.lit(blocks // 2)))
+    block minima b0, b1, ...; ``hits``: the blocks worth looking at; ``at``: the window's first shingle."""
+    step = blocks // 2
+
+    def two_windows(k: Column) -> Column:
+        first = (F.floor(k / F.lit(step)) * step).cast("int")
+        return F.array(first, first - step)
+
+    starts = F.array_distinct(F.flatten(F.transform(hits, two_windows)))
 
     def least(at: Column, band: int) -> Column:
         return F.least(*[F.get(bound[f"b{band}"], at + j) for j in range(blocks)])
@@ -126,7 +162,7 @@ def level_hits(bound: Column, blocks: int, templates: list, bands: int, containm
         agree = F.lit(False)
         for band in range(bands):
             agree = agree | F.coalesce(least(at, band).isin([t[2][band] for t in templates]), F.lit(False))
-        return agree
+        return agree & (at >= 0)
 
     def verified(at: Column) -> Column:
         window = F.slice(bound["s"], at * BLOCK + 1, F.lit(blocks * BLOCK))
@@ -164,7 +200,12 @@ def scan(
 
     def all_levels(bound: Column) -> Column:
         none = F.array().cast("array<struct<name:string,at:int>>")
-        return F.concat(none, *[level_hits(bound, w, t, bands, containment) for w, t in sorted(known.levels.items())])
+
+        def from_blocks(hits: Column) -> Column:
+            each = [level_hits(bound, hits, w, t, bands, containment) for w, t in sorted(known.levels.items())]
+            return F.when(F.size(hits) > 0, F.concat(none, *each)).otherwise(none)
+
+        return let(hit_blocks(bound, known.levels, bands), from_blocks)
 
     s = shingles(F.coalesce(F.col(text), F.lit("")))
     return docs.select(F.col(doc_id).alias("doc_id"), let(let(s, with_minima), all_levels).alias("hits"))
