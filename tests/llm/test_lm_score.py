@@ -43,7 +43,7 @@ def lower(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
 
 
-def model(rows, m1=20.0, m2=0.02):
+def model(rows, m1=20.0, m2=0.005):
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
     toks = [(i, WORD.findall(lower(t)) + ["</s>"]) for i, t in rows]
     c1, c2, c3 = Counter(), Counter(), Counter()

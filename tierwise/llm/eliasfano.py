@@ -140,16 +140,17 @@ class Level:
         base[full] = np.concatenate(([_U(0)], np.cumsum(last)[:-1])) if len(full) else 0
         return cls(EliasFano.build(pointers), EliasFano.build(child.astype(np.uint64) + base[parent]))
 
-    def find(self, parent: np.ndarray, child: np.ndarray) -> np.ndarray:
-        """Node number of each (parent, child id), or -1: successor search relative to the parent's range."""
+    def find(self, parent: np.ndarray, child: np.ndarray, portion: int = 1 << 17) -> np.ndarray:
+        """Node number of each (parent, child id), or -1: successor search relative to the parent's range.
+        Questions are answered in portions, which bounds the working arrays."""
         out = np.full(len(parent), -1, np.int64)
-        if not self.ids.n or not len(parent):
-            return out
-        begin, end = self.pointers.get(parent).astype(np.int64), self.pointers.get(parent + 1).astype(np.int64)
-        base = np.where(begin > 0, self.ids.get(np.maximum(begin - 1, 0)), _U(0))
-        at, equal = self.ids.successor(child.astype(np.uint64) + base)
-        ok = equal & (at >= begin) & (at < end)
-        out[ok] = at[ok]
+        for a in range(0, len(parent) if self.ids.n else 0, portion):
+            p, c = parent[a : a + portion], child[a : a + portion]
+            begin, end = self.pointers.get(p).astype(np.int64), self.pointers.get(p + 1).astype(np.int64)
+            base = np.where(begin > 0, self.ids.get(np.maximum(begin - 1, 0)), _U(0))
+            at, equal = self.ids.successor(c.astype(np.uint64) + base)
+            ok = equal & (at >= begin) & (at < end)
+            out[a : a + portion][ok] = at[ok]
         return out
 
     def parts(self) -> list[np.ndarray]:

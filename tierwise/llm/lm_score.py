@@ -113,9 +113,10 @@ def unpack_arrays(body: bytes) -> list[np.ndarray]:
     head = np.frombuffer(body, "<u8", 1 + 2 * count)[1:].reshape(count, 2).astype(np.int64)
     at, out = 8 * (1 + 2 * count), []
     for n, size in head:
-        planes = np.zeros((n, 8), np.uint8)
+        held = 4 if size <= 4 else 8
+        planes = np.zeros((n, held), np.uint8)
         planes[:, :size] = np.frombuffer(body, np.uint8, n * size, at).reshape(size, n).T
-        out.append(planes.view("<u8").ravel())
+        out.append(planes.view(f"<u{held}").ravel())
         at += n * size
     return out
 
@@ -168,28 +169,44 @@ class Totals:
         return np.log10((c + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
 
+def _ranked(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes, rank of each code among them)."""
+    order = np.argsort(codes)
+    codes = codes[order]
+    new = np.ones(len(codes), bool)
+    new[1:] = codes[1:] != codes[:-1]
+    rank = np.empty(len(codes), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return codes[new], rank
+
+
 def shard_scores(bodies: list[bytes], totals: Totals, hot: np.ndarray, hot_n: np.ndarray) -> list[list[np.ndarray]]:
     """For each body: [sum of log10 P, sum of base, known tokens] of its portion's documents."""
-    parts = [unpack_arrays(b) for b in bodies]
+    parts = [unpack_arrays(b)[:7] for b in bodies]
     words, w_map = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
     names, c_map = np.unique(np.concatenate([np.cumsum(p[1], dtype=np.uint64) for p in parts]), return_inverse=True)
     w_from = np.cumsum([0] + [len(p[0]) for p in parts])
     c_from = np.cumsum([0] + [len(p[1]) for p in parts])
-    w = np.concatenate([w_map[p[2].astype(np.int64) + k] for p, k in zip(parts, w_from, strict=False)])
-    v = np.concatenate([c_map[p[3].astype(np.int64) + k] for p, k in zip(parts, c_from, strict=False)])
-    u = np.concatenate([c_map[p[4].astype(np.int64) + k] for p, k in zip(parts, c_from, strict=False)])
-    train = np.concatenate([p[6][p[5].astype(np.int64)] for p in parts]).astype(bool)
+    w, v, u = (
+        np.concatenate([to[p[k].astype(np.int64) + f] for p, f in zip(parts, start, strict=False)]).astype(np.uint32)
+        for k, to, start in ((2, w_map, w_from), (3, c_map, c_from), (4, c_map, c_from))
+    )
+    parts = [(p[5], p[6].astype(bool)) for p in parts]  # document of each position, training flag of each document
+    train = np.concatenate([flag[own.astype(np.int64)] for own, flag in parts])
+    del w_map, c_map
     span = np.int64(len(names))
-    pair, of_pair = np.unique(w * span + v, return_inverse=True)
-    triple, of_triple = np.unique(of_pair * span + u, return_inverse=True)
-    pw, pv = pair // span, pair % span
-    tp, tu = triple // span, triple % span
+    pair, of_pair = _ranked(w * span + v)
+    triple, of_triple = _ranked(of_pair * span + u)
+    del v, u
+    pw, pv = (pair // span).astype(np.int32), (pair % span).astype(np.int32)
+    tp, tu = (triple // span).astype(np.int32), (triple % span).astype(np.int32)
+    del pair, triple
     c1 = np.bincount(w, train, len(words)).astype(np.int64)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
         c1 = np.where(hot[at] == words, hot_n[at], c1)
-    c2 = np.bincount(of_pair, train, len(pair)).astype(np.int64)
-    c3 = np.bincount(of_triple, train, len(triple)).astype(np.int64)
+    c2 = np.bincount(of_pair, train, len(pw)).astype(np.int64)
+    c3 = np.bincount(of_triple, train, len(tp)).astype(np.int64)
     p1 = totals.unigram(c1)
 
     # the trie holds the training n-grams
@@ -209,10 +226,10 @@ def shard_scores(bodies: list[bytes], totals: Totals, hot: np.ndarray, hot_n: np
     at, found = trie.words.successor(words)
     node1 = np.where(found, at, -1)
     ctx, _ = trie.contexts.successor(names)
-    node2 = np.full(len(pair), -1, np.int64)
+    node2 = np.full(len(pw), -1, np.int64)
     ask = np.flatnonzero(node1[pw] >= 0)
     node2[ask] = trie.second.find(node1[pw[ask]], ctx[pv[ask]] + 1)
-    node3 = np.full(len(triple), -1, np.int64)
+    node3 = np.full(len(tp), -1, np.int64)
     ask = np.flatnonzero(node2[tp] >= 0)
     node3[ask] = trie.third.find(node2[tp[ask]], ctx[tu[ask]] + 1)
 
@@ -228,9 +245,9 @@ def shard_scores(bodies: list[bytes], totals: Totals, hot: np.ndarray, hot_n: np
     base = totals.base(c1)
 
     out, k = [], 0
-    for p in parts:
-        size, docs = len(p[5]), len(p[6])
-        own, here = p[5].astype(np.int64), slice(k, k + size)
+    for own, flag in parts:
+        size, docs = len(own), len(flag)
+        here = slice(k, k + size)
         out.append(
             [np.bincount(own, x, docs) for x in (score[of_triple[here]], base[w[here]], (c1 > 0)[w[here]])]
         )
@@ -240,14 +257,14 @@ def shard_scores(bodies: list[bytes], totals: Totals, hot: np.ndarray, hot_n: np
 
 def score(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fold: int = 1, folds: int = 5,
-    m1: float = 20.0, m2: float = 0.02, portion: int = 1_500_000,
+    m1: float = 20.0, m2: float = 0.005, portion: int = 1_500_000,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Training documents are those whose crc32(doc_id as text) mod ``folds`` is not ``fold``. ``portion`` is
     the number of tokens dealt together; it bounds a task's memory, a longer document stands alone."""
     spark = docs.sparkSession
-    shards = width(spark)
+    shards = 2 * width(spark)  # two to a task: half the memory for a group
     rows = docs.select(F.col(doc_id).cast("long"), F.col(text))
     counts = stage(unigrams(docs, doc_id, text, fold, folds), "lm-unigrams")
     n, v, once, twice, texts = counts.agg(
@@ -289,9 +306,8 @@ def score(
 
     def answer(table: pa.Table) -> pa.Table:
         bodies = table.column("body").to_pylist()
-        scored = shard_scores(bodies, totals, hot, hot_n)
+        packed = [press(np.concatenate(s).astype("<f8").tobytes()) for s in shard_scores(bodies, totals, hot, hot_n)]
         tables = [unpack_arrays(b)[7:] for b in bodies]
-        packed = [press(np.concatenate(s).astype("<f8").tobytes()) for s in scored]
         return pa.table(
             {
                 "portion": table.column("portion"),
@@ -312,7 +328,7 @@ def score(
             total = part if total is None else total + part
         log, base, known = total.reshape(3, -1)
         ids, null, n_tokens = unpack_arrays(next(d for d in table.column("docs").to_pylist() if d is not None))
-        ids = ids.view(np.int64)
+        ids = ids.astype(np.uint64).view(np.int64)
         names = [None if x else int(i) for i, x in zip(ids, null, strict=True)]
         return pa.table(
             {
