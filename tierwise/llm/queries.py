@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierwise.llm import host_rules, jaccard_join, lang_id, license_scan, lm_score, packing, quality_crf, secret_scan, simhash
+from tierwise.llm import host_rules, jaccard_join, lang_id, license_scan, lm_score, mixing, packing, quality_crf, secret_scan, simhash
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op1_lm_score": lm_score.op1_lm_score,
         "op2_simhash": simhash.op2_simhash,
         "op3_quality_crf": quality_crf.op3_quality_crf,
+        "op4_mixing": mixing.op4_mixing,
         "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_lang_id": lang_id.op6_lang_id,
         "op7_secret_scan": secret_scan.op7_secret_scan,
