@@ -76,6 +76,18 @@ def test_empty_table(spark):
     assert jaccard_join.groups_of(docs).count() == 0
 
 
+def test_one_of_each_group_stays_with_all_columns(spark):
+    texts = corpus()
+    rows = [(i, t, None if i % 3 else "en", i) for i, t in enumerate(texts)] + [(0, texts[0], "de", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").repartition(2)
+    out = jaccard_join.keep_first_of_groups(docs)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    want = {c for _, _, c in brute(list(range(len(texts))), texts)}
+    assert set(got) == want and out.count() == len(want)
+    assert all(got[i]["text"] == texts[i] for i in got)
+
+
 def test_entries_round_trip():
     rng = np.random.default_rng(1)
     keys = np.sort(rng.integers(0, 2**48, 5000, dtype=np.uint64))

@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.llm.blobs import deltas, pack_arrays, runs, squeezed, unpack_arrays, unsqueezed
 from tierwise.llm.common import read_table, stage, width
 from tierwise.llm.graph import components
 from tierwise.llm.textarrays import mix, shingles, slices, word_arrays
@@ -50,33 +50,33 @@ def shingle_sets(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndar
     return h, n, names
 
 
-def _planes(values: np.ndarray, width_: int) -> bytes:
-    """The low ``width_`` bytes of each value, byte by byte position, so that zstd sees like with like."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width_].T.tobytes()
+def pack_entries(keys: np.ndarray, row: np.ndarray, *tables: np.ndarray) -> bytes:
+    """Ascending 48-bit keys (as differences), the row of each, and columns of the rows."""
+    return pack_arrays([deltas(keys), row, *tables])
 
 
-def _values(body: bytes, n: int, width_: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width_] = np.frombuffer(body, np.uint8).reshape(width_, n).T
-    return out.view("<u8").ravel()
+def unpack_entries(blob: bytes) -> list[np.ndarray]:
+    """Keys of the entries and, for each column of the rows, the entries' values."""
+    keys, row, *tables = unpack_arrays(blob)
+    return [np.cumsum(keys, dtype=np.uint64), *(t.astype(np.uint64)[row.astype(np.int64)] for t in tables)]
 
 
-def pack_entries(keys: np.ndarray, row: np.ndarray, names: np.ndarray) -> bytes:
-    """Ascending 48-bit keys (as differences), the row of each, and the rows' names."""
-    n, m = len(keys), len(names)
-    head = np.array([n, m], "<u4").tobytes()
-    body = head + names.astype("<u8").tobytes() + _planes(np.diff(keys, prepend=np.uint64(0)), 6) + _planes(row, 4)
-    return zstandard.ZstdCompressor(level=1).compress(body)
+def dealt(keys: np.ndarray, owner: np.ndarray, shards: int, tables: list[np.ndarray]) -> list[tuple[int, bytes]]:
+    """(shard, body) of incidence entries, by ranges of the 48-bit keys."""
+    order = np.argsort(keys, kind="stable")
+    keys, owner = keys[order], owner[order]
+    shard = ((keys >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    out = []
+    for a, b in runs(shard):
+        rows, at = np.unique(owner[a:b], return_inverse=True)
+        out.append((int(shard[a]), pack_entries(keys[a:b], at, *(t[rows] for t in tables))))
+    return out
 
 
-def unpack_entries(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, names) of the entries."""
-    body = zstandard.ZstdDecompressor().decompress(blob)
-    n, m = (int(x) for x in np.frombuffer(body, "<u4", 2))
-    at = 8 + 8 * m
-    names = np.frombuffer(body, "<u8", m, 8)
-    keys = np.cumsum(_values(body[at : at + 6 * n], n, 6), dtype=np.uint64)
-    return keys, names[_values(body[at + 6 * n :], n, 4).astype(np.int64)]
+def _bodies(pairs: list[tuple[int, bytes]], name: str):
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in pairs], pa.int32()), pa.array([b for _, b in pairs], pa.binary())], [name, "body"]
+    )
 
 
 def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
@@ -103,22 +103,7 @@ def shared_counts(docs: DataFrame, text: str = "text", size: int = 5) -> DataFra
             _, first, row = np.unique(names, return_index=True, return_inverse=True)  # one of equal sets
             owner = np.repeat(np.arange(len(n)), n)
             keep = (first[row] == np.arange(len(n)))[owner]
-            keys, owner = h[keep] >> np.uint64(16), owner[keep]
-            order = np.argsort(keys, kind="stable")
-            keys, owner = keys[order], owner[order]
-            shard = (keys * np.uint64(shards) >> np.uint64(48)) if shards < 65536 else keys % np.uint64(shards)
-            if shards >= 65536:
-                order = np.argsort(shard, kind="stable")
-                keys, owner, shard = keys[order], owner[order], shard[order]
-            cuts = np.flatnonzero(np.diff(shard, prepend=shard[:1] + np.uint64(1))) if len(shard) else []
-            ends = [*cuts[1:], len(shard)]
-            bodies = []
-            for a, b in zip(cuts, ends, strict=True):
-                rows, at = np.unique(owner[a:b], return_inverse=True)
-                bodies.append(pack_entries(keys[a:b], at.astype(np.uint64), names[rows]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(shard[a]) for a in cuts], pa.int32()), pa.array(bodies, pa.binary())], ["shard", "body"]
-            )
+            yield _bodies(dealt(h[keep] >> np.uint64(16), owner[keep], shards, [names]), "shard")
 
     def count(table: pa.Table) -> pa.Table:
         parts = [unpack_entries(b) for b in table.column("body").to_pylist()]
@@ -132,11 +117,72 @@ def shared_counts(docs: DataFrame, text: str = "text", size: int = 5) -> DataFra
         shared[1:] = keys[1:] == keys[:-1]
         shared[:-1] |= shared[1:].copy()
         found, n = np.unique(names[shared], return_counts=True)
-        return pa.table({"name": pa.array(found.astype(np.uint64).view(np.int64)), "shared": pa.array(n.astype(np.int64))})
+        bucket = (found % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        found, n, bucket = found[order], n[order], bucket[order]
+        pairs = [(int(bucket[a]), pack_arrays([deltas(found[a:b]), n[a:b]])) for a, b in runs(bucket)]
+        return pa.Table.from_batches([_bodies(pairs, "bucket")])
+
+    def total(table: pa.Table) -> pa.Table:
+        parts = [unpack_arrays(b) for b in table.column("body").to_pylist()]
+        names, at = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
+        sums = np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
+        return pa.table({"name": pa.array(names.view(np.int64)), "shared": pa.array(sums)})
 
-    dealt = docs.select(F.lit(0).cast("long").alias("id"), F.col(text)).mapInArrow(deal, "shard int, body binary")
-    counted = dealt.groupBy("shard").applyInArrow(count, "name long, shared long")
-    return counted.groupBy("name").agg(F.sum("shared").alias("shared"))
+    bodies = docs.select(F.lit(0).cast("long").alias("id"), F.col(text)).mapInArrow(deal, "shard int, body binary")
+    # a shard's counts travel as one body for each bucket of set names, not as a row for each set
+    counted = bodies.groupBy("shard").applyInArrow(count, "bucket int, body binary")
+    return counted.groupBy("bucket").applyInArrow(total, "name long, shared long")
+
+
+def rarest(rows: DataFrame) -> DataFrame:
+    """name, keys: the shingles (48 bits) of each set that are indexed: of the first n - ceil(0.8 n) + 1 in
+    order of frequency among ``rows`` (name, n, hs), those that another set has too. Sets without any go."""
+    shards = width(rows.sparkSession)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, n, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+            flat = lists.flatten().to_numpy().view(np.uint64) >> np.uint64(16)
+            owner = np.repeat(np.arange(len(names)), n)
+            yield _bodies(dealt(flat, owner, shards, [names.view(np.uint64), n.astype(np.uint64)]), "shard")
+
+    def count(table: pa.Table) -> pa.Table:
+        parts = [unpack_entries(b) for b in table.column("body").to_pylist()]
+        keys, names, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+        _, at, often = np.unique(keys, return_inverse=True, return_counts=True)
+        often = often[at]
+        keep = np.flatnonzero(often > 1)
+        keep = keep[np.lexsort((names[keep], names[keep] % np.uint64(shards)))]
+        keys, names, n, often = keys[keep], names[keep], n[keep], often[keep]
+        bucket = (names % np.uint64(shards)).astype(np.int64)
+        pairs = []
+        for a, b in runs(bucket):
+            first = np.array([x for x, _ in runs(names[a:b])], np.int64)
+            per = np.diff(np.append(first, b - a))
+            body = [names[a:b][first], n[a:b][first], per, keys[a:b], often[a:b]]
+            pairs.append((int(bucket[a]), pack_arrays(body)))
+        return pa.Table.from_batches([_bodies(pairs, "bucket")])
+
+    def choose(table: pa.Table) -> pa.Table:
+        parts = [[x.astype(np.uint64) for x in unpack_arrays(b)] for b in table.column("body").to_pylist()]
+        names, n = (np.concatenate([np.repeat(p[k], p[2].astype(np.int64)) for p in parts]) for k in (0, 1))
+        keys, often = (np.concatenate([p[k] for p in parts]) for k in (3, 4))
+        order = np.lexsort((keys, often, names))
+        names, n, keys = names[order], n[order].astype(np.int64), keys[order]
+        out_names, out_keys = [], []
+        for a, b in runs(names):
+            # the unshared shingles come first in the order
+            left = (n[a] - least_overlap(n[a]) + 1) - (n[a] - (b - a))
+            if left > 0:
+                out_names.append(names[a])
+                out_keys.append(keys[a : a + left].view(np.int64))
+        named = np.array(out_names, np.uint64).view(np.int64)
+        return pa.table({"name": pa.array(named), "keys": pa.array(out_keys, pa.list_(pa.int64()))})
+
+    bodies = rows.select("name", "n", "hs").mapInArrow(deal, "shard int, body binary")
+    counted = bodies.groupBy("shard").applyInArrow(count, "bucket int, body binary")
+    return counted.groupBy("bucket").applyInArrow(choose, "name long, keys array<bigint>")
 
 
 def least_overlap(n: np.ndarray) -> np.ndarray:
@@ -157,7 +203,7 @@ def block_links(names: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], in
     span = np.int64(len(values) + 1)
     cell = np.repeat(np.arange(rows), lengths) * span + ids
     cell.sort()
-    column = np.searchsorted(values, np.concatenate(index)) if rows else np.zeros(0, np.int64)
+    column = np.unique(np.concatenate(index), return_inverse=True)[1] if rows else np.zeros(0, np.int64)
     member = np.repeat(np.arange(rows), [len(x) for x in index])
     order = np.lexsort((member, column))
     column, member = column[order], member[order]
@@ -231,7 +277,8 @@ def set_links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int =
     open_classes = shared_counts(docs, text, size).join(classes, "name").where("5 * shared >= 4 * n")
     wanted = open_classes.select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col(text).alias("_text"))
-    texts = texts.join(wanted, F.col("_doc") == F.col("_id")).select("_name", "_text")
+    texts = squeezed(texts, "_text").join(wanted, F.col("_doc") == F.col("_id")).select("_name", "_text")
+    texts = unsqueezed(texts, "_text")
 
     def incidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, bodies in slices(batches):
@@ -248,13 +295,7 @@ def set_links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int =
             )
 
     rows = stage(texts.mapInArrow(incidence, "name long, n long, hs array<bigint>").dropDuplicates(["name"]), "jaccard-rows")
-    entry = rows.select("name", "n", F.explode("hs").alias("h"))
-    often = entry.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1")
-    ordered = often.groupBy("name", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("e"))
-    # the unshared shingles come first in the order; what is left of the first n - ceil(0.8 n) + 1 is indexed
-    left = (F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1) - (F.col("n") - F.size("e"))
-    keys = F.slice(F.transform("e", lambda x: x["h"]), F.lit(1), F.greatest(left, F.lit(0)).cast("int"))
-    index = stage(ordered.select("name", keys.alias("keys")).where(F.size("keys") > 0), "jaccard-index")
+    index = stage(rarest(rows), "jaccard-index")
     cells = index.select("name", F.explode("keys").alias("h"))
     hub = cells.groupBy("h").agg(F.min("name").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
     meet = cells.join(hub, "h").select(F.col("name").alias("a"), "b").distinct()
@@ -271,7 +312,7 @@ def set_links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int =
         lambda j: F.struct(F.col("root").alias("g"), F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j")),
     )
     block = F.explode(F.when(F.col("size") <= block_rows, small).otherwise(large)).alias("block")
-    dealt = placed.select("name", "n", "hs", "keys", block).select("name", "n", "hs", "keys", "block.*")
+    in_blocks = placed.select("name", "n", "hs", "keys", block).select("name", "n", "hs", "keys", "block.*")
 
     def links(table: pa.Table) -> pa.Table:
         names = table.column("name").to_numpy()
@@ -281,7 +322,7 @@ def set_links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int =
         a, b = ([names[p[k]] for p in found] for k in (0, 1))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("g", "i", "j").applyInArrow(links, "a long, b long")
+    return in_blocks.groupBy("g", "i", "j").applyInArrow(links, "a long, b long")
 
 
 def groups_of(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
@@ -295,5 +336,17 @@ def groups_of(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def keep_first_of_groups(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose doc_id is the smallest of its group; of rows with one doc_id,
+    one stays. Rows with a null doc_id go. The texts travel compressed to the semi-join."""
+    groups = stage(groups_of(docs), "jaccard-kept")
+    kept = groups.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"))
+    repeated = kept.agg(F.max("c")).first()[0]
+    out = squeezed(docs, "text").join(kept.select("doc_id"), "doc_id", "left_semi")
+    if repeated and repeated > 1:
+        out = out.dropDuplicates(["doc_id"])
+    return unsqueezed(out.select(*docs.columns), "text")
+
+
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return groups_of(read_table(spark, sf_dir, "documents"))

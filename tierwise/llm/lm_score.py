@@ -30,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwise.llm.blobs import deltas, pack_arrays, press, unpack_arrays, unpress
 from tierwise.llm.common import read_table, stage, width
 from tierwise.llm.eliasfano import Trie
 from tierwise.llm.textarrays import slices, word_arrays
@@ -84,47 +84,6 @@ def unigrams(docs: DataFrame, doc_id: str, text: str, fold: int, folds: int) ->
     return rows.groupBy("name").agg(F.sum("n").alias("n"))
 
 
-def press(body: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(body)
-
-
-def unpress(body: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(body)
-
-
-def _planes(values: np.ndarray, size: int) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
-
-
-def pack_arrays(arrays: list[np.ndarray]) -> bytes:
-    """Unsigned integer arrays, each as byte planes of its least sufficient width, compressed."""
-    head, bodies = [len(arrays)], []
-    for a in arrays:
-        a = a.astype(np.uint64, copy=False)
-        size = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
-        head += [len(a), size]
-        bodies.append(_planes(a, size))
-    return press(np.array(head, "<u8").tobytes() + b"".join(bodies))
-
-
-def unpack_arrays(body: bytes) -> list[np.ndarray]:
-    body = unpress(body)
-    count = int(np.frombuffer(body, "<u8", 1)[0])
-    head = np.frombuffer(body, "<u8", 1 + 2 * count)[1:].reshape(count, 2).astype(np.int64)
-    at, out = 8 * (1 + 2 * count), []
-    for n, size in head:
-        held = 4 if size <= 4 else 8
-        planes = np.zeros((n, held), np.uint8)
-        planes[:, :size] = np.frombuffer(body, np.uint8, n * size, at).reshape(size, n).T
-        out.append(planes.view(f"<u{held}").ravel())
-        at += n * size
-    return out
-
-
-def _deltas(a: np.ndarray) -> np.ndarray:
-    return np.diff(a, prepend=np.uint64(0))
-
-
 def deal(ids, t, n, train, shards: int, hot: np.ndarray) -> list[tuple[int, bytes]]:
     """(shard, body) of a portion: t are all tokens, n the tokens of each document."""
     first = np.cumsum(n) - n
@@ -144,7 +103,7 @@ def deal(ids, t, n, train, shards: int, hot: np.ndarray) -> list[tuple[int, byte
     for a, b in zip(cuts, [*cuts[1:], len(shard)], strict=True):
         words, w_at = np.unique(t[a:b], return_inverse=True)
         names, c_at = np.unique(np.concatenate([v[a:b], u[a:b]]), return_inverse=True)
-        body = [_deltas(words), _deltas(names), w_at, c_at[: b - a], c_at[b - a :], owner[a:b], train]
+        body = [deltas(words), deltas(names), w_at, c_at[: b - a], c_at[b - a :], owner[a:b], train]
         if a == 0:  # the document table travels once
             signed = np.array([0 if i is None else i for i in ids], np.int64)
             body += [signed.view(np.uint64), np.array([i is None for i in ids]), n]
