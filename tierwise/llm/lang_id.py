@@ -300,6 +300,24 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, SCHEMA)
 
 
+def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) whose language is told with at least ``least_score``; nothing is exchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value) if shared.value.langs else None
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(place)], ["i", "text"])
+            for at, raw in slices([rows], 2 << 20) if scorer else ():
+                logs, n = scorer.texts([b.decode("utf-8", "replace") for b in raw])
+                keep[at] = (n > 0) & (1.0 / np.exp(logs - logs.max(1, keepdims=True)).sum(1) >= least_score)
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def vocabulary_file(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 

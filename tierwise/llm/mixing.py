@@ -139,8 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, domain: Column, sample_docs: int =
     return fit([t for t, _ in rows], [d for _, d in rows])
 
 
-def posteriors(docs: DataFrame, model: Domains, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """One row per row: the first of ``keys`` as doc_id, tokens, p (array of posteriors by domain)."""
+def posteriors(docs: DataFrame, model: Domains, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row: doc_id, tokens, p (array of posteriors by domain)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +151,7 @@ def posteriors(docs: DataFrame, model: Domains, keys: tuple[str, ...] = ("doc_id
                 ["doc_id", "tokens", "p"],
             )
 
-    return docs.select(F.col(keys[0]).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, tokens long, p array<double>")
+    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, tokens long, p array<double>")
 
 
 def rate_of(collected: np.ndarray, p: str = "p") -> Column:
@@ -208,17 +208,47 @@ def mix(docs: DataFrame, model: Domains, shares: dict[str, float], total: float
     ``shares``: wanted tokens of a domain as a multiple of its natural expected tokens; domains not named
     keep theirs. ``total`` multiplies all targets."""
     scored = stage(posteriors(docs, model), "mixing")
-    natural = scored.agg(*[F.sum(F.col("tokens") * F.get("p", F.lit(i))) for i in range(len(model.names))]).first()
-    natural = np.array([float(x or 0.0) for x in natural])
-    targets = natural * total * np.array([shares.get(name, 1.0) for name in model.names])
-    collected, expected = fit_rates(scored, targets)
+    collected, targets, expected = fitted(scored, model, shares, total)
     report = {
         name: {"natural": float(a), "target": float(b), "expected": float(c)}
-        for name, a, b, c in zip(model.names, natural, targets, expected, strict=True)
+        for name, a, b, c in zip(model.names, natural_tokens(scored, model), targets, expected, strict=True)
     }
     return scored.withColumn("rate", rate_of(collected)), report
 
 
+def natural_tokens(scored: DataFrame, model: Domains) -> np.ndarray:
+    row = scored.agg(*[F.sum(F.col("tokens") * F.get("p", F.lit(i))) for i in range(len(model.names))]).first()
+    return np.array([float(x or 0.0) for x in row])
+
+
+def fitted(scored: DataFrame, model: Domains, shares: dict[str, float], total: float):
+    """(collected, targets, expected) for staged posteriors."""
+    targets = natural_tokens(scored, model) * total * np.array([shares.get(name, 1.0) for name in model.names])
+    collected, expected = fit_rates(scored, targets)
+    return collected, targets, expected
+
+
+def apply_rates(docs: DataFrame, model: Domains, shares: dict[str, float], total: float = 1.0) -> DataFrame:
+    """The rows of ``docs`` (all columns), each as many times as its fitted rate rounded half up.
+
+    The rate is a function of the posterior, so texts are scored again where they lie: nothing is exchanged."""
+    scored = stage(posteriors(docs, model), "mixing")
+    collected, _, _ = fitted(scored, model, shares, total)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            copies = np.zeros(batch.num_rows, np.int64)
+            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(place)], ["i", "text"])
+            for at, texts in slices([rows], 2 << 20):
+                p, _ = shared.value.posteriors(texts)
+                copies[at] = np.floor(np.maximum(0.0, 1.0 - p @ collected) + 0.5)
+            yield batch.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def domain_of_label() -> Column:
     """Domains of the labelled table: toxic, low (quality 0), clean."""
     return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "clean")

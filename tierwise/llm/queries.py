@@ -5,8 +5,15 @@ from __future__ import annotations
 from tierwise.llm import host_rules, jaccard_join, lang_id, license_scan, lm_score, mixing, packing, quality_crf, secret_scan, simhash
 
 
+def _pipeline(spark, sf_dir):
+    import corpus_pipeline  # at the repository's top
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
     return {
+        "pipeline": _pipeline,
         "op1_lm_score": lm_score.op1_lm_score,
         "op2_simhash": simhash.op2_simhash,
         "op3_quality_crf": quality_crf.op3_quality_crf,
