@@ -144,10 +144,10 @@ class Model:
             for k in range(len(self.langs)):
                 alpha[e, :, k] = np.bincount(w, gain[:, k], n_words)
             top = alpha[e].max(1)
-            low = np.flatnonzero((top > 0) & (top < 1e-100))
-            if len(low):
-                alpha[max(0, e - LONGEST + 1) : e + 1, low] *= 1e100
-                raised[low] += np.log(1e100)
+            for odd, factor in (((top > 0) & (top < 1e-100), 1e100), (top > 1e100, 1e-100)):
+                if odd.any():
+                    alpha[max(0, e - LONGEST + 1) : e + 1, odd] *= factor
+                    raised[odd] += np.log(factor)
         return alpha, raised
 
     def word_scores(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
