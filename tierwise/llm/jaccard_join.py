@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.blobs import deltas, pack_arrays, runs, squeezed, unpack_arrays, unsqueezed
+from tierwise.llm.blobs import deltas, pack_arrays, runs, squeezed, unpack_arrays, unpress, unsqueezed
 from tierwise.llm.common import read_table, stage, width
 from tierwise.llm.graph import components
 from tierwise.llm.textarrays import mix, shingles, slices, word_arrays
@@ -98,7 +98,7 @@ def shared_counts(docs: DataFrame, text: str = "text", size: int = 5) -> DataFra
     shards = width(docs.sparkSession)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches, 4 << 20):
+        for _, texts in slices(batches, 3 << 20):
             h, n, names = shingle_sets(texts, size)
             _, first, row = np.unique(names, return_index=True, return_inverse=True)  # one of equal sets
             owner = np.repeat(np.arange(len(n)), n)
@@ -278,11 +278,10 @@ def set_links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int =
     wanted = open_classes.select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col(text).alias("_text"))
     texts = squeezed(texts, "_text").join(wanted, F.col("_doc") == F.col("_id")).select("_name", "_text")
-    texts = unsqueezed(texts, "_text")
 
     def incidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, bodies in slices(batches):
-            h, n, names = shingle_sets(bodies, size)
+        for ids, bodies in slices(batches, 1 << 20):
+            h, n, names = shingle_sets([unpress(b) if b else b"" for b in bodies], size)
             same = np.flatnonzero(names.view(np.int64) == np.array(ids, np.int64))  # a repeated id may bring another text
             cut = np.concatenate(([0], np.cumsum(n)))
             yield pa.RecordBatch.from_arrays(
