@@ -104,9 +104,14 @@ def fit(texts: list[bytes], labels: list[str], rounds: int = 300, ridge: float =
         return Domains(names or ["unlabelled"])
     y = np.zeros((len(texts), len(names)))
     y[np.arange(len(texts)), [names.index(x) for x in labels]] = 1.0
-    shapes, owner, hashes, _ = features(texts)
+    portions = [features(texts[a : a + 200]) for a in range(0, len(texts), 200)]  # bounds the working arrays
+    shapes = np.concatenate([p[0] for p in portions])
+    owner = np.concatenate([p[1] + 200 * i for i, p in enumerate(portions)])
+    hashes = np.concatenate([p[2] for p in portions])
+    del portions
     words = telling_words(owner, hashes, y, most)
     rows, columns = present(owner, hashes, words)
+    del owner, hashes
     w = np.zeros((len(words) + SHAPES, len(names)))
     seen = np.zeros_like(w)
     for _ in range(rounds):  # gradient ascent with a step size for each weight
@@ -134,7 +139,7 @@ def sample(docs: DataFrame, labels: DataFrame, domain: Column, sample_docs: int)
     return [(r["_text"].encode(), r["_domain"]) for r in rows.orderBy("doc_id").collect()]
 
 
-def train(docs: DataFrame, labels: DataFrame, domain: Column, sample_docs: int = 4000) -> Domains:
+def train(docs: DataFrame, labels: DataFrame, domain: Column, sample_docs: int = 2000) -> Domains:
     rows = sample(docs, labels, domain, sample_docs)
     return fit([t for t, _ in rows], [d for _, d in rows])
 
