@@ -131,6 +131,5 @@ def host_rules(
 def op10_host_rules(spark, sf_dir: str) -> DataFrame:
     out = host_rules(read_table(spark, sf_dir, "documents"))
     return out.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        F.round("host_rate", 12).alias("host_rate"),
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

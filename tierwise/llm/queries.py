@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierwise.llm import host_rules, jaccard_join, lang_id, license_scan, lm_score, mixing, packing, quality_crf, secret_scan, simhash
+from tierwise.llm import host_rules, jaccard_join, lang_id, license_scan, lm_score, mixing, oracle, packing, quality_crf, secret_scan, simhash
 
 
 def _pipeline(spark, sf_dir):
@@ -28,4 +28,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
