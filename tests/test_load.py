@@ -174,6 +174,19 @@ def test_read_source_conforms_schema_and_rejects_missing_columns(spark, scratch)
         read_source(spark, f"{scratch}/bad")
 
 
+def test_read_source_refuses_other_types_and_one_task_jdbc(spark, scratch):
+    import pytest as _pytest
+
+    from tierwise.sources.source import read_source
+
+    rows = [("A", "c", "BOOKED", "X", "Y", T0, T0, None)]
+    src_df(spark, rows).withColumn("id", F.lit(5)).write.parquet(f"{scratch}/typed")
+    with _pytest.raises(ValueError, match="id is int"):
+        read_source(spark, f"{scratch}/typed")
+    with _pytest.raises(ValueError, match="partitionColumn"):
+        read_source(spark, "jdbc:x://host/db", fmt="jdbc", jdbc_options={"dbtable": "t"})
+
+
 def test_replay_invariant_after_every_load(spark):
     """After each incremental load, Bronze equals the source snapshot at that cut (load_at aside)."""
     from conftest import SF_SMALL

@@ -1,6 +1,7 @@
 """Each check on passing and failing input; fail-fast build; crash between write and commit."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, src_df
 from tierwise.operators import gold, load, quality
@@ -78,6 +79,37 @@ def test_fail_fast_leaves_later_layers_unwritten(spark, scratch):
         assert not storage.path_exists(spark, wh.path("gold", name))
 
 
+def test_a_broken_silver_stops_the_build_before_gold(spark, scratch, monkeypatch):
+    """Inverted flags, lower-case statuses and lost ids in Silver are found in Silver, on the first and
+    on a later load; Bronze itself is fine."""
+    real = pipeline.silver_cleansed
+
+    def broken(bronze, keep=()):
+        out = real(bronze, keep)
+        return out.withColumn("is_deleted", 1 - F.col("is_deleted")).withColumn("last_status", F.lower("last_status")).withColumn(
+            "id", F.lit(None).cast("string")
+        )
+
+    wh = storage.Warehouse(scratch)
+    changes = fx.retail_transaction_changes(spark, SF_SMALL)
+    cuts = fx.REPLAY_CUTS
+    for i, cut in enumerate(cuts[:2]):
+        with monkeypatch.context() as m:
+            m.setattr(pipeline, "silver_cleansed", broken)
+            with pytest.raises(pipeline.DataQualityError) as err:
+                pipeline.build(spark, fx.snapshot_at(changes, cut), wh, cut)
+        assert err.value.layer == "silver_retail_transactions_cleansed"
+        tests = {(t, c) for _, t, c, _ in err.value.failed}
+        assert {("not_null", "id"), ("accepted_values", "last_status"), ("assert_silver_is_deleted_consistent", None)} <= tests
+        if i == 0:
+            assert not any(storage.path_exists(spark, wh.path("gold", name)) for name in gold.MARTS)
+            pipeline.build(spark, fx.snapshot_at(changes, cut), wh, cut, force=True)
+    layers = {"bronze_retail_transactions": sc.clean_bronze(spark, SF_SMALL)}
+    layers["silver_retail_transactions_cleansed"] = broken(layers["bronze_retail_transactions"])
+    rows = quality.dq_suite_summary(layers, STATUSES).collect()
+    assert all((r["failures"] > 0) == (r["model"].startswith("silver") and (r["test_name"], r["column_name"]) in tests) for r in rows)
+
+
 def test_crash_after_bronze_write_before_commit_is_recovered(spark, scratch):
     """The watermark is stored only after the Bronze write; a run that dies in between is simply
     repeated, and the result equals an uninterrupted run."""
@@ -99,20 +131,21 @@ def test_crash_after_bronze_write_before_commit_is_recovered(spark, scratch):
     assert storage.read_watermark(spark, wh.state_path(pipeline.BRONZE)) < cuts[0]
     for cut in cuts[1:]:
         pipeline.build(spark, fx.snapshot_at(changes, cut), wh, cut)
-    bronze = spark.read.parquet(wh.path("bronze", pipeline.BRONZE))
+    bronze = storage.read_bronze(spark, wh.path("bronze", pipeline.BRONZE))
     final = fx.snapshot_at(changes, cuts[-1])
     got = bronze.select(*final.columns)
     assert got.count() == final.count() == got.select("id").distinct().count()
     assert got.exceptAll(final).count() == 0
 
 
-def test_fused_unique_with_a_hot_duplicated_id(spark):
-    """One id holds a third of all rows; the fused check counts it exactly (per layer)."""
+def test_unique_with_a_hot_duplicated_id(spark):
+    """One id holds a third of all rows; the check counts it exactly in each layer."""
     rows = [(" hot", "BOOKED")] * 3000 + [(f"k{i}", "BOOKED") for i in range(5000)] + [("k1 ", "BOOKED")] * 2 + [("k2", "BOOKED")]
     df = spark.createDataFrame(rows, "id string, lastStatus string").repartition(8)
-    got = {r["model"]: r["failures"] for r in quality.unique_ids_fused(df, "b", "s").collect()}
-    # raw duplicates: ' hot', 'k1 ', 'k2'; trimmed duplicates: 'hot', 'k1', 'k2'
-    assert got == {"b": 3, "s": 3}
+    trimmed = df.withColumn("id", F.trim("id")).where("id <> 'k2'")
+    got = {r["model"]: r["failures"] for r in quality.unique_ids({"b": df, "s": trimmed}).collect()}
+    # raw duplicates: ' hot', 'k1 ', 'k2'; trimmed duplicates: 'hot', 'k1'
+    assert got == {"b": 3, "s": 2}
     assert quality.dq_unique(df, "id").count() == 3
 
 
@@ -127,7 +160,7 @@ def test_incremental_checks_catch_what_full_checks_catch(spark, scratch):
     for cut in fx.REPLAY_CUTS:
         pipeline.build(spark, fx.snapshot_at(changes, cut), wh, cut)
     assert storage.read_state(spark, wh.state_path(pipeline.BRONZE))["checks_passed"] is True
-    bronze = spark.read.parquet(wh.path("bronze", pipeline.BRONZE))
+    bronze = storage.read_bronze(spark, wh.path("bronze", pipeline.BRONZE))
     victim = bronze.orderBy("id").select(*fx.SOURCE_COLUMNS).limit(1)
     moved = victim.withColumn("createdAt", F.expr("timestampadd(YEAR, 3, createdAt)")).withColumn(
         "updatedAt", F.expr("TIMESTAMP_NTZ '2001-09-02 00:00:00'")
@@ -140,8 +173,8 @@ def test_incremental_checks_catch_what_full_checks_catch(spark, scratch):
     assert storage.read_state(spark, wh.state_path(pipeline.BRONZE))["checks_passed"] is False
     from tierwise.schemas import STATUSES as ST
 
-    b = spark.read.parquet(wh.path("bronze", pipeline.BRONZE))
-    full = {(r["model"], r["test_name"]): r["failures"] for r in quality.row_checks_fused(b, "B", "S", ST).unionByName(quality.unique_ids_fused(b, "B", "S")).collect()}
+    b = storage.read_bronze(spark, wh.path("bronze", pipeline.BRONZE))
+    full = {(r["model"], r["test_name"]): r["failures"] for r in quality.layer_checks(b, silver_cleansed(b), "B", "S", ST).collect()}
     assert full[("B", "unique")] == 1 and full[("S", "unique")] == 1
 
 
@@ -186,7 +219,7 @@ def test_incremental_gold_equals_full_rebuild(spark, scratch):
     assert len(calls) == len(fx.REPLAY_CUTS) - 1  # every load after the first was incremental
     state = storage.read_state(spark, wh.state_path(pipeline.BRONZE))
     assert state["gold_wm"] == state["watermark"] and state["cube_path"]
-    silver = silver_cleansed(spark.read.parquet(wh.path("bronze", pipeline.BRONZE)).drop("created_month"))
+    silver = silver_cleansed(storage.read_bronze(spark, wh.path("bronze", pipeline.BRONZE)).drop("created_month"))
     for name, fn in gold.MARTS.items():
         got = spark.read.parquet(wh.path("gold", name))
         want = fn(silver, fx.REPLAY_CUTS[-1])
@@ -208,8 +241,8 @@ def test_full_refresh_full_gold_and_unstable_months_agree(spark, scratch):
     pipeline.build(spark, fx.snapshot_at(changes, cuts[-1]), a, cuts[-1], full_refresh=True)
     pipeline.build(spark, fx.snapshot_at(changes, cuts[-1]), b, cuts[-1], key_partition_stable=False)
     for name in ["bronze_retail_transactions"]:
-        x = spark.read.parquet(a.path("bronze", name)).drop("load_at")
-        y = spark.read.parquet(b.path("bronze", name)).drop("load_at")
+        x = storage.read_bronze(spark, a.path("bronze", name)).drop("load_at")
+        y = storage.read_bronze(spark, b.path("bronze", name)).drop("load_at")
         assert x.count() == y.count() == x.select("id").distinct().count()
         assert x.exceptAll(y).count() == 0
     for name in gold.MARTS:

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import src_df
@@ -27,10 +28,9 @@ def test_first_write_is_month_partitioned_and_sorted(spark, scratch):
         for i in range(60)
     ]
     path = f"{scratch}/bronze"
-    storage.write_bronze(path, bronze(spark, rows), None)
-    assert sorted(d for d in os.listdir(path) if d.startswith("created_month=")) == [
-        "created_month=202501", "created_month=202502", "created_month=202503"]
-    back = spark.read.parquet(path)
+    storage.write_bronze(path, bronze(spark, rows))
+    assert sorted(storage.bronze_folders(spark, path)) == [202501, 202502, 202503]
+    back = storage.read_bronze(spark, path)
     counts = {r["created_month"]: r["count"] for r in back.groupBy("created_month").count().collect()}
     assert counts == {202501: 20, 202502: 20, 202503: 20}
     # inside every file rows come in (updated date, status, id) order
@@ -46,21 +46,23 @@ def test_upsert_rewrites_only_touched_months(spark, scratch):
         ("A", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None),
         ("B", "c", "BOOKED", "X", "Y", "2025-02-15 00:00:00", "2025-02-15 00:00:00", None),
     ]
-    storage.write_bronze(path, bronze(spark, rows), None)
-    jan_files = sorted(os.listdir(f"{path}/created_month=202501"))
+    storage.write_bronze(path, bronze(spark, rows))
+    jan = storage.bronze_folders(spark, path)[202501]
+    jan_files = sorted(os.listdir(f"{path}/{jan}"))
     batch = bronze(spark, [("B", "c", "PROCESSING", "X", "Y", "2025-02-15 00:00:00", "2025-02-16 00:00:00", None)], "2025-02-17 00:00:00")
-    storage.write_bronze(path, batch, spark.read.parquet(path))
-    assert sorted(os.listdir(f"{path}/created_month=202501")) == jan_files  # untouched month kept as is
-    out = {r["id"]: r["lastStatus"] for r in spark.read.parquet(path).collect()}
+    storage.write_bronze(path, batch)
+    assert storage.bronze_folders(spark, path)[202501] == jan
+    assert sorted(os.listdir(f"{path}/{jan}")) == jan_files  # untouched month kept as is
+    out = {r["id"]: r["lastStatus"] for r in storage.read_bronze(spark, path).collect()}
     assert out == {"A": "BOOKED", "B": "PROCESSING"}
 
 
 def test_unstable_month_rewrites_whole_table(spark, scratch):
     path = f"{scratch}/bronze"
-    storage.write_bronze(path, bronze(spark, [("A", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None)]), None)
+    storage.write_bronze(path, bronze(spark, [("A", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None)]))
     moved = bronze(spark, [("A", "c", "BOOKED", "X", "Y", "2025-03-15 00:00:00", "2025-03-16 00:00:00", None)])
-    storage.write_bronze(path, moved, spark.read.parquet(path), key_partition_stable=False)
-    out = spark.read.parquet(path).collect()
+    storage.write_bronze(path, moved, key_partition_stable=False)
+    out = storage.read_bronze(spark, path).collect()
     assert [(r["id"], r["created_month"]) for r in out] == [("A", 202503)]
 
 
@@ -70,9 +72,9 @@ def test_drop_month_partitions_and_watermark_state(spark, scratch):
         ("A", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None),
         ("B", "c", "BOOKED", "X", "Y", "2025-02-15 00:00:00", "2025-02-15 00:00:00", None),
     ]
-    storage.write_bronze(path, bronze(spark, rows), None)
+    storage.write_bronze(path, bronze(spark, rows))
     assert storage.drop_month_partitions(spark, path, [202501, 209912]) == [202501]
-    assert [r["id"] for r in spark.read.parquet(path).collect()] == ["B"]
+    assert [r["id"] for r in storage.read_bronze(spark, path).collect()] == ["B"]
     state = f"{scratch}/_state/bronze"
     assert storage.read_watermark(spark, state) is None
     storage.store_watermark(spark, state, "2025-02-15 00:00:00.000123", T, 2)
@@ -94,14 +96,14 @@ def test_nullable_partition_and_sort_keys(spark, scratch):
         ("A", "c", None, None, None, None, "2025-01-15 00:00:00", None),
         ("B", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None),
     ]
-    storage.write_bronze(path, bronze(spark, rows), None)
-    back = {r["id"]: r for r in spark.read.parquet(path).collect()}
+    storage.write_bronze(path, bronze(spark, rows))
+    back = {r["id"]: r for r in storage.read_bronze(spark, path).collect()}
     assert back["A"]["created_month"] is None and back["A"]["lastStatus"] is None
     assert back["B"]["created_month"] == 202501
     # an upsert touching the NULL month rewrites it without losing the other month
     upd = bronze(spark, [("A", "c", "PROCESSING", None, None, None, "2025-01-16 00:00:00", None)], "2025-01-17 00:00:00")
-    storage.write_bronze(path, upd, spark.read.parquet(path))
-    back = {r["id"]: r["lastStatus"] for r in spark.read.parquet(path).collect()}
+    storage.write_bronze(path, upd)
+    back = {r["id"]: r["lastStatus"] for r in storage.read_bronze(spark, path).collect()}
     assert back == {"A": "PROCESSING", "B": "BOOKED"}
 
 
@@ -111,8 +113,86 @@ def test_touched_month_read_is_partition_pruned(spark, scratch):
         ("A", "c", "BOOKED", "X", "Y", "2025-01-15 00:00:00", "2025-01-15 00:00:00", None),
         ("B", "c", "BOOKED", "X", "Y", "2025-02-15 00:00:00", "2025-02-15 00:00:00", None),
     ]
-    storage.write_bronze(path, bronze(spark, rows), None)
-    df = spark.read.parquet(path).filter(F.col("created_month").isin(202502))
+    storage.write_bronze(path, bronze(spark, rows))
+    df = storage.read_bronze(spark, path).filter(F.col("created_month").isin(202502))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(created_month" in plan
     assert [r["id"] for r in df.collect()] == ["B"]
+
+
+def rows_of(spark, path):
+    return sorted((r["id"], r["lastStatus"]) for r in storage.read_bronze(spark, path).collect())
+
+
+def row(i, status, created, updated):
+    return (i, "c", status, "X", "Y", created, updated, None)
+
+
+def test_repaired_created_at_gives_one_row(spark, scratch):
+    path = f"{scratch}/bronze"
+    storage.write_bronze(path, bronze(spark, [row("A", "BOOKED", None, "2025-01-15 00:00:00"), row("B", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00")]))
+    storage.write_bronze(path, bronze(spark, [row("A", "PROCESSING", "2025-02-01 00:00:00", "2025-02-02 00:00:00")]))
+    assert rows_of(spark, path) == [("A", "PROCESSING"), ("B", "BOOKED")]
+    assert set(storage.bronze_folders(spark, path)) == {202501, 202502}  # the emptied NULL month is gone
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_refresh_replaces_all_months_in_any_overwrite_mode(spark, scratch, mode):
+    path = f"{scratch}/bronze"
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        storage.write_bronze(path, bronze(spark, [row("1", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00")]))
+        storage.write_bronze(path, bronze(spark, [row("2", "BOOKED", "2025-02-15 00:00:00", "2025-02-15 00:00:00")]), replace=True)
+    finally:
+        spark.conf.set(key, before)
+    assert rows_of(spark, path) == [("2", "BOOKED")]
+
+
+@pytest.mark.parametrize("kwargs", [{}, {"replace": True}, {"key_partition_stable": False}, {"newer_wins": True}])
+@pytest.mark.parametrize("where", ["task", "commit"])
+def test_a_write_that_dies_leaves_the_old_table(spark, scratch, monkeypatch, kwargs, where):
+    path = f"{scratch}/bronze"
+    old = [row("A", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00"), row("B", "BOOKED", None, "2025-01-15 00:00:00")]
+    new = bronze(spark, [row("A", "PROCESSING", "2025-01-15 00:00:00", "2025-01-16 00:00:00")])
+    storage.write_bronze(path, bronze(spark, old))
+    before = rows_of(spark, path)
+    with monkeypatch.context() as m:
+        if where == "commit":
+
+            def dead(*a, **k):
+                raise RuntimeError("driver lost")
+
+            m.setattr(storage, "commit_record", dead)
+            batch = new
+        else:
+            batch = new.withColumn("customerId", F.when(F.col("id") == "A", F.raise_error(F.lit("task lost")).cast("string")))
+        with pytest.raises(Exception):  # noqa: B017
+            storage.write_bronze(path, batch, **kwargs)
+    assert rows_of(spark, path) == before
+    storage.write_bronze(path, new, **kwargs)  # the retry equals an undisturbed run
+    want = [("A", "PROCESSING")] if "replace" in kwargs else [("A", "PROCESSING"), ("B", "BOOKED")]
+    assert rows_of(spark, path) == want
+
+
+def test_first_write_that_dies_leaves_no_table(spark, scratch):
+    path = f"{scratch}/bronze"
+    bad = bronze(spark, [row("A", "BOOKED", None, "2025-01-15 00:00:00")]).withColumn("customerId", F.raise_error(F.lit("x")).cast("string"))
+    with pytest.raises(Exception):  # noqa: B017
+        storage.write_bronze(path, bad)
+    assert storage.read_bronze(spark, path) is None and storage.bronze_folders(spark, path) == {}
+
+
+def test_newer_wins_at_equal_times_by_life_cycle(spark, scratch):
+    path = f"{scratch}/bronze"
+    t = "2025-01-15 00:00:00"
+    storage.write_bronze(path, bronze(spark, [row("A", "DELIVERED", t, t)]), newer_wins=True)
+    storage.write_bronze(path, bronze(spark, [row("A", "BOOKED", t, t)]), newer_wins=True)
+    assert rows_of(spark, path) == [("A", "DELIVERED")]
+
+
+def test_write_partitions_follow_the_size(spark):
+    df = spark.range(1000).selectExpr("id", "id % 7 AS m")
+    sizes = [storage.sorted_for_write(df, ["id"], ["m"], n).rdd.getNumPartitions() for n in (1, 300 << 20, 3 << 30)]
+    assert sizes == [1, 2, 12]

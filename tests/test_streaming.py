@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tierwise.plans import storage
 from tierwise.schemas import BRONZE_COLUMNS
 from tierwise.sources import fixtures as fx
 from tierwise.streaming.stream_upsert import bronze_stream_upsert
@@ -13,7 +14,7 @@ from tierwise.streaming.stream_upsert import bronze_stream_upsert
 def run(spark, base, schema):
     q = bronze_stream_upsert(spark, f"{base}/input", schema, f"{base}/bronze", f"{base}/_ckpt", fx.AS_OF, ("updatedAt", "version"), 2)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/bronze").select(*BRONZE_COLUMNS)
+    return storage.read_bronze(spark, f"{base}/bronze").select(*BRONZE_COLUMNS)
 
 
 def test_stream_newest_wins_even_out_of_order(spark, scratch):

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierwise.functions import hour_index, month_key
 from tierwise.operators import gold
@@ -20,9 +21,10 @@ from tierwise.operators.silver import silver_cleansed
 from tierwise.schemas import LIFECYCLE_CHAIN, STATUSES, STUCK_HOURS_DEFAULT, TERMINAL_STATUSES
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000, materialize: bool = True) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows (``limit(max+1)``
-    stops counting early); a larger side is joined with a shuffle instead.
+def broadcast_if_small(df: DataFrame, max_bytes: int = 128 << 20, materialize: bool = True) -> DataFrame:
+    """Broadcast ``df`` only after checking that its rows, at their in-memory width, are at most
+    ``max_bytes``; a larger side is joined with a shuffle instead. The check is a plain count (a
+    partial count for each task) times the width of a row.
 
     With ``materialize`` the candidate is first written once as a reliable checkpoint (shared
     checkpoint folder), so the size check and the join do not both recompute it."""
@@ -30,8 +32,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000, materialize: bo
         from tierwise.session import cut_lineage
 
         df = cut_lineage(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() * row_width(df) <= max_bytes else df
+
+
+def row_width(df: DataFrame) -> int:
+    """Bytes of a row in a broadcast table: 32 for the entry, 8 for each fixed-width field, and 48 for
+    each text (ids, cities and statuses are shorter than 40 characters)."""
+
+    def width(kind: T.DataType) -> int:
+        if isinstance(kind, T.StructType):
+            return sum(width(f.dataType) for f in kind)
+        return 48 if isinstance(kind, T.StringType) else 8
+
+    return 32 + width(df.schema)
 
 
 # --- E1 -------------------------------------------------------------------------------------
@@ -67,8 +80,11 @@ def status_transition_audit(
     ``(key, bucket)`` summary (a partial aggregate). A key with a huge history is thus spread over
     as many tasks as it has hours.
     """
+    from tierwise.session import cut_lineage
+
     b = bucket if bucket is not None else hour_index(F.col(ts))
-    feed = changes.select(key, ts, seq, status).withColumn("_b", b)
+    # the feed is read twice below: derive it once
+    feed = cut_lineage(changes.select(key, ts, seq, status).withColumn("_b", b))
     w_in = Window.partitionBy(key, "_b").orderBy(ts, seq)
     in_bucket = feed.withColumn("_prev", F.lag(status).over(w_in)).withColumn(
         "_first", F.row_number().over(w_in) == 1
@@ -76,9 +92,11 @@ def status_transition_audit(
     last_of_bucket = feed.groupBy(key, "_b").agg(F.max(F.struct(ts, seq, status)).alias("_last"))
     w_b = Window.partitionBy(key).orderBy("_b")
     carry = last_of_bucket.select(
-        key, "_b", F.lag(F.col(f"_last.{status}")).over(w_b).alias("_carry")
+        F.col(key).alias("_k"), F.col("_b").alias("_kb"), F.lag(F.col(f"_last.{status}")).over(w_b).alias("_carry")
     )
-    joined = in_bucket.join(carry, [key, "_b"], "inner")
+    # null-safe: versions without an id or a time are one group and one bucket, not lost
+    same = in_bucket[key].eqNullSafe(carry["_k"]) & in_bucket["_b"].eqNullSafe(carry["_kb"])
+    joined = in_bucket.join(carry, same & in_bucket["_first"], "left")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
     return (
         joined.withColumn("from_status", prev)
@@ -95,20 +113,21 @@ def status_transition_audit(
 # --- E2 -------------------------------------------------------------------------------------
 def hard_delete_reconciliation(bronze: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
     """Rows in Bronze whose key no longer exists at the source (hard deletes an incremental load
-    cannot see). A shuffled anti join on the key; AQE splits a skewed key."""
-    return bronze.join(source.select(key).distinct(), key, "left_anti").select(
+    cannot see). A shuffled anti join on the key; AQE splits a skewed key. Rows without a key cannot
+    be told to be gone and are not reported."""
+    return bronze.where(F.col(key).isNotNull()).join(source.select(key), key, "left_anti").select(
         key, "lastStatus", "createdAt", "updatedAt", "deletedAt", "load_at"
     )
 
 
 # --- E3 -------------------------------------------------------------------------------------
-def affected_dates(old_bronze: DataFrame, batch: DataFrame, max_broadcast_ids: int = 10_000_000) -> DataFrame:
+def affected_dates(old_bronze: DataFrame, batch: DataFrame) -> DataFrame:
     """Transaction dates a batch changes: the dates of the *old* version of every changed id and of
     the new version (they differ if ``createdAt`` moved). One small column of distinct dates.
 
     The batch ids are broadcast to the semi join after a size check, so the old Bronze is scanned
     (pass it already restricted to the months that can hold the ids), not shuffled."""
-    changed = broadcast_if_small(batch.select("id"), max_broadcast_ids)
+    changed = broadcast_if_small(batch.select("id"))
     old = old_bronze.join(changed, "id", "left_semi").select(F.to_date("createdAt").alias("transaction_date"))
     new = batch.select(F.to_date("createdAt").alias("transaction_date"))
     return old.unionByName(new).distinct()
@@ -121,19 +140,21 @@ def incremental_daily_mart(
     batch: DataFrame,
     as_of: str,
     mart_fn: Callable[[DataFrame, str], DataFrame] = gold.gold_daily_transaction_comprehensive,
-    max_broadcast_dates: int = 100_000,
 ) -> DataFrame:
     """A daily mart after a batch, recomputing only the affected dates: rows of untouched dates are
     kept from the old mart, affected dates are rebuilt from the new Bronze. Date matching is
     null-safe (a NULL ``createdAt`` is its own date). The date list is bounded by the calendar and is
     broadcast after a size check."""
-    dates = broadcast_if_small(affected_dates(old_bronze, batch), max_broadcast_dates)
+    from tierwise.operators.load import months_filter, touched_months
+
+    if "created_month" in old_bronze.columns:
+        # stable months: an id's old version lies in its batch month (or had no month)
+        old_bronze = old_bronze.filter(months_filter([*touched_months(batch), None]))
+    dates = broadcast_if_small(affected_dates(old_bronze, batch))
     keep = old_mart.join(dates, old_mart["transaction_date"].eqNullSafe(dates["transaction_date"]), "left_anti")
     nb = new_bronze
     if "created_month" in nb.columns:
         # a month-partitioned Bronze: read only the months of the affected dates (partition pruning)
-        from tierwise.operators.load import months_filter
-
         months = [r[0] for r in dates.select(month_key("transaction_date").alias("m")).distinct().collect()]
         nb = nb.filter(months_filter(months))
     fresh_src = nb.join(dates, F.to_date(nb["createdAt"]).eqNullSafe(dates["transaction_date"]), "left_semi")
@@ -159,13 +180,14 @@ def aging_with_route_sla(
     sla: DataFrame,
     as_of: str,
     default_hours: int = STUCK_HOURS_DEFAULT,
-    max_broadcast_routes: int = 1_000_000,
 ) -> DataFrame:
     """The stuck-parcel mart with a per-route threshold ``coalesce(sla_hours, default)``.
     The SLA table (one row per route) is broadcast after a size check, so the large Silver side is
     never shuffled for the lookup."""
-    s = broadcast_if_small(sla.select("pos_origin", "pos_destination", "sla_hours"), max_broadcast_routes)
-    enriched = silver.join(s, ["pos_origin", "pos_destination"], "left")
+    s = broadcast_if_small(sla.selectExpr("pos_origin AS _o", "pos_destination AS _d", "sla_hours"))
+    # null-safe: a route without a city has its own SLA
+    same = silver["pos_origin"].eqNullSafe(s["_o"]) & silver["pos_destination"].eqNullSafe(s["_d"])
+    enriched = silver.join(s, same, "left").drop("_o", "_d")
     thr = F.coalesce(F.col("sla_hours"), F.lit(int(default_hours)))
     stuck = gold.stuck_parcels(enriched, as_of, thr)
     return gold.aging_aggregate(stuck, silver, as_of)

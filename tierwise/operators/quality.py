@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.schemas import DAILY_GRAIN
@@ -250,80 +250,28 @@ def singular_checks(layers: dict[str, DataFrame]) -> list[Check]:
     return out
 
 
-def unique_ids_fused(bronze: DataFrame, bronze_model: str, silver_model: str, column: str = "id") -> DataFrame:
-    """``unique`` on Bronze ``id`` and on Silver ``trim(id)`` from ONE scan of Bronze.
+def unique_ids(tables: dict[str, DataFrame], column: str = "id") -> DataFrame:
+    """``unique`` on ``column`` of each table: ``(model, test_name, column_name, failures)``.
 
-    Stage 1 counts rows per ``(trimmed, raw)`` id with a partial aggregate before its shuffle, so an
-    id that holds a third of all rows (a duplication bug upstream) is collapsed map-side instead of
-    landing in one task. Stage 2 rolls those counts up per trimmed id. Only valid when Silver is
-    ``silver_cleansed(Bronze)``."""
-    from tierwise.functions import clean_text
-
-    ids = bronze.select(clean_text(column).alias("_t"), F.col(column).alias("_raw")).filter(F.col("_raw").isNotNull())
-    per_raw = ids.groupBy("_t", "_raw").agg(F.count(F.lit(1)).alias("n"))
-    per_t = per_raw.groupBy("_t").agg(F.sum("n").alias("n_t"), F.count_if(F.col("n") > 1).alias("raw_dups"))
-    totals = per_t.agg(
-        F.coalesce(F.sum("raw_dups"), F.lit(0)).cast("bigint").alias("b"),
-        F.count_if(F.col("n_t") > 1).cast("bigint").alias("s"),
-    )
-    return totals.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit(bronze_model).alias("model"), F.col("b").alias("failures")),
-                F.struct(F.lit(silver_model).alias("model"), F.col("s").alias("failures")),
-            )
-        ).alias("r")
-    ).select(
-        F.col("r.model").alias("model"),
-        F.lit("unique").alias("test_name"),
-        F.lit(column).cast("string").alias("column_name"),
-        F.col("r.failures").alias("failures"),
-    )
-
-
-def row_checks_fused(bronze: DataFrame, bronze_model: str, silver_model: str, statuses: Sequence[str]) -> DataFrame:
-    """The row-level generic checks of Bronze and Silver (not_null x5, accepted_values x3) and the
-    Silver ``is_deleted`` consistency test from ONE scan of Bronze.
+    Rows are counted per id with a partial aggregate before the shuffle, so an id that holds a third
+    of all rows (a duplication bug upstream) is collapsed in the tasks that read it."""
+    parts = [
+        dq_unique(df, column).agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
+            F.lit(model).alias("model"),
+            F.lit("unique").alias("test_name"),
+            F.lit(column).cast("string").alias("column_name"),
+            "failures",
+        )
+        for model, df in tables.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-    Bronze is pre-aggregated by ``(raw status, is_deleted)`` with partial aggregation before the
-    shuffle (a handful of groups); every count is then read off that small result, whose exchange is
-    reused by the derived aggregates. Silver's columns are the cleansing expressions of Bronze."""
-    from tierwise.functions import clean_status, clean_text, flag
 
-    vals = list(statuses)
-    is_del = flag(F.col("deletedAt").isNotNull())
-    grouped = bronze.groupBy(F.col("lastStatus").alias("raw"), is_del.alias("is_deleted")).agg(
-        F.count_if(F.col("id").isNull()).alias("b_id_null"),
-        F.count_if(clean_text("id").isNull()).alias("s_id_null"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(
-            (F.col("deletedAt").isNotNull() & (is_del != 1)) | (F.col("deletedAt").isNull() & (is_del != 0))
-        ).alias("flag_bad"),
-    )
-    clean = clean_status(F.col("raw"))
-    bad_raw = F.col("raw").isNotNull() & ~F.col("raw").isin(*vals)
-    totals = grouped.agg(
-        F.sum("b_id_null").alias("b_id_null"),
-        F.sum(F.when(F.col("raw").isNull(), F.col("n")).otherwise(0)).alias("b_status_null"),
-        F.count_distinct(F.when(bad_raw, F.col("raw"))).alias("b_status_bad"),
-        F.sum("s_id_null").alias("s_id_null"),
-        F.sum(F.when(clean.isNull(), F.col("n")).otherwise(0)).alias("s_status_null"),
-        F.count_distinct(F.when(clean.isNotNull() & ~clean.isin(*vals), clean)).alias("s_status_bad"),
-        F.sum(F.when(F.col("is_deleted").isNull(), F.col("n")).otherwise(0)).alias("s_flag_null"),
-        F.count_distinct(F.when(F.col("is_deleted").isNotNull() & ~F.col("is_deleted").isin(0, 1), F.col("is_deleted"))).alias("s_flag_bad"),
-        F.sum("flag_bad").alias("s_flag_inconsistent"),
-    )
-    spec = [
-        (bronze_model, "not_null", "id", "b_id_null"),
-        (bronze_model, "not_null", "lastStatus", "b_status_null"),
-        (bronze_model, "accepted_values", "lastStatus", "b_status_bad"),
-        (silver_model, "not_null", "id", "s_id_null"),
-        (silver_model, "not_null", "last_status", "s_status_null"),
-        (silver_model, "accepted_values", "last_status", "s_status_bad"),
-        (silver_model, "not_null", "is_deleted", "s_flag_null"),
-        (silver_model, "accepted_values", "is_deleted", "s_flag_bad"),
-        (silver_model, "assert_silver_is_deleted_consistent", None, "s_flag_inconsistent"),
-    ]
+def _rows(totals: DataFrame, spec: Sequence[tuple[str, str, str | None, str]]) -> DataFrame:
+    """One-row totals as check rows: (model, test_name, column_name, column of the total)."""
     rows = F.array(
         *[
             F.struct(
@@ -338,50 +286,110 @@ def row_checks_fused(bronze: DataFrame, bronze_model: str, silver_model: str, st
     return totals.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def _outside(column: Column, values: Sequence) -> Column:
+    return F.count_distinct(F.when(column.isNotNull() & ~column.isin(*values), column))
+
+
+def row_checks(
+    bronze: DataFrame, silver: DataFrame, bronze_model: str, silver_model: str, statuses: Sequence[str]
+) -> DataFrame:
+    """The row-level generic checks of Bronze and Silver (not_null x5, accepted_values x3) and the
+    Silver ``is_deleted`` consistency test: one scan of each table.
+
+    Each table is first reduced to counts by (status, flag), a handful of groups with partial
+    aggregation before the shuffle; every total is read off those."""
+    vals = list(statuses)
+    b = bronze.groupBy(F.col("lastStatus").alias("status")).agg(
+        F.count_if(F.col("id").isNull()).alias("id_null"), F.count(F.lit(1)).alias("n")
+    )
+    b = b.agg(
+        F.sum("id_null").alias("id_null"),
+        F.sum(F.when(F.col("status").isNull(), F.col("n")).otherwise(0)).alias("status_null"),
+        _outside(F.col("status"), vals).alias("status_bad"),
+    )
+    wrong = (F.col("deleted_at").isNotNull() & (F.col("is_deleted") != 1)) | (
+        F.col("deleted_at").isNull() & (F.col("is_deleted") != 0)
+    )
+    s = silver.groupBy(F.col("last_status").alias("status"), F.col("is_deleted").alias("flag")).agg(
+        F.count_if(F.col("id").isNull()).alias("id_null"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(wrong).alias("flag_wrong"),
+    )
+    s = s.agg(
+        F.sum("id_null").alias("id_null"),
+        F.sum(F.when(F.col("status").isNull(), F.col("n")).otherwise(0)).alias("status_null"),
+        _outside(F.col("status"), vals).alias("status_bad"),
+        F.sum(F.when(F.col("flag").isNull(), F.col("n")).otherwise(0)).alias("flag_null"),
+        _outside(F.col("flag"), (0, 1)).alias("flag_bad"),
+        F.sum("flag_wrong").alias("flag_wrong"),
+    )
+    return _rows(
+        b,
+        [
+            (bronze_model, "not_null", "id", "id_null"),
+            (bronze_model, "not_null", "lastStatus", "status_null"),
+            (bronze_model, "accepted_values", "lastStatus", "status_bad"),
+        ],
+    ).unionByName(
+        _rows(
+            s,
+            [
+                (silver_model, "not_null", "id", "id_null"),
+                (silver_model, "not_null", "last_status", "status_null"),
+                (silver_model, "accepted_values", "last_status", "status_bad"),
+                (silver_model, "not_null", "is_deleted", "flag_null"),
+                (silver_model, "accepted_values", "is_deleted", "flag_bad"),
+                (silver_model, "assert_silver_is_deleted_consistent", None, "flag_wrong"),
+            ],
+        )
+    )
+
+
+def layer_checks(
+    bronze: DataFrame, silver: DataFrame, bronze_model: str, silver_model: str, statuses: Sequence[str]
+) -> DataFrame:
+    """All Bronze and Silver checks over the tables given."""
+    return row_checks(bronze, silver, bronze_model, silver_model, statuses).unionByName(
+        unique_ids({bronze_model: bronze, silver_model: silver})
+    )
+
+
 def incremental_layer_checks(
     bronze: DataFrame,
+    silver: DataFrame,
     batch: DataFrame,
     months: Sequence[int | None],
     bronze_model: str,
     silver_model: str,
     statuses: Sequence[str],
-    max_broadcast_ids: int = 5_000_000,
 ) -> DataFrame:
-    """Bronze/Silver checks of one load, given that the table passed them before the load.
+    """Bronze/Silver checks of one load, given that the tables passed them before the load.
 
     A load only rewrites the months of its batch, so row-level checks read those months only
-    (partition pruning on ``created_month``). Uniqueness can only break for ids that share a trimmed
-    value with a batch id, so it runs over the Bronze rows semi-joined to the batch's trimmed ids
-    (broadcast after a size check, shuffled otherwise), not over the whole table."""
+    (partition pruning on ``created_month``, which Silver must carry too). Uniqueness can only break
+    for ids that share a trimmed value with a batch id, so it runs over the rows semi-joined to the
+    batch's trimmed ids (broadcast after a size check, shuffled otherwise)."""
     from tierwise.functions import clean_text
     from tierwise.operators.extensions import broadcast_if_small
-
     from tierwise.operators.load import months_filter
 
-    touched = bronze.filter(months_filter(months))
-    keys = broadcast_if_small(
-        batch.select(clean_text("id").alias("_bt")).filter(F.col("_bt").isNotNull()).distinct(), max_broadcast_ids
-    )
-    related = bronze.join(keys, clean_text(bronze["id"]) == keys["_bt"], "left_semi")
-    return row_checks_fused(touched, bronze_model, silver_model, statuses).unionByName(
-        unique_ids_fused(related, bronze_model, silver_model)
-    )
+    ids = batch.select(clean_text("id").alias("_bt")).filter(F.col("_bt").isNotNull()).distinct()
+    keys = broadcast_if_small(ids)
 
+    def related(df: DataFrame) -> DataFrame:
+        return df.join(keys, clean_text(df["id"]) == keys["_bt"], "left_semi")
 
-def dq_suite_summary(
-    layers: dict[str, DataFrame], statuses: Sequence[str], silver_from_bronze: bool = False
-) -> DataFrame:
-    """All 23 checks (19 generic + 4 singular) as ``(model, test_name, column_name, failures)``.
+    touched = months_filter(months)
+    return row_checks(bronze.filter(touched), silver.filter(touched), bronze_model, silver_model, statuses).unionByName(
+        unique_ids({bronze_model: related(bronze), silver_model: related(silver)})
+    )
 
-    With ``silver_from_bronze`` (Silver is the cleansing view of the given Bronze) the two
-    ``unique(id)`` checks share one shuffle."""
+
+def dq_suite_summary(layers: dict[str, DataFrame], statuses: Sequence[str]) -> DataFrame:
+    """All 23 checks (19 generic + 4 singular) as ``(model, test_name, column_name, failures)``, over the
+    tables of ``layers``: Silver's checks read Silver."""
     b, s = "bronze_retail_transactions", "silver_retail_transactions_cleansed"
-    if not silver_from_bronze:
-        return summarise(generic_checks(layers, statuses) + singular_checks(layers))
     gold_layers = {k: v for k, v in layers.items() if k not in (b, s)}
-    gold_checks = [c for c in generic_checks(layers, statuses, only_gold=True)] + singular_checks(gold_layers)
-    return (
-        summarise(gold_checks)
-        .unionByName(row_checks_fused(layers[b], b, s, statuses))
-        .unionByName(unique_ids_fused(layers[b], b, s))
-    )
+    gold_checks = generic_checks(layers, statuses, only_gold=True) + singular_checks(gold_layers)
+    layer_rows = layer_checks(layers[b], layers[s], b, s, statuses)
+    return layer_rows.unionByName(summarise(gold_checks)) if gold_checks else layer_rows

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def silver_cleansed(bronze: DataFrame) -> DataFrame:
+def silver_cleansed(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """camelCase -> snake_case, ``trim`` (spaces only) on the text columns, ``upper(trim(.))`` on the
-    status and ``is_deleted`` = 1 exactly when ``deletedAt`` is set (an int flag, never NULL)."""
+    status and ``is_deleted`` = 1 exactly when ``deletedAt`` is set (an int flag, never NULL). ``keep``
+    names Bronze columns to carry along (the partition column, for pruned checks)."""
     return bronze.selectExpr(
         "trim(id) AS id",
         "trim(customerId) AS customer_id",
@@ -19,4 +20,5 @@ def silver_cleansed(bronze: DataFrame) -> DataFrame:
         "deletedAt AS deleted_at",
         "load_at",
         "CAST(CASE WHEN deletedAt IS NOT NULL THEN 1 ELSE 0 END AS INT) AS is_deleted",
+        *keep,
     )

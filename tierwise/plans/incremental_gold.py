@@ -38,10 +38,10 @@ def in_flight(silver: DataFrame) -> DataFrame:
     )
 
 
-def update_in_flight(old: DataFrame, batch_silver: DataFrame, max_broadcast_ids: int = 10_000_000) -> DataFrame:
+def update_in_flight(old: DataFrame, batch_silver: DataFrame) -> DataFrame:
     """Replace the batch ids' rows: drop them (anti join on the size-checked broadcast batch ids) and
     add back those whose new version is still in flight."""
-    ids = broadcast_if_small(batch_silver.select("id"), max_broadcast_ids, materialize=False)
+    ids = broadcast_if_small(batch_silver.select("id"), materialize=False)
     return old.join(ids, "id", "left_anti").unionByName(in_flight(batch_silver))
 
 
@@ -50,11 +50,10 @@ def update_cube(
     new_bronze: DataFrame,
     dates: DataFrame,
     as_of: str,
-    max_broadcast_dates: int = 100_000,
 ) -> DataFrame:
     """Cube rows of untouched dates are kept; affected dates are recomputed from the Bronze months
     that hold them. Dates match null-safely (a NULL ``createdAt`` is its own date)."""
-    d = broadcast_if_small(dates, max_broadcast_dates, materialize=False)
+    d = broadcast_if_small(dates, materialize=False)
     keep = old_cube.join(d, old_cube["transaction_date"].eqNullSafe(d["transaction_date"]), "left_anti")
     months = [r[0] for r in dates.select(month_key("transaction_date").alias("m")).distinct().collect()]
     src = new_bronze.filter(months_filter(months))

@@ -18,7 +18,7 @@ TS_AS_OF = f"TIMESTAMP '{AS_OF}'"
 _RT_K = f"""
 rt_k AS (
   SELECT o.o_orderkey AS k,
-         'TRX-' || lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0') AS id,
+         'TRX-' || repeat('0', greatest(0, 8 - length(CAST(o.o_orderkey AS VARCHAR)))) || CAST(o.o_orderkey AS VARCHAR) AS id,
          'CUST-' || CAST(o.o_custkey AS VARCHAR) AS "customerId",
          CASE o.o_orderkey % 6 WHEN 0 THEN 'BOOKED' WHEN 1 THEN 'PROCESSING' WHEN 2 THEN 'IN_TRANSIT'
               WHEN 3 THEN 'OUT_FOR_DELIVERY' WHEN 4 THEN 'DELIVERED' ELSE 'CANCELLED' END AS "lastStatus",
@@ -72,23 +72,25 @@ def _silver_of(bronze: str, name: str) -> str:
 # dirty source (planted violations)
 _DIRTY = """
 dirty_k AS (
-  SELECT k, id, ' ' || "customerId" AS "customerId",
+  SELECT k, copy,
+         CASE WHEN k % 157 = 0 THEN NULL WHEN k % 151 = 0 AND copy = 1 THEN id || ' '
+              WHEN k % 149 = 0 THEN ' ' || id || '  ' ELSE id END AS id,
+         ' ' || "customerId" AS "customerId",
          CASE WHEN k % 107 = 0 THEN NULL
               WHEN k % 103 = 0 THEN 'DELIVRED'
               WHEN k % 101 = 0 THEN '  ' || lower("lastStatus") || ' '
               ELSE "lastStatus" END AS "lastStatus",
-         "posOrigin", "posDestination",
+         CASE WHEN k % 163 = 0 THEN NULL WHEN k % 167 = 0 THEN ' ' || "posOrigin" || ' ' ELSE "posOrigin" END AS "posOrigin",
+         CASE WHEN k % 173 = 0 THEN '  ' || "posDestination" ELSE "posDestination" END AS "posDestination",
          CASE WHEN k % 113 = 0 THEN NULL ELSE "createdAt" END AS "createdAt",
-         CASE WHEN k % 109 = 0 THEN "createdAt" - to_seconds(172800) ELSE "updatedAt" END AS "updatedAt",
+         CASE WHEN k % 139 = 0 THEN NULL
+              WHEN k % 109 = 0 THEN "createdAt" - to_seconds(172800) ELSE "updatedAt" END AS "updatedAt",
          "deletedAt"
-  FROM rtk
+  FROM (SELECT *, 0 AS copy FROM rtk UNION ALL SELECT *, 1 AS copy FROM rtk WHERE k % 97 = 0 OR k % 151 = 0)
 ),
 dirty AS (
   SELECT id, "customerId", "lastStatus", "posOrigin", "posDestination", "createdAt", "updatedAt", "deletedAt"
   FROM dirty_k
-  UNION ALL
-  SELECT id, "customerId", "lastStatus", "posOrigin", "posDestination", "createdAt", "updatedAt", "deletedAt"
-  FROM dirty_k WHERE k % 97 = 0
 )"""
 
 
@@ -222,7 +224,7 @@ allb AS (
 log AS (
   SELECT * EXCLUDE (load_no),
          CAST(year("createdAt") * 100 + month("createdAt") AS INTEGER) AS created_month
-  FROM allb
+  FROM (SELECT * FROM allb UNION ALL SELECT * REPLACE (load_at + INTERVAL 1 HOUR AS load_at) FROM allb)
 ),
 final_bronze AS (
   SELECT * EXCLUDE (rn, load_no)
@@ -269,13 +271,13 @@ def _suite_rows() -> str:
         row(b, "not_null", "lastStatus", 'SELECT count(*) FROM dbronze WHERE "lastStatus" IS NULL'),
         row(b, "accepted_values", "lastStatus",
             f'SELECT count(DISTINCT "lastStatus") FROM dbronze WHERE "lastStatus" NOT IN {_STATUS_LIST}'),
-        row(s, "unique", "id", "SELECT count(*) FROM (SELECT id FROM dsilver WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
-        row(s, "not_null", "id", "SELECT count(*) FROM dsilver WHERE id IS NULL"),
-        row(s, "not_null", "last_status", "SELECT count(*) FROM dsilver WHERE last_status IS NULL"),
+        row(s, "unique", "id", "SELECT count(*) FROM (SELECT id FROM dsflip WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)"),
+        row(s, "not_null", "id", "SELECT count(*) FROM dsflip WHERE id IS NULL"),
+        row(s, "not_null", "last_status", "SELECT count(*) FROM dsflip WHERE last_status IS NULL"),
         row(s, "accepted_values", "last_status",
-            f"SELECT count(DISTINCT last_status) FROM dsilver WHERE last_status NOT IN {_STATUS_LIST}"),
-        row(s, "not_null", "is_deleted", "SELECT count(*) FROM dsilver WHERE is_deleted IS NULL"),
-        row(s, "accepted_values", "is_deleted", "SELECT count(DISTINCT is_deleted) FROM dsilver WHERE is_deleted NOT IN (0, 1)"),
+            f"SELECT count(DISTINCT last_status) FROM dsflip WHERE last_status NOT IN {_STATUS_LIST}"),
+        row(s, "not_null", "is_deleted", "SELECT count(*) FROM dsflip WHERE is_deleted IS NULL"),
+        row(s, "accepted_values", "is_deleted", "SELECT count(DISTINCT is_deleted) FROM dsflip WHERE is_deleted NOT IN (0, 1)"),
     ]
     gold_nn = [
         ("gold_daily_transaction_comprehensive", "dm2", ("transaction_date", "total_transactions", "total_soft_deleted")),
@@ -288,7 +290,7 @@ def _suite_rows() -> str:
         for c in cols:
             rows.append(row(model, "not_null", c, f"SELECT count(*) FROM {rel} WHERE {c} IS NULL"))
     rows.append(row(s, "assert_silver_is_deleted_consistent", None,
-                    "SELECT count(*) FROM dsilver WHERE (deleted_at IS NOT NULL AND is_deleted != 1) "
+                    "SELECT count(*) FROM dsflip WHERE (deleted_at IS NOT NULL AND is_deleted != 1) "
                     "OR (deleted_at IS NULL AND is_deleted != 0)"))
     rows.append(row("gold_daily_transaction_valid+gold_daily_transaction_comprehensive",
                     "assert_gold_daily_grain_unique", None,
@@ -383,7 +385,7 @@ UNION ALL SELECT 'gold', 'gold_delivery_success_rate', count(*) FROM m5"""
 
     # reports and reconciliation
     q["top_routes"] = CLEAN_BUILD + """
-SELECT pos_origin, pos_destination, total_packages, success_rate_pct FROM m5
+SELECT pos_origin, pos_destination, total_packages, total_delivered, success_rate_pct FROM m5
 ORDER BY total_packages DESC, pos_origin NULLS FIRST, pos_destination NULLS FIRST LIMIT 4"""
     q["recent_soft_deletes"] = BASE + """
 SELECT id, last_status, deleted_at, is_deleted, updated_at, load_at FROM silver WHERE is_deleted = 1
@@ -456,7 +458,12 @@ WHERE fastest_delivery_hours < 0 OR avg_delivery_time_hours < 0 OR slowest_deliv
 SELECT pos_origin, pos_destination, success_rate_pct, cancelled_rate_pct FROM planted
 WHERE success_rate_pct < 0 OR success_rate_pct > 100 OR cancelled_rate_pct < 0 OR cancelled_rate_pct > 100
    OR (success_rate_pct + cancelled_rate_pct) > 100.01"""
-    q["dq_suite_summary"] = DIRTY_BUILD + "\n" + _suite_rows()
+    q["dq_suite_summary"] = DIRTY_BUILD + """,
+dsflip AS (
+  SELECT * REPLACE (CAST(CASE WHEN CAST(substr(id, 5) AS BIGINT) % 127 = 0 THEN 1 - is_deleted ELSE is_deleted END AS INTEGER)
+                    AS is_deleted)
+  FROM dsilver)
+""" + _suite_rows()
 
     # extensions
     q["status_transition_audit"] = with_ctes(_RT_K, _CHG) + """,
@@ -464,13 +471,17 @@ planted AS (
   SELECT id, "customerId",
          CASE WHEN k % 89 = 0 AND "lastStatus" = 'DELIVERED' AND "deletedAt" IS NULL THEN 'PROCESSING'
               WHEN k % 79 = 0 AND "lastStatus" = 'CANCELLED' THEN 'BOOKED'
-              WHEN k % 73 = 0 AND "lastStatus" = 'IN_TRANSIT' THEN 'DELIVERED' END AS "lastStatus",
-         "posOrigin", "posDestination", "createdAt", "updatedAt" + to_seconds(3600) AS "updatedAt",
+              WHEN k % 73 = 0 AND "lastStatus" = 'IN_TRANSIT' THEN 'DELIVERED'
+              WHEN k % 71 = 0 THEN 'PROCESSING' END AS "lastStatus",
+         "posOrigin", "posDestination", "createdAt",
+         CASE WHEN (k % 89 = 0 AND "lastStatus" = 'DELIVERED' AND "deletedAt" IS NULL)
+                OR (k % 79 = 0 AND "lastStatus" = 'CANCELLED') OR (k % 73 = 0 AND "lastStatus" = 'IN_TRANSIT')
+              THEN "updatedAt" + to_seconds(3600) END AS "updatedAt",
          CAST(NULL AS TIMESTAMP) AS "deletedAt", 6 AS version
   FROM rtk),
 feed AS (SELECT * FROM chg UNION ALL SELECT * FROM planted WHERE "lastStatus" IS NOT NULL),
 moves AS (
-  SELECT id, lag("lastStatus") OVER (PARTITION BY id ORDER BY "updatedAt", version) AS from_status,
+  SELECT id, lag("lastStatus") OVER (PARTITION BY id ORDER BY "updatedAt" NULLS FIRST, version) AS from_status,
          "lastStatus" AS to_status, "updatedAt" AS updated_at
   FROM feed)
 SELECT * FROM moves
@@ -519,8 +530,8 @@ WHERE last_status NOT IN ('DELIVERED', 'CANCELLED') AND is_deleted = 0
   AND date_diff('hour', updated_at, """ + TS_AS_OF + """) >= thr
 GROUP BY 1, 2, 3"""
     q["bronze_stream_upsert"] = BASE + "\nSELECT * FROM bronze"
-    q["run_report"] = CLEAN_BUILD + """
-SELECT 'bronze_retail_transactions' AS model, 'success' AS status, (SELECT count(*) FROM bronze) AS rows,
+    q["run_report"] = CLEAN_BUILD + "," + REPLAY[len("WITH ") + len(_RT_K) + 1 :] + """
+SELECT 'bronze_retail_transactions' AS model, 'success' AS status, (SELECT count(*) FROM batch4) AS rows,
        '' AS failed_checks
 UNION ALL SELECT 'silver_retail_transactions_cleansed', 'success', CAST(NULL AS BIGINT), ''
 UNION ALL SELECT 'gold_daily_transaction_valid', 'success', (SELECT count(*) FROM m1), ''

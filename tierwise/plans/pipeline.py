@@ -22,10 +22,11 @@ from tierwise.operators.load import (
     months_filter,
     touched_months,
     watermark,
+    with_partition_column,
 )
 from tierwise.operators.silver import silver_cleansed
 from tierwise.plans import storage
-from tierwise.schemas import BRONZE_COLUMNS, STATUSES
+from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION, STATUSES
 
 BRONZE = "bronze_retail_transactions"
 SILVER = "silver_retail_transactions_cleansed"
@@ -86,7 +87,8 @@ def _later(a: str | None, b: str | None) -> str | None:
 
 def _gate(spark, source, wh, force) -> tuple[bool, str | None, bool]:
     bronze_path = wh.path("bronze", BRONZE)
-    exists = storage.path_exists(spark, bronze_path)
+    # a table without a committed month is empty: load it whole, whatever mark is stored
+    exists = bool(storage.bronze_folders(spark, bronze_path))
     wm = storage.read_watermark(spark, wh.state_path(BRONZE)) if exists else None
     return has_new_rows(source, wm, force=force, bronze_exists=exists), wm, exists
 
@@ -132,7 +134,7 @@ def build(
     staging = wh.staging_path(BRONZE)
     staged = storage.write_staging(bronze_projection(incremental_filter(source, window_wm), as_of), staging)
     stats = {"n": staged.count(), "wm": watermark(staged)}
-    existing = None if (full_refresh or not exists) else spark.read.parquet(bronze_path)
+    existing = None if (full_refresh or not exists) else storage.read_bronze(spark, bronze_path)
     gold_incremental = (
         gold_mode == "auto"
         and existing is not None
@@ -145,24 +147,29 @@ def build(
     if gold_incremental:
         # the dates this load changes, from the old versions (before they are overwritten) and the new.
         # With stable months an id's old version lives in its batch month: read only those months.
-        old = existing.filter(months_filter(months)) if key_partition_stable else existing
+        # (a repaired createdAt comes from the NULL month)
+        old = existing.filter(months_filter([*months, None])) if key_partition_stable else existing
         dates = storage.write_staging(affected_dates(old, staged), dates_path)
     carry = {k: previous.get(k) for k in ("gold_wm", "cube_path", "inflight_path")}
-    storage.write_bronze(bronze_path, staged.select(*BRONZE_COLUMNS), existing, key_partition_stable)
+    storage.write_bronze(
+        bronze_path, staged.select(*BRONZE_COLUMNS), existing is None, key_partition_stable,
+        batch_bytes=storage.folder_bytes(spark, staging),
+    )
     new_wm = _later(None if full_refresh else wm, stats["wm"])
     storage.store_watermark(spark, state_path, new_wm, as_of, stats["n"], None, **carry)  # commit point
-    bronze = spark.read.parquet(bronze_path)
+    bronze = storage.read_bronze(spark, bronze_path)
+    if bronze is None:  # a first load of an empty source
+        bronze = with_partition_column(staged)
+    silver = silver_cleansed(bronze)
     incremental = check_scope == "incremental" or (
         check_scope == "auto" and not full_refresh and existing is not None and bool(previous.get("checks_passed"))
     )
-    # Bronze and Silver row-level checks from two scans of Bronze (one grouped pre-aggregate, one
-    # id aggregation); Bronze's results gate now, Silver's are reported in its own step below.
+    # both layers are checked in one job; Bronze's results gate now, Silver's in its own step below
     if incremental:
-        layer_df = quality.incremental_layer_checks(bronze, staged, months, BRONZE, SILVER, statuses)
+        by_month = silver_cleansed(bronze, keep=(BRONZE_PARTITION,))
+        layer_df = quality.incremental_layer_checks(bronze, by_month, staged, months, BRONZE, SILVER, statuses)
     else:
-        layer_df = quality.row_checks_fused(bronze, BRONZE, SILVER, statuses).unionByName(
-            quality.unique_ids_fused(bronze, BRONZE, SILVER)
-        )
+        layer_df = quality.layer_checks(bronze, silver, BRONZE, SILVER, statuses)
     failed_by_model: dict[str, list[tuple[str, str, str | None, int]]] = {BRONZE: [], SILVER: []}
     for r in layer_df.collect():
         if r.failures:
@@ -177,7 +184,6 @@ def build(
 
     # --- Silver (a view: nothing written) ------------------------------------------------------
     started = _now()
-    silver = silver_cleansed(bronze)
     silver.createOrReplaceTempView(SILVER)
     failed = failed_by_model[SILVER]
     reports.append(StepReport(SILVER, "failed" if failed else "success", None, [f"{m}.{t}" for m, t, _, _ in failed], started, _now()))
@@ -240,8 +246,8 @@ def register_views(spark: SparkSession, wh: storage.Warehouse) -> list[str]:
     mart (``spark.sql("SELECT ... FROM gold_delivery_success_rate")``). Returns the view names."""
     names = []
     bronze_path = wh.path("bronze", BRONZE)
-    if storage.path_exists(spark, bronze_path):
-        bronze = spark.read.parquet(bronze_path)
+    bronze = storage.read_bronze(spark, bronze_path)
+    if bronze is not None:
         bronze.createOrReplaceTempView(BRONZE)
         silver_cleansed(bronze).createOrReplaceTempView(SILVER)
         names += [BRONZE, SILVER]

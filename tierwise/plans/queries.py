@@ -140,9 +140,13 @@ def q_drop_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_soft_delete_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver over Bronze after four incremental loads: soft-deleted rows present and flagged, one
+    """Silver over the written Bronze after four builds: soft-deleted rows present and flagged, one
     row per id."""
-    return silver_cleansed(sc.replay(spark, sf_dir).states[-1])
+    from tierwise.plans import pipeline, storage
+
+    for _, wh, _ in sc.shipped_loads(spark, sf_dir):
+        pass
+    return silver_cleansed(storage.read_bronze(spark, wh.path("bronze", pipeline.BRONZE)))
 
 
 def _build(bronze: DataFrame) -> dict[str, DataFrame]:
@@ -256,7 +260,10 @@ def q_dq_success_rate_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.dq_suite_summary(_dirty_build(spark, sf_dir), STATUSES, silver_from_bronze=True)
+    """The suite over the dirty build, with planted wrong flags in Silver (which Bronze cannot show)."""
+    layers = _dirty_build(spark, sf_dir)
+    silver = "silver_retail_transactions_cleansed"
+    return quality.dq_suite_summary(layers | {silver: fx.plant_flag_flips(layers[silver])}, STATUSES)
 
 
 _MORE: dict[str, Query] = {
@@ -302,10 +309,19 @@ def q_hard_delete_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_incremental_daily_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comprehensive daily mart after the last load, rebuilding only touched dates."""
-    rep = sc.replay(spark, sf_dir)
-    old_bronze, new_bronze, batch = rep.states[-2], rep.states[-1], rep.batches[-1]
-    old_mart = gold.gold_daily_transaction_comprehensive(silver_cleansed(old_bronze), fx.REPLAY_CUTS[-2])
+    """The comprehensive daily mart after the last of four builds, rebuilding only touched dates from
+    the month-partitioned Bronze before and after that build."""
+    from tierwise.plans import pipeline, storage
+    from tierwise.session import cut_lineage
+
+    for cut, wh, _ in sc.shipped_loads(spark, sf_dir):
+        path = wh.path("bronze", pipeline.BRONZE)
+        if cut == fx.REPLAY_CUTS[-2]:
+            # the next build replaces the mart; the old Bronze folders stay for one more commit
+            old_bronze = storage.read_bronze(spark, path)
+            old_mart = cut_lineage(spark.read.parquet(wh.path("gold", "gold_daily_transaction_comprehensive")))
+    new_bronze = storage.read_bronze(spark, path)
+    batch = new_bronze.filter(F.col("load_at") == ts_literal(fx.REPLAY_CUTS[-1]))
     return ext.incremental_daily_mart(old_mart, old_bronze, new_bronze, batch, fx.REPLAY_CUTS[-1])
 
 
@@ -316,30 +332,27 @@ def q_aging_with_route_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bronze_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream every version of the change feed (six appends, several micro-batches) into Bronze;
-    the end state is the source as of ``AS_OF``."""
+    """Stream every version of the change feed into Bronze; the end state is the source as of ``AS_OF``."""
     from tierwise.streaming.stream_upsert import bronze_stream_upsert
 
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     changes = fx.retail_transaction_changes(spark, sf_dir, AS_OF)
-    for j in range(6):
-        changes.filter(F.col("version") == j).write.mode("append").parquet(f"{base}/input")
+    changes.write.parquet(f"{base}/input")
     schema = spark.read.parquet(f"{base}/input").schema
     q = bronze_stream_upsert(
         spark, f"{base}/input", schema, f"{base}/bronze", f"{base}/_checkpoint", AS_OF, ("updatedAt", "version")
     )
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/bronze").select(*load.BRONZE_COLUMNS)
+    from tierwise.plans import storage
 
+    return storage.read_bronze(spark, f"{base}/bronze").select(*load.BRONZE_COLUMNS)
 
-def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E6: report of one fail-fast build of the clean source into a fresh warehouse folder. The
-    registered query keeps the deterministic columns; the pipeline's report also has ``started`` and
-    ``ended`` wall-clock times."""
-    from tierwise.plans import pipeline, storage
 
-    wh = storage.Warehouse(f"{checkpoint_dir(spark).rstrip('/')}/warehouse-{uuid.uuid4().hex}")
-    rep = pipeline.build(spark, sc.clean_source(spark, sf_dir), wh, AS_OF)
+def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6: report of the last of four builds of the shipped path. The registered query keeps the
+    deterministic columns; the pipeline's report also has ``started`` and ``ended`` wall-clock times."""
+    for _, _, rep in sc.shipped_loads(spark, sf_dir):
+        pass
     return rep.select("model", "status", "rows", F.concat_ws(",", "failed_checks").alias("failed_checks"))
 
 

@@ -2,12 +2,14 @@
 
 * Bronze is partitioned by ``created_month`` and sorted inside each month by
   ``(to_date(updatedAt), lastStatus, id)`` so Parquet min/max statistics skip row groups.
-* A load rewrites only the months present in its batch (``createdAt`` never changes, so an id
-  never leaves its month), with ``partitionOverwriteMode=dynamic`` set on the write, not in the
-  session. Spark stages the new files and swaps the touched month folders at job commit, so tasks
-  that are retried after an executor loss still read the old, intact files.
-* The watermark is stored apart and advanced only after the Bronze write has returned: a run that
-  dies half way re-reads the same window next time, and the keyed upsert makes that harmless.
+* A load writes the months it touches to a new folder (``gen=<id>/created_month=<m>``); no file is
+  ever replaced or renamed. The table is what the newest manifest says, a small record that maps
+  each month to its folder and is written last. A run that dies before that leaves the old table,
+  whole; a first load and a full refresh are committed the same way. Folders that neither of the
+  two newest manifests names are removed after a commit.
+* Records (manifests, load states) are numbered folders that count once Spark's success marker is
+  in them; the newest counts. The watermark is recorded after the Bronze commit: a run that dies in
+  between re-reads the same window next time, and the keyed upsert makes that harmless.
 * Gold marts are fully rebuilt (overwrite) and written range-partitioned and sorted by their
   configured order.
 """
@@ -23,13 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.operators.load import (
-    latest_per_key,
     months_filter,
     touched_months,
     upsert_by_key,
     with_partition_column,
 )
-from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION, WRITE_ORDER
+from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION, STATUSES, WRITE_ORDER
 
 
 # --- S14 ------------------------------------------------------------------------------------
@@ -84,6 +85,39 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path`` (0 if it is not there)."""
+    fs, p = _hadoop_fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _hadoop_fs(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+# --- committed records -------------------------------------------------------------------------
+def record_versions(spark: SparkSession, base: str) -> list[str]:
+    """Folders of the committed records below ``base``, oldest first."""
+    found = [n for n in child_names(spark, base) if n.startswith("v=")]
+    return [f"{base}/{n}" for n in found if path_exists(spark, f"{base}/{n}/_SUCCESS")]
+
+
+def commit_record(spark: SparkSession, base: str, rows: list[tuple], schema: T.StructType, keep: int = 5) -> None:
+    """Write ``rows`` as the newest record: it counts from the moment its success marker exists."""
+    numbers = [int(n[2:]) for n in child_names(spark, base) if n.startswith("v=")]
+    path = f"{base}/v={max(numbers, default=0) + 1:012d}"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("errorifexists").json(path)
+    for old in record_versions(spark, base)[:-keep]:
+        delete_path(spark, old)
+
+
+def newest_record(spark: SparkSession, base: str, schema: T.StructType, back: int = 0) -> list:
+    """Rows of the newest record (or the one ``back`` before it); none without a record."""
+    versions = record_versions(spark, base)
+    return spark.read.schema(schema).json(versions[-1 - back]).collect() if len(versions) > back else []
+
+
 # --- S9 / S12 ----------------------------------------------------------------------------------
 def _order_columns(order: Sequence[str]) -> list[Column]:
     cols = []
@@ -92,12 +126,20 @@ def _order_columns(order: Sequence[str]) -> list[Column]:
     return cols
 
 
-def sorted_for_write(df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+TARGET_PARTITION_BYTES = 256 << 20
+
+
+def sorted_for_write(
+    df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), size_bytes: int | None = None
+) -> DataFrame:
     """Range-partition on ``(partition_by..., order...)`` and sort within partitions: every task
     writes a contiguous key range (tight min/max per file), and a hot partition value is split
-    across tasks by the secondary keys instead of landing in one task."""
+    across tasks by the secondary keys instead of landing in one task. ``size_bytes``, the size of
+    what is read for the write, sets the number of partitions; without it the session does."""
     keys = [F.col(c) for c in partition_by] + _order_columns(order)
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if size_bytes is None:
+        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return df.repartitionByRange(max(1, -(-size_bytes // TARGET_PARTITION_BYTES)), *keys).sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, table: str) -> None:
@@ -115,93 +157,115 @@ def write_staging(df: DataFrame, path: str) -> DataFrame:
 
 
 # --- S8 + S6 on disk -------------------------------------------------------------------------
+MANIFEST_SCHEMA = T.StructType(
+    [T.StructField("month", T.IntegerType(), True), T.StructField("folder", T.StringType(), False)]
+)
+
+
+def bronze_folders(spark: SparkSession, bronze_path: str, back: int = 0) -> dict[int | None, str]:
+    """The committed Bronze: month -> folder (relative). Empty before the first commit."""
+    return {r["month"]: r["folder"] for r in newest_record(spark, f"{bronze_path}/_manifest", MANIFEST_SCHEMA, back)}
+
+
+def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """The committed Bronze with its ``created_month`` partition column, or ``None`` if it has no month."""
+    folders = [f"{bronze_path}/{f}" for f in bronze_folders(spark, bronze_path).values()]
+    if not folders:
+        return None
+    df = spark.read.option("basePath", bronze_path).parquet(*folders).drop("gen")
+    if not isinstance(df.schema[BRONZE_PARTITION].dataType, T.IntegerType):  # only the NULL month
+        df = df.withColumn(BRONZE_PARTITION, F.col(BRONZE_PARTITION).cast("int"))
+    return df
+
+
+def _month_of(folder: str) -> int | None:
+    value = folder.rsplit("=", 1)[1]
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else int(value)
+
+
+def _commit_bronze(spark: SparkSession, bronze_path: str, folders: dict[int | None, str]) -> None:
+    rows = sorted(folders.items(), key=lambda x: (x[0] is not None, x[0] or 0))
+    commit_record(spark, f"{bronze_path}/_manifest", rows, MANIFEST_SCHEMA)
+    named = set(folders.values()) | set(bronze_folders(spark, bronze_path, 1).values())
+    for gen in (n for n in child_names(spark, bronze_path) if n.startswith("gen=")):
+        for month in child_names(spark, f"{bronze_path}/{gen}"):
+            if "=" in month and f"{gen}/{month}" not in named:
+                delete_path(spark, f"{bronze_path}/{gen}/{month}")
+
+
 def write_bronze(
     bronze_path: str,
     batch: DataFrame,
-    existing: DataFrame | None,
+    replace: bool = False,
     key_partition_stable: bool = True,
     newer_wins: bool = False,
-    max_broadcast_keys: int = 10_000_000,
+    batch_bytes: int | None = None,
 ) -> None:
-    """Upsert ``batch`` into the month-partitioned Bronze at ``bronze_path``.
-
-    * First load: write the batch partitioned by month.
-    * Stable months (default): read only the months the batch touches (partition pruning), upsert
-      them, and replace just those month folders (dynamic partition overwrite).
-    * ``key_partition_stable=False`` (an id may change month): upsert against the whole table and
-      write a complete new copy next to it, then swap folders (the old copy is removed only after the
-      new one is complete).
+    """Upsert ``batch`` into the month-partitioned Bronze at ``bronze_path`` and commit it.
+
+    * First load, or ``replace`` (full refresh): the batch is the whole table.
+    * Stable months (default): read only the months the batch touches and the NULL month (whose ids
+      move when ``createdAt`` is repaired), upsert them, and write just those anew.
+    * ``key_partition_stable=False`` (an id may change month): all months are read and written anew.
     * ``newer_wins``: instead of "the batch always wins", a batch row replaces the stored one only
-      if its ``(updatedAt, load_at)`` is not older (streams: replays and out-of-order files cannot
-      regress a row).
+      if its ``(updatedAt, stage)`` is not older, where ``stage`` is the row's place in the life
+      cycle (streams: replays and out-of-order files cannot regress a row, not even at equal times).
 
-    The batch's ids are broadcast to the anti join when a count proves at most
-    ``max_broadcast_keys`` of them (the batch is staged on disk, so the count is a cheap scan); then
-    the touched months (terabytes at scale) are never shuffled. Above the bound the join shuffles.
+    The batch's ids are broadcast to the anti join when their checked size allows (the batch is staged
+    on disk, so the check is a cheap scan); then the touched months (terabytes at scale) are never
+    shuffled by id. Above the bound the join shuffles.
     """
+    from tierwise.operators.extensions import broadcast_if_small
+
     spark = batch.sparkSession
     batch_p = with_partition_column(batch.select(*BRONZE_COLUMNS))
     order = WRITE_ORDER["bronze_retail_transactions"]
-    if existing is None:
-        sorted_for_write(batch_p, order, [BRONZE_PARTITION]).write.mode("overwrite").partitionBy(
-            BRONZE_PARTITION
-        ).parquet(bronze_path)
-        return
-    if key_partition_stable:
-        # months are a handful of scalars per batch (bounded by the calendar, not by the data)
-        touched = existing.filter(months_filter(touched_months(batch_p))).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
-        from tierwise.operators.extensions import broadcast_if_small
-
+    folders = {} if replace else bronze_folders(spark, bronze_path)
+    read: list[int | None] = []
+    if folders:
+        read = list(folders)
+        if key_partition_stable:
+            # months are a handful of scalars per batch (bounded by the calendar, not by the data)
+            read = [m for m in {*touched_months(batch_p), None} if m in folders]
+    merged = batch_p
+    if read:
+        stored = read_bronze(spark, bronze_path).filter(months_filter(read)).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
         effective = batch_p
         if newer_wins:
-            # batch rows whose stored version is newer are dropped first: a join of the touched
-            # months with the (broadcast) batch versions, so the months are scanned, not shuffled
-            versions = broadcast_if_small(
-                batch_p.select("id", F.struct("updatedAt", "load_at").alias("_bv")), max_broadcast_keys, materialize=False
-            )
-            stale = (
-                touched.join(versions, "id")
-                .filter(F.struct("updatedAt", "load_at") > F.col("_bv"))
-                .select("id")
-                .distinct()
-            )
+            # batch rows whose stored version is newer are dropped first: a join of the months read
+            # with the (broadcast) batch versions, so the months are scanned, not shuffled
+            versions = broadcast_if_small(batch_p.select("id", version_of().alias("_bv")), materialize=False)
+            stale = stored.join(versions, "id").filter(version_of() > F.col("_bv")).select("id").distinct()
             effective = batch_p.join(stale, "id", "left_anti")
-        keys = broadcast_if_small(effective.select("id"), max_broadcast_keys, materialize=False)
-        merged = upsert_by_key(touched, effective, "id", batch_keys=keys)
-        (
-            sorted_for_write(merged, order, [BRONZE_PARTITION])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BRONZE_PARTITION)
-            .parquet(bronze_path)
-        )
-        return
-    whole = existing.select(*BRONZE_COLUMNS, BRONZE_PARTITION)
-    if newer_wins:
-        merged = latest_per_key(whole.unionByName(batch_p), ["id"], ["updatedAt", "load_at"])
-    else:
-        merged = upsert_by_key(whole, batch_p, "id")
-    tmp = f"{bronze_path.rstrip('/')}__next"
-    sorted_for_write(merged, order, [BRONZE_PARTITION]).write.mode("overwrite").partitionBy(
-        BRONZE_PARTITION
-    ).parquet(tmp)
-    fs, old = _hadoop_fs(spark, bronze_path)
-    _, new = _hadoop_fs(spark, tmp)
-    _, bak = _hadoop_fs(spark, f"{bronze_path.rstrip('/')}__old")
-    fs.delete(bak, True)
-    fs.rename(old, bak)
-    fs.rename(new, old)
-    fs.delete(bak, True)
+        keys = broadcast_if_small(effective.select("id"), materialize=False)
+        merged = upsert_by_key(stored, effective, "id", batch_keys=keys)
+    size = sum(folder_bytes(spark, f"{bronze_path}/{folders[m]}") for m in read)
+    gen = f"gen={uuid.uuid4().hex}"
+    sized = None if batch_bytes is None else size + batch_bytes
+    sorted_for_write(merged, order, [BRONZE_PARTITION], sized).write.partitionBy(BRONZE_PARTITION).parquet(f"{bronze_path}/{gen}")
+    kept = {m: f for m, f in folders.items() if m not in read}
+    fresh = [n for n in child_names(spark, f"{bronze_path}/{gen}") if n.startswith(f"{BRONZE_PARTITION}=")]
+    _commit_bronze(spark, bronze_path, kept | {_month_of(n): f"{gen}/{n}" for n in fresh})
+
+
+def version_of() -> Column:
+    """What orders two versions of a row: the update time, then the place in the life cycle (a soft
+    delete after all)."""
+    stage = F.lit(-1)
+    for i, status in enumerate(STATUSES):
+        stage = F.when(F.col("lastStatus") == status, F.lit(i)).otherwise(stage)
+    return F.struct(F.col("updatedAt"), F.col("deletedAt").isNotNull().alias("_gone"), stage.alias("_stage"))
 
 
 # --- S15 on disk ----------------------------------------------------------------------------
 def drop_month_partitions(spark: SparkSession, bronze_path: str, months: Sequence[int]) -> list[int]:
-    """Retention: delete whole month folders (no data is rewritten). Returns the months removed."""
-    removed = []
-    for m in months:
-        if delete_path(spark, f"{bronze_path.rstrip('/')}/{BRONZE_PARTITION}={int(m)}"):
-            removed.append(int(m))
-    return removed
+    """Retention: months leave the manifest (no data is rewritten; their folders go with the next
+    commits). Returns the months removed."""
+    folders = bronze_folders(spark, bronze_path)
+    gone = [int(m) for m in months if int(m) in folders]
+    if gone:
+        _commit_bronze(spark, bronze_path, {m: f for m, f in folders.items() if m not in gone})
+    return gone
 
 
 # --- stored watermark -----------------------------------------------------------------------
@@ -221,10 +285,8 @@ STATE_SCHEMA = T.StructType(
 
 def read_state(spark: SparkSession, state_path: str) -> dict | None:
     """The committed load state ``{watermark, load_at, batch_rows, checks_passed}`` or ``None``."""
-    if not path_exists(spark, state_path):
-        return None
-    row = spark.read.schema(STATE_SCHEMA).json(state_path).first()
-    return None if row is None else row.asDict()
+    rows = newest_record(spark, state_path, STATE_SCHEMA)
+    return rows[0].asDict() if rows else None
 
 
 def read_watermark(spark: SparkSession, state_path: str) -> str | None:
@@ -248,4 +310,4 @@ def store_watermark(
     unknown at that moment and recorded by a later call once the checks have run; the Gold fields
     are carried over until Gold is rebuilt)."""
     row = (wm, load_at, int(batch_rows), checks_passed, gold_wm, cube_path, inflight_path)
-    spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("overwrite").json(state_path)
+    commit_record(spark, state_path, [row], STATE_SCHEMA)

@@ -6,7 +6,7 @@ row), ``snapshot_at`` (the source as it stood at a cut time) and ``retail_transa
 work grows with the tables. All timestamps are ``timestamp_ntz`` (zone-free).
 
 Per order key ``k``:
-  id             'TRX-' || lpad(k, 8, '0')
+  id             'TRX-' || k padded with zeros to 8 digits (longer keys stay whole)
   customerId     'CUST-' || o_custkey
   lastStatus     STATUSES[k % 6]
   posOrigin      nation name of the customer
@@ -53,7 +53,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_key_of(id_col: Column) -> Column:
-    """Recover ``k`` from ``TRX-nnnnnnnn``."""
+    """Recover ``k`` from ``TRX-n...`` (eight digits or more)."""
     return F.substring(id_col, 5, 64).cast("bigint")
 
 
@@ -83,7 +83,7 @@ def _keyed_rows(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
     )
     return base.selectExpr(
         "o_orderkey AS k",
-        "concat('TRX-', lpad(CAST(o_orderkey AS STRING), 8, '0')) AS id",
+        "concat('TRX-', lpad(CAST(o_orderkey AS STRING), greatest(8, length(CAST(o_orderkey AS STRING))), '0')) AS id",
         "concat('CUST-', CAST(o_custkey AS STRING)) AS customerId",
         f"element_at(array({_sql_list(STATUSES)}), CAST(o_orderkey % 6 + 1 AS INT)) AS lastStatus",
         "posOrigin",
@@ -164,23 +164,31 @@ def retail_transactions_dirty(spark: SparkSession, sf_dir: str, as_of: str = AS_
       ``'  ' || lower(status) || ' '`` if ``k % 101 = 0``;
     * ``customerId`` with a leading space (every row);
     * ``createdAt`` NULL if ``k % 113 = 0``;
-    * ``updatedAt = createdAt - 2 days`` if ``k % 109 = 0`` (original ``createdAt``);
-    * rows with ``k % 97 = 0`` appear twice (``explode`` of a 1- or 2-element array: one scan, no
-      self-union).
+    * ``updatedAt = createdAt - 2 days`` if ``k % 109 = 0`` (original ``createdAt``), NULL if
+      ``k % 139 = 0``;
+    * rows with ``k % 97 = 0`` or ``k % 151 = 0`` appear twice (``explode`` of a 1- or 2-element
+      array: one scan, no self-union);
+    * ``id`` NULL if ``k % 157 = 0``; the second copy of ``k % 151 = 0`` has a trailing space (unique
+      in Bronze, not in Silver); spaces on both sides if ``k % 149 = 0``;
+    * ``posOrigin`` NULL if ``k % 163 = 0``, with spaces on both sides if ``k % 167 = 0``;
+      ``posDestination`` with two leading spaces if ``k % 173 = 0``.
     """
     return (
         _keyed_rows(spark, sf_dir, as_of)
+        .selectExpr("*", "explode(CASE WHEN k % 97 = 0 OR k % 151 = 0 THEN array(0, 1) ELSE array(0) END) AS _copy")
         .selectExpr(
-            "id",
+            "CASE WHEN k % 157 = 0 THEN CAST(NULL AS STRING) WHEN k % 151 = 0 AND _copy = 1 THEN concat(id, ' ')"
+            " WHEN k % 149 = 0 THEN concat(' ', id, '  ') ELSE id END AS id",
             "concat(' ', customerId) AS customerId",
             "CASE WHEN k % 107 = 0 THEN CAST(NULL AS STRING) WHEN k % 103 = 0 THEN 'DELIVRED'"
             " WHEN k % 101 = 0 THEN concat('  ', lower(lastStatus), ' ') ELSE lastStatus END AS lastStatus",
-            "posOrigin",
-            "posDestination",
+            "CASE WHEN k % 163 = 0 THEN CAST(NULL AS STRING) WHEN k % 167 = 0 THEN concat(' ', posOrigin, ' ')"
+            " ELSE posOrigin END AS posOrigin",
+            "CASE WHEN k % 173 = 0 THEN concat('  ', posDestination) ELSE posDestination END AS posDestination",
             "CASE WHEN k % 113 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ) ELSE createdAt END AS createdAt",
-            "CASE WHEN k % 109 = 0 THEN timestampadd(SECOND, -172800, createdAt) ELSE updatedAt END AS updatedAt",
+            "CASE WHEN k % 139 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ)"
+            " WHEN k % 109 = 0 THEN timestampadd(SECOND, -172800, createdAt) ELSE updatedAt END AS updatedAt",
             "deletedAt",
-            "explode(CASE WHEN k % 97 = 0 THEN array(0, 1) ELSE array(0) END) AS _copy",
         )
         .select(*SOURCE_COLUMNS)
     )
@@ -227,7 +235,8 @@ def changes_with_illegal_moves(spark: SparkSession, sf_dir: str, as_of: str = AS
     """The change feed plus one extra, illegal version (one hour after the final one) for:
     ``k % 89 = 0`` delivered, not deleted -> PROCESSING (regression);
     ``k % 79 = 0`` cancelled -> BOOKED (resurrection);
-    ``k % 73 = 0`` in transit -> DELIVERED (skips OUT_FOR_DELIVERY)."""
+    ``k % 73 = 0`` in transit -> DELIVERED (skips OUT_FOR_DELIVERY);
+    and, for ``k % 71 = 0``, a PROCESSING version without a time (it sorts first: an illegal start)."""
     changes = retail_transaction_changes(spark, sf_dir, as_of)
     planted = (
         _keyed_rows(spark, sf_dir, as_of)
@@ -235,7 +244,10 @@ def changes_with_illegal_moves(spark: SparkSession, sf_dir: str, as_of: str = AS
             "*",
             "CASE WHEN k % 89 = 0 AND lastStatus = 'DELIVERED' AND deletedAt IS NULL THEN 'PROCESSING'"
             " WHEN k % 79 = 0 AND lastStatus = 'CANCELLED' THEN 'BOOKED'"
-            " WHEN k % 73 = 0 AND lastStatus = 'IN_TRANSIT' THEN 'DELIVERED' END AS _to",
+            " WHEN k % 73 = 0 AND lastStatus = 'IN_TRANSIT' THEN 'DELIVERED'"
+            " WHEN k % 71 = 0 THEN 'PROCESSING' END AS _to",
+            "k % 71 = 0 AND NOT coalesce(k % 89 = 0 AND lastStatus = 'DELIVERED' AND deletedAt IS NULL"
+            " OR k % 79 = 0 AND lastStatus = 'CANCELLED' OR k % 73 = 0 AND lastStatus = 'IN_TRANSIT', false) AS _timeless",
         )
         .filter("_to IS NOT NULL")
         .selectExpr(
@@ -245,7 +257,7 @@ def changes_with_illegal_moves(spark: SparkSession, sf_dir: str, as_of: str = AS
             "posOrigin",
             "posDestination",
             "createdAt",
-            "timestampadd(SECOND, 3600, updatedAt) AS updatedAt",
+            "CASE WHEN NOT _timeless THEN timestampadd(SECOND, 3600, updatedAt) END AS updatedAt",
             "CAST(NULL AS TIMESTAMP_NTZ) AS deletedAt",
             "6 AS version",
         )

@@ -10,10 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierwise.schemas import SOURCE_COLUMNS, source_schema
 
 
+JDBC_PARTITIONING = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+TIMES = ("createdAt", "updatedAt", "deletedAt")
+
+
 def conform_source(df: DataFrame) -> DataFrame:
     """Select the source columns in contract order with contract types (timestamps keep their
     zoned / zone-free flavour)."""
@@ -21,7 +26,7 @@ def conform_source(df: DataFrame) -> DataFrame:
     cols = []
     for field in schema.fields:
         c = F.col(f"`{field.name}`")
-        if field.name in ("createdAt", "updatedAt", "deletedAt"):
+        if field.name in TIMES:
             dt = df.schema[field.name].dataType
             cols.append(c.cast(dt).alias(field.name))
         else:
@@ -38,13 +43,18 @@ def read_source(
     """Read the operational ``retail_transactions`` table.
 
     * ``fmt='parquet'``: ``location`` is a Parquet path (file or directory).
-    * ``fmt='jdbc'``: ``location`` is the JDBC URL; ``jdbc_options`` carries ``dbtable`` and, for a
-      parallel read, ``partitionColumn/lowerBound/upperBound/numPartitions`` (a JDBC driver jar
-      must be on the classpath; none ships with this repository).
+    * ``fmt='jdbc'``: ``location`` is the JDBC URL; ``jdbc_options`` carries ``dbtable`` and must
+      carry ``partitionColumn/lowerBound/upperBound/numPartitions``: without them the whole table
+      would be one task (a JDBC driver jar must be on the classpath; none ships with this repository).
+
+    Columns of another type than the contract's are refused, not cast; timestamps may be zoned or not.
     """
     if fmt == "parquet":
         df = spark.read.parquet(location)
     elif fmt == "jdbc":
+        lacking = [k for k in JDBC_PARTITIONING if k not in (jdbc_options or {})]
+        if lacking:
+            raise ValueError(f"a JDBC source needs the options {lacking} for a partitioned read")
         opts = {"url": location, "dbtable": "retail_transactions"}
         opts.update(jdbc_options or {})
         df = spark.read.format("jdbc").options(**opts).load()
@@ -53,4 +63,10 @@ def read_source(
     missing = [c for c in SOURCE_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"source at {location!r} lacks columns {missing}")
+    if fmt == "parquet":
+        for field in source_schema().fields:
+            kind = df.schema[field.name].dataType
+            same = isinstance(kind, (T.TimestampType, T.TimestampNTZType)) if field.name in TIMES else kind == field.dataType
+            if not same:
+                raise ValueError(f"source at {location!r}: {field.name} is {kind.simpleString()}")
     return conform_source(df)

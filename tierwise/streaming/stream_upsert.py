@@ -2,13 +2,16 @@
 
 A file source over a folder of change batches (Parquet, fixed schema) drives ``foreachBatch``:
 each micro-batch is reduced to the latest version per id, projected to Bronze and merged into the
-month-partitioned table with *newer wins* (an older version never replaces a newer one). That makes
-a replayed micro-batch (at-least-once after a failure) and out-of-order files harmless. Progress is
+month-partitioned table with *newer wins*: by update time, and at equal times by the place in the
+life cycle (Bronze keeps no version number). That makes a replayed micro-batch (at-least-once after a
+failure) and out-of-order files harmless. ``load_at`` is the time of the micro-batch unless fixed. Progress is
 kept in the stream's checkpoint folder, which must be on shared storage.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -17,12 +20,12 @@ from tierwise.plans import storage
 from tierwise.schemas import BRONZE_COLUMNS, SOURCE_COLUMNS
 
 
-def upsert_micro_batch(batch: DataFrame, bronze_path: str, as_of: str, order: tuple[str, ...]) -> None:
-    spark = batch.sparkSession
-    latest = latest_per_key(batch, ["id"], list(order))
-    proj = bronze_projection(latest.select(*SOURCE_COLUMNS), as_of)
-    existing = storage.read_table(spark, bronze_path)
-    storage.write_bronze(bronze_path, proj.select(*BRONZE_COLUMNS), existing, newer_wins=True)
+def upsert_micro_batch(batch: DataFrame, bronze_path: str, as_of: str | None, order: tuple[str, ...]) -> None:
+    now = as_of or _dt.datetime.now().isoformat(sep=" ", timespec="seconds")
+    ranked = batch.withColumn("_version", storage.version_of())
+    latest = latest_per_key(ranked, ["id"], [*order, "_version"])
+    proj = bronze_projection(latest.select(*SOURCE_COLUMNS), now)
+    storage.write_bronze(bronze_path, proj.select(*BRONZE_COLUMNS), newer_wins=True)
 
 
 def bronze_stream_upsert(
@@ -31,14 +34,17 @@ def bronze_stream_upsert(
     schema: T.StructType,
     bronze_path: str,
     checkpoint_path: str,
-    as_of: str,
+    as_of: str | None = None,
     order: tuple[str, ...] = ("updatedAt",),
-    max_files_per_trigger: int = 4,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    max_bytes_per_trigger: int = 8 << 30,
 ):
     """Start the stream; with ``available_now`` it drains the folder in several micro-batches and
-    stops. Returns the ``StreamingQuery``."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(input_path)
+    stops. Returns the ``StreamingQuery``. A micro-batch takes files up to ``max_bytes_per_trigger``
+    (each rewrites the months it touches, so few large ones are best), or a number of files if given."""
+    limit = ("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else ("maxBytesPerTrigger", max_bytes_per_trigger)
+    stream = spark.readStream.schema(schema).option(*limit).parquet(input_path)
     writer = (
         stream.writeStream.foreachBatch(lambda df, _epoch: upsert_micro_batch(df, bronze_path, as_of, order))
         .option("checkpointLocation", checkpoint_path)
