@@ -151,6 +151,6 @@ def test_next_document_and_edited_text(spark, docs):
     for a, b in zip(order, order[1:] + order[:1]):
         n = len(a["t"])
         if a["doc_id"] != 6:
-            assert (a["next_id"], a["next_t"]) == (b["doc_id"], b["t"])
+            assert (a["next_pos"], a["next_t"]) == (b["doc_id"], b["t"])
             assert a["e"] == a["t"][: n - n // 2] + b["t"][: n // 2]
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")

@@ -9,8 +9,9 @@ at most ``radius`` blocks, so some choice of ``blocks - radius`` blocks is equal
 for each choice, keyed by those blocks, and joining on the keys finds every pair (then verified).
 
 Defined cases: a null text counts as empty; a text without words has the all-zero fingerprint;
-repeated rows are documents of their own (ordered by doc_id, then text hash); an empty table gives no
-rows; other input columns are ignored.
+repeated rows are documents of their own (ordered by doc_id, then text hash); documents without an id
+come before all others and are no search queries; an empty table gives no rows; other input columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -97,25 +98,23 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks:
 
 
 def with_next(docs: DataFrame, cells_per_bucket: int = 64) -> DataFrame:
-    """doc_id, th (text hash), t and next_id, next_th, next_t: the following document by (doc_id, th),
-    after the last the first.
+    """doc_id, pos (its place: the id, or one below all ids), th (text hash), t and next_pos, next_th, next_t:
+    the following document by (pos, th), after the last the first.
 
-    The id range is cut into equal cells; neighbouring cells are joined to buckets of about equal row
+    The range of pos is cut into equal cells; neighbouring cells are joined to buckets of about equal row
     counts (only cell counts reach the driver, bounded by the cell number). A bucket is one window; the
     first document of each bucket is copied to the end of the bucket before it."""
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t")
     ).withColumn("th", F.xxhash64("t"))
-    low, high, rows = base.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    if not rows:
-        return base.select(
-            "*", F.col("doc_id").alias("next_id"), F.col("th").alias("next_th"), F.col("t").alias("next_t")
-        ).limit(0)
+    low, high, rows = base.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
+    low, high = (low or 0) - 1, high or 0
+    base = base.withColumn("pos", F.coalesce("doc_id", F.lit(low)))
     buckets = 4 * width(docs.sparkSession)
     cells = max(1, min(cells_per_bucket * buckets, 100_000, high - low + 1))
     span = -(-(high - low + 1) // cells)
-    cell = F.floor((F.col("doc_id") - F.lit(low)) / F.lit(span)).cast("int")
-    counts = dict(base.where(F.col("doc_id").isNotNull()).groupBy(cell.alias("c")).count().collect())
+    cell = F.floor((F.col("pos") - F.lit(low)) / F.lit(span)).cast("int")
+    counts = dict(base.groupBy(cell.alias("c")).count().collect())
     of_cell, bucket, held = [], 0, 0
     for c in range(cells):
         n = counts.get(c, 0)
@@ -123,23 +122,19 @@ def with_next(docs: DataFrame, cells_per_bucket: int = 64) -> DataFrame:
             bucket, held = bucket + 1, 0
         of_cell.append(bucket)
         held += n
-    placed = base.where(F.col("doc_id").isNotNull()).withColumn(
-        "bucket", F.get(F.lit(of_cell).cast("array<int>"), cell)
-    )
-    firsts = placed.groupBy("bucket").agg(F.min(F.struct("doc_id", "th")).alias("k")).select("bucket", "k.*").collect()
+    placed = base.withColumn("bucket", F.get(F.lit(of_cell).cast("array<int>"), cell))
+    firsts = placed.groupBy("bucket").agg(F.min(F.struct("pos", "th")).alias("k")).select("bucket", "k.*").collect()
     firsts.sort(key=lambda r: r["bucket"])
-    moved = {(r["doc_id"], r["th"]): firsts[i - 1]["bucket"] for i, r in enumerate(firsts)}  # the first goes to the last
-    to = docs.sparkSession.createDataFrame(
-        [(d, t, b) for (d, t), b in moved.items()], "doc_id long, th long, to int"
-    )
-    copies = placed.where(F.col("doc_id").isin([d for d, _ in moved])).join(F.broadcast(to), ["doc_id", "th"])
-    copies = copies.select("doc_id", "t", "th", F.col("to").alias("bucket"), F.lit(1).alias("copy"))
-    copies = copies.dropDuplicates(["doc_id", "th"])
-    order = Window.partitionBy("bucket").orderBy("copy", "doc_id", "th")
+    moved = {(r["pos"], r["th"]): firsts[i - 1]["bucket"] for i, r in enumerate(firsts)}  # the first goes to the last
+    to = docs.sparkSession.createDataFrame([(p, h, b) for (p, h), b in moved.items()], "pos long, th long, to int")
+    copies = placed.where(F.col("pos").isin([p for p, _ in moved])).join(F.broadcast(to), ["pos", "th"])
+    copies = copies.select("doc_id", "t", "th", "pos", F.col("to").alias("bucket"), F.lit(1).alias("copy"))
+    copies = copies.dropDuplicates(["pos", "th"])
+    order = Window.partitionBy("bucket").orderBy("copy", "pos", "th")
     both = placed.withColumn("copy", F.lit(0)).unionByName(copies)
     out = both.select(
-        "doc_id", "th", "t", "copy",
-        F.lead("doc_id").over(order).alias("next_id"),
+        "doc_id", "pos", "th", "t", "copy",
+        F.lead("pos").over(order).alias("next_pos"),
         F.lead("th").over(order).alias("next_th"),
         F.lead("t").over(order).alias("next_t"),
     )
@@ -160,9 +155,9 @@ def op2_simhash(spark, sf_dir: str, radius: int = 3, query_every: int = 50) -> D
     rows = with_next(read_table(spark, sf_dir, "documents"))
     rows = rows.withColumn("e", edited(F.col("t"), F.col("next_t")))
     kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("t").alias("x")), F.struct(F.lit(1).alias("kind"), F.col("e").alias("x")))
-    meta = ["doc_id", "th", "next_id", "next_th", "n_chars", "edited_sha256"]
+    meta = ["doc_id", "pos", "th", "next_pos", "next_th", "n_chars", "edited_sha256"]
     texts = rows.select(
-        "doc_id", "th", "next_id", "next_th",
+        "doc_id", "pos", "th", "next_pos", "next_th",
         F.length("t").cast("long").alias("n_chars"), F.sha2("e", 256).alias("edited_sha256"), F.explode(kinds).alias("k"),
     ).select(*meta, "k.kind", F.col("k.x").alias("text"))
     prints = fingerprints(texts, [*meta, "kind"])
@@ -173,13 +168,13 @@ def op2_simhash(spark, sf_dir: str, radius: int = 3, query_every: int = 50) -> D
         ),
         "simhash",
     )
-    following = own.select(F.col("doc_id").alias("next_id"), F.col("th").alias("next_th"), F.col("fp").alias("nfp"))
-    following = following.dropDuplicates(["next_id", "next_th"])
+    following = own.select(F.col("pos").alias("next_pos"), F.col("th").alias("next_th"), F.col("fp").alias("nfp"))
+    following = following.dropDuplicates(["next_pos", "next_th"])
     asked = F.col("doc_id") % query_every == 0
     sizes = own.groupBy(F.col("fp").alias("near_fp")).agg(F.count(F.lit(1)).alias("docs"))
     near = within_radius(own.where(asked), own, radius).join(sizes, "near_fp")
     near = near.groupBy("fp").agg((F.sum("docs") - 1).alias("near_docs"))
-    out = own.join(following, ["next_id", "next_th"], "left").join(near, "fp", "left")
+    out = own.join(following, ["next_pos", "next_th"], "left").join(near, "fp", "left")
     return out.select(
         "doc_id",
         "n_chars",
