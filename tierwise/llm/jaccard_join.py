@@ -83,7 +83,7 @@ def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """doc_id, n_shingles, name (of the set; null if empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, 1 << 20):
             _, n, names = shingle_sets(texts, size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n), pa.array(names.view(np.int64), mask=n == 0)],

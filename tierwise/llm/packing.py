@@ -57,7 +57,7 @@ class Encoder:
     stands between two other characters, so words can be encoded apart and kept in a bounded cache. A text
     with any other white space is encoded in one piece."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,7 +81,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder for a worker process, kept between its tasks."""
+    """One encoder for a worker process; its tokenizer is kept between tasks."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -250,6 +250,7 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str
                 yield out()
         packer.finish()
         yield out()
+        encode.pieces.clear()  # the worker process may go on to other work: keep no words between tasks
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, SCHEMA)
 
