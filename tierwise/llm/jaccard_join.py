@@ -98,7 +98,7 @@ def shared_counts(docs: DataFrame, text: str = "text", size: int = 5) -> DataFra
     shards = width(docs.sparkSession)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches, 3 << 20):
+        for _, texts in slices(batches, 2 << 20):
             h, n, names = shingle_sets(texts, size)
             _, first, row = np.unique(names, return_index=True, return_inverse=True)  # one of equal sets
             owner = np.repeat(np.arange(len(n)), n)

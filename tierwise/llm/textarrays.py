@@ -31,19 +31,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_POWERS: dict[str, np.ndarray] = {}
+_STEP = 1024
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i for i < n (kept for the largest n so far)."""
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        size = max(n, 1 << 16)
-        for name, step in (("up", _BASE), ("down", inverse)):
-            factors = np.full(size, step, dtype=np.uint64)
-            factors[0] = 1
-            _POWERS[name] = np.multiply.accumulate(factors)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^i for i < 1024, and base^(1024 k) for as many k as cover n: base^j is the product of two entries."""
+    low = np.full(_STEP, base, dtype=np.uint64)
+    low[0] = 1
+    high = np.full(-(-n // _STEP), pow(base, _STEP, 1 << 64), dtype=np.uint64)
+    high[:1] = 1
+    return np.multiply.accumulate(low), np.multiply.accumulate(high)
 
 
 def word_arrays(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -52,12 +49,16 @@ def word_arrays(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     starts, ends = _word_bounds(data)
-    up, down = _powers(len(data))
-    sums = _CODE[_LOWER[data]]
-    sums *= up
+    low, high = _powers(int(_BASE), len(data))
+    sums = np.zeros(len(high) * _STEP, np.uint64)
+    np.take(_CODE, _LOWER[data], out=sums[: len(data)], mode="clip")
+    grid = sums.reshape(-1, _STEP)  # one row for each step, so the powers need no array of the text's length
+    grid *= low
+    grid *= high[:, None]
     np.cumsum(sums, out=sums)
+    low, high = _powers(pow(int(_BASE), -1, 1 << 64), len(data))
     before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
-    hashes = mix((sums[ends - 1] - before) * down[starts])
+    hashes = mix((sums[ends - 1] - before) * low[starts % _STEP] * high[starts // _STEP])
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     counts = np.diff(np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths)))))
     return hashes, counts
