@@ -98,8 +98,9 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, blocks:
 
 
 def with_next(docs: DataFrame, cells_per_bucket: int = 64) -> DataFrame:
-    """doc_id, pos (its place: the id, or one below all ids), th (text hash), t and next_pos, next_th, next_t:
-    the following document by (pos, th), after the last the first.
+    """doc_id, pos (its place: the id, or one below all ids), th (text hash), t, next_pos, next_th, next_t:
+    the following document by (pos, th), after the last the first, and (bucket, row), which name one row
+    each: of equal rows too, whose other columns are all alike.
 
     The range of pos is cut into equal cells; neighbouring cells are joined to buckets of about equal row
     counts (only cell counts reach the driver, bounded by the cell number). A bucket is one window; the
@@ -133,7 +134,8 @@ def with_next(docs: DataFrame, cells_per_bucket: int = 64) -> DataFrame:
     order = Window.partitionBy("bucket").orderBy("copy", "pos", "th")
     both = placed.withColumn("copy", F.lit(0)).unionByName(copies)
     out = both.select(
-        "doc_id", "pos", "th", "t", "copy",
+        "doc_id", "pos", "th", "t", "copy", "bucket",
+        F.row_number().over(order).alias("row"),
         F.lead("pos").over(order).alias("next_pos"),
         F.lead("th").over(order).alias("next_th"),
         F.lead("t").over(order).alias("next_t"),
@@ -155,9 +157,9 @@ def op2_simhash(spark, sf_dir: str, radius: int = 3, query_every: int = 50) -> D
     rows = with_next(read_table(spark, sf_dir, "documents"))
     rows = rows.withColumn("e", edited(F.col("t"), F.col("next_t")))
     kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("t").alias("x")), F.struct(F.lit(1).alias("kind"), F.col("e").alias("x")))
-    meta = ["doc_id", "pos", "th", "next_pos", "next_th", "n_chars", "edited_sha256"]
+    meta = ["bucket", "row", "doc_id", "pos", "th", "next_pos", "next_th", "n_chars", "edited_sha256"]
     texts = rows.select(
-        "doc_id", "pos", "th", "next_pos", "next_th",
+        "bucket", "row", "doc_id", "pos", "th", "next_pos", "next_th",
         F.length("t").cast("long").alias("n_chars"), F.sha2("e", 256).alias("edited_sha256"), F.explode(kinds).alias("k"),
     ).select(*meta, "k.kind", F.col("k.x").alias("text"))
     prints = fingerprints(texts, [*meta, "kind"])
