@@ -3,8 +3,9 @@
 1. language ID (operator 6): documents whose language it cannot tell, or whose posterior is below 0.5, go.
 2. n-gram Jaccard join (operator 5): of each group of copies and near copies one document stays.
 3. secret scans (operator 7): found spans are replaced by ``<SECRET>``; no document goes.
-4. mixing (operator 4): fitted document rates are rounded to whole copies, so documents whose rate is below
-   one half (low quality, toxic) go; with the targets here clean documents have rates near one and stay once.
+4. mixing (operator 4): each document stays as many times as its fitted rate, rounded up or down by a fixed
+   hash of the row, so the tokens of each domain meet their targets: about a quarter of the low-quality and a
+   tenth of the toxic documents stay; with the targets here clean documents have rates near one.
 5. packing (operator 9): token sequences, one row per piece.
 
 All stages but the last return the columns of ``documents``. Nulls: a null text is empty (stage 1 removes
@@ -44,7 +45,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as its rate, rounded."""
+    """Each document as many times as its rate, rounded up or down by its hash."""
     model = mixing.train(docs, read_table(spark, sf_dir, "labels"), mixing.domain_of_label())
     return mixing.apply_rates(docs, model, mixing.SHARES)
 

@@ -233,25 +233,41 @@ def fitted(scored: DataFrame, model: Domains, shares: dict[str, float], total: f
     return collected, targets, expected
 
 
+def draw_of(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A fixed number of each row for rounding, by its id and text (equal rows have the same)."""
+    return F.xxhash64(F.lit("mixing"), F.col(doc_id).cast("long"), F.col(text))
+
+
+def copies_of(rates: np.ndarray, draws: np.ndarray) -> np.ndarray:
+    """floor(rate), and one more where the draw, as a share of its range, is below the rest: rate copies on average."""
+    whole = np.floor(rates)
+    share = (draws.astype(np.int64).view(np.uint64) >> np.uint64(11)) / float(1 << 53)
+    return (whole + (share < rates - whole)).astype(np.int64)
+
+
 def apply_rates(docs: DataFrame, model: Domains, shares: dict[str, float], total: float = 1.0) -> DataFrame:
-    """The rows of ``docs`` (all columns), each as many times as its fitted rate rounded half up.
+    """The rows of ``docs`` (all columns), each as many times as its fitted rate, rounded up or down by a
+    fixed hash of the row: the tokens of a domain are its target but for the scatter of the draws.
 
     The rate is a function of the posterior, so texts are scored again where they lie: nothing is exchanged."""
     scored = stage(posteriors(docs, model), "mixing")
     collected, _, _ = fitted(scored, model, shares, total)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
+    n_columns = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            copies = np.zeros(batch.num_rows, np.int64)
+            rates = np.zeros(batch.num_rows)
             rows = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(place)], ["i", "text"])
             for at, texts in slices([rows], 2 << 20):
                 p, _ = shared.value.posteriors(texts)
-                copies[at] = np.floor(np.maximum(0.0, 1.0 - p @ collected) + 0.5)
-            yield batch.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
+                rates[at] = np.maximum(0.0, 1.0 - p @ collected)
+            copies = copies_of(rates, batch.column(n_columns).to_numpy(zero_copy_only=False))
+            kept = batch.select(list(range(n_columns)))
+            yield kept.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.select("*", draw_of().alias("_draw")).mapInArrow(run, docs.schema)
 
 
 def domain_of_label() -> Column:
