@@ -7,6 +7,8 @@ the others. The votes are summed two bits to a 64-bit word (32-bit lanes), so a
 Search: a fingerprint is cut into ``blocks`` blocks. Two fingerprints within ``radius`` bits differ in
 at most ``radius`` blocks, so some choice of ``blocks - radius`` blocks is equal: there is one table
 for each choice, keyed by those blocks, and joining on the keys finds every pair (then verified).
+Three bits find almost identical texts only: about 1% of the pairs at shingle Jaccard 0.8, a third at 0.95
+(README, known limits).
 
 Defined cases: a null text counts as empty; a text without words has the all-zero fingerprint;
 repeated rows are documents of their own (ordered by doc_id, then text hash); documents without an id
