@@ -4,8 +4,9 @@ Pattern spans: credential assignments, access keys and long hex strings, leftmos
 non-overlapping per kind. Entropy spans: candidate strings (runs of one character class) whose
 Shannon entropy inside some window of ``window`` characters reaches the class limit. The window
 slides one character at a time; its counts change by one in, one out. Candidates on the allow-list
-(no digit, no letter, UUIDs, dates and number runs; a parameter) are suppressed, and so
-are candidates that touch a pattern span, which is already reported.
+(no digit, no letter, UUIDs, dates and number runs; a parameter) are suppressed. Pattern spans, which are
+already reported, are cut out of the candidates; each piece left of ``window`` characters or more is a
+candidate of its own.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows are scanned and returned
 each; an empty table gives no rows; positions are code points, end exclusive; other input columns
@@ -107,25 +108,37 @@ def _suspect(allowed: str, window: int, limit: float):
     return lambda s: ~s["value"].rlike(f"^(?:{allowed})$") & (window_entropy(s["value"], window) >= limit)
 
 
-def entropy_spans(text: Column, window: int, allowed: tuple[str, ...]) -> Column:
+def _clear_pieces(span: Column, others: Column, window: int) -> Column:
+    """The parts of a span that no span of ``others`` (sorted by start) covers, if ``window`` long or longer."""
+
+    def grown(acc: Column, end: Column) -> Column:
+        value = F.substring(span["value"], acc["at"] - span["start"] + 1, end - acc["at"])
+        part = F.struct(acc["at"].alias("start"), end.alias("end"), span["kind"].alias("kind"), value.alias("value"))
+        return F.when(end - acc["at"] >= window, F.concat(acc["spans"], F.array(part))).otherwise(acc["spans"])
+
+    def step(acc: Column, o: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], o["end"]).alias("at"), grown(acc, o["start"]).cast(_SPAN).alias("spans"))
+
+    touching = F.filter(others, lambda o: (span["start"] < o["end"]) & (o["start"] < span["end"]))
+    first = F.struct(span["start"].alias("at"), _nothing().alias("spans"))
+    return F.aggregate(touching, first, step, lambda acc: grown(acc, span["end"]).cast(_SPAN))
+
+
+def entropy_spans(text: Column, window: int, allowed: tuple[str, ...], base: Column) -> Column:
     out = _nothing()
     for pattern, limit in CLASSES.values():
-        spans = found(text, pattern, len(KINDS) - 1)
+        spans = F.flatten(F.transform(found(text, pattern, len(KINDS) - 1), lambda s: _clear_pieces(s, base, window)))
         suspect = _suspect("|".join(f"(?:{a})" for a in allowed), window, limit)
         spans = F.filter(spans, suspect)
         out = F.concat(out, F.when(text.rlike(pattern), spans).otherwise(_nothing()))
     return out
 
 
-def _clear_of(spans: Column, others: Column) -> Column:
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (s["start"] < o["end"]) & (o["start"] < s["end"])))
-
-
 def secret_spans(text: Column, window: int = 20, allowed: tuple[str, ...] = ALLOWED) -> Column:
     """struct(base, extra): pattern spans and entropy spans of a non-null text, each sorted by start, then kind."""
 
     def with_base(base: Column) -> Column:
-        extra = let(entropy_spans(text, window, allowed), lambda e: _clear_of(e, base))
+        extra = entropy_spans(text, window, allowed, base)
 
         def merged(e: Column) -> Column:  # a hex run inside a base64 run: keep the longest of those that overlap
             return F.filter(
