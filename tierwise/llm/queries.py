@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from tierwise.llm import host_rules, jaccard_join, lang_id, license_scan, lm_score, mixing, oracle, packing, quality_crf, secret_scan, simhash
+from tierwise.llm import (
+    host_rules,
+    jaccard_join,
+    lang_id,
+    license_scan,
+    lm_score,
+    mixing,
+    oracle,
+    packing,
+    quality_crf,
+    secret_scan,
+    simhash,
+    whitening,
+)
 
 
 def _pipeline(spark, sf_dir):
@@ -24,6 +37,7 @@ def queries():
         "op8_license_scan": license_scan.op8_license_scan,
         "op9_packing": packing.op9_packing,
         "op10_host_rules": host_rules.op10_host_rules,
+        "op11_whitening": whitening.op11_whitening,
     }
 
 
