@@ -64,6 +64,34 @@ FROM documents LEFT JOIN size USING (doc_id)
 JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)"""
 )
 
+OP13 = (
+    "WITH"
+    + _WORDS.format(text="t")
+    + """,
+starts AS (
+  SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+firsts AS (SELECT g, min(doc_id) AS least FROM starts GROUP BY g),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM starts JOIN firsts USING (g) WHERE least < starts.doc_id),
+gone AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w) ANTI JOIN covered USING (doc_id, p)
+  GROUP BY doc_id),
+lengths AS (SELECT unnest(list_transform(range(0, 20), lambda k: 13 * CAST(pow(2, k) AS BIGINT))) AS size),
+windows AS (
+  SELECT doc_id, size, hash(array_to_string(list_slice(ws, i, i + size - 1), ' ')) AS g
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM w JOIN lengths ON len(ws) >= size)),
+longest AS (
+  SELECT doc_id, max(size) AS size
+  FROM windows JOIN (SELECT size, g FROM windows GROUP BY size, g HAVING count(*) > 1) USING (size, g) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256, CAST(coalesce(longest.size, 0) AS BIGINT) AS longest_repeat
+FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id) LEFT JOIN longest USING (doc_id)"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_jaccard_join": OP5, "op10_host_rules": OP10}
+    return {"op5_jaccard_join": OP5, "op10_host_rules": OP10, "op13_substring_dedup": OP13}

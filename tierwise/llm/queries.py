@@ -14,6 +14,7 @@ from tierwise.llm import (
     quality_crf,
     secret_scan,
     simhash,
+    substring_dedup,
     whitening,
 )
 
@@ -38,6 +39,7 @@ def queries():
         "op9_packing": packing.op9_packing,
         "op10_host_rules": host_rules.op10_host_rules,
         "op11_whitening": whitening.op11_whitening,
+        "op13_substring_dedup": substring_dedup.op13_substring_dedup,
     }
 
 

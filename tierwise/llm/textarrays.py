@@ -43,7 +43,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(low), np.multiply.accumulate(high)
 
 
-def word_arrays(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_arrays(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words in order, number of words of each text)."""
     if not texts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -51,7 +51,7 @@ def word_arrays(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = _word_bounds(data)
     low, high = _powers(int(_BASE), len(data))
     sums = np.zeros(len(high) * _STEP, np.uint64)
-    np.take(_CODE, _LOWER[data], out=sums[: len(data)], mode="clip")
+    np.take(_CODE, _LOWER[data] if lower else data, out=sums[: len(data)], mode="clip")
     grid = sums.reshape(-1, _STEP)  # one row for each step, so the powers need no array of the text's length
     grid *= low
     grid *= high[:, None]
