@@ -64,6 +64,37 @@ FROM documents LEFT JOIN size USING (doc_id)
 JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)"""
 )
 
+OP12 = """WITH
+d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+grams AS (
+  SELECT lang, m, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS g
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+        FROM w JOIN (SELECT unnest(range(1, 6)) AS m) ON len(ws) >= m)),
+f AS (SELECT lang, m, g, count(*) AS a FROM grams GROUP BY lang, m, g HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+c AS (SELECT *, string_split(g, ' ') AS ws FROM f WHERE m > 1),
+inner_parts AS (
+  SELECT lang, array_to_string(list_slice(ws, i, i + s - 1), ' ') AS g, a
+  FROM (SELECT lang, ws, a, s, unnest(range(1, m - s + 2)) AS i FROM c JOIN (SELECT unnest(range(2, 5)) AS s) ON s < m)),
+around AS (SELECT lang, g, max(a) AS around FROM inner_parts GROUP BY lang, g),
+cut AS (
+  SELECT c.lang, c.g, c.a, k, array_to_string(list_slice(ws, 1, k), ' ') AS gl, array_to_string(list_slice(ws, k + 1, m), ' ') AS gr
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c LEFT JOIN around USING (lang, g)
+  WHERE around IS NULL OR 100 * around < 100 * c.a),
+scored AS (
+  SELECT lang, g AS phrase, cut.a, x.a AS l, y.a AS r, CAST(n AS BIGINT) AS n,
+         CAST((1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY lang, g ORDER BY (1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a), k) AS nth
+  FROM cut JOIN (SELECT lang, g AS gl, a FROM f) x USING (lang, gl) JOIN (SELECT lang, g AS gr, a FROM f) y USING (lang, gr)
+  JOIN totals USING (lang)),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM scored WHERE nth = 1)
+SELECT * FROM ranked WHERE rank <= 2000"""
+
 OP13 = (
     "WITH"
     + _WORDS.format(text="t")
@@ -94,4 +125,4 @@ FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id) LEFT JOIN lon
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_jaccard_join": OP5, "op10_host_rules": OP10, "op13_substring_dedup": OP13}
+    return {"op5_jaccard_join": OP5, "op10_host_rules": OP10, "op12_collocations": OP12, "op13_substring_dedup": OP13}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tierwise.llm import (
+    collocations,
     host_rules,
     jaccard_join,
     lang_id,
@@ -39,6 +40,7 @@ def queries():
         "op9_packing": packing.op9_packing,
         "op10_host_rules": host_rules.op10_host_rules,
         "op11_whitening": whitening.op11_whitening,
+        "op12_collocations": collocations.op12_collocations,
         "op13_substring_dedup": substring_dedup.op13_substring_dedup,
     }
 
