@@ -33,7 +33,6 @@ def packed(spark):
 @pytest.fixture(scope="module")
 def ids():
     t = Tokenizer.from_file(packing.tokenizer_file())
-    t.encode_special_tokens = True
     return [np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], dtype="<u4") for x in TEXTS]
 
 
@@ -72,3 +71,39 @@ def test_cache_limit_does_not_change_ids(ids):
     e = packing.Encoder(packing.tokenizer_file(), limit=3)
     for t, want in zip(TEXTS, ids):
         assert e(t or "") == want[:-1].tobytes()
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "plain words, and stops. Here! (there) it's 3 o'clock...",
+        "line one\nline two.\nÉté naïf ŵ ɐɐ Ω!? don't.'s a.b, x..",
+        "a <|endoftext|> b",
+        "tab\there  two spaces \n\n end ",
+        "\nleading",
+        "trailing\n",
+        "日本語 テキスト。 ١٢٣, ab1. _x_ ſt ŉ. K Å.",
+    ],
+)
+def test_ids_are_the_plain_tokenizer_call(text):
+    from tokenizers import Tokenizer
+
+    from tierwise.llm.packing import Encoder, tokenizer_file
+
+    plain = Tokenizer.from_file(tokenizer_file()).encode(text, add_special_tokens=False).ids
+    encode = Encoder(tokenizer_file(), limit=3)
+    got = encode(text)
+    assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == plain
+    assert encode(text) == got
+
+
+def test_ids_of_whole_documents(spark):
+    from tokenizers import Tokenizer
+
+    from tierwise.llm.packing import Encoder, tokenizer_file
+
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    plain, encode = Tokenizer.from_file(tokenizer_file()), Encoder(tokenizer_file())
+    for text in texts:
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert encode(text) == b"".join(i.to_bytes(4, "little") for i in ids)

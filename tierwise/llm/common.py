@@ -48,6 +48,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the Arrow batches that go to Python by bytes: the default of 64 MB holds several copies of as much
+    text in the executor and in each worker. A session that has set its own bound keeps it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).lower().removesuffix("b") in ("67108864", "64m"):
+        spark.conf.set(key, size)
+
+
 def width(spark: SparkSession) -> int:
     """Number of shards for explicit exchanges: the session's shuffle width, which a cluster sizes to its data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
