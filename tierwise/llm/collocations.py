@@ -38,12 +38,13 @@ from pyspark.sql import functions as F
 
 from tierwise.llm.automaton import Transducer
 from tierwise.llm.blobs import deltas, pack_arrays, runs, unpack_arrays
-from tierwise.llm.common import read_table, stage, width
+from tierwise.llm.common import read_table, small_batches, stage, width
 from tierwise.llm.textarrays import _word_bounds, mix, slices, word_arrays
 
 BITS = 1 << 26  # of a bitmap: 8 MB
 SHARD_GRAMS = 2_000_000  # most occurrences that a shard is meant to hold
-PORTION_WORDS = 1_000_000
+PORTION_WORDS = 2_000_000
+DISTINCT_WORDS = 1_000_000  # that a task counts before it passes them on
 #: A-Z in lower case; the characters that end a piece as a line break; a tab as a space.
 _BYTES = bytearray(range(256))
 _BYTES[65:91] = bytes(range(97, 123))
@@ -97,53 +98,89 @@ class Bitmap:
         return (cell >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
 
+class _Words:
+    """Words counted by a task, merged over its portions as long as they are few."""
+
+    def __init__(self):
+        self.parts: list[tuple] = []  # (names, counts, languages, spellings)
+        self.size = 0
+
+    def add(self, names: np.ndarray, counts: np.ndarray, langs: pa.Array, words: pa.Array) -> None:
+        self.parts.append((names, counts, langs, words))
+        self.size += len(names)
+        if self.size > DISTINCT_WORDS:
+            self.merge()
+
+    def merge(self) -> None:
+        names = np.concatenate([p[0] for p in self.parts])
+        names, first, back = np.unique(names, return_index=True, return_inverse=True)
+        counts = np.bincount(back, np.concatenate([p[1] for p in self.parts])).astype(np.int64)
+        langs, words = (pa.concat_arrays([p[k] for p in self.parts]).take(pa.array(first)) for k in (2, 3))
+        self.parts, self.size = [(names, counts, langs, words)], len(names)
+
+    def rows(self) -> pa.RecordBatch:
+        self.merge()
+        ((names, counts, langs, words),) = self.parts
+        self.parts, self.size = [], 0
+        none = pa.nulls(len(names))
+        return pa.RecordBatch.from_arrays(
+            [langs, words, pa.array(names.view(np.int64)), pa.array(counts), none.cast(pa.int64()), none.cast(pa.binary())], KINDS
+        )
+
+
+KINDS = ["lang", "word", "name", "n", "portion", "body"]
+
+
 def portions(docs: DataFrame, text: str = "text", lang: str = "lang", words: int = PORTION_WORDS) -> DataFrame:
     """Rows of two kinds: lang, word, name, n (body null) and portion, body (word null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         portion = (task.partitionId() if task else 0) << 32
-        held, size = [], 0
+        held, size, counted = [], 0, _Words()
 
-        def out() -> pa.RecordBatch:
+        def body() -> bytes:
             langs = [x for h in held for x in h[0]]
             texts = [x for h in held for x in h[1]]
+            held.clear()
             names, n = word_arrays(texts, lower=False)
             blob = b"\n".join(texts) + b"\n"
+            del texts
             data = np.frombuffer(blob, np.uint8)
             starts, ends = _word_bounds(data)
-            piece = np.cumsum(data == 10)[starts]
+            piece = np.cumsum(data == 10, dtype=np.int32)[starts]
             kinds, which = np.unique(langs, return_inverse=True)
             codes = np.array([language_code(str(x)) for x in kinds], np.uint64)
             owner = np.repeat(which, n)
             names = mix(names ^ codes[owner])
             vocabulary, first, rank, count = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
             spelled = [blob[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            lengths = np.diff(np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(piece)))
-            body = pack_arrays([deltas(vocabulary), rank, lengths])
-            rows = len(vocabulary)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*kinds[owner[first]].tolist(), None], pa.string()),
-                    pa.array([*spelled, None], pa.binary()).cast(pa.string()),
-                    pa.array([*vocabulary.view(np.int64).tolist(), None], pa.int64()),
-                    pa.array([*count.tolist(), None], pa.int64()),
-                    pa.array([None] * rows + [portion], pa.int64()),
-                    pa.array([None] * rows + [body], pa.binary()),
-                ],
-                ["lang", "word", "name", "n", "portion", "body"],
+            counted.add(
+                vocabulary, count, pa.array([str(x) for x in kinds], pa.string()).take(pa.array(owner[first])),
+                pa.array(spelled, pa.binary()).cast(pa.string()),
             )
+            lengths = np.diff(np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(piece)))
+            return pack_arrays([deltas(vocabulary), rank, lengths])
+
+        def row(packed: bytes) -> pa.RecordBatch:
+            nulls = [pa.nulls(1, kind) for kind in (pa.string(), pa.string(), pa.int64(), pa.int64())]
+            return pa.RecordBatch.from_arrays([*nulls, pa.array([portion], pa.int64()), pa.array([packed], pa.binary())], KINDS)
 
         for langs, texts in slices(batches):
             texts = [t.translate(PIECES) for t in texts]
             held.append((langs, texts))
             size += sum(t.count(b" ") + t.count(b"\n") + 1 for t in texts)
             if size >= words:
-                yield out()
-                held, size, portion = [], 0, portion + 1
+                yield row(body())
+                size, portion = 0, portion + 1
+                if counted.size > DISTINCT_WORDS // 2:
+                    yield counted.rows()
         if held:
-            yield out()
+            yield row(body())
+        if counted.size:
+            yield counted.rows()
 
+    small_batches(docs.sparkSession)
     rows = docs.where(F.col(text).isNotNull()).select(F.coalesce(F.col(lang).cast("string"), F.lit("und")), F.col(text))
     return rows.mapInArrow(run, "lang string, word string, name long, n long, portion long, body binary")
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.llm.blobs import deltas, pack_arrays, press, runs, unpack_arrays, unpress
-from tierwise.llm.common import read_table, stage, width
+from tierwise.llm.common import read_table, small_batches, stage, width
 from tierwise.llm.textarrays import mix, slices, word_arrays
 
 SHARD_BYTES = 8 << 20  # of text, for one shard at the first length
@@ -241,6 +241,7 @@ def repeated_windows(
 ) -> list[tuple[int, DataFrame]]:
     """(length, the portions' repeated windows) for ``length`` and its doubles, as long as some repeat."""
     spark = docs.sparkSession
+    small_batches(spark)
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     shards = max(width(spark), -(-size // SHARD_BYTES))
     levels: list[tuple[int, DataFrame]] = []
