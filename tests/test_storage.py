@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import src_df
@@ -164,7 +165,7 @@ def test_a_write_that_dies_leaves_the_old_table(spark, scratch, monkeypatch, kwa
             def dead(*a, **k):
                 raise RuntimeError("driver lost")
 
-            m.setattr(storage, "commit_record", dead)
+            m.setattr(storage, "switch_months", dead)
             batch = new
         else:
             batch = new.withColumn("customerId", F.when(F.col("id") == "A", F.raise_error(F.lit("task lost")).cast("string")))
@@ -196,3 +197,68 @@ def test_write_partitions_follow_the_size(spark):
     df = spark.range(1000).selectExpr("id", "id % 7 AS m")
     sizes = [storage.sorted_for_write(df, ["id"], ["m"], n).rdd.getNumPartitions() for n in (1, 300 << 20, 3 << 30)]
     assert sizes == [1, 2, 12]
+
+
+@pytest.mark.parametrize("kwargs", [{}, {"replace": True}, {"key_partition_stable": False}])
+@pytest.mark.parametrize("done", [1, 2])
+def test_a_switch_that_dies_half_way_is_mended_by_the_rerun(spark, scratch, monkeypatch, kwargs, done):
+    """Some months are switched, some not; each month is whole, and the rerun gives the undisturbed result."""
+    path = f"{scratch}/bronze"
+    old = [row("A", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00"), row("B", "BOOKED", "2025-02-15 00:00:00", "2025-01-15 00:00:00"), row("C", "BOOKED", None, "2025-01-15 00:00:00")]
+    new = bronze(spark, [row("A", "PROCESSING", "2025-01-15 00:00:00", "2025-01-16 00:00:00"), row("B", "PROCESSING", "2025-02-15 00:00:00", "2025-01-16 00:00:00"), row("C", "PROCESSING", "2025-03-15 00:00:00", "2025-01-16 00:00:00")])
+    storage.write_bronze(path, bronze(spark, old))
+    real, calls = type(spark).sql, []
+
+    def dying(self, query, *a, **k):
+        if "LOCATION" in query and query.startswith("ALTER"):
+            calls.append(query)
+            if len(calls) > done:
+                raise RuntimeError("driver lost")
+        return real(self, query, *a, **k)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", dying)
+        with pytest.raises(RuntimeError):
+            storage.write_bronze(path, new, **kwargs)
+    assert len(calls) == done + 1
+    storage.write_bronze(path, new, **kwargs)
+    assert rows_of(spark, path) == [("A", "PROCESSING"), ("B", "PROCESSING"), ("C", "PROCESSING")]
+
+
+def test_left_behind_folders_go_with_the_next_load(spark, scratch):
+    path = f"{scratch}/bronze"
+    first = bronze(spark, [row("A", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00")])
+    storage.write_bronze(path, first)
+    before = storage.month_location(spark, path, 202501)
+    storage.write_bronze(path, first)
+    assert storage.path_exists(spark, before)  # a reader of the old month can finish
+    storage.write_bronze(path, first)
+    assert not storage.path_exists(spark, before)
+
+
+def test_drop_partition_removes_files_and_reads_none(spark, scratch):
+    path = f"{scratch}/bronze"
+    storage.write_bronze(path, bronze(spark, [row("A", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00"), row("B", "BOOKED", None, "2025-01-15 00:00:00")]))
+    files = storage.month_location(spark, path, 202501)
+    assert storage.drop_month_partitions(spark, path, [202501, None]) == [202501, None]
+    assert not storage.path_exists(spark, files) and storage.read_bronze(spark, path) is None
+
+
+def test_what_is_observed_while_writing_counts_once(spark, scratch):
+    path = f"{scratch}/bronze"
+    rows = [row(f"id{i:04d}", "BOOKED", f"2025-0{1 + i % 4}-15 00:00:00", "2025-01-15 00:00:00") for i in range(2000)]
+    for batch, replace, want in ((bronze(spark, rows).repartition(6), False, 2000), (bronze(spark, rows).limit(0), True, 0)):
+        seen = Observation()
+        storage.write_bronze(
+            path, batch, replace, batch_bytes=5 << 30, watch=lambda df: df.observe(seen, F.count(F.lit(1)).alias("n"))
+        )
+        assert seen.get["n"] == want
+        assert sorted(storage.bronze_months(spark, path)) == ([202501, 202502, 202503, 202504] if want else [])
+
+
+def test_state_survives_any_text(spark, scratch):
+    state = f"{scratch}/_state/bronze"
+    storage.store_watermark(spark, state, "it's \\ \"x\"", T, 2, False, None, 7)
+    assert storage.read_state(spark, state) == {
+        "watermark": "it's \\ \"x\"", "load_at": T, "batch_rows": 2, "checks_passed": False, "gold_wm": None, "load_number": 7,
+    }

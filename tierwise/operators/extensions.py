@@ -21,18 +21,22 @@ from tierwise.operators.silver import silver_cleansed
 from tierwise.schemas import LIFECYCLE_CHAIN, STATUSES, STUCK_HOURS_DEFAULT, TERMINAL_STATUSES
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 128 << 20, materialize: bool = True) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, max_bytes: int = 128 << 20, materialize: bool = True, rows: int | None = None
+) -> DataFrame:
     """Broadcast ``df`` only after checking that its rows, at their in-memory width, are at most
     ``max_bytes``; a larger side is joined with a shuffle instead. The check is a plain count (a
     partial count for each task) times the width of a row.
 
+    ``rows``, the most rows it can have, saves the count if it is known.
+
     With ``materialize`` the candidate is first written once as a reliable checkpoint (shared
     checkpoint folder), so the size check and the join do not both recompute it."""
     if materialize:
         from tierwise.session import cut_lineage
 
         df = cut_lineage(df)
-    return F.broadcast(df) if df.count() * row_width(df) <= max_bytes else df
+    return F.broadcast(df) if (df.count() if rows is None else rows) * row_width(df) <= max_bytes else df
 
 
 def row_width(df: DataFrame) -> int:

@@ -70,15 +70,17 @@ def watermark(bronze: DataFrame | None, col: str = WATERMARK_COLUMN) -> str | No
     because wall-clock text is ambiguous in a DST overlap hour and could move the mark forward."""
     if bronze is None:
         return None
-    dt = _ts_type(bronze, col)
-    if isinstance(dt, T.TimestampNTZType):
-        val = F.max(col).cast("string")
-    else:
-        val = F.unix_micros(F.max(col)).cast("string")
-    row = bronze.agg(val.alias("wm")).first()
+    row = bronze.agg(watermark_text(bronze, col).alias("wm")).first()
     return None if row is None else row["wm"]
 
 
+def watermark_text(bronze: DataFrame, col: str = WATERMARK_COLUMN) -> Column:
+    """The aggregate behind ``watermark``."""
+    if isinstance(_ts_type(bronze, col), T.TimestampNTZType):
+        return F.max(col).cast("string")
+    return F.unix_micros(F.max(col)).cast("string")
+
+
 # --- S3 / S4 -------------------------------------------------------------------------------
 def incremental_filter(src: DataFrame, wm: str | None, col: str = WATERMARK_COLUMN) -> DataFrame:
     """Rows with ``col >= wm`` (inclusive on purpose: rows committed in the same microsecond as the

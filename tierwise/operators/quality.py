@@ -11,10 +11,11 @@ Null counts for many columns run as **one** aggregate pass; the rest are filters
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierwise.schemas import DAILY_GRAIN
@@ -362,27 +363,57 @@ def incremental_layer_checks(
     bronze_model: str,
     silver_model: str,
     statuses: Sequence[str],
+    batch_rows: int | None = None,
+    unique_only: bool = False,
 ) -> DataFrame:
     """Bronze/Silver checks of one load, given that the tables passed them before the load.
 
     A load only rewrites the months of its batch, so row-level checks read those months only
     (partition pruning on ``created_month``, which Silver must carry too). Uniqueness can only break
     for ids that share a trimmed value with a batch id, so it runs over the rows semi-joined to the
-    batch's trimmed ids (broadcast after a size check, shuffled otherwise)."""
+    batch's trimmed ids (broadcast after a size check, shuffled otherwise). ``unique_only``: the rows were
+    watched while they were written (``LayerWatch``)."""
     from tierwise.functions import clean_text
     from tierwise.operators.extensions import broadcast_if_small
     from tierwise.operators.load import months_filter
 
     ids = batch.select(clean_text("id").alias("_bt")).filter(F.col("_bt").isNotNull()).distinct()
-    keys = broadcast_if_small(ids)
+    keys = broadcast_if_small(ids, materialize=batch_rows is None, rows=batch_rows)
 
     def related(df: DataFrame) -> DataFrame:
         return df.join(keys, clean_text(df["id"]) == keys["_bt"], "left_semi")
 
     touched = months_filter(months)
-    return row_checks(bronze.filter(touched), silver.filter(touched), bronze_model, silver_model, statuses).unionByName(
-        unique_ids({bronze_model: related(bronze), silver_model: related(silver)})
-    )
+    unique = unique_ids({bronze_model: related(bronze), silver_model: related(silver)})
+    if unique_only:
+        return unique
+    return row_checks(bronze.filter(touched), silver.filter(touched), bronze_model, silver_model, statuses).unionByName(unique)
+
+
+class LayerWatch:
+    """The row checks of Bronze and Silver (``row_checks``) as observed metrics of the rows while they are written.
+
+    Called with Bronze rows, it returns them with an observation of themselves and of the Silver rows that
+    ``silver`` makes of them. After the write ``clean`` tells whether every count is zero. Where it is not, the
+    checks are run over the written months: they count distinct values, which cannot be observed."""
+
+    def __init__(self, silver: Callable[..., DataFrame], statuses: Sequence[str]):
+        self.silver, self.statuses = silver, list(statuses)
+        self.seen = Observation(f"layers-{uuid.uuid4().hex}")
+
+    def __call__(self, bronze: DataFrame) -> DataFrame:
+        both = self.silver(bronze, ("struct(*) AS _raw",))
+        raw, flag, status = F.col("_raw"), F.col("is_deleted"), F.col("last_status")
+        outside = status.isNull() | ~status.isin(*self.statuses)
+        raw_outside = raw["lastStatus"].isNull() | ~raw["lastStatus"].isin(*self.statuses)
+        wrong = flag.isNull() | (flag != F.when(F.col("deleted_at").isNotNull(), 1).otherwise(0))
+        notes = {"raw_id": raw["id"].isNull(), "raw_status": raw_outside, "id": F.col("id").isNull(), "status": outside, "flag": wrong}
+        watched = both.observe(self.seen, *[F.count_if(c).alias(k) for k, c in notes.items()])
+        return watched.select(*[raw[c].alias(c) for c in bronze.columns])
+
+    @property
+    def clean(self) -> bool:
+        return not any(self.seen.get.values())
 
 
 def dq_suite_summary(layers: dict[str, DataFrame], statuses: Sequence[str]) -> DataFrame:

@@ -1,74 +1,53 @@
-"""Incremental Gold for hourly loads (planned improvement L-4 of the warehouse, at scale).
+"""Gold in step with Bronze by signed counts (``operators.deltas``), kept in three small catalog tables.
 
-A full rebuild scans all of Bronze every hour. Instead two small tables are kept next to the marts:
+A load stages its changes (new versions +1, replaced versions -1) before Bronze is switched, and adds them as one
+partition of each table afterwards; after some loads the partitions are folded into a new base. Nothing of
+Bronze but the replaced versions is read. A rebuild counts all of Silver once and replaces the base.
 
-* the **mart cube** (``gold.mart_cube`` without the clock-dependent columns): one row per
-  ``(transaction_date, status, route, is_deleted)``. A load changes only the transaction dates of its
-  batch rows (old and new versions), so only those dates are recomputed, from the Bronze months that
-  hold them (partition pruning). The daily and route marts roll up from the cube.
-* the **in-flight table**: active, not deleted parcels ``(id, last_status, route, updated_at)``.
-  The stuck-parcel mart depends on the clock, so it is recomputed every run, but only over the
-  parcels in flight (a small, moving fraction of Bronze). A load replaces the rows of its batch ids.
-
-Both are written to new versioned folders; the state file points at the current ones, so a run that
-dies half way leaves the previous, consistent pair in place.
+The load state names the watermark that the tables are in step with. It is cleared before Bronze changes and
+set after the tables did, so a run that dies in between is followed by a rebuild, not by a wrong sum.
 """
 
 from __future__ import annotations
 
-import uuid
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from tierwise.operators import deltas
+from tierwise.plans import storage
 
-from tierwise.functions import month_key
-from tierwise.operators import gold
-from tierwise.operators.extensions import broadcast_if_small
-from tierwise.operators.load import months_filter
-from tierwise.operators.silver import silver_cleansed
-from tierwise.schemas import TERMINAL_STATUSES
 
-IN_FLIGHT_COLUMNS = ("id", "last_status", "pos_origin", "pos_destination", "updated_at")
+def counts_path(wh: storage.Warehouse, name: str) -> str:
+    return wh.path("gold", f"_{name}_counts")
 
 
-def in_flight(silver: DataFrame) -> DataFrame:
-    """Parcels that can still get stuck: active status, not soft deleted."""
-    return silver.filter(~F.col("last_status").isin(*TERMINAL_STATUSES) & (F.col("is_deleted") == 0)).select(
-        *IN_FLIGHT_COLUMNS
-    )
+def counts(spark: SparkSession, wh: storage.Warehouse) -> dict[str, DataFrame]:
+    """The three tables, each key once."""
+    return {n: deltas.merged(n, storage.read_counts(spark, counts_path(wh, n))) for n in deltas.GRAINS}
 
 
-def update_in_flight(old: DataFrame, batch_silver: DataFrame) -> DataFrame:
-    """Replace the batch ids' rows: drop them (anti join on the size-checked broadcast batch ids) and
-    add back those whose new version is still in flight."""
-    ids = broadcast_if_small(batch_silver.select("id"), materialize=False)
-    return old.join(ids, "id", "left_anti").unionByName(in_flight(batch_silver))
+def at_once(spark: SparkSession, jobs: list) -> list:
+    """Run independent jobs of the session side by side; small ones leave most of a cluster idle."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
 
 
-def update_cube(
-    old_cube: DataFrame,
-    new_bronze: DataFrame,
-    dates: DataFrame,
-    as_of: str,
-) -> DataFrame:
-    """Cube rows of untouched dates are kept; affected dates are recomputed from the Bronze months
-    that hold them. Dates match null-safely (a NULL ``createdAt`` is its own date)."""
-    d = broadcast_if_small(dates, materialize=False)
-    keep = old_cube.join(d, old_cube["transaction_date"].eqNullSafe(d["transaction_date"]), "left_anti")
-    months = [r[0] for r in dates.select(month_key("transaction_date").alias("m")).distinct().collect()]
-    src = new_bronze.filter(months_filter(months))
-    src = src.join(d, F.to_date(src["createdAt"]).eqNullSafe(d["transaction_date"]), "left_semi")
-    fresh = gold.mart_cube(silver_cleansed(src), as_of, with_stuck=False)
-    return keep.unionByName(fresh.select(*old_cube.columns))
+def rebuild(spark: SparkSession, wh: storage.Warehouse, finest: DataFrame, load: int) -> None:
+    """New bases from the finest counts of all rows (read three times: pass a staged table)."""
+    rolled = deltas.roll_up(finest)
+    at_once(spark, [lambda n=n: storage.store_counts(spark, counts_path(wh, n), rolled[n], load, True) for n in rolled])
 
 
-def marts_from_state(cube: DataFrame, flight: DataFrame, as_of: str, ts_type) -> dict[str, DataFrame]:
-    """The five marts from the cube (daily and route marts) and the in-flight table (stuck parcels)."""
-    marts = gold.marts_from_cube(cube, as_of, ts_type)
-    stuck_src = flight.withColumn("is_deleted", F.lit(0))
-    marts["gold_aging_bottleneck_alerts"] = gold.gold_aging_bottleneck_alerts(stuck_src, as_of)
-    return marts
+def add_changes(spark: SparkSession, wh: storage.Warehouse, finest: DataFrame, load: int) -> None:
+    """Add a load's signed counts; every ``storage.DELTAS_KEPT`` loads the tables are folded into new bases."""
+    rolled = deltas.roll_up(finest)
 
+    def add(name: str) -> None:
+        path = counts_path(wh, name)
+        fold = len(storage._loads(spark, path)) >= storage.DELTAS_KEPT
+        new = deltas.merged(name, storage.read_counts(spark, path), rolled[name]) if fold else rolled[name]
+        storage.store_counts(spark, path, new, load, fold)
 
-def versioned_path(base: str) -> str:
-    return f"{base.rstrip('/')}/v={uuid.uuid4().hex}"
+    at_once(spark, [lambda n=n: add(n) for n in rolled])

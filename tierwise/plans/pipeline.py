@@ -7,21 +7,22 @@ Only scalars reach the driver (watermark, gate answer, months touched, per-check
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.operators import gold, quality
+from tierwise.functions import month_key
+from tierwise.operators import deltas, gold, quality
 from tierwise.operators.load import (
     bronze_projection,
     has_new_rows,
     incremental_filter,
     months_filter,
-    touched_months,
-    watermark,
+    watermark_text,
     with_partition_column,
 )
 from tierwise.operators.silver import silver_cleansed
@@ -86,13 +87,26 @@ def _later(a: str | None, b: str | None) -> str | None:
 
 
 def _gate(spark, source, wh, force) -> tuple[bool, str | None, bool]:
-    bronze_path = wh.path("bronze", BRONZE)
-    # a table without a committed month is empty: load it whole, whatever mark is stored
-    exists = bool(storage.bronze_folders(spark, bronze_path))
+    # a table without a month is empty: load it whole, whatever mark is stored
+    exists = bool(storage.bronze_months(spark, wh.path("bronze", BRONZE)))
     wm = storage.read_watermark(spark, wh.state_path(BRONZE)) if exists else None
     return has_new_rows(source, wm, force=force, bronze_exists=exists), wm, exists
 
 
+def _stage_batch(source: DataFrame, wm: str | None, as_of: str, path: str) -> tuple[DataFrame, dict]:
+    """The load's rows, written once to the staging folder, and what was seen of them on the way: rows, watermark,
+    months."""
+    rows = bronze_projection(incremental_filter(source, wm), as_of)
+    seen, month = Observation(f"batch-{uuid.uuid4().hex}"), month_key("createdAt")
+    notes = [
+        F.count(F.lit(1)).alias("n"), watermark_text(rows).alias("wm"),
+        F.collect_set(month).alias("months"), F.count_if(month.isNull()).alias("without"),
+    ]
+    staged = storage.write_staging(rows.observe(seen, *notes), path)
+    got = seen.get
+    return staged, {"n": got["n"], "wm": got["wm"], "months": [*got["months"], *([None] if got["without"] else [])]}
+
+
 def build(
     spark: SparkSession,
     source: DataFrame,
@@ -113,10 +127,8 @@ def build(
     rewrote (valid only if the previous run's checks passed); ``auto`` picks incremental exactly
     when the stored state says the previous checks passed and this is not a full refresh.
 
-    ``gold_mode``: ``full`` rebuilds Gold from one scan of Bronze; ``auto`` updates the stored cube
-    and in-flight table for the dates this load touched when Gold is in sync with the previous
-    watermark (see ``incremental_gold``), else rebuilds."""
-    from tierwise.operators.extensions import affected_dates
+    ``gold_mode``: ``full`` counts all of Silver again; ``auto`` adds the load's signed changes to the stored
+    counts when those are in step with the previous watermark (see ``incremental_gold``), else counts again."""
     from tierwise.plans import incremental_gold as ig
 
     reports: list[StepReport] = []
@@ -126,37 +138,38 @@ def build(
     if not go:
         reports.append(StepReport("new_data_gate", "skipped", 0, [], _now(), _now()))
         return spark.createDataFrame([tuple(r.__dict__.values()) for r in reports], REPORT_SCHEMA)
+    load = int(previous.get("load_number") or 0) + 1
 
     # --- Bronze -----------------------------------------------------------------------------
     started = _now()
     bronze_path = wh.path("bronze", BRONZE)
     window_wm = None if full_refresh else wm
-    staging = wh.staging_path(BRONZE)
-    staged = storage.write_staging(bronze_projection(incremental_filter(source, window_wm), as_of), staging)
-    stats = {"n": staged.count(), "wm": watermark(staged)}
+    staging, changes_path = wh.staging_path(BRONZE), wh.staging_path("changes")
+    staged, batch = _stage_batch(source, window_wm, as_of, staging)
     existing = None if (full_refresh or not exists) else storage.read_bronze(spark, bronze_path)
     gold_incremental = (
-        gold_mode == "auto"
-        and existing is not None
-        and previous.get("cube_path") is not None
-        and previous.get("gold_wm") is not None
-        and previous.get("gold_wm") == wm
+        gold_mode == "auto" and existing is not None and previous.get("gold_wm") is not None and previous.get("gold_wm") == wm
     )
-    months = touched_months(staged)
-    dates, dates_path = None, wh.staging_path("affected_dates")
     if gold_incremental:
-        # the dates this load changes, from the old versions (before they are overwritten) and the new.
-        # With stable months an id's old version lives in its batch month: read only those months.
+        # the versions this load replaces, before they are gone. With stable months they lie in the batch's months
         # (a repaired createdAt comes from the NULL month)
-        old = existing.filter(months_filter([*months, None])) if key_partition_stable else existing
-        dates = storage.write_staging(affected_dates(old, staged), dates_path)
-    carry = {k: previous.get(k) for k in ("gold_wm", "cube_path", "inflight_path")}
+        old = existing.filter(months_filter([*batch["months"], None])) if key_partition_stable else existing
+        changes = storage.write_staging(
+            deltas.finest_counts(deltas.signed_changes(old, staged, batch["n"]), silver_cleansed), changes_path
+        )
+    if previous.get("gold_wm") is not None:  # from here on Gold is out of step until its counts have followed
+        keep = {k: previous.get(k) for k in ("load_at", "batch_rows", "checks_passed", "load_number")}
+        storage.store_watermark(
+            spark, state_path, previous.get("watermark"), keep["load_at"], keep["batch_rows"] or 0, keep["checks_passed"], None,
+            keep["load_number"] or 0,
+        )
+    watch = quality.LayerWatch(silver_cleansed, statuses)
     storage.write_bronze(
         bronze_path, staged.select(*BRONZE_COLUMNS), existing is None, key_partition_stable,
-        batch_bytes=storage.folder_bytes(spark, staging),
+        batch_bytes=storage.folder_bytes(spark, staging), batch_rows=batch["n"], months=batch["months"], watch=watch,
     )
-    new_wm = _later(None if full_refresh else wm, stats["wm"])
-    storage.store_watermark(spark, state_path, new_wm, as_of, stats["n"], None, **carry)  # commit point
+    new_wm = _later(None if full_refresh else wm, batch["wm"])
+    storage.store_watermark(spark, state_path, new_wm, as_of, batch["n"], None, None, load)  # commit point
     bronze = storage.read_bronze(spark, bronze_path)
     if bronze is None:  # a first load of an empty source
         bronze = with_partition_column(staged)
@@ -164,21 +177,15 @@ def build(
     incremental = check_scope == "incremental" or (
         check_scope == "auto" and not full_refresh and existing is not None and bool(previous.get("checks_passed"))
     )
-    # both layers are checked in one job; Bronze's results gate now, Silver's in its own step below
-    if incremental:
-        by_month = silver_cleansed(bronze, keep=(BRONZE_PARTITION,))
-        layer_df = quality.incremental_layer_checks(bronze, by_month, staged, months, BRONZE, SILVER, statuses)
-    else:
-        layer_df = quality.layer_checks(bronze, silver, BRONZE, SILVER, statuses)
+    # both layers are checked here; Bronze's results gate now, Silver's in its own step below
     failed_by_model: dict[str, list[tuple[str, str, str | None, int]]] = {BRONZE: [], SILVER: []}
-    for r in layer_df.collect():
-        if r.failures:
-            failed_by_model[r.model].append((r.model, r.test_name, r.column_name, int(r.failures)))
+    for r in _layer_failures(bronze, staged, batch, watch, incremental or existing is None, incremental, statuses):
+        failed_by_model[r.model].append((r.model, r.test_name, r.column_name, int(r.failures)))
     layers_ok = not (failed_by_model[BRONZE] or failed_by_model[SILVER])
     # a red result is recorded so the next run re-checks the whole table instead of only its rows
-    storage.store_watermark(spark, state_path, new_wm, as_of, stats["n"], layers_ok, **carry)
+    storage.store_watermark(spark, state_path, new_wm, as_of, batch["n"], layers_ok, None, load)
     failed = failed_by_model[BRONZE]
-    reports.append(StepReport(BRONZE, "failed" if failed else "success", stats["n"], [f"{m}.{t}" for m, t, _, _ in failed], started, _now()))
+    reports.append(StepReport(BRONZE, "failed" if failed else "success", batch["n"], [f"{m}.{t}" for m, t, _, _ in failed], started, _now()))
     if failed and fail_fast:
         raise DataQualityError(BRONZE, failed)
 
@@ -190,36 +197,23 @@ def build(
     if failed and fail_fast:
         raise DataQualityError(SILVER, failed)
 
-    # --- Gold: a cube (dates x statuses x routes) and the in-flight parcels, marts rolled up from them
+    # --- Gold: signed counts, and the marts rolled up from them ----------------------------------
     started = _now()
-    cube_path = ig.versioned_path(wh.path("gold", "_mart_cube"))
-    flight_path = ig.versioned_path(wh.path("gold", "_in_flight"))
     if gold_incremental:
-        cube = ig.update_cube(spark.read.parquet(carry["cube_path"]), bronze, dates, as_of)
-        flight = ig.update_in_flight(spark.read.parquet(carry["inflight_path"]), silver_cleansed(staged))
+        ig.add_changes(spark, wh, changes, load)
     else:
-        cube = gold.mart_cube(silver, as_of, with_stuck=False)
-        flight = ig.in_flight(silver)
-    cube = storage.write_staging(cube, cube_path)
-    flight = storage.write_staging(flight, flight_path)
-    marts = ig.marts_from_state(cube, flight, as_of, bronze.schema["updatedAt"].dataType)
-    written: dict[str, DataFrame] = {}
-    for name, df in marts.items():
-        storage.write_table(df, wh.path("gold", name), name)
-        written[name] = spark.read.parquet(wh.path("gold", name))
+        ig.rebuild(spark, wh, storage.write_staging(deltas.finest_counts(bronze, silver_cleansed), changes_path), load)
+    marts = deltas.marts(ig.counts(spark, wh), as_of, bronze.schema["updatedAt"].dataType)
+    counts = dict(ig.at_once(spark, [lambda n=n: (n, storage.write_table(marts[n], wh.path("gold", n), n)) for n in marts]))
+    written = {name: spark.read.schema(df.schema).parquet(wh.path("gold", name)) for name, df in marts.items()}
     checks = quality.generic_checks(written, statuses, only_gold=True)
     checks += [c for c in quality.singular_checks(written)]
     failed = run_checks(checks)
     ended = _now()
-    counts = {r["t"]: r["n"] for r in _count_tables(written).collect()}
-    # Gold is now in sync with this watermark: point the state at the new cube / in-flight versions
-    storage.store_watermark(spark, state_path, new_wm, as_of, stats["n"], layers_ok, new_wm, cube_path, flight_path)
-    for old in (carry["cube_path"], carry["inflight_path"]):
-        if old:
-            storage.delete_path(spark, old)
+    # Gold is now in step with this watermark
+    storage.store_watermark(spark, state_path, new_wm, as_of, batch["n"], layers_ok, new_wm, load)
     storage.delete_path(spark, staging)
-    if dates is not None:
-        storage.delete_path(spark, dates_path)
+    storage.delete_path(spark, changes_path)
     for name in written:
         mine = [f"{m}.{t}" for m, t, _, _ in failed if name in m.split("+")]
         reports.append(StepReport(name, "failed" if mine else "success", counts[name], mine, started, ended))
@@ -228,12 +222,19 @@ def build(
     return spark.createDataFrame([tuple(r.__dict__.values()) for r in reports], REPORT_SCHEMA)
 
 
-def _count_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("t"), "n") for n, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _layer_failures(bronze, staged, batch, watch, whole: bool, incremental: bool, statuses) -> list:
+    """Failing Bronze and Silver checks. The row checks were observed while the months were written; where those are
+    all that has to be checked (``whole``) and show nothing wrong, no row is read again for them."""
+    clean = whole and watch.clean
+    if incremental:
+        by_month = silver_cleansed(bronze, keep=(BRONZE_PARTITION,))
+        rows = quality.incremental_layer_checks(
+            bronze, by_month, staged, batch["months"], BRONZE, SILVER, statuses, batch_rows=batch["n"], unique_only=clean
+        )
+    else:
+        silver = silver_cleansed(bronze)
+        rows = quality.unique_ids({BRONZE: bronze, SILVER: silver}) if clean else quality.layer_checks(bronze, silver, BRONZE, SILVER, statuses)
+    return [r for r in rows.collect() if r.failures]
 
 
 def run_hourly(spark: SparkSession, source: DataFrame, wh: storage.Warehouse, as_of: str, **kwargs) -> DataFrame:

@@ -309,20 +309,11 @@ def q_hard_delete_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_incremental_daily_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comprehensive daily mart after the last of four builds, rebuilding only touched dates from
-    the month-partitioned Bronze before and after that build."""
-    from tierwise.plans import pipeline, storage
-    from tierwise.session import cut_lineage
-
-    for cut, wh, _ in sc.shipped_loads(spark, sf_dir):
-        path = wh.path("bronze", pipeline.BRONZE)
-        if cut == fx.REPLAY_CUTS[-2]:
-            # the next build replaces the mart; the old Bronze folders stay for one more commit
-            old_bronze = storage.read_bronze(spark, path)
-            old_mart = cut_lineage(spark.read.parquet(wh.path("gold", "gold_daily_transaction_comprehensive")))
-    new_bronze = storage.read_bronze(spark, path)
-    batch = new_bronze.filter(F.col("load_at") == ts_literal(fx.REPLAY_CUTS[-1]))
-    return ext.incremental_daily_mart(old_mart, old_bronze, new_bronze, batch, fx.REPLAY_CUTS[-1])
+    """The comprehensive daily mart after four builds: the first counts Silver, each later one adds the signed counts
+    of its batch and of the versions that it replaces."""
+    for _, wh, _ in sc.shipped_loads(spark, sf_dir):
+        pass
+    return spark.read.parquet(wh.path("gold", "gold_daily_transaction_comprehensive"))
 
 
 def q_aging_with_route_sla(spark: SparkSession, sf_dir: str) -> DataFrame:

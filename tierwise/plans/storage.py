@@ -1,26 +1,30 @@
-"""Physical layout of the warehouse on Parquet (S8, S9, S12-S15) and the stored watermark.
+"""Physical layout of the warehouse: tables of Spark's catalog over Parquet (S8, S9, S12-S15) and the load state.
 
-* Bronze is partitioned by ``created_month`` and sorted inside each month by
+* Bronze is a catalog table partitioned by ``created_month``, each month sorted by
   ``(to_date(updatedAt), lastStatus, id)`` so Parquet min/max statistics skip row groups.
-* A load writes the months it touches to a new folder (``gen=<id>/created_month=<m>``); no file is
-  ever replaced or renamed. The table is what the newest manifest says, a small record that maps
-  each month to its folder and is written last. A run that dies before that leaves the old table,
-  whole; a first load and a full refresh are committed the same way. Folders that neither of the
-  two newest manifests names are removed after a commit.
-* Records (manifests, load states) are numbered folders that count once Spark's success marker is
-  in them; the newest counts. The watermark is recorded after the Bronze commit: a run that dies in
-  between re-reads the same window next time, and the keyed upsert makes that harmless.
-* Gold marts are fully rebuilt (overwrite) and written range-partitioned and sorted by their
-  configured order.
+* A load writes the months it touches to a new folder and then points the partitions there:
+  ``ALTER TABLE ... ADD PARTITION`` for new months, ``PARTITION ... SET LOCATION`` for rewritten ones, ``DROP
+  PARTITION`` for emptied ones, in this order. No file is replaced, so a month is always whole, old or new. A run
+  that dies between two statements has not moved the watermark; the next run reads the same window and the
+  keyed upsert makes that harmless. Folders that a switch left behind are removed by the next one.
+* The load state (watermark, result of the checks, what Gold is in step with) is one table property, set by one
+  statement after the months are switched.
+* Gold marts are fully rebuilt (overwrite) and written range-partitioned and sorted by their configured order.
+* Names: a table is ``<schema folder>_<hash of its folder>.<table folder>``, so warehouses under different roots
+  share a catalog. On a cluster the catalog must outlive the session (a metastore); a session that does not know
+  the table loads it whole again.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
-from collections.abc import Sequence
+import zlib
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,41 +85,46 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if path_exists(spark, path) else None
-
-
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of the files below ``path`` (0 if it is not there)."""
     fs, p = _hadoop_fs(spark, path)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _hadoop_fs(spark, path)
-    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+# --- catalog -------------------------------------------------------------------------------------
+def catalog_name(path: str) -> str:
+    """``database.table`` of the table kept at ``path``."""
+    schema, table = path.rstrip("/").rsplit("/", 2)[-2:]
+    database = re.sub(r"\W", "_", f"{schema}_{zlib.crc32(path.rstrip('/').encode()):08x}")
+    return f"`{database}`.`{table}`"
 
 
-# --- committed records -------------------------------------------------------------------------
-def record_versions(spark: SparkSession, base: str) -> list[str]:
-    """Folders of the committed records below ``base``, oldest first."""
-    found = [n for n in child_names(spark, base) if n.startswith("v=")]
-    return [f"{base}/{n}" for n in found if path_exists(spark, f"{base}/{n}/_SUCCESS")]
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def commit_record(spark: SparkSession, base: str, rows: list[tuple], schema: T.StructType, keep: int = 5) -> None:
-    """Write ``rows`` as the newest record: it counts from the moment its success marker exists."""
-    numbers = [int(n[2:]) for n in child_names(spark, base) if n.startswith("v=")]
-    path = f"{base}/v={max(numbers, default=0) + 1:012d}"
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("errorifexists").json(path)
-    for old in record_versions(spark, base)[:-keep]:
-        delete_path(spark, old)
+def create_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> str:
+    """The managed Parquet table at ``path`` (created if the catalog does not have it); returns its name."""
+    name = catalog_name(path)
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]} LOCATION {_quoted(path.rstrip('/').rsplit('/', 1)[0])}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}")
+    return name
 
 
-def newest_record(spark: SparkSession, base: str, schema: T.StructType, back: int = 0) -> list:
-    """Rows of the newest record (or the one ``back`` before it); none without a record."""
-    versions = record_versions(spark, base)
-    return spark.read.schema(schema).json(versions[-1 - back]).collect() if len(versions) > back else []
+def table_property(spark: SparkSession, path: str, key: str):
+    """The JSON value of a property of the table at ``path``; ``None`` without the table or the property."""
+    name = catalog_name(path)
+    if not spark.catalog.tableExists(name):
+        return None
+    value = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}.get(key)
+    return None if value is None else json.loads(value)
+
+
+def set_table_property(spark: SparkSession, path: str, key: str, value) -> None:
+    spark.sql(f"ALTER TABLE {catalog_name(path)} SET TBLPROPERTIES ({_quoted(key)} = {_quoted(json.dumps(value))})")
 
 
 # --- S9 / S12 ----------------------------------------------------------------------------------
@@ -130,67 +139,99 @@ TARGET_PARTITION_BYTES = 256 << 20
 
 
 def sorted_for_write(
-    df: DataFrame, order: Sequence[str], partition_by: Sequence[str] = (), size_bytes: int | None = None
+    df: DataFrame,
+    order: Sequence[str],
+    partition_by: Sequence[str] = (),
+    size_bytes: int | None = None,
+    observed: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Range-partition on ``(partition_by..., order...)`` and sort within partitions: every task
     writes a contiguous key range (tight min/max per file), and a hot partition value is split
     across tasks by the secondary keys instead of landing in one task. ``size_bytes``, the size of
-    what is read for the write, sets the number of partitions; without it the session does."""
+    what is read for the write, sets the number of partitions; without it the session does.
+    ``observed`` is handed the rows after the exchange (what is before it runs once more for the range
+    bounds) and before the sort (which must be the last step before the write)."""
     keys = [F.col(c) for c in partition_by] + _order_columns(order)
-    if size_bytes is None:
-        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return df.repartitionByRange(max(1, -(-size_bytes // TARGET_PARTITION_BYTES)), *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(*([] if size_bytes is None else [max(1, -(-size_bytes // TARGET_PARTITION_BYTES))]), *keys)
+    return (observed(ranged) if observed else ranged).sortWithinPartitions(*keys)
 
 
-def write_table(df: DataFrame, path: str, table: str) -> None:
-    """S12: full rebuild (overwrite) of a mart, sorted by its configured order."""
+def write_table(df: DataFrame, path: str, table: str) -> int:
+    """S12: full rebuild (overwrite) of a mart, sorted by its configured order; returns its rows."""
     order = WRITE_ORDER.get(table, ())
-    out = sorted_for_write(df, order) if order else df
+    seen = Observation(f"mart-{uuid.uuid4().hex}")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    out = sorted_for_write(df, order, observed=counted) if order else counted(df)
     out.write.mode("overwrite").parquet(path)
+    return seen.get["n"]
 
 
 def write_staging(df: DataFrame, path: str) -> DataFrame:
     """Write a batch to the shared staging folder and read it back: the load then works on a fixed
     snapshot (a mutable source read twice could differ) and lineage is cut."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # --- S8 + S6 on disk -------------------------------------------------------------------------
-MANIFEST_SCHEMA = T.StructType(
-    [T.StructField("month", T.IntegerType(), True), T.StructField("folder", T.StringType(), False)]
-)
+def _month_of(partition: str) -> int | None:
+    value = partition.rsplit("=", 1)[1]
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else int(value)
 
 
-def bronze_folders(spark: SparkSession, bronze_path: str, back: int = 0) -> dict[int | None, str]:
-    """The committed Bronze: month -> folder (relative). Empty before the first commit."""
-    return {r["month"]: r["folder"] for r in newest_record(spark, f"{bronze_path}/_manifest", MANIFEST_SCHEMA, back)}
+def _spec(month: int | None) -> str:
+    return f"PARTITION ({BRONZE_PARTITION} = {'null' if month is None else int(month)})"
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
-    """The committed Bronze with its ``created_month`` partition column, or ``None`` if it has no month."""
-    folders = [f"{bronze_path}/{f}" for f in bronze_folders(spark, bronze_path).values()]
-    if not folders:
-        return None
-    df = spark.read.option("basePath", bronze_path).parquet(*folders).drop("gen")
-    if not isinstance(df.schema[BRONZE_PARTITION].dataType, T.IntegerType):  # only the NULL month
-        df = df.withColumn(BRONZE_PARTITION, F.col(BRONZE_PARTITION).cast("int"))
-    return df
+def _folder_of(month: int | None) -> str:
+    return f"{BRONZE_PARTITION}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}"
 
 
-def _month_of(folder: str) -> int | None:
-    value = folder.rsplit("=", 1)[1]
-    return None if value == "__HIVE_DEFAULT_PARTITION__" else int(value)
+def bronze_months(spark: SparkSession, bronze_path: str) -> list[int | None]:
+    """The months of the stored Bronze (``None``: rows without ``createdAt``). Empty before the first load."""
+    name = catalog_name(bronze_path)
+    if not spark.catalog.tableExists(name):
+        return []
+    return [_month_of(r["partition"]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
 
 
-def _commit_bronze(spark: SparkSession, bronze_path: str, folders: dict[int | None, str]) -> None:
-    rows = sorted(folders.items(), key=lambda x: (x[0] is not None, x[0] or 0))
-    commit_record(spark, f"{bronze_path}/_manifest", rows, MANIFEST_SCHEMA)
-    named = set(folders.values()) | set(bronze_folders(spark, bronze_path, 1).values())
-    for gen in (n for n in child_names(spark, bronze_path) if n.startswith("gen=")):
-        for month in child_names(spark, f"{bronze_path}/{gen}"):
-            if "=" in month and f"{gen}/{month}" not in named:
-                delete_path(spark, f"{bronze_path}/{gen}/{month}")
+def month_location(spark: SparkSession, bronze_path: str, month: int | None) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {catalog_name(bronze_path)} {_spec(month)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def bronze_folders(spark: SparkSession, bronze_path: str) -> dict[int | None, str]:
+    """The stored Bronze: month -> folder (relative to the table's)."""
+    return {m: "/".join(month_location(spark, bronze_path, m).rsplit("/", 2)[1:]) for m in bronze_months(spark, bronze_path)}
+
+
+def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """The stored Bronze with its ``created_month`` partition column, or ``None`` if it has no month."""
+    return spark.table(catalog_name(bronze_path)) if bronze_months(spark, bronze_path) else None
+
+
+def switch_months(
+    spark: SparkSession, bronze_path: str, folder: str, written: Sequence[int | None], replaced: Sequence[int | None]
+) -> None:
+    """Point the months ``written`` to their folders below ``folder`` and drop the months of ``replaced`` that
+    were not written. Months that gain rows change before months go."""
+    name = catalog_name(bronze_path)
+    there = set(bronze_months(spark, bronze_path))
+    fresh = [m for m in written if m not in there]
+    left = [month_location(spark, bronze_path, m) for m in written if m in there]
+    if fresh:
+        parts = " ".join(f"{_spec(m)} LOCATION {_quoted(f'{folder}/{_folder_of(m)}')}" for m in fresh)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    for m in (m for m in written if m in there):
+        spark.sql(f"ALTER TABLE {name} {_spec(m)} SET LOCATION {_quoted(f'{folder}/{_folder_of(m)}')}")
+    drop_month_partitions(spark, bronze_path, [m for m in replaced if m not in set(written)])
+    for old in table_property(spark, bronze_path, "left_behind") or []:
+        if old not in left:
+            delete_path(spark, old)
+    set_table_property(spark, bronze_path, "left_behind", left)
 
 
 def write_bronze(
@@ -200,8 +241,14 @@ def write_bronze(
     key_partition_stable: bool = True,
     newer_wins: bool = False,
     batch_bytes: int | None = None,
+    batch_rows: int | None = None,
+    months: Sequence[int | None] | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """Upsert ``batch`` into the month-partitioned Bronze at ``bronze_path`` and commit it.
+    """Upsert ``batch`` into the month-partitioned Bronze at ``bronze_path`` and switch its months over.
+
+    ``batch_rows`` and ``months`` (what the batch holds and touches) save a scan of the batch each if they are
+    known. ``watch`` is handed the rows on their way to the files and returns them, with what it wants observed.
 
     * First load, or ``replace`` (full refresh): the batch is the whole table.
     * Stable months (default): read only the months the batch touches and the NULL month (whose ids
@@ -220,13 +267,14 @@ def write_bronze(
     spark = batch.sparkSession
     batch_p = with_partition_column(batch.select(*BRONZE_COLUMNS))
     order = WRITE_ORDER["bronze_retail_transactions"]
-    folders = {} if replace else bronze_folders(spark, bronze_path)
+    create_table(spark, bronze_path, batch_p.schema, [BRONZE_PARTITION])
+    there = bronze_months(spark, bronze_path)
     read: list[int | None] = []
-    if folders:
-        read = list(folders)
+    if not replace:
+        read = list(there)
         if key_partition_stable:
             # months are a handful of scalars per batch (bounded by the calendar, not by the data)
-            read = [m for m in {*touched_months(batch_p), None} if m in folders]
+            read = [m for m in {*(touched_months(batch_p) if months is None else months), None} if m in there]
     merged = batch_p
     if read:
         stored = read_bronze(spark, bronze_path).filter(months_filter(read)).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
@@ -234,18 +282,26 @@ def write_bronze(
         if newer_wins:
             # batch rows whose stored version is newer are dropped first: a join of the months read
             # with the (broadcast) batch versions, so the months are scanned, not shuffled
-            versions = broadcast_if_small(batch_p.select("id", version_of().alias("_bv")), materialize=False)
+            versions = broadcast_if_small(batch_p.select("id", version_of().alias("_bv")), materialize=False, rows=batch_rows)
             stale = stored.join(versions, "id").filter(version_of() > F.col("_bv")).select("id").distinct()
             effective = batch_p.join(stale, "id", "left_anti")
-        keys = broadcast_if_small(effective.select("id"), materialize=False)
+        keys = broadcast_if_small(effective.select("id"), materialize=False, rows=batch_rows)
         merged = upsert_by_key(stored, effective, "id", batch_keys=keys)
-    size = sum(folder_bytes(spark, f"{bronze_path}/{folders[m]}") for m in read)
-    gen = f"gen={uuid.uuid4().hex}"
-    sized = None if batch_bytes is None else size + batch_bytes
-    sorted_for_write(merged, order, [BRONZE_PARTITION], sized).write.partitionBy(BRONZE_PARTITION).parquet(f"{bronze_path}/{gen}")
-    kept = {m: f for m, f in folders.items() if m not in read}
-    fresh = [n for n in child_names(spark, f"{bronze_path}/{gen}") if n.startswith(f"{BRONZE_PARTITION}=")]
-    _commit_bronze(spark, bronze_path, kept | {_month_of(n): f"{gen}/{n}" for n in fresh})
+    seen = Observation(f"bronze-{uuid.uuid4().hex}")
+    month = F.col(BRONZE_PARTITION)
+    notes = [F.collect_set(month).alias("months"), F.count_if(month.isNull()).alias("without")]
+
+    def observed(rows: DataFrame) -> DataFrame:
+        return (watch(rows) if watch else rows).observe(seen, *notes)
+
+    folder = f"{bronze_path.rstrip('/')}/gen={uuid.uuid4().hex}"
+    sized = None
+    if batch_bytes is not None:
+        sized = batch_bytes + sum(folder_bytes(spark, month_location(spark, bronze_path, m)) for m in read)
+    sorted_for_write(merged, order, [BRONZE_PARTITION], sized, observed).write.partitionBy(BRONZE_PARTITION).parquet(folder)
+    found = seen.get
+    written = [*found["months"], *([None] if found["without"] else [])]
+    switch_months(spark, bronze_path, folder, written, there if replace else read)
 
 
 def version_of() -> Column:
@@ -258,35 +314,51 @@ def version_of() -> Column:
 
 
 # --- S15 on disk ----------------------------------------------------------------------------
-def drop_month_partitions(spark: SparkSession, bronze_path: str, months: Sequence[int]) -> list[int]:
-    """Retention: months leave the manifest (no data is rewritten; their folders go with the next
-    commits). Returns the months removed."""
-    folders = bronze_folders(spark, bronze_path)
-    gone = [int(m) for m in months if int(m) in folders]
+def drop_month_partitions(spark: SparkSession, bronze_path: str, months: Sequence[int | None]) -> list[int | None]:
+    """Retention: ``DROP PARTITION`` for the months that are there (no data is read or rewritten; the table is
+    managed, so their files go, too). Returns the months removed."""
+    there = set(bronze_months(spark, bronze_path))
+    gone = [m for m in months if m in there]
     if gone:
-        _commit_bronze(spark, bronze_path, {m: f for m, f in folders.items() if m not in gone})
+        spark.sql(f"ALTER TABLE {catalog_name(bronze_path)} DROP IF EXISTS {', '.join(map(_spec, gone))}")
     return gone
 
 
+# --- tables of signed counts ----------------------------------------------------------------
+LOAD_PARTITION = "load"
+#: Loads whose deltas stand beside the base before they are folded into it.
+DELTAS_KEPT = 24
+
+
+def _loads(spark: SparkSession, path: str) -> list[int]:
+    return [int(r["partition"].rsplit("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {catalog_name(path)}").collect()]
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table of counts, the base's and the deltas'; readers sum them."""
+    return spark.table(catalog_name(path)).drop(LOAD_PARTITION)
+
+
+def store_counts(spark: SparkSession, path: str, counts: DataFrame, load: int, replace: bool) -> None:
+    """Add one partition of counts, a delta of load ``load``, or with ``replace`` a new base instead of all others.
+    A rerun of the same load overwrites its own partition."""
+    name = create_table(spark, path, T.StructType([*counts.schema, T.StructField(LOAD_PARTITION, T.IntegerType())]), [LOAD_PARTITION])
+    counts.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD_PARTITION}={load}")
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({LOAD_PARTITION} = {load})")
+    spark.catalog.refreshTable(name)
+    if replace:
+        others = ", ".join(f"PARTITION ({LOAD_PARTITION} = {n})" for n in _loads(spark, path) if n != load)
+        if others:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {others}")
+
+
 # --- stored watermark -----------------------------------------------------------------------
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("watermark", T.StringType(), True),
-        T.StructField("load_at", T.StringType(), True),
-        T.StructField("batch_rows", T.LongType(), True),
-        T.StructField("checks_passed", T.BooleanType(), True),
-        # incremental Gold: the watermark Gold was last built at, and its current cube / in-flight tables
-        T.StructField("gold_wm", T.StringType(), True),
-        T.StructField("cube_path", T.StringType(), True),
-        T.StructField("inflight_path", T.StringType(), True),
-    ]
-)
+STATE_FIELDS = ("watermark", "load_at", "batch_rows", "checks_passed", "gold_wm", "load_number")
 
 
 def read_state(spark: SparkSession, state_path: str) -> dict | None:
-    """The committed load state ``{watermark, load_at, batch_rows, checks_passed}`` or ``None``."""
-    rows = newest_record(spark, state_path, STATE_SCHEMA)
-    return rows[0].asDict() if rows else None
+    """The stored load state (``STATE_FIELDS``) or ``None``."""
+    return table_property(spark, state_path, "load_state")
 
 
 def read_watermark(spark: SparkSession, state_path: str) -> str | None:
@@ -303,11 +375,11 @@ def store_watermark(
     batch_rows: int,
     checks_passed: bool | None = None,
     gold_wm: str | None = None,
-    cube_path: str | None = None,
-    inflight_path: str | None = None,
+    load_number: int = 0,
 ) -> None:
-    """Commit point of a load: called only after the Bronze write returned (``checks_passed`` is
-    unknown at that moment and recorded by a later call once the checks have run; the Gold fields
-    are carried over until Gold is rebuilt)."""
-    row = (wm, load_at, int(batch_rows), checks_passed, gold_wm, cube_path, inflight_path)
-    commit_record(spark, state_path, [row], STATE_SCHEMA)
+    """Commit point of a load: called only after the Bronze write returned (``checks_passed`` is unknown at that
+    moment and recorded by a later call once the checks have run). ``gold_wm`` is the watermark that the count
+    tables of Gold are in step with, ``None`` while they are not in step with Bronze."""
+    create_table(spark, state_path, T.StructType([T.StructField("note", T.StringType())]))
+    row = (wm, load_at, int(batch_rows), checks_passed, gold_wm, load_number)
+    set_table_property(spark, state_path, "load_state", dict(zip(STATE_FIELDS, row, strict=True)))
