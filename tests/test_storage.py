@@ -220,7 +220,7 @@ def test_a_switch_that_dies_half_way_is_mended_by_the_rerun(spark, scratch, monk
         m.setattr(type(spark), "sql", dying)
         with pytest.raises(RuntimeError):
             storage.write_bronze(path, new, **kwargs)
-    assert len(calls) == done + 1
+    assert len(calls) > done  # months are switched side by side
     storage.write_bronze(path, new, **kwargs)
     assert rows_of(spark, path) == [("A", "PROCESSING"), ("B", "PROCESSING"), ("C", "PROCESSING")]
 
@@ -229,7 +229,8 @@ def test_left_behind_folders_go_with_the_next_load(spark, scratch):
     path = f"{scratch}/bronze"
     first = bronze(spark, [row("A", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00")])
     storage.write_bronze(path, first)
-    before = storage.month_location(spark, path, 202501)
+    (before,) = storage.stored_folders(storage.read_bronze(spark, path))
+    assert before == storage.month_location(spark, path, 202501)
     storage.write_bronze(path, first)
     assert storage.path_exists(spark, before)  # a reader of the old month can finish
     storage.write_bronze(path, first)

@@ -109,6 +109,22 @@ def daily_comprehensive(daily: DataFrame, as_of: str, kind: T.DataType | None =
     )
 
 
+def daily_mart_after(
+    old_mart: DataFrame, daily: DataFrame, changes: DataFrame, as_of: str, mart=daily_comprehensive
+) -> DataFrame:
+    """E3: a daily mart after a load. ``daily`` are the counts before it, ``changes`` its signed rows. Dates that the
+    load touches are summed anew from counts; rows of all other dates stay as they are in ``old_mart``, stamp
+    included. Dates match null-safely; the list of dates is bounded by the calendar and its size is checked."""
+    dates = broadcast_if_small(changes.select(F.to_date("createdAt").alias("_date")).distinct())
+
+    def on(df: DataFrame, how: str) -> DataFrame:
+        return df.join(dates, df["transaction_date"].eqNullSafe(dates["_date"]), how)
+
+    delta = roll_up(finest_counts(changes))["daily"]
+    fresh = mart(merged("daily", on(daily, "left_semi"), delta), as_of, old_mart.schema["processed_at"].dataType)
+    return on(old_mart, "left_anti").unionByName(fresh.select(*old_mart.columns))
+
+
 def _mean(value: Column, weight: str) -> Column:
     known = F.when(value.isNotNull(), F.col(weight)).otherwise(0)
     return round_half_even(F.try_divide(F.sum(value * F.col(weight)).cast("double"), F.sum(known).cast("double")), 2)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.functions import hour_index, month_key
+from tierwise.functions import month_key
 from tierwise.operators import gold
 from tierwise.operators.silver import silver_cleansed
 from tierwise.schemas import LIFECYCLE_CHAIN, STATUSES, STUCK_HOURS_DEFAULT, TERMINAL_STATUSES
@@ -69,61 +69,87 @@ def legal_move(prev: Column, cur: Column) -> Column:
 
 
 def status_transition_audit(
-    changes: DataFrame,
-    key: str = "id",
-    ts: str = "updatedAt",
-    seq: str = "version",
-    status: str = "lastStatus",
-    bucket: Column | None = None,
+    changes: DataFrame, key: str = "id", ts: str = "updatedAt", seq: str = "version", status: str = "lastStatus"
 ) -> DataFrame:
     """Illegal moves ``(id, from_status, to_status, updated_at)`` in a change feed.
 
-    The predecessor of each version is found without putting a whole key into one task: ``lag``
-    runs inside ``(key, bucket)`` groups (bucket = hour of the change by default); the first row of
-    a bucket takes the last status of the key's previous bucket, read from a one-row-per-
-    ``(key, bucket)`` summary (a partial aggregate). A key with a huge history is thus spread over
-    as many tasks as it has hours.
-    """
+    The feed is range-partitioned by (key, time, version), so a key with a huge history, or all the versions
+    without a key, is cut by time and spread over as many tasks as its size asks for. Inside a range the version before is the
+    row before (``lag``); the first row of a range takes the last row of the range before it, one row for each
+    range. The ranges are fixed by a reliable checkpoint before they are read twice."""
     from tierwise.session import cut_lineage
 
-    b = bucket if bucket is not None else hour_index(F.col(ts))
-    # the feed is read twice below: derive it once
-    feed = cut_lineage(changes.select(key, ts, seq, status).withColumn("_b", b))
-    w_in = Window.partitionBy(key, "_b").orderBy(ts, seq)
-    in_bucket = feed.withColumn("_prev", F.lag(status).over(w_in)).withColumn(
-        "_first", F.row_number().over(w_in) == 1
-    )
-    last_of_bucket = feed.groupBy(key, "_b").agg(F.max(F.struct(ts, seq, status)).alias("_last"))
-    w_b = Window.partitionBy(key).orderBy("_b")
-    carry = last_of_bucket.select(
-        F.col(key).alias("_k"), F.col("_b").alias("_kb"), F.lag(F.col(f"_last.{status}")).over(w_b).alias("_carry")
-    )
-    # null-safe: versions without an id or a time are one group and one bucket, not lost
-    same = in_bucket[key].eqNullSafe(carry["_k"]) & in_bucket["_b"].eqNullSafe(carry["_kb"])
-    joined = in_bucket.join(carry, same & in_bucket["_first"], "left")
-    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
+    order = [key, ts, seq, status]
+    ranged = changes.select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    feed = cut_lineage(ranged)
+    before = F.lag(F.struct(*order)).over(Window.partitionBy("_range").orderBy(*order))
+    # one row for each range that has rows: their order is that of the keys
+    ends = feed.groupBy("_range").agg(F.max(F.struct(*order)).alias("_end"))
+    carry = ends.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_carry"))
+    rows = feed.withColumn("_before", before).join(F.broadcast(carry), "_range")
+    last = F.coalesce("_before", "_carry")
+    # null-safe: versions without a key are one history
+    prev = F.when(last.isNotNull() & last[key].eqNullSafe(F.col(key)), last[status])
     return (
-        joined.withColumn("from_status", prev)
+        rows.withColumn("from_status", prev)
         .filter(~legal_move(F.col("from_status"), F.col(status)))
-        .select(
-            F.col(key).alias("id"),
-            "from_status",
-            F.col(status).alias("to_status"),
-            F.col(ts).alias("updated_at"),
-        )
+        .select(F.col(key).alias("id"), "from_status", F.col(status).alias("to_status"), F.col(ts).alias("updated_at"))
     )
 
 
 # --- E2 -------------------------------------------------------------------------------------
-def hard_delete_reconciliation(bronze: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
-    """Rows in Bronze whose key no longer exists at the source (hard deletes an incremental load
-    cannot see). A shuffled anti join on the key; AQE splits a skewed key. Rows without a key cannot
-    be told to be gone and are not reported."""
-    return bronze.where(F.col(key).isNotNull()).join(source.select(key), key, "left_anti").select(
-        key, "lastStatus", "createdAt", "updatedAt", "deletedAt", "load_at"
+#: Most id ranges that are compared, and most that are read by prefix (the others are filtered after the scan).
+MOST_RANGES, MOST_PREFIXES = 4096, 64
+
+
+def id_ranges(ids: DataFrame, key: str = "id", most: int = MOST_RANGES) -> int:
+    """Length of the id prefixes that cut ``ids`` into as many ranges as possible, at most about ``most``."""
+    counts = ids.agg(*[F.approx_count_distinct(F.substring(key, 1, p)).alias(str(p)) for p in range(1, 33)]).first()
+    return max([p for p in range(1, 33) if counts[str(p)] <= most * 0.9], default=1)
+
+
+def range_fingerprints(ids: DataFrame, prefix: int, key: str = "id") -> DataFrame:
+    """(range, n, sum): count and sum of a 64-bit hash of the ids in each range. Partial aggregates: a task sends
+    a row for each range it has seen."""
+    return (
+        ids.where(F.col(key).isNotNull())
+        .groupBy(F.substring(key, 1, prefix).alias("range"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(key).cast("decimal(20,0)")).alias("sum"))
     )
 
 
+def differing_ranges(bronze: DataFrame, source: DataFrame, prefix: int, key: str = "id") -> list[str]:
+    """Ranges that have ids in Bronze and other ids (or none) at the source; at most about ``MOST_RANGES``."""
+    b, s = (range_fingerprints(x.select(key), prefix, key) for x in (bronze, source))
+    same = (b["range"] == s["range"]) & (b["n"] == s["n"]) & (b["sum"] == s["sum"])
+    return sorted(r["range"] for r in b.join(s, same, "left_anti").select("range").collect())
+
+
+def in_ranges(df: DataFrame, ranges: list[str], prefix: int, key: str = "id") -> DataFrame:
+    """Rows of the ranges: a few are pushed to the scan as prefixes of the id, more are filtered behind it."""
+    if len(ranges) > MOST_PREFIXES:
+        return df.where(F.substring(key, 1, prefix).isin(ranges))
+    wanted = F.lit(False)
+    for r in ranges:
+        # an id shorter than the prefix is a range by itself
+        wanted = wanted | (F.col(key).startswith(r) if len(r) == prefix else F.col(key) == r)
+    return df.where(wanted)
+
+
+def hard_delete_reconciliation(bronze: DataFrame, source: DataFrame, key: str = "id") -> DataFrame:
+    """Rows in Bronze whose key no longer exists at the source (hard deletes an incremental load cannot see). Rows
+    without a key cannot be told to be gone and are not reported.
+
+    Both sides are first reduced to a fingerprint for each range of ids; only the ranges that differ are read again and
+    joined (anti join; AQE splits a skewed key). When few ids are gone, that is a small part of both tables;
+    without a difference nothing is joined at all."""
+    columns = [key, "lastStatus", "createdAt", "updatedAt", "deletedAt", "load_at"]
+    prefix = id_ranges(bronze.select(key), key)
+    ranges = differing_ranges(bronze, source, prefix, key)
+    old, now = (in_ranges(df.select(*c), ranges, prefix, key) for df, c in ((bronze, columns), (source, [key])))
+    return old.join(now, key, "left_anti").select(*columns)
+
+
 # --- E3 -------------------------------------------------------------------------------------
 def affected_dates(old_bronze: DataFrame, batch: DataFrame) -> DataFrame:
     """Transaction dates a batch changes: the dates of the *old* version of every changed id and of

@@ -10,10 +10,7 @@ set after the tables did, so a run that dies in between is followed by a rebuild
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.util import inheritable_thread_target
 
 from tierwise.operators import deltas
 from tierwise.plans import storage
@@ -28,16 +25,10 @@ def counts(spark: SparkSession, wh: storage.Warehouse) -> dict[str, DataFrame]:
     return {n: deltas.merged(n, storage.read_counts(spark, counts_path(wh, n))) for n in deltas.GRAINS}
 
 
-def at_once(spark: SparkSession, jobs: list) -> list:
-    """Run independent jobs of the session side by side; small ones leave most of a cluster idle."""
-    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
-
-
 def rebuild(spark: SparkSession, wh: storage.Warehouse, finest: DataFrame, load: int) -> None:
     """New bases from the finest counts of all rows (read three times: pass a staged table)."""
     rolled = deltas.roll_up(finest)
-    at_once(spark, [lambda n=n: storage.store_counts(spark, counts_path(wh, n), rolled[n], load, True) for n in rolled])
+    storage.at_once(spark, [lambda n=n: storage.store_counts(spark, counts_path(wh, n), rolled[n], load, True) for n in rolled])
 
 
 def add_changes(spark: SparkSession, wh: storage.Warehouse, finest: DataFrame, load: int) -> None:
@@ -50,4 +41,4 @@ def add_changes(spark: SparkSession, wh: storage.Warehouse, finest: DataFrame, l
         new = deltas.merged(name, storage.read_counts(spark, path), rolled[name]) if fold else rolled[name]
         storage.store_counts(spark, path, new, load, fold)
 
-    at_once(spark, [lambda n=n: add(n) for n in rolled])
+    storage.at_once(spark, [lambda n=n: add(n) for n in rolled])

@@ -10,7 +10,7 @@ NULL for a group whose conditions are all NULL, while a conditional count is nev
 
 from __future__ import annotations
 
-from tierwise.sources.fixtures import AS_OF, REPLAY_CUTS
+from tierwise.sources.fixtures import AGING_TIMES, AS_OF, REPLAY_CUTS
 
 TS_AS_OF = f"TIMESTAMP '{AS_OF}'"
 
@@ -539,6 +539,20 @@ UNION ALL SELECT 'gold_daily_transaction_comprehensive', 'success', (SELECT coun
 UNION ALL SELECT 'gold_route_performance_metrics', 'success', (SELECT count(*) FROM m3), ''
 UNION ALL SELECT 'gold_aging_bottleneck_alerts', 'success', (SELECT count(*) FROM m4), ''
 UNION ALL SELECT 'gold_delivery_success_rate', 'success', (SELECT count(*) FROM m5), ''"""
+    # marts by signed counts: the direct marts over what is left, or at other times
+    q["route_metrics_after_deletes"] = (
+        BASE
+        + """,
+timed AS (
+  SELECT *, last_status = 'DELIVERED' AND is_deleted = 0 AS live, date_diff('hour', created_at, updated_at) AS lead FROM silver),
+left_over AS (
+  SELECT * FROM (
+    SELECT *, min(lead) FILTER (WHERE live) OVER (PARTITION BY pos_origin, pos_destination) AS least FROM timed)
+  WHERE NOT live OR lead > least)"""
+        + m3("left_over")
+    )
+    q["aging_alerts_by_hour"] = BASE + "\nUNION ALL\n".join(m4().replace(TS_AS_OF, f"TIMESTAMP '{t}'") for t in AGING_TIMES)
+    q["aging_sla_by_hour"] = q["aging_with_route_sla"]
     return q
 
 

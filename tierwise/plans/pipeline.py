@@ -204,7 +204,7 @@ def build(
     else:
         ig.rebuild(spark, wh, storage.write_staging(deltas.finest_counts(bronze, silver_cleansed), changes_path), load)
     marts = deltas.marts(ig.counts(spark, wh), as_of, bronze.schema["updatedAt"].dataType)
-    counts = dict(ig.at_once(spark, [lambda n=n: (n, storage.write_table(marts[n], wh.path("gold", n), n)) for n in marts]))
+    counts = dict(storage.at_once(spark, [lambda n=n: (n, storage.write_table(marts[n], wh.path("gold", n), n)) for n in marts]))
     written = {name: spark.read.schema(df.schema).parquet(wh.path("gold", name)) for name, df in marts.items()}
     checks = quality.generic_checks(written, statuses, only_gold=True)
     checks += [c for c in quality.singular_checks(written)]

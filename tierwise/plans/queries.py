@@ -14,11 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1: the operational table with its fixed schema (``read_source``'s conforming projection over
-    the source derived from the driver tables)."""
-    from tierwise.sources.source import conform_source
+    """S1: the operational table, an export of the source read with its fixed schema."""
+    from tierwise.sources.source import read_source
 
-    return conform_source(sc.clean_source(spark, sf_dir))
+    return read_source(spark, sc.source_files(spark, sf_dir))
 
 
 def q_bronze_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,8 +83,13 @@ def q_bronze_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bronze_incremental_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows the last load lands: source at the final cut with ``updatedAt >= watermark``."""
-    return sc.replay(spark, sf_dir).batches[-1]
+    """Rows the last load lands: the source's export with ``updatedAt >= watermark`` pushed into its scan."""
+    from tierwise.sources.source import read_source
+
+    rep = sc.replay(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/source-{uuid.uuid4().hex}"
+    rep.sources[-1].repartitionByRange("updatedAt").sortWithinPartitions("updatedAt").write.parquet(path)
+    return load.load_batch(read_source(spark, path), rep.watermarks[-1], fx.REPLAY_CUTS[-1])
 
 
 def q_bronze_full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,8 +139,13 @@ RETAIN_FROM_MONTH = 199601
 
 
 def q_drop_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retention: months before ``RETAIN_FROM_MONTH`` dropped from a full Bronze load."""
-    return load.retain_from_month(q_bronze_full_load(spark, sf_dir), RETAIN_FROM_MONTH)
+    """Retention on the stored Bronze: the partitions before ``RETAIN_FROM_MONTH`` are dropped."""
+    from tierwise.plans import storage
+
+    path = sc.stored_bronze(spark, sf_dir)
+    old = [m for m in storage.bronze_months(spark, path) if m is not None and m < RETAIN_FROM_MONTH]
+    storage.drop_month_partitions(spark, path, old)
+    return storage.read_bronze(spark, path)
 
 
 def q_soft_delete_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,6 +302,47 @@ _MORE: dict[str, Query] = {
 }
 
 
+# --- marts by signed counts ----------------------------------------------------------------------
+from tierwise.operators import deltas  # noqa: E402
+
+
+def q_route_metrics_after_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 after a load that soft-deletes the fastest parcels of every route: the stored lead-hour counts and the load's
+    signed counts; no other parcel is looked at."""
+    bronze, batch = sc.after_fastest_deleted(spark, sf_dir)
+    base = deltas.roll_up(deltas.finest_counts(bronze))["lead"]
+    change = deltas.roll_up(deltas.finest_counts(deltas.signed_changes(bronze, batch)))["lead"]
+    return deltas.route_performance(deltas.merged("lead", base, change), AS_OF)
+
+
+def _active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tierwise.session import cut_lineage
+
+    return cut_lineage(deltas.roll_up(deltas.finest_counts(sc.clean_bronze(spark, sf_dir)))["active"])
+
+
+def q_aging_alerts_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 at several times, all from one table of counts by (status, route, hour of the last update)."""
+    active = _active(spark, sf_dir)
+    return _union([deltas.aging_alerts(active, as_of) for as_of in fx.AGING_TIMES])
+
+
+def q_aging_sla_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 from the same counts, with thresholds by route."""
+    silver = sc.clean_silver(spark, sf_dir)
+    sla = ext.route_sla_from_performance(gold.gold_route_performance_metrics(silver, AS_OF))
+    return deltas.aging_alerts_by_sla(_active(spark, sf_dir), sla, AS_OF)
+
+
+_MORE.update(
+    {
+        "route_metrics_after_deletes": q_route_metrics_after_deletes,
+        "aging_alerts_by_hour": q_aging_alerts_by_hour,
+        "aging_sla_by_hour": q_aging_sla_by_hour,
+    }
+)
+
+
 # --- extensions (E1-E6) -------------------------------------------------------------------------
 import uuid  # noqa: E402
 
@@ -309,11 +359,21 @@ def q_hard_delete_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_incremental_daily_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comprehensive daily mart after four builds: the first counts Silver, each later one adds the signed counts
-    of its batch and of the versions that it replaces."""
-    for _, wh, _ in sc.shipped_loads(spark, sf_dir):
+    """The comprehensive daily mart after a fourth load on top of three builds: the stored counts and the signed counts
+    of the batch and of the versions that it replaces; rows of dates that the load does not touch stay as they are."""
+    from tierwise.plans import incremental_gold as ig
+    from tierwise.plans import pipeline, storage
+
+    for _, wh, _ in sc.shipped_loads(spark, sf_dir, fx.REPLAY_CUTS[:-1]):
         pass
-    return spark.read.parquet(wh.path("gold", "gold_daily_transaction_comprehensive"))
+    cut, path = fx.REPLAY_CUTS[-1], wh.path("bronze", pipeline.BRONZE)
+    source = fx.snapshot_at(fx.retail_transaction_changes(spark, sf_dir, AS_OF), cut)
+    batch = load.load_batch(source, storage.read_watermark(spark, wh.state_path(pipeline.BRONZE)), cut)
+    batch = storage.write_staging(batch, wh.staging_path("batch"))
+    old = storage.read_bronze(spark, path).filter(load.months_filter([*load.touched_months(batch), None]))
+    changes = storage.write_staging(deltas.signed_changes(old, batch), wh.staging_path("changes"))
+    mart = spark.read.parquet(wh.path("gold", "gold_daily_transaction_comprehensive"))
+    return deltas.daily_mart_after(mart, storage.read_counts(spark, ig.counts_path(wh, "daily")), changes, cut)
 
 
 def q_aging_with_route_sla(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise.functions import hours_between, ts_literal
 from tierwise.operators.load import bronze_projection
 from tierwise.operators.silver import silver_cleansed
 from tierwise.sources.fixtures import AS_OF, retail_transactions, retail_transactions_dirty
@@ -90,6 +91,33 @@ def appended_log(rep: Replay) -> DataFrame:
     return with_partition_column(log.unionByName(log.withColumn("load_at", F.expr("timestampadd(HOUR, 1, load_at)"))))
 
 
+def source_files(spark: SparkSession, sf_dir: str) -> str:
+    """The clean source written as a Parquet export, sorted by update time so that its files have narrow ranges;
+    returns the folder."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/source-{uuid.uuid4().hex}"
+    clean_source(spark, sf_dir).repartitionByRange("updatedAt").sortWithinPartitions("updatedAt").write.parquet(path)
+    return path
+
+
+def stored_bronze(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze after a first load of the clean source, as the catalog table that a build writes; returns its path."""
+    path = storage.Warehouse(f"{checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}").path("bronze", pipeline.BRONZE)
+    storage.write_bronze(path, clean_bronze(spark, sf_dir))
+    return path
+
+
+def after_fastest_deleted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(Bronze, the batch of a later load that soft-deletes every parcel with its route's shortest lead time)."""
+    bronze = clean_bronze(spark, sf_dir)
+    live = silver_cleansed(bronze, ("struct(*) AS _raw",)).where("last_status = 'DELIVERED' AND is_deleted = 0")
+    live = live.withColumn("_lead", hours_between("created_at", "updated_at"))
+    least = live.groupBy("pos_origin", "pos_destination").agg(F.min("_lead").alias("_least"))
+    same = [live[c].eqNullSafe(least[c]) for c in ("pos_origin", "pos_destination")]
+    fastest = live.join(least, [*same, live["_lead"] == least["_least"]], "left_semi").select("_raw.*")
+    gone = ts_literal(AS_OF)
+    return bronze, fastest.withColumn("updatedAt", gone).withColumn("deletedAt", gone)
+
+
 # --- the shipped path: source files -> read_source -> build, hour by hour ---------------------------
 def shipped_loads(spark: SparkSession, sf_dir: str, cuts: tuple[str, ...] = REPLAY_CUTS) -> Iterator[tuple[str, storage.Warehouse, DataFrame]]:
     """A fresh warehouse loaded once per cut: the source as it stood is written as Parquet, read with

@@ -22,11 +22,14 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from tierwise.operators.load import (
     months_filter,
@@ -144,15 +147,16 @@ def sorted_for_write(
     partition_by: Sequence[str] = (),
     size_bytes: int | None = None,
     observed: Callable[[DataFrame], DataFrame] | None = None,
+    least: int = 1,
 ) -> DataFrame:
     """Range-partition on ``(partition_by..., order...)`` and sort within partitions: every task
     writes a contiguous key range (tight min/max per file), and a hot partition value is split
     across tasks by the secondary keys instead of landing in one task. ``size_bytes``, the size of
-    what is read for the write, sets the number of partitions; without it the session does.
+    what is read for the write, sets the number of partitions (``least`` or more); without it the session does.
     ``observed`` is handed the rows after the exchange (what is before it runs once more for the range
     bounds) and before the sort (which must be the last step before the write)."""
     keys = [F.col(c) for c in partition_by] + _order_columns(order)
-    ranged = df.repartitionByRange(*([] if size_bytes is None else [max(1, -(-size_bytes // TARGET_PARTITION_BYTES))]), *keys)
+    ranged = df.repartitionByRange(*([] if size_bytes is None else [max(least, -(-size_bytes // TARGET_PARTITION_BYTES))]), *keys)
     return (observed(ranged) if observed else ranged).sortWithinPartitions(*keys)
 
 
@@ -213,6 +217,17 @@ def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
     return spark.table(catalog_name(bronze_path)) if bronze_months(spark, bronze_path) else None
 
 
+def stored_folders(df: DataFrame) -> list[str]:
+    """The folders of the files that a scan of ``df`` reads."""
+    return sorted({unquote(f).rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
+def at_once(spark: SparkSession, jobs: Sequence[Callable]) -> list:
+    """Run independent jobs of the session side by side; small ones leave most of a cluster idle."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def switch_months(
     spark: SparkSession, bronze_path: str, folder: str, written: Sequence[int | None], replaced: Sequence[int | None]
 ) -> None:
@@ -221,12 +236,15 @@ def switch_months(
     name = catalog_name(bronze_path)
     there = set(bronze_months(spark, bronze_path))
     fresh = [m for m in written if m not in there]
-    left = [month_location(spark, bronze_path, m) for m in written if m in there]
+    moved = [m for m in written if m in there]
+    left = stored_folders(spark.table(name).filter(months_filter(moved))) if moved else []
     if fresh:
         parts = " ".join(f"{_spec(m)} LOCATION {_quoted(f'{folder}/{_folder_of(m)}')}" for m in fresh)
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
-    for m in (m for m in written if m in there):
-        spark.sql(f"ALTER TABLE {name} {_spec(m)} SET LOCATION {_quoted(f'{folder}/{_folder_of(m)}')}")
+    at_once(
+        spark,
+        [lambda m=m: spark.sql(f"ALTER TABLE {name} {_spec(m)} SET LOCATION {_quoted(f'{folder}/{_folder_of(m)}')}") for m in moved],
+    )
     drop_month_partitions(spark, bronze_path, [m for m in replaced if m not in set(written)])
     for old in table_property(spark, bronze_path, "left_behind") or []:
         if old not in left:
@@ -297,8 +315,10 @@ def write_bronze(
     folder = f"{bronze_path.rstrip('/')}/gen={uuid.uuid4().hex}"
     sized = None
     if batch_bytes is not None:
-        sized = batch_bytes + sum(folder_bytes(spark, month_location(spark, bronze_path, m)) for m in read)
-    sorted_for_write(merged, order, [BRONZE_PARTITION], sized, observed).write.partitionBy(BRONZE_PARTITION).parquet(folder)
+        sized = batch_bytes + (sum(folder_bytes(spark, f) for f in stored_folders(stored)) if read else 0)
+    # months are written side by side, however small they are
+    least = min(spark.sparkContext.defaultParallelism, len(read) or 12)
+    sorted_for_write(merged, order, [BRONZE_PARTITION], sized, observed, least).write.partitionBy(BRONZE_PARTITION).parquet(folder)
     found = seen.get
     written = [*found["months"], *([None] if found["without"] else [])]
     switch_months(spark, bronze_path, folder, written, there if replace else read)

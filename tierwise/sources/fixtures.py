@@ -34,6 +34,8 @@ REPLAY_CUTS = (
     "2001-09-01 00:17:00",
 )
 # ----------------------------------------------------------------------------------------
+#: Times at which the stuck parcels are asked for.
+AGING_TIMES = (AS_OF, "2001-08-31 07:30:00", "2001-09-03 23:59:59")
 
 
 # Columns of the driver tables the fixtures use (explicit schemas: no inference, and only these

@@ -50,7 +50,7 @@ def read_source(
     Columns of another type than the contract's are refused, not cast; timestamps may be zoned or not.
     """
     if fmt == "parquet":
-        df = spark.read.parquet(location)
+        df = spark.read.schema(_given_schema(spark, location)).parquet(location)
     elif fmt == "jdbc":
         lacking = [k for k in JDBC_PARTITIONING if k not in (jdbc_options or {})]
         if lacking:
@@ -60,13 +60,26 @@ def read_source(
         df = spark.read.format("jdbc").options(**opts).load()
     else:
         df = spark.read.format(fmt).load(location)
+    _refuse_missing(df, location)
+    return conform_source(df)
+
+
+def _refuse_missing(df: DataFrame, location: str) -> None:
     missing = [c for c in SOURCE_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"source at {location!r} lacks columns {missing}")
-    if fmt == "parquet":
-        for field in source_schema().fields:
-            kind = df.schema[field.name].dataType
-            same = isinstance(kind, (T.TimestampType, T.TimestampNTZType)) if field.name in TIMES else kind == field.dataType
-            if not same:
-                raise ValueError(f"source at {location!r}: {field.name} is {kind.simpleString()}")
-    return conform_source(df)
+
+
+def _given_schema(spark: SparkSession, location: str) -> T.StructType:
+    """The contract's schema, with the zoned or zone-free flavour that a file's footer tells of each time. Read with
+    it, a file of another type fails instead of being cast."""
+    stored = spark.read.parquet(location)
+    _refuse_missing(stored, location)
+    fields = []
+    for field in source_schema().fields:
+        kind = stored.schema[field.name].dataType
+        same = isinstance(kind, (T.TimestampType, T.TimestampNTZType)) if field.name in TIMES else kind == field.dataType
+        if not same:
+            raise ValueError(f"source at {location!r}: {field.name} is {kind.simpleString()}")
+        fields.append(T.StructField(field.name, kind, True))
+    return T.StructType(fields)
