@@ -56,6 +56,14 @@ def small_batches(spark: SparkSession, size: str = "4m") -> None:
         spark.conf.set(key, size)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column has it (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def width(spark: SparkSession) -> int:
     """Number of shards for explicit exchanges: the session's shuffle width, which a cluster sizes to its data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -16,7 +16,8 @@ Shingles are named by 64-bit hashes, so results are exact up to hash collisions
 
 Defined cases: null, empty and wordless texts have the empty set and link with nothing; with fewer
 than five words the whole sequence is one shingle; texts are read whole; repeated rows are returned
-each, in the group of their set; an empty table gives no rows; other columns are ignored.
+each, in the group of their set; rows without an id link like others and make one group with what they link (its
+component_id is null if no row of it has an id); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.llm.blobs import deltas, pack_arrays, runs, squeezed, unpack_arrays, unpress, unsqueezed
-from tierwise.llm.common import read_table, stage, width
+from tierwise.llm.common import read_table, small_batches, stage, unused, width
 from tierwise.llm.graph import components
 from tierwise.llm.textarrays import mix, shingles, slices, word_arrays
 
@@ -80,17 +81,26 @@ def _bodies(pairs: list[tuple[int, bytes]], name: str):
 
 
 def document_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
-    """doc_id, n_shingles, name (of the set; null if empty)."""
+    """doc_id, digest (of the text; null if there is none), n_shingles, name (of the set; null if empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in slices(batches, 1 << 20):
+        for rows, texts in slices(batches, 1 << 20):
             _, n, names = shingle_sets(texts, size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n), pa.array(names.view(np.int64), mask=n == 0)],
-                ["doc_id", "n_shingles", "name"],
+                [
+                    pa.array([r["doc_id"] for r in rows], pa.int64()), pa.array([r["digest"] for r in rows], pa.int64()),
+                    pa.array(n), pa.array(names.view(np.int64), mask=n == 0),
+                ],
+                ["doc_id", "digest", "n_shingles", "name"],
             )
 
-    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, n_shingles long, name long")
+    row = F.struct(F.col(doc_id).cast("long").alias("doc_id"), text_digest(text).alias("digest"))
+    return docs.select(row.alias("row"), F.col(text)).mapInArrow(run, "doc_id long, digest long, n_shingles long, name long")
+
+
+def text_digest(text: str = "text") -> Column:
+    """With the id, what finds a row's text again; rows without an id have only this."""
+    return F.when(F.col(text).isNotNull(), F.xxhash64(F.col(text)))
 
 
 def shared_counts(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
@@ -271,13 +281,15 @@ def block_links(names: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], in
 def set_links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int = 5, block_rows: int = 2000) -> DataFrame:
     """(a, b): spanning links between set names. ``sets``: staged output of ``document_sets``."""
     spark = docs.sparkSession
+    # one row stands for its class; it is found again by id (null-safe) and text digest
     classes = sets.where("name IS NOT NULL").groupBy("name").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")
+        F.min(F.struct("doc_id", "digest")).alias("row"), F.first("n_shingles").alias("n")
     )
     open_classes = shared_counts(docs, text, size).join(classes, "name").where("5 * shared >= 4 * n")
-    wanted = open_classes.select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col(text).alias("_text"))
-    texts = squeezed(texts, "_text").join(wanted, F.col("_doc") == F.col("_id")).select("_name", "_text")
+    wanted = open_classes.select(F.col("row.doc_id").alias("_id"), F.col("row.digest").alias("_of"), F.col("name").alias("_name"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), text_digest(text).alias("_digest"), F.col(text).alias("_text"))
+    same_row = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of"))
+    texts = squeezed(texts, "_text").join(wanted, same_row).select("_name", "_text")
 
     def incidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, bodies in slices(batches, 1 << 20):
@@ -324,26 +336,39 @@ def set_links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int =
     return in_blocks.groupBy("g", "i", "j").applyInArrow(links, "a long, b long")
 
 
-def groups_of(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs`` (columns doc_id and ``text``)."""
+def _grouped(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
+    """doc_id, digest, n_shingles, r (the group's root name; null for the empty set), component_id."""
+    small_batches(docs.sparkSession)
     sets = stage(document_sets(docs, "doc_id", text, size), "jaccard-sets")
     roots = stage(components(set_links(docs, sets, text, size)), "jaccard-roots")
     named = sets.join(roots.withColumnRenamed("node", "name"), "name", "left")
     root = F.coalesce("root", "name")
     first = named.where("name IS NOT NULL").groupBy(root.alias("r")).agg(F.min("doc_id").alias("component_id"))
     out = named.withColumn("r", root).join(first, "r", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "digest", "n_shingles", "r", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def groups_of(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of ``docs`` (columns doc_id and ``text``)."""
+    return _grouped(docs, text, size).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_first_of_groups(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose doc_id is the smallest of its group; of rows with one doc_id,
-    one stays. Rows with a null doc_id go. The texts travel compressed to the semi-join."""
-    groups = stage(groups_of(docs), "jaccard-kept")
-    kept = groups.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"))
-    repeated = kept.agg(F.max("c")).first()[0]
-    out = squeezed(docs, "text").join(kept.select("doc_id"), "doc_id", "left_semi")
+    """One row (all columns) of each group of ``docs``: that with the smallest doc_id, one without an id only if none
+    of the group has one. Rows without words are groups by themselves; of rows equal in id and text one stays.
+    The texts travel compressed to the semi-join."""
+    groups = stage(_grouped(docs), "jaccard-kept")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest")).alias("k")
+    kept = groups.where("r IS NOT NULL").groupBy("r").agg(first).select("k.doc_id", "k.digest")
+    kept = kept.union(groups.where("r IS NULL").select("doc_id", "digest")).distinct()
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    mark = unused("digest", docs.columns)
+    marked = squeezed(docs.withColumn(mark, text_digest()), "text")
+    same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & marked[mark].eqNullSafe(kept["kept_digest"])
+    out = marked.join(kept, same, "left_semi")
+    repeated = groups.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
     if repeated and repeated > 1:
-        out = out.dropDuplicates(["doc_id"])
+        out = out.dropDuplicates(["doc_id", mark])
     return unsqueezed(out.select(*docs.columns), "text")
 
 
