@@ -8,7 +8,8 @@ squares. The iteration is a projected gradient step in its lazy form: gradients
 number for each domain, and the rates are the projection max(0, 1 - posterior . collected), so a step is
 one distributed aggregate of as many sums as there are domains, and no state is kept for a document.
 Tokens weigh a document's change of rate, which keeps rates alike for documents of like posterior. A
-step is scaled by the current Gram matrix of the documents with a positive rate (at least its diagonal).
+step is scaled by the current Gram matrix of the documents with a positive rate (at least its diagonal);
+targets that stay unmet are warned of.
 
 Defined cases: a null or empty text has no tokens, the prior as posterior, and the rate its posterior
 gives; without labelled rows there is one domain ``unlabelled``; targets that cannot be met (a domain
@@ -18,6 +19,7 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import read_table, stage
+from tierwise.llm.common import read_table, small_batches, stage, unused
 from tierwise.llm.textarrays import slices, word_arrays
 
 SHAPES = 8
@@ -227,9 +229,13 @@ def natural_tokens(scored: DataFrame, model: Domains) -> np.ndarray:
 
 
 def fitted(scored: DataFrame, model: Domains, shares: dict[str, float], total: float):
-    """(collected, targets, expected) for staged posteriors."""
+    """(collected, targets, expected) for staged posteriors. Targets that no rates can meet are warned of; the rates
+    are then the nearest found."""
     targets = natural_tokens(scored, model) * total * np.array([shares.get(name, 1.0) for name in model.names])
     collected, expected = fit_rates(scored, targets)
+    if np.abs(expected - targets).max(initial=0.0) > 1e-6 * max(1.0, float(np.abs(targets).sum())):
+        off = {n: (float(e), float(t)) for n, e, t in zip(model.names, expected, targets, strict=True)}
+        warnings.warn(f"mixing: expected tokens are not the targets (expected, target): {off}", stacklevel=2)
     return collected, targets, expected
 
 
@@ -250,6 +256,7 @@ def apply_rates(docs: DataFrame, model: Domains, shares: dict[str, float], total
     fixed hash of the row: the tokens of a domain are its target but for the scatter of the draws.
 
     The rate is a function of the posterior, so texts are scored again where they lie: nothing is exchanged."""
+    small_batches(docs.sparkSession)
     scored = stage(posteriors(docs, model), "mixing")
     collected, _, _ = fitted(scored, model, shares, total)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -267,7 +274,7 @@ def apply_rates(docs: DataFrame, model: Domains, shares: dict[str, float], total
             kept = batch.select(list(range(n_columns)))
             yield kept.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
 
-    return docs.select("*", draw_of().alias("_draw")).mapInArrow(run, docs.schema)
+    return docs.select("*", draw_of().alias(unused("draw", docs.columns))).mapInArrow(run, docs.schema)
 
 
 def domain_of_label() -> Column:
