@@ -18,8 +18,8 @@ occurrences of a word, with the two tokens before each, meet in the shard of tha
    documents by successor search relative to the context.
 4. Sums for each document go back to the document's portion and are added there.
 
-Words are named by 64-bit hashes (words before them by 40 bits of it, which only meet within one word's
-entries). Defined cases: a null text counts as empty and is one end token; repeated rows count and are
+Words are named by 64-bit hashes. Defined cases: a null text counts as empty and is one end token; rows without an
+id are held out; repeated rows count and are
 returned each; without training documents every probability is one; an empty table gives no rows.
 """
 
@@ -40,7 +40,6 @@ from tierwise.llm.eliasfano import Trie
 from tierwise.llm.textarrays import slices, word_arrays
 
 END, START = np.uint64(1), np.uint64(2)  # names of the end of a text and of what precedes its first word
-CONTEXT_BITS = np.uint64(24)  # dropped from the names of preceding words
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +88,8 @@ def deal(ids, t, n, train, shards: int, hot: np.ndarray) -> list[tuple[int, byte
     first = np.cumsum(n) - n
     owner = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(t)) - first[owner]
-    v = np.where(place > 0, np.roll(t, 1), START) >> CONTEXT_BITS
-    u = np.where(place > 1, np.roll(t, 2), START) >> CONTEXT_BITS
+    v = np.where(place > 0, np.roll(t, 1), START)
+    u = np.where(place > 1, np.roll(t, 2), START)
     top = t >> np.uint64(32)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, t), len(hot) - 1)
@@ -292,7 +291,7 @@ def score(
         return pa.table(
             {
                 "doc_id": pa.array(names, pa.int64()),
-                "held_out": pa.array([zlib.crc32(str(i).encode()) % folds == fold for i in names]),
+                "held_out": pa.array([i is None or zlib.crc32(str(i).encode()) % folds == fold for i in names]),
                 "n_tokens": pa.array(n_tokens.astype(np.int64)),
                 "n_known": pa.array(np.rint(known).astype(np.int64)),
                 "train_tokens": pa.array(np.full(len(ids), totals.n, np.int64)),
