@@ -27,11 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import crc_mod, read_table
+from tierwise.llm.common import crc_mod, read_table, small_batches
 from tierwise.llm.textarrays import mix, slices
 
 MARK = 0x2581  # the vocabulary's word-start mark
-LONGEST = 16  # letters in a piece
 SCHEMA = "doc_id long, lang_pred string, score double"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ALPHA: list[np.ndarray] = []
@@ -45,12 +44,12 @@ def alphabet() -> np.ndarray:
 
 
 def pieces_of(path: str) -> list[str]:
-    """Distinct vocabulary entries of letters (with or without the word-start mark), up to ``LONGEST``."""
+    """Distinct vocabulary entries of letters (with or without the word-start mark)."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    ok = {p for p in names if p.lstrip("▁").isalpha() and p.count("▁") == (p[0] == "▁") and len(p) <= LONGEST}
+    ok = {p for p in names if p.lstrip("▁").isalpha() and p.count("▁") == (p[0] == "▁")}
     return sorted({p.lower() for p in ok} | {"▁"})
 
 
@@ -102,7 +101,8 @@ class Model:
     probs: np.ndarray
     unknown: float = 1e-7
     scale: float = 16.0  # probabilities are multiplied by this for each letter, to stay in range
-    part: int = 4096  # longer runs of letters are scored in parts of this many
+    part: int = 4096  # longer runs of letters go through a window of this many
+    longest: int = 16  # letters in a piece
 
     def lattice(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
         """(word, begin, end, piece) of every piece that matches inside a marked word; piece -1 for a
@@ -111,7 +111,7 @@ class Model:
         begin = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         room, at = lengths[word] - begin, starts[word] + begin
         h, found = np.zeros(len(word), np.uint64), []
-        for length in range(1, LONGEST + 1):
+        for length in range(1, self.longest + 1):
             live = room >= length
             word, begin, room, at, h = word[live], begin[live], room[live], at[live], h[live]
             if not len(word):
@@ -146,16 +146,43 @@ class Model:
             top = alpha[e].max(1)
             for odd, factor in (((top > 0) & (top < 1e-100), 1e100), (top > 1e100, 1e-100)):
                 if odd.any():
-                    alpha[max(0, e - LONGEST + 1) : e + 1, odd] *= factor
+                    alpha[max(0, e - self.longest + 1) : e + 1, odd] *= factor
                     raised[odd] += np.log(factor)
         return alpha, raised
 
+    def long_word(self, codes: np.ndarray, start: int, length: int) -> np.ndarray:
+        """log P of one long span, by a window that moves over it: sums that reach beyond the window are carried on, so
+        no segmentation is lost and memory does not grow with the span."""
+        carry = np.zeros((self.longest + 1, len(self.langs)))
+        carry[0] = 1.0
+        raised = 0.0
+        for at in range(0, length, self.part):
+            span = min(self.part, length - at)
+            reach = min(span + self.longest, length - at)
+            _, begin, end, piece = self.lattice(codes, np.array([start + at]), np.array([reach]))
+            inside = begin < span
+            begin, end, piece = begin[inside], end[inside], piece[inside]
+            probs = self.edge_probs(begin, end, piece)
+            order = np.argsort(end, kind="stable")
+            cut = np.searchsorted(end[order], np.arange(reach + 2))
+            alpha = np.zeros((reach + 1, len(self.langs)))
+            alpha[: len(carry)] = carry[: reach + 1]
+            for e in range(1, reach + 1):
+                rows = order[cut[e] : cut[e + 1]]
+                alpha[e] += (alpha[begin[rows]] * probs[rows]).sum(0)
+                top = alpha[e].max()
+                if e <= span and (0 < top < 1e-100 or top > 1e100):
+                    factor = 1e100 if top < 1 else 1e-100
+                    alpha[max(0, e - self.longest + 1) :] *= factor
+                    raised += np.log(factor)
+            carry = alpha[span:]
+        return np.log(np.maximum(carry[0], 1e-300)) - raised - length * np.log(self.scale)
+
     def word_scores(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """log P(word | language) for spans of ``codes`` that begin with the mark."""
         out = np.zeros((len(starts), len(self.langs)))
         for i in np.flatnonzero(lengths > self.part):
-            at = np.arange(0, lengths[i], self.part)
-            out[i] = self.word_scores(codes, starts[i] + at, np.minimum(self.part, lengths[i] - at)).sum(0)
+            out[i] = self.long_word(codes, int(starts[i]), int(lengths[i]))
         short = np.flatnonzero(lengths <= self.part)
         for block in _blocks(lengths[short]):
             part = short[block]
@@ -174,47 +201,73 @@ def marked(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, np.cumsum(lengths) - lengths, lengths
 
 
+@np.errstate(over="ignore", invalid="ignore")  # words out of a double's range are summed as logarithms
+def _expect(model: Model, expected: np.ndarray, codes: np.ndarray, starts: np.ndarray, n: np.ndarray, weight: np.ndarray) -> None:
+    """Add the expected piece counts of a block of words (spans of lengths ``n``, weights by language)."""
+    longest, ids = int(n.max()), np.arange(len(n))
+    word, begin, end, piece = model.lattice(codes, starts, n)
+    probs = model.edge_probs(begin, end, piece)
+    alpha, raised = model.forward(word, begin, end, probs, len(n), longest)
+    beta = np.zeros_like(alpha)
+    beta[n, ids] = 1.0
+    back = np.argsort(begin, kind="stable")
+    cut = np.searchsorted(begin[back], np.arange(longest + 1))
+    for b in range(longest - 1, -1, -1):
+        rows = back[cut[b] : cut[b + 1]]
+        gain = beta[end[rows], word[rows]] * probs[rows]
+        for k in range(len(model.langs)):
+            beta[b, :, k] += np.bincount(word[rows], gain[:, k], len(n))
+    share = alpha[begin, word] * beta[end, word] * probs
+    usable = (raised == 0)[:, None] & (alpha[n, ids] > 0)
+    share *= np.where(usable, weight / np.where(usable, alpha[n, ids], 1.0), 0.0)[word]
+    share = np.nan_to_num(share, nan=0.0, posinf=0.0)
+    known = piece >= 0
+    for k in range(len(model.langs)):
+        expected[:, k] += np.bincount(piece[known], share[known, k], len(expected))
+    for i in np.flatnonzero(~usable.all(1)):
+        mine = word == i
+        lost = ~usable[i]
+        extra = _log_shares(begin[mine], end[mine], probs[mine][:, lost], int(n[i])) * weight[i][lost]
+        np.add.at(expected, (piece[mine & known][:, None], np.flatnonzero(lost)), extra[known[mine]])
+
+
 def fit(counts: list[tuple[str, str, int]], vocabulary: list[str], rounds: int = 3, prior: float = 0.05) -> Model:
     """Expectation maximisation over (lang, word, count): expected piece counts from forward and backward
-    sums, plus ``prior`` for each piece, normalised in each language. Starts from equal probabilities.
-    Words of 60 letters or more are left out of the training."""
+    sums, plus ``prior`` for each piece, normalised in each language. Starts from equal probabilities. Words too long
+    for the range of a double are summed as logarithms."""
     langs = sorted({c[0] for c in counts})
     codes, starts, lengths = marked(vocabulary)
     keys = np.sort(_span_hash(codes, starts + 1, lengths - 1))
-    model = Model(langs, keys, np.full((len(keys), len(langs)), 1.0 / len(keys)))
-    words = sorted({w for _, w, _ in counts if len(w) < 60})
+    model = Model(langs, keys, np.full((len(keys), len(langs)), 1.0 / len(keys)), longest=int(lengths.max()) - 1)
+    words = sorted({w for _, w, _ in counts})
     index, column = {w: i for i, w in enumerate(words)}, {x: i for i, x in enumerate(langs)}
     weight = np.zeros((len(words), len(langs)))
     for lang, w, n in counts:
-        if w in index:
-            weight[index[w], column[lang]] += n
+        weight[index[w], column[lang]] += n
     codes, starts, lengths = marked(words)
     for _ in range(rounds):
         expected = np.full(model.probs.shape, prior)
         for part in _blocks(lengths):
-            n, longest, ids = lengths[part], int(lengths[part].max()), np.arange(len(part))
-            word, begin, end, piece = model.lattice(codes, starts[part], n)
-            probs = model.edge_probs(begin, end, piece)
-            alpha, raised = model.forward(word, begin, end, probs, len(part), longest)
-            beta = np.zeros_like(alpha)
-            beta[n, ids] = 1.0
-            back = np.argsort(begin, kind="stable")
-            cut = np.searchsorted(begin[back], np.arange(longest + 1))
-            for b in range(longest - 1, -1, -1):
-                rows = back[cut[b] : cut[b + 1]]
-                gain = beta[end[rows], word[rows]] * probs[rows]
-                for k in range(len(langs)):
-                    beta[b, :, k] += np.bincount(word[rows], gain[:, k], len(part))
-            share = alpha[begin, word] * beta[end, word] * probs
-            usable = (raised == 0)[:, None] & (alpha[n, ids] > 0)
-            share *= np.where(usable, weight[part] / np.where(usable, alpha[n, ids], 1.0), 0.0)[word]
-            known = piece >= 0
-            for k in range(len(langs)):
-                expected[:, k] += np.bincount(piece[known], share[known, k], len(expected))
+            _expect(model, expected, codes, starts[part], lengths[part], weight[part])
         model.probs = expected / expected.sum(0)
     return model
 
 
+def _log_shares(begin: np.ndarray, end: np.ndarray, probs: np.ndarray, length: int) -> np.ndarray:
+    """For each piece of one word, the share of the segmentations (by probability) that use it."""
+    with np.errstate(divide="ignore"):
+        logs = np.log(probs)
+    alpha = np.full((length + 1, probs.shape[1]), -np.inf)
+    beta = alpha.copy()
+    alpha[0] = beta[length] = 0.0
+    for order, at, into, out in ((np.argsort(end, kind="stable"), begin, end, alpha), (np.argsort(-begin, kind="stable"), end, begin, beta)):
+        for rows in np.split(order, np.flatnonzero(np.diff(into[order])) + 1):
+            out[into[rows[0]]] = np.logaddexp.reduce(out[at[rows]] + logs[rows], axis=0)
+    total = alpha[length]
+    with np.errstate(invalid="ignore"):
+        return np.where(np.isfinite(total), np.exp(alpha[begin] + logs + beta[end] - total), 0.0)
+
+
 def sample_counts(docs: DataFrame, keep: Column, sample_docs: int = 300) -> list[tuple[str, str, int]]:
     """(lang, word, count) of the training sample: for each language the ``sample_docs`` kept documents
     with the smallest id hash. Hashes are uniform, so a threshold leaves about twice as many ids for the
@@ -277,6 +330,7 @@ class Scorer:
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score for each row. The model (vocabulary x languages) is sent to the tasks."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,6 +356,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 
 def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) whose language is told with at least ``least_score``; nothing is exchanged."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
@@ -333,4 +388,5 @@ def train(docs: DataFrame, keep: Column, sample_docs: int = 300, vocabulary: str
 def op6_lang_id(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = train(docs, crc_mod(F.col("doc_id"), 5) != 0)
-    return predict(docs, model).withColumn("held_out", crc_mod(F.col("doc_id"), 5) == 0)
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(True))  # a row without an id teaches nothing
+    return predict(docs, model).withColumn("held_out", held_out)
