@@ -129,3 +129,64 @@ def test_long_order_keys_keep_ids_apart(spark, scratch):
     rows = fx.retail_transactions(spark, f"{scratch}/sf")
     assert sorted(r[0] for r in rows.select(fx.order_key_of(F.col("id"))).collect()) == keys
     assert rows.select("id").distinct().count() == len(keys)
+
+
+def test_a_history_in_one_hour_is_spread_and_exact(spark):
+    """One id, and the versions without an id, each hold a third of the feed within one hour."""
+    import datetime as dt
+
+    rng = random.Random(4)
+    steps = ["BOOKED", "PROCESSING", "IN_TRANSIT", "OUT_FOR_DELIVERY", "DELIVERED", "CANCELLED", None]
+    start = dt.datetime(2025, 1, 1, 10)
+    rows = []
+    for who, n in (("hot", 2000), (None, 2000), *((f"id{i}", 4) for i in range(500))):
+        rows += [(who, start + dt.timedelta(milliseconds=k), k, rng.choice(steps)) for k in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id string, updatedAt timestamp_ntz, version int, lastStatus string").repartition(5)
+    order = ["id", "updatedAt", "version", "lastStatus"]
+    ranges = df.repartitionByRange(8, *order).withColumn("p", F.spark_partition_id()).groupBy("id").agg(F.count_distinct("p").alias("n"))
+    spread = {r["id"]: r["n"] for r in ranges.where("id IS NULL OR id = 'hot'").collect()}
+    assert all(n > 1 for n in spread.values())
+    want, before = [], {}
+    for who, at, k, s in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2])):
+        p = before.get(who, None)
+        active = ("BOOKED", "PROCESSING", "IN_TRANSIT", "OUT_FOR_DELIVERY")
+        chain = steps[:5]
+        if p is None:
+            legal = s == "BOOKED"
+        else:
+            legal = s is not None and (s == p or (p in chain[:-1] and s == chain[chain.index(p) + 1]) or (p in active and s == "CANCELLED"))
+        if not legal:
+            want.append((who, p, s, at))
+        before[who] = s
+    got = [tuple(r) for r in ext.status_transition_audit(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_hard_deletes_read_the_differing_ranges_only(spark, scratch):
+    rows = [(f"TRX-{k:08d}", "BOOKED") for k in range(20000)]
+    full = spark.createDataFrame(rows, "id string, lastStatus string").selectExpr(
+        "id", "lastStatus", *[f"TIMESTAMP_NTZ '2025-01-01 00:00:00' AS {c}" for c in ("createdAt", "updatedAt", "deletedAt", "load_at")]
+    )
+    full.repartitionByRange(8, "id").sortWithinPartitions("id").write.parquet(f"{scratch}/b")
+    full.where("id NOT IN ('TRX-00000000', 'TRX-00012345')").select("id").repartitionByRange(8, "id").write.parquet(f"{scratch}/s")
+    bronze, source = spark.read.parquet(f"{scratch}/b"), spark.read.parquet(f"{scratch}/s")
+    prefix = ext.id_ranges(bronze.select("id"))
+    ranges = ext.differing_ranges(bronze, source, prefix)
+    assert len(ranges) == 2 and bronze.select(F.substring("id", 1, prefix)).distinct().count() <= ext.MOST_RANGES
+    gone = ext.hard_delete_reconciliation(bronze, source)
+    assert sorted(r["id"] for r in gone.collect()) == ["TRX-00000000", "TRX-00012345"]
+    plan = gone._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("StringStartsWith(id") >= 2
+    assert ext.in_ranges(bronze, ranges, prefix).count() < 100
+    same = ext.hard_delete_reconciliation(bronze, bronze)
+    assert same.count() == 0 and ext.differing_ranges(bronze, bronze, prefix) == []
+
+
+def test_hard_deletes_of_ids_of_any_length(spark):
+    ids = ["", "a", "ab", "abc", "é", "b" * 50, "b" * 49, None, "dup", "dup"]
+    b = spark.createDataFrame([(i, *[None] * 5) for i in ids], "id string, lastStatus string, createdAt string, updatedAt string, deletedAt string, load_at string")
+    for gone in ({"a"}, {"", "abc"}, {"b" * 50}, {"dup", "é"}, set(ids) - {None}, set()):
+        s = spark.createDataFrame([(i,) for i in ids if i not in gone] + [("zzz",)], "id string")
+        got = sorted(r["id"] for r in ext.hard_delete_reconciliation(b, s).collect())
+        assert got == sorted(i for i in ids if i in gone and i is not None)

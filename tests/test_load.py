@@ -209,3 +209,14 @@ def test_empty_bronze_dataframe_forms(spark):
     assert load.watermark_df(empty).first()["watermark"] is None
     assert load.new_data_gate_df(src, None).first()["has_new_rows"] == 1
     assert load.new_data_gate_df(src, "2024-01-01 00:00:00").first()["has_new_rows"] == 1
+
+
+def test_source_is_read_with_its_given_schema_and_the_watermark_is_pushed(spark, scratch):
+    from conftest import SF_SMALL
+    from tierwise.plans import queries
+
+    scan = queries.queries()["bronze_incremental_batch"](spark, SF_SMALL)
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(updatedAt" in plan
+    whole = queries.queries()["source_scan"](spark, SF_SMALL)
+    assert "ReadSchema: struct<id:string,customerId:string" in whole._jdf.queryExecution().executedPlan().toString()
