@@ -273,14 +273,16 @@ def write_bronze(
       move when ``createdAt`` is repaired), upsert them, and write just those anew.
     * ``key_partition_stable=False`` (an id may change month): all months are read and written anew.
     * ``newer_wins``: instead of "the batch always wins", a batch row replaces the stored one only
-      if its ``(updatedAt, stage)`` is not older, where ``stage`` is the row's place in the life
-      cycle (streams: replays and out-of-order files cannot regress a row, not even at equal times).
+      if its ``(updatedAt, stage)`` is newer, where ``stage`` is the row's place in the life
+      cycle (streams: replays and out-of-order files cannot regress a row, not even at equal times). Months
+      for which the batch brings nothing newer are left as they are.
 
     The batch's ids are broadcast to the anti join when their checked size allows (the batch is staged
     on disk, so the check is a cheap scan); then the touched months (terabytes at scale) are never
     shuffled by id. Above the bound the join shuffles.
     """
-    from tierwise.operators.extensions import broadcast_if_small
+    from tierwise.operators.extensions import broadcast_if_small, row_width
+    from tierwise.session import cut_lineage
 
     spark = batch.sparkSession
     batch_p = with_partition_column(batch.select(*BRONZE_COLUMNS))
@@ -293,18 +295,25 @@ def write_bronze(
         if key_partition_stable:
             # months are a handful of scalars per batch (bounded by the calendar, not by the data)
             read = [m for m in {*(touched_months(batch_p) if months is None else months), None} if m in there]
+    if newer_wins:
+        # rows whose stored version is newer go first: the months are scanned (versions only) against the broadcast
+        # batch versions. What is left is fixed, and only its months are rewritten
+        if read:
+            before = read_bronze(spark, bronze_path).filter(months_filter(read))
+            versions = broadcast_if_small(batch_p.select("id", version_of().alias("_bv")), materialize=False, rows=batch_rows)
+            stale = before.join(versions, "id").filter(version_of() >= F.col("_bv")).select("id").distinct()
+            batch_p = batch_p.join(stale, "id", "left_anti")
+        batch_p = cut_lineage(batch_p)
+        batch_rows = batch_p.count()
+        if not batch_rows:
+            return
+        batch_bytes = batch_rows * row_width(batch_p)
+        read = [m for m in {*touched_months(batch_p), None} if m in there] if key_partition_stable else read
     merged = batch_p
     if read:
         stored = read_bronze(spark, bronze_path).filter(months_filter(read)).select(*BRONZE_COLUMNS, BRONZE_PARTITION)
-        effective = batch_p
-        if newer_wins:
-            # batch rows whose stored version is newer are dropped first: a join of the months read
-            # with the (broadcast) batch versions, so the months are scanned, not shuffled
-            versions = broadcast_if_small(batch_p.select("id", version_of().alias("_bv")), materialize=False, rows=batch_rows)
-            stale = stored.join(versions, "id").filter(version_of() > F.col("_bv")).select("id").distinct()
-            effective = batch_p.join(stale, "id", "left_anti")
-        keys = broadcast_if_small(effective.select("id"), materialize=False, rows=batch_rows)
-        merged = upsert_by_key(stored, effective, "id", batch_keys=keys)
+        keys = broadcast_if_small(batch_p.select("id"), materialize=False, rows=batch_rows)
+        merged = upsert_by_key(stored, batch_p, "id", batch_keys=keys)
     seen = Observation(f"bronze-{uuid.uuid4().hex}")
     month = F.col(BRONZE_PARTITION)
     notes = [F.collect_set(month).alias("months"), F.count_if(month.isNull()).alias("without")]

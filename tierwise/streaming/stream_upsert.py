@@ -1,11 +1,17 @@
 """E5: Bronze fed by Structured Streaming instead of an hourly batch.
 
 A file source over a folder of change batches (Parquet, fixed schema) drives ``foreachBatch``:
-each micro-batch is reduced to the latest version per id, projected to Bronze and merged into the
-month-partitioned table with *newer wins*: by update time, and at equal times by the place in the
-life cycle (Bronze keeps no version number). That makes a replayed micro-batch (at-least-once after a
-failure) and out-of-order files harmless. ``load_at`` is the time of the micro-batch unless fixed. Progress is
-kept in the stream's checkpoint folder, which must be on shared storage.
+
+1. Versions that came in already fall in the stream: a keyed state holds (id, version columns) for ``replay_hours``
+   after they arrived (``dropDuplicatesWithinWatermark`` on the time of arrival, so no row is ever late).
+2. Each micro-batch is reduced to the latest version per id and projected to Bronze.
+3. Versions older than what Bronze has are dropped before anything is written: only the months that hold a newer
+   version are rewritten, and a micro-batch of stale rows rewrites none.
+
+Newer is by update time, and at equal times by the place in the life cycle (Bronze keeps no version number). That
+makes a replay after the state has forgotten it (or after a failure: at-least-once) and out-of-order files harmless,
+too. ``load_at`` is the time of the micro-batch unless fixed. Progress and state are kept in the stream's
+checkpoint folder, which must be on shared storage.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwise.operators.load import bronze_projection, latest_per_key
@@ -20,6 +27,9 @@ from tierwise.plans import storage
 from tierwise.schemas import BRONZE_COLUMNS, SOURCE_COLUMNS
 
 
+VERSION_COLUMNS = ("id", "lastStatus", "updatedAt", "deletedAt")
+
+
 def upsert_micro_batch(batch: DataFrame, bronze_path: str, as_of: str | None, order: tuple[str, ...]) -> None:
     now = as_of or _dt.datetime.now().isoformat(sep=" ", timespec="seconds")
     ranked = batch.withColumn("_version", storage.version_of())
@@ -28,6 +38,12 @@ def upsert_micro_batch(batch: DataFrame, bronze_path: str, as_of: str | None, or
     storage.write_bronze(bronze_path, proj.select(*BRONZE_COLUMNS), newer_wins=True)
 
 
+def without_replays(stream: DataFrame, hours: int) -> DataFrame:
+    """The stream without versions that arrived in the last ``hours`` already."""
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", f"{hours} hours")
+    return arrived.dropDuplicatesWithinWatermark([c for c in (*VERSION_COLUMNS, "version") if c in stream.columns]).drop("_arrived")
+
+
 def bronze_stream_upsert(
     spark: SparkSession,
     input_path: str,
@@ -39,6 +55,7 @@ def bronze_stream_upsert(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     max_bytes_per_trigger: int = 8 << 30,
+    replay_hours: int = 24,
 ):
     """Start the stream; with ``available_now`` it drains the folder in several micro-batches and
     stops. Returns the ``StreamingQuery``. A micro-batch takes files up to ``max_bytes_per_trigger``
@@ -46,7 +63,8 @@ def bronze_stream_upsert(
     limit = ("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else ("maxBytesPerTrigger", max_bytes_per_trigger)
     stream = spark.readStream.schema(schema).option(*limit).parquet(input_path)
     writer = (
-        stream.writeStream.foreachBatch(lambda df, _epoch: upsert_micro_batch(df, bronze_path, as_of, order))
+        without_replays(stream, replay_hours)
+        .writeStream.foreachBatch(lambda df, _epoch: upsert_micro_batch(df, bronze_path, as_of, order))
         .option("checkpointLocation", checkpoint_path)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
