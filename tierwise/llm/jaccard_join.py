@@ -33,6 +33,9 @@ from tierwise.llm.blobs import deltas, pack_arrays, runs, squeezed, unpack_array
 from tierwise.llm.common import read_table, small_batches, stage, unused, width
 from tierwise.llm.graph import components
 from tierwise.llm.textarrays import mix, shingles, slices, word_arrays
+from tierwise.operators.extensions import broadcast_if_small
+
+GONE_BYTES = 64 << 20  # most of the names of dropped rows that are broadcast
 
 
 def shingle_sets(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -356,20 +359,25 @@ def groups_of(docs: DataFrame, text: str = "text", size: int = 5) -> DataFrame:
 def keep_first_of_groups(docs: DataFrame) -> DataFrame:
     """One row (all columns) of each group of ``docs``: that with the smallest doc_id, one without an id only if none
     of the group has one. Rows without words are groups by themselves; of rows equal in id and text one stays.
-    The texts travel compressed to the semi-join."""
+    Rows that go are named to every task when their checked size allows; else rows and names meet by id."""
     groups = stage(_grouped(docs), "jaccard-kept")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest")).alias("k")
-    kept = groups.where("r IS NOT NULL").groupBy("r").agg(first).select("k.doc_id", "k.digest")
-    kept = kept.union(groups.where("r IS NULL").select("doc_id", "digest")).distinct()
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    stays = groups.where("r IS NOT NULL").groupBy("r").agg(first).select(F.col("r").alias("of"), "k")
+    same = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("digest").eqNullSafe(F.col("k.digest"))
+    gone = groups.join(stays, F.col("r") == F.col("of")).where(~same)
+    gone = stage(gone.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct(), "jaccard-gone")
     mark = unused("digest", docs.columns)
-    marked = squeezed(docs.withColumn(mark, text_digest()), "text")
-    same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & marked[mark].eqNullSafe(kept["kept_digest"])
-    out = marked.join(kept, same, "left_semi")
+    marked = docs.withColumn(mark, text_digest())
+    small = broadcast_if_small(gone, GONE_BYTES, materialize=False)
+    if small is gone:  # too many for every executor: the rows meet them by id, with their texts compressed
+        marked = squeezed(marked, "text")
+    met = marked["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & marked[mark].eqNullSafe(gone["gone_digest"])
+    out = marked.join(small, met, "left_anti")
     repeated = groups.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
     if repeated and repeated > 1:
         out = out.dropDuplicates(["doc_id", mark])
-    return unsqueezed(out.select(*docs.columns), "text")
+    out = out.select(*docs.columns)
+    return unsqueezed(out, "text") if small is gone else out
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
