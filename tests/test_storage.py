@@ -230,7 +230,7 @@ def test_left_behind_folders_go_with_the_next_load(spark, scratch):
     first = bronze(spark, [row("A", "BOOKED", "2025-01-15 00:00:00", "2025-01-15 00:00:00")])
     storage.write_bronze(path, first)
     (before,) = storage.stored_folders(storage.read_bronze(spark, path))
-    assert before == storage.month_location(spark, path, 202501)
+    assert before.endswith(storage.month_location(spark, path, 202501).removeprefix("file:"))
     storage.write_bronze(path, first)
     assert storage.path_exists(spark, before)  # a reader of the old month can finish
     storage.write_bronze(path, first)
