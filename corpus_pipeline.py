@@ -9,8 +9,8 @@
 5. packing (operator 9): token sequences, one row per piece.
 
 All stages but the last return the columns of ``documents``. Nulls: a null text is empty (stage 1 removes
-it, as it has no letter); rows with a null doc_id are kept by stages that need no id and dropped by stage 2,
-which keeps one document by its id; repeated rows count as copies.
+it, as it has no letter); rows with a null doc_id are rows like others (stage 2 keeps one of a group only if no row
+of the group has an id); repeated rows count as copies.
 """
 
 from __future__ import annotations
