@@ -4,8 +4,9 @@ no Python runs per row."""
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +70,19 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("int")
 
 
+def hashed_first(df: DataFrame, key: Sequence[str]) -> list[Column]:
+    """Grouping columns for ``key``: a hash of the key, then the key itself (the groups are those of the key).
+
+    A greatest row per key is a sort aggregate, and ids that begin alike (``TRX-0000...``) are told apart only by
+    reading both rows; by the hash, one 8-byte comparison does. Keys of other types than these, for which equal
+    values may hash differently (collated text, floats), are grouped as they are."""
+    plain = all(df.schema[c].dataType.simpleString() in HASHED_TYPES for c in key)
+    return ([F.xxhash64(*key).alias("_hash")] if plain and key else []) + [F.col(c) for c in key]
+
+
+HASHED_TYPES = {"string", "int", "bigint", "date", "timestamp", "timestamp_ntz"}
+
+
 def count_where(cond: Column) -> Column:
     """``countIf``: rows where ``cond`` is true, bigint (0 when none)."""
     return F.count_if(cond).cast("bigint")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.functions import as_of_seconds, month_key, ts_literal, ts_sql
+from tierwise.functions import as_of_seconds, hashed_first, month_key, ts_literal, ts_sql
 from tierwise.schemas import BRONZE_COLUMNS, BRONZE_PARTITION
 
 WATERMARK_COLUMN = "updatedAt"
@@ -127,7 +127,7 @@ def latest_per_key(
     key = list(key)
     order = list(order)
     payload = [c for c in (payload or df.columns) if c not in key and c not in order]
-    packed = df.groupBy(*key).agg(F.max(F.struct(*order, *payload)).alias("_v"))
+    packed = df.groupBy(*hashed_first(df, key)).agg(F.max(F.struct(*order, *payload)).alias("_v"))
     return packed.select(*key, *[F.col(f"_v.{c}").alias(c) for c in order + payload]).select(*df.columns)
 
 
@@ -163,22 +163,26 @@ def dedup_versions(
     to the one with the greatest ``version``; ties go to the latest arrival (``tiebreak``).
 
     Sort-key items may be expressions (e.g. ``to_date(updatedAt)``); they are materialised as
-    hidden columns, grouped on, then dropped. A max-struct aggregate, not a window, so duplicate
-    versions are collapsed map-side before the shuffle."""
+    hidden columns, grouped on, then dropped; columns given by name are grouped on as they are and
+    not carried a second time. A max-struct aggregate, not a window, so duplicate versions are
+    collapsed map-side before the shuffle."""
+    order = [version] + [c for c in tiebreak if c in df.columns and c != version]
     keys = []
     tmp = df
     for i, item in enumerate(list(partition or []) + list(sort_key)):
+        if isinstance(item, str) and item in df.columns and item not in (*order, *keys):
+            keys.append(item)
+            continue
         name = f"_dk{i}"
         tmp = tmp.withColumn(name, F.col(item) if isinstance(item, str) else item)
         keys.append(name)
-    order = [version] + [c for c in tiebreak if c in df.columns and c != version]
     out = latest_per_key(tmp, keys, order, payload=[c for c in df.columns])
     return out.select(*df.columns)
 
 
-def bronze_sort_key() -> list[Column]:
+def bronze_sort_key() -> list[Column | str]:
     """Bronze physical sort key: ``(toDate(updatedAt), lastStatus, id)``."""
-    return [F.to_date(F.col("updatedAt")), F.col("lastStatus"), F.col("id")]
+    return [F.to_date(F.col("updatedAt")), "lastStatus", "id"]
 
 
 # --- one load step ---------------------------------------------------------------------------

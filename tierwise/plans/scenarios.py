@@ -47,15 +47,16 @@ from dataclasses import dataclass, field  # noqa: E402
 
 from tierwise.operators.load import apply_load, with_partition_column  # noqa: E402
 from tierwise.plans import pipeline, storage  # noqa: E402
-from tierwise.session import checkpoint_dir, cut_lineage  # noqa: E402
+from tierwise.schemas import source_schema  # noqa: E402
+from tierwise.session import checkpoint_dir  # noqa: E402
 from tierwise.sources.source import read_source  # noqa: E402
-from tierwise.sources.fixtures import REPLAY_CUTS, retail_transaction_changes, snapshot_at  # noqa: E402
+from tierwise.sources.fixtures import REPLAY_CUTS, retail_transaction_changes, snapshots_at  # noqa: E402
 
 
 @dataclass
 class Replay:
-    """Bronze after each load (checkpointed), the batch each load landed and the watermark it
-    started from (``None`` = full load)."""
+    """Bronze after each load (staged), the batch each load landed, the watermark it started from
+    (``None`` = full load) and the source it read (an export)."""
 
     states: list[DataFrame] = field(default_factory=list)
     batches: list[DataFrame] = field(default_factory=list)
@@ -63,18 +64,29 @@ class Replay:
     sources: list[DataFrame] = field(default_factory=list)
 
 
+def source_exports(spark: SparkSession, sf_dir: str, cuts: tuple[str, ...], path: str) -> list[str]:
+    """The source as it stood at each cut, written as Parquet folders below ``path`` by one pass over the change
+    feed; returns the folders."""
+    snapshots_at(retail_transaction_changes(spark, sf_dir, AS_OF), cuts).write.partitionBy("cut").parquet(path)
+    folders = [f"{path}/cut={i}" for i in range(len(cuts))]
+    for folder in folders:
+        if not storage.path_exists(spark, folder):  # no row is that old
+            spark.createDataFrame([], source_schema()).write.parquet(folder)
+    return folders
+
+
 def replay(spark: SparkSession, sf_dir: str, cuts: tuple[str, ...] = REPLAY_CUTS) -> Replay:
     """Run one load per cut: source = snapshot of the change feed at the cut, ``as_of`` = the cut.
-    Each Bronze state is checkpointed to the shared checkpoint folder (cuts lineage, survives
-    executor loss, and the next watermark is read from it without recomputing the chain)."""
-    # every cut reads the same change feed: derive it once (reliable checkpoint, shared folder)
-    changes = cut_lineage(retail_transaction_changes(spark, sf_dir, AS_OF))
+    Each source and each Bronze state is written as Parquet to the shared checkpoint folder (cuts lineage,
+    survives executor loss; a load scans its batch with the watermark pushed down, and the next watermark
+    reads one column, without recomputing the chain)."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
     out = Replay()
     bronze = None
-    for cut in cuts:
-        src = snapshot_at(changes, cut)
+    for i, (cut, folder) in enumerate(zip(cuts, source_exports(spark, sf_dir, cuts, f"{base}/source"))):
+        src = spark.read.schema(source_schema()).parquet(folder)
         bronze, batch, wm = apply_load(bronze, src, cut)
-        bronze = cut_lineage(bronze)
+        bronze = storage.write_staging(bronze, f"{base}/bronze/{i}")
         out.states.append(bronze)
         out.batches.append(batch)
         out.watermarks.append(wm)
@@ -124,11 +136,8 @@ def shipped_loads(spark: SparkSession, sf_dir: str, cuts: tuple[str, ...] = REPL
     ``read_source`` and built. Yields (cut, warehouse, run report) after every load."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/shipped-{uuid.uuid4().hex}"
     wh = storage.Warehouse(f"{base}/warehouse")
-    retail_transaction_changes(spark, sf_dir, AS_OF).write.parquet(f"{base}/changes")
-    changes = spark.read.parquet(f"{base}/changes")
-    for i, cut in enumerate(cuts):
-        snapshot_at(changes, cut).write.parquet(f"{base}/source/{i}")
-        report = pipeline.build(spark, read_source(spark, f"{base}/source/{i}"), wh, cut)
-        storage.delete_path(spark, f"{base}/source/{i}")
+    for cut, folder in zip(cuts, source_exports(spark, sf_dir, cuts, f"{base}/source")):
+        report = pipeline.build(spark, read_source(spark, folder), wh, cut)
+        storage.delete_path(spark, folder)
         yield cut, wh, report
 
