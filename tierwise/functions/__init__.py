@@ -6,7 +6,6 @@ from tierwise.functions.columns import (  # noqa: F401
     clean_text,
     count_where,
     flag,
-    hashed_first,
     hour_index,
     hours_between,
     month_key,
