@@ -93,7 +93,7 @@ def _gate(spark, source, wh, force) -> tuple[bool, str | None, bool]:
     return has_new_rows(source, wm, force=force, bronze_exists=exists), wm, exists
 
 
-def _stage_batch(source: DataFrame, wm: str | None, as_of: str, path: str) -> tuple[DataFrame, dict]:
+def stage_batch(source: DataFrame, wm: str | None, as_of: str, path: str) -> tuple[DataFrame, dict]:
     """The load's rows, written once to the staging folder, and what was seen of them on the way: rows, watermark,
     months."""
     rows = bronze_projection(incremental_filter(source, wm), as_of)
@@ -145,7 +145,7 @@ def build(
     bronze_path = wh.path("bronze", BRONZE)
     window_wm = None if full_refresh else wm
     staging, changes_path = wh.staging_path(BRONZE), wh.staging_path("changes")
-    staged, batch = _stage_batch(source, window_wm, as_of, staging)
+    staged, batch = stage_batch(source, window_wm, as_of, staging)
     existing = None if (full_refresh or not exists) else storage.read_bronze(spark, bronze_path)
     gold_incremental = (
         gold_mode == "auto" and existing is not None and previous.get("gold_wm") is not None and previous.get("gold_wm") == wm

@@ -290,12 +290,12 @@ def write_bronze(
     create_table(spark, bronze_path, batch_p.schema, [BRONZE_PARTITION])
     there = bronze_months(spark, bronze_path)
     read: list[int | None] = []
-    if not replace:
+    if there and not replace:
         read = list(there)
         if key_partition_stable:
             # months are a handful of scalars per batch (bounded by the calendar, not by the data)
             read = [m for m in {*(touched_months(batch_p) if months is None else months), None} if m in there]
-    if newer_wins:
+    if newer_wins and (read or batch_rows is None):
         # rows whose stored version is newer go first: the months are scanned (versions only) against the broadcast
         # batch versions. What is left is fixed, and only its months are rewritten
         if read:
@@ -305,10 +305,11 @@ def write_bronze(
             batch_p = batch_p.join(stale, "id", "left_anti")
         batch_p = cut_lineage(batch_p)
         batch_rows = batch_p.count()
+        read = [m for m in {*touched_months(batch_p), None} if m in there] if there and key_partition_stable else read
+    if newer_wins:
         if not batch_rows:
             return
         batch_bytes = batch_rows * row_width(batch_p)
-        read = [m for m in {*touched_months(batch_p), None} if m in there] if key_partition_stable else read
     merged = batch_p
     if read:
         stored = read_bronze(spark, bronze_path).filter(months_filter(read)).select(*BRONZE_COLUMNS, BRONZE_PARTITION)

@@ -4,7 +4,8 @@ A file source over a folder of change batches (Parquet, fixed schema) drives ``f
 
 1. Versions that came in already fall in the stream: a keyed state holds (id, version columns) for ``replay_hours``
    after they arrived (``dropDuplicatesWithinWatermark`` on the time of arrival, so no row is ever late).
-2. Each micro-batch is reduced to the latest version per id and projected to Bronze.
+2. Each micro-batch is reduced to the latest version per id and projected to Bronze, once: it is staged, since what
+   follows reads it several times and each read would run the stream's state and exchanges again.
 3. Versions older than what Bronze has are dropped before anything is written: only the months that hold a newer
    version are rewritten, and a micro-batch of stale rows rewrites none.
 
@@ -17,14 +18,17 @@ checkpoint folder, which must be on shared storage.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierwise.operators.load import bronze_projection, latest_per_key
+from tierwise.operators.load import latest_per_key
 from tierwise.plans import storage
+from tierwise.plans.pipeline import stage_batch
 from tierwise.schemas import BRONZE_COLUMNS, SOURCE_COLUMNS
+from tierwise.session import checkpoint_dir
 
 
 VERSION_COLUMNS = ("id", "lastStatus", "updatedAt", "deletedAt")
@@ -34,8 +38,10 @@ def upsert_micro_batch(batch: DataFrame, bronze_path: str, as_of: str | None, or
     now = as_of or _dt.datetime.now().isoformat(sep=" ", timespec="seconds")
     ranked = batch.withColumn("_version", storage.version_of())
     latest = latest_per_key(ranked, ["id"], [*order, "_version"])
-    proj = bronze_projection(latest.select(*SOURCE_COLUMNS), now)
-    storage.write_bronze(bronze_path, proj.select(*BRONZE_COLUMNS), newer_wins=True)
+    staging = f"{checkpoint_dir(batch.sparkSession).rstrip('/')}/micro-batch-{uuid.uuid4().hex}"
+    staged, seen = stage_batch(latest.select(*SOURCE_COLUMNS), None, now, staging)
+    storage.write_bronze(bronze_path, staged.select(*BRONZE_COLUMNS), newer_wins=True, batch_rows=seen["n"], months=seen["months"])
+    storage.delete_path(batch.sparkSession, staging)
 
 
 def without_replays(stream: DataFrame, hours: int) -> DataFrame:
