@@ -1,12 +1,16 @@
 """Work that is done once: snapshots of all cuts in one pass over the feed, loads over written sources."""
 
+import threading
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL, ts
-from tierwise.operators import load
+from conftest import SF_SMALL, src_df, ts
+from tierwise.operators import deltas, load, quality
+from tierwise.plans import pipeline, storage
 from tierwise.plans import scenarios as sc
-from tierwise.plans import storage
+from tierwise.plans.pipeline import BRONZE, SILVER
 from tierwise.schemas import SOURCE_COLUMNS, source_schema
 from tierwise.sources import fixtures as fx
 from tierwise.streaming.stream_upsert import upsert_micro_batch
@@ -98,3 +102,93 @@ def test_a_micro_batch_is_worked_out_once(spark, scratch):
     got, want = ({r["id"]: (r["lastStatus"], r["updatedAt"]) for r in df.collect()} for df in (stored, latest))
     # without a version number the stored row is kept at equal times unless the life cycle moves on
     assert stored.count() == len(got) and got == want
+
+
+# --- builds -----------------------------------------------------------------------------------
+def source_row(id, status="BOOKED", day=1):
+    return (id, "c", status, "X", "Y", "2025-01-01 00:00:00", f"2025-01-{day:02d} 12:00:00", None)
+
+
+def test_ids_unique_in_silver_are_not_counted_again_in_bronze(spark, scratch, monkeypatch):
+    asked = []
+    real = quality.unique_ids
+
+    def noted(tables, *a):
+        asked.append(list(tables))
+        return real(tables, *a)
+
+    monkeypatch.setattr(quality, "unique_ids", noted)
+    cases = (
+        ([source_row("B", day=3)], "", ""),
+        ([source_row("A ", day=3)], "", f"{SILVER}.unique"),
+        ([source_row("C", day=3), source_row("C", "DELIVERED", 3)], f"{BRONZE}.unique", f"{SILVER}.unique"),
+    )
+    for n, (rows, bronze_fails, silver_fails) in enumerate(cases):
+        wh = storage.Warehouse(f"{scratch}/{n}")
+        pipeline.build(spark, src_df(spark, [source_row("A")]), wh, "2025-01-02 00:00:00")
+        assert asked == [[SILVER]]  # a clean load: one pass over the ids
+        report = pipeline.build(spark, src_df(spark, [source_row("A"), *rows]), wh, "2025-01-04 00:00:00", fail_fast=False)
+        found = {r["model"]: [f for f in r["failed_checks"] if f.endswith(".unique")] for r in report.collect()}
+        assert ",".join(found[BRONZE]) == bronze_fails and ",".join(found[SILVER]) == silver_fails
+        asked.clear()
+
+
+def test_replaced_versions_are_counted_while_the_months_are_written(spark, scratch, monkeypatch):
+    path = f"{scratch}/w/bronze"
+    storage.write_bronze(path, load.bronze_projection(src_df(spark, [source_row("A")]), "2025-01-02 00:00:00"))
+    counting, real = threading.Event(), storage.sorted_for_write
+    seen = []
+
+    def write_waits(*a, **k):
+        assert counting.wait(60)
+        return real(*a, **k)
+
+    def beside():
+        counting.set()
+        seen.extend(r["lastStatus"] for r in storage.read_bronze(spark, path).collect())
+
+    monkeypatch.setattr(storage, "sorted_for_write", write_waits)
+    batch = load.bronze_projection(src_df(spark, [source_row("A", "DELIVERED", 3)]), "2025-01-04 00:00:00")
+    storage.write_bronze(path, batch, beside=beside)
+    assert seen == ["BOOKED"]  # the table as it was
+    assert [r["lastStatus"] for r in storage.read_bronze(spark, path).collect()] == ["DELIVERED"]
+
+    def dies():
+        raise RuntimeError("counts lost")
+
+    with pytest.raises(RuntimeError):
+        storage.write_bronze(path, load.bronze_projection(src_df(spark, [source_row("A", "CANCELLED", 5)]), "2025-01-06 00:00:00"), beside=dies)
+    assert [r["lastStatus"] for r in storage.read_bronze(spark, path).collect()] == ["DELIVERED"]  # not switched
+
+
+def test_daily_marts_sum_a_base_and_its_deltas_in_one_exchange(spark):
+    grain = "transaction_date date, last_status string, pos_origin string, pos_destination string, is_deleted int, n_rows long, n_id long"
+    day = ts("2025-01-01 00:00:00").date()
+
+    def cell(status, origin, deleted, n_rows, n_id):
+        return (day, status, origin, None, deleted, n_rows, n_id)
+
+    base = [cell("BOOKED", "X", 0, 3, 2), cell("BOOKED", "Z", 0, 1, 1), cell("BOOKED", None, 0, 2, 0), cell("DELIVERED", "X", 0, 2, 2), cell("BOOKED", "W", 0, 1, 1)]
+    delta = [
+        cell("BOOKED", "X", 0, -1, 0), cell("BOOKED", "Z", 0, -1, -1), cell("DELIVERED", "X", 0, -1, -1),
+        cell("DELIVERED", "X", 1, 1, 1), cell("CANCELLED", "Z", 0, 1, 1), cell("BOOKED", "W", 0, -1, -1), cell("BOOKED", "W", 1, 1, 1),
+    ]
+    stored = spark.createDataFrame(base + delta, grain)
+    once = deltas.merged("daily", stored)
+    for mart in (deltas.daily_valid, deltas.daily_comprehensive, deltas.success_rate):
+        got, want = mart(stored, fx.AS_OF), mart(once, fx.AS_OF)
+        assert plan(got).count("Exchange hashpartitioning") == 1
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    valid = {(r["last_status"], r["pos_origin"]): r["total_valid_transactions"] for r in deltas.daily_valid(stored, fx.AS_OF).collect()}
+    assert valid == {("BOOKED", "X"): 2, ("BOOKED", None): 0, ("DELIVERED", "X"): 1}
+
+
+def test_a_build_sums_the_stored_daily_counts(spark, scratch):
+    from tierwise.plans import incremental_gold as ig
+
+    wh = storage.Warehouse(scratch)
+    pipeline.build(spark, src_df(spark, [source_row("A")]), wh, "2025-01-02 00:00:00")
+    pipeline.build(spark, src_df(spark, [source_row("A", "DELIVERED", 3)]), wh, "2025-01-04 00:00:00")
+    assert ig.mart_counts(spark, wh)["daily"].count() == 3  # +1, and -1 +1; nothing is aggregated before the marts
+    rows = spark.read.parquet(wh.path("gold", "gold_daily_transaction_comprehensive")).collect()
+    assert [(r["last_status"], r["total_transactions"]) for r in rows] == [("DELIVERED", 1)]

@@ -95,16 +95,25 @@ def _total(measure: str, where: Column | None = None) -> Column:
 
 
 def daily_valid(daily: DataFrame, as_of: str, kind: T.DataType | None = None) -> DataFrame:
-    """M1 from ``daily``."""
+    """M1 from ``daily``, whose keys may be there several times (a base and its deltas)."""
     rows = daily.where((F.col("is_deleted") == 0) & (F.col("last_status") != "CANCELLED"))
-    return rows.groupBy(*DAILY_GRAIN).agg(_total("n_id").alias("total_valid_transactions")).withColumn("processed_at", _stamp(as_of, kind))
+    sums = rows.groupBy(*DAILY_GRAIN).agg(_total("n_id").alias("total_valid_transactions"), _total("n_rows").alias("_rows"))
+    return sums.where("total_valid_transactions <> 0 OR _rows <> 0").drop("_rows").withColumn("processed_at", _stamp(as_of, kind))
 
 
 def daily_comprehensive(daily: DataFrame, as_of: str, kind: T.DataType | None = None) -> DataFrame:
-    """M2 from ``daily``."""
+    """M2 from ``daily``, whose keys may be there several times (a base and its deltas)."""
+    gone = F.col("is_deleted") == 1
+    # a date, status and route is left out if neither its deleted rows nor the others count any more
+    counted = {"_gone_id": _total("n_id", gone), "_rows": _total("n_rows", ~gone), "_id": _total("n_id", ~gone)}
     return (
         daily.groupBy(*DAILY_GRAIN)
-        .agg(_total("n_id").alias("total_transactions"), _total("n_rows", F.col("is_deleted") == 1).alias("total_soft_deleted"))
+        .agg(
+            _total("n_id").alias("total_transactions"), _total("n_rows", gone).alias("total_soft_deleted"),
+            *[c.alias(k) for k, c in counted.items()],
+        )
+        .where(" OR ".join(f"{c} <> 0" for c in ("total_soft_deleted", *counted)))
+        .drop(*counted)
         .withColumn("processed_at", _stamp(as_of, kind))
     )
 
@@ -177,7 +186,7 @@ def aging_alerts_by_sla(
 
 
 def success_rate(daily: DataFrame, as_of: str, kind: T.DataType | None = None) -> DataFrame:
-    """M5 from ``daily``."""
+    """M5 from ``daily``, whose keys may be there several times (a base and its deltas)."""
     total = _total("n_id")
     delivered = _total("n_rows", F.col("last_status") == "DELIVERED")
     cancelled = _total("n_rows", F.col("last_status") == "CANCELLED")
@@ -197,7 +206,8 @@ def success_rate(daily: DataFrame, as_of: str, kind: T.DataType | None = None) -
 
 
 def marts(counts: dict[str, DataFrame], as_of: str, kind: T.DataType | None = None) -> dict[str, DataFrame]:
-    """The five marts (columns and values as ``gold.MARTS`` over the rows that were counted)."""
+    """The five marts (columns and values as ``gold.MARTS`` over the rows that were counted). ``daily`` need not be
+    ``merged``: the marts from it are sums."""
     return {
         "gold_daily_transaction_valid": daily_valid(counts["daily"], as_of, kind),
         "gold_daily_transaction_comprehensive": daily_comprehensive(counts["daily"], as_of, kind),

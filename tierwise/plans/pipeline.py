@@ -154,9 +154,9 @@ def build(
         # the versions this load replaces, before they are gone. With stable months they lie in the batch's months
         # (a repaired createdAt comes from the NULL month)
         old = existing.filter(months_filter([*batch["months"], None])) if key_partition_stable else existing
-        changes = storage.write_staging(
-            deltas.finest_counts(deltas.signed_changes(old, staged, batch["n"]), silver_cleansed), changes_path
-        )
+        counted = deltas.finest_counts(deltas.signed_changes(old, staged, batch["n"]), silver_cleansed)
+    else:  # all of Silver; a first load or a full refresh is its batch
+        counted = deltas.finest_counts(staged, silver_cleansed) if existing is None else None
     if previous.get("gold_wm") is not None:  # from here on Gold is out of step until its counts have followed
         keep = {k: previous.get(k) for k in ("load_at", "batch_rows", "checks_passed", "load_number")}
         storage.store_watermark(
@@ -167,6 +167,7 @@ def build(
     storage.write_bronze(
         bronze_path, staged.select(*BRONZE_COLUMNS), existing is None, key_partition_stable,
         batch_bytes=storage.folder_bytes(spark, staging), batch_rows=batch["n"], months=batch["months"], watch=watch,
+        beside=None if counted is None else lambda: storage.write_staging(counted, changes_path),
     )
     new_wm = _later(None if full_refresh else wm, batch["wm"])
     storage.store_watermark(spark, state_path, new_wm, as_of, batch["n"], None, None, load)  # commit point
@@ -199,11 +200,12 @@ def build(
 
     # --- Gold: signed counts, and the marts rolled up from them ----------------------------------
     started = _now()
-    if gold_incremental:
-        ig.add_changes(spark, wh, changes, load)
-    else:
-        ig.rebuild(spark, wh, storage.write_staging(deltas.finest_counts(bronze, silver_cleansed), changes_path), load)
-    marts = deltas.marts(ig.counts(spark, wh), as_of, bronze.schema["updatedAt"].dataType)
+    if counted is None:
+        counted = deltas.finest_counts(bronze, silver_cleansed)
+        storage.write_staging(counted, changes_path)
+    changes = spark.read.schema(counted.schema).parquet(changes_path)
+    (ig.add_changes if gold_incremental else ig.rebuild)(spark, wh, changes, load)
+    marts = deltas.marts(ig.mart_counts(spark, wh), as_of, bronze.schema["updatedAt"].dataType)
     counts = dict(storage.at_once(spark, [lambda n=n: (n, storage.write_table(marts[n], wh.path("gold", n), n)) for n in marts]))
     written = {name: spark.read.schema(df.schema).parquet(wh.path("gold", name)) for name, df in marts.items()}
     checks = quality.generic_checks(written, statuses, only_gold=True)
@@ -224,17 +226,26 @@ def build(
 
 def _layer_failures(bronze, staged, batch, watch, whole: bool, incremental: bool, statuses) -> list:
     """Failing Bronze and Silver checks. The row checks were observed while the months were written; where those are
-    all that has to be checked (``whole``) and show nothing wrong, no row is read again for them."""
-    clean = whole and watch.clean
-    if incremental:
-        by_month = silver_cleansed(bronze, keep=(BRONZE_PARTITION,))
-        rows = quality.incremental_layer_checks(
-            bronze, by_month, staged, batch["months"], BRONZE, SILVER, statuses, batch_rows=batch["n"], unique_only=clean
-        )
-    else:
-        silver = silver_cleansed(bronze)
-        rows = quality.unique_ids({BRONZE: bronze, SILVER: silver}) if clean else quality.layer_checks(bronze, silver, BRONZE, SILVER, statuses)
-    return [r for r in rows.collect() if r.failures]
+    all that has to be checked (``whole``) and show nothing wrong, no row is read again for them; Bronze's ids are then
+    counted only if some id is twice in Silver."""
+    silver = silver_cleansed(bronze, keep=(BRONZE_PARTITION,))
+
+    def failing(unique_in: Sequence[str] | None = None) -> list:
+        if incremental:
+            rows = quality.incremental_layer_checks(
+                bronze, silver, staged, batch["months"], BRONZE, SILVER, statuses, batch_rows=batch["n"], unique_in=unique_in
+            )
+        elif unique_in is not None:
+            rows = quality.unique_ids({m: {BRONZE: bronze, SILVER: silver}[m] for m in unique_in})
+        else:
+            rows = quality.layer_checks(bronze, silver, BRONZE, SILVER, statuses)
+        return [r for r in rows.collect() if r.failures]
+
+    if not (whole and watch.clean):
+        return failing()
+    # equal ids of Bronze are equal in Silver, which trims them: with no id twice in Silver there is none in Bronze
+    found = failing([SILVER])
+    return [*failing([BRONZE]), *found] if found else []
 
 
 def run_hourly(spark: SparkSession, source: DataFrame, wh: storage.Warehouse, as_of: str, **kwargs) -> DataFrame:

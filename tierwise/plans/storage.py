@@ -262,11 +262,13 @@ def write_bronze(
     batch_rows: int | None = None,
     months: Sequence[int | None] | None = None,
     watch: Callable[[DataFrame], DataFrame] | None = None,
+    beside: Callable[[], object] | None = None,
 ) -> None:
     """Upsert ``batch`` into the month-partitioned Bronze at ``bronze_path`` and switch its months over.
 
     ``batch_rows`` and ``months`` (what the batch holds and touches) save a scan of the batch each if they are
     known. ``watch`` is handed the rows on their way to the files and returns them, with what it wants observed.
+    ``beside`` is a job on the table as it was: it runs while the files are written and is done before the switch.
 
     * First load, or ``replace`` (full refresh): the batch is the whole table.
     * Stable months (default): read only the months the batch touches and the NULL month (whose ids
@@ -328,7 +330,11 @@ def write_bronze(
         sized = batch_bytes + (sum(folder_bytes(spark, f) for f in stored_folders(stored)) if read else 0)
     # months are written side by side, however small they are
     least = min(spark.sparkContext.defaultParallelism, len(read) or 12)
-    sorted_for_write(merged, order, [BRONZE_PARTITION], sized, observed, least).write.partitionBy(BRONZE_PARTITION).parquet(folder)
+
+    def write() -> None:
+        sorted_for_write(merged, order, [BRONZE_PARTITION], sized, observed, least).write.partitionBy(BRONZE_PARTITION).parquet(folder)
+
+    at_once(spark, [write, *([beside] if beside else [])])
     found = seen.get
     written = [*found["months"], *([None] if found["without"] else [])]
     switch_months(spark, bronze_path, folder, written, there if replace else read)
