@@ -92,3 +92,56 @@ def test_state_forgets_no_row_that_is_new(spark, scratch):
     q = without_replays(stream, 1).writeStream.format("memory").queryName("passed").option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("passed").count() == 4
+
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def fed(spark, base, rows, **options):
+    """The stream after one more file of ``rows`` (id, status, hour of the update); returns its state's progress in
+    the micro-batch of the file and in the one without rows that follows."""
+    df = spark.createDataFrame(rows, "id string, lastStatus string, h int").selectExpr(
+        "id", "'c' AS customerId", "lastStatus", "'X' AS posOrigin", "'Y' AS posDestination", "TIMESTAMP_NTZ '2025-01-05' AS createdAt",
+        "timestampadd(HOUR, h, TIMESTAMP_NTZ '2025-01-05') AS updatedAt", "CAST(NULL AS TIMESTAMP_NTZ) AS deletedAt",
+    )
+    df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    q = bronze_stream_upsert(spark, f"{base}/in", df.schema, f"{base}/bronze", f"{base}/_ckpt", fx.AS_OF, **options)
+    q.awaitTermination()
+    return [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+
+
+def stored(spark, base):
+    return {r["id"]: r["lastStatus"] for r in storage.read_bronze(spark, f"{base}/bronze").collect()}
+
+
+def test_state_lies_on_disk_within_a_memory_shared_by_its_partitions(spark, scratch):
+    from tierwise.streaming.stream_upsert import STREAM_SETTINGS
+
+    before = {k: spark.conf.get(k, None) for k in STREAM_SETTINGS}
+    state, _ = fed(spark, scratch, [("a", "BOOKED", 0), ("a", "PROCESSING", 1), ("b", "BOOKED", 0), (None, "BOOKED", 0)])
+    assert state["customMetrics"]["rocksdbPutCount"] == 4
+    assert {k: spark.conf.get(k, None) for k in STREAM_SETTINGS} == before
+    state, _ = fed(spark, scratch, [("a", "PROCESSING", 1), ("b", "PROCESSING", 2)])  # a replay, and a new version
+    assert state["numRowsUpdated"] == 1
+    assert stored(spark, scratch) == {"a": "PROCESSING", "b": "PROCESSING", None: "BOOKED"}
+
+
+def test_expired_versions_are_forgotten(spark, scratch):
+    _, after = fed(spark, scratch, [("a", "BOOKED", 0), ("b", "BOOKED", 0)], replay_hours=0)
+    assert after["numRowsRemoved"] == 2
+    state, _ = fed(spark, scratch, [("a", "BOOKED", 0)], replay_hours=0)
+    assert state["numRowsUpdated"] == 1  # it passes again
+    assert stored(spark, scratch) == {"a": "BOOKED", "b": "BOOKED"}
+
+
+def test_a_checkpoint_with_state_in_memory_goes_on(spark, scratch):
+    spark.conf.set(PROVIDER, IN_MEMORY)
+    try:
+        state = fed(spark, scratch, [("a", "BOOKED", 0), ("b", "BOOKED", 0)])[0]
+    finally:
+        spark.conf.unset(PROVIDER)
+    assert not any(k.startswith("rocksdb") for k in state["customMetrics"])
+    state, _ = fed(spark, scratch, [("a", "BOOKED", 0), ("b", "PROCESSING", 1)])
+    assert state["numRowsUpdated"] == 1
+    assert stored(spark, scratch) == {"a": "BOOKED", "b": "PROCESSING"}

@@ -3,7 +3,8 @@
 A file source over a folder of change batches (Parquet, fixed schema) drives ``foreachBatch``:
 
 1. Versions that came in already fall in the stream: a keyed state holds (id, version columns) for ``replay_hours``
-   after they arrived (``dropDuplicatesWithinWatermark`` on the time of arrival, so no row is ever late).
+   after they arrived (``dropDuplicatesWithinWatermark`` on the time of arrival, so no row is ever late). The state
+   lies on disk, so it is not bounded by the executors' memory.
 2. Each micro-batch is reduced to the latest version per id and projected to Bronze, once: it is staged, since what
    follows reads it several times and each read would run the stream's state and exchanges again.
 3. Versions older than what Bronze has are dropped before anything is written: only the months that hold a newer
@@ -19,6 +20,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +36,31 @@ from tierwise.session import checkpoint_dir
 
 VERSION_COLUMNS = ("id", "lastStatus", "updatedAt", "deletedAt")
 
+#: Settings of the stream. The state has a row for each version of ``replay_hours`` and lies on the executors' disks
+#: (the default provider keeps it in the heap); all its partitions on an executor share the memory given here. Its rows
+#: are not counted, which would cost a read for each write.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside take those of ``STREAM_SETTINGS`` that the session does not set itself. A stream copies the
+    session's settings when it starts, so the session has its own again afterwards; one that goes on from a
+    checkpoint keeps the state provider it began with."""
+    added = {k: v for k, v in STREAM_SETTINGS.items() if spark.conf.get(k, None) is None}
+    try:
+        for k, v in added.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k in added:
+            spark.conf.unset(k)
+
 
 def upsert_micro_batch(batch: DataFrame, bronze_path: str, as_of: str | None, order: tuple[str, ...]) -> None:
     now = as_of or _dt.datetime.now().isoformat(sep=" ", timespec="seconds")
@@ -74,4 +102,5 @@ def bronze_stream_upsert(
         .option("checkpointLocation", checkpoint_path)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    with stream_settings(spark):
+        return writer.start()
